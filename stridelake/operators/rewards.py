@@ -46,13 +46,19 @@ def reward_state(messages: DataFrame, state: DataFrame | None = None) -> DataFra
 
 def add_rewards(joined: DataFrame) -> DataFrame:
     """New profile from old profile columns and (earned, done, seen, seen_day), either side missing."""
-    total = F.coalesce("total_points", F.lit(0)) + F.coalesce("earned", F.lit(0))
-    held = F.coalesce("badges", _no_badges())
+    # The new total gets its own name first: inside the badge lambdas "total_points" would resolve to
+    # the select's own output column instead of the old total.
+    rows = joined.withColumns(
+        {
+            "_total": F.coalesce("total_points", F.lit(0)) + F.coalesce("earned", F.lit(0)),
+            "_held": F.coalesce("badges", _no_badges()),
+        }
+    )
     day = F.coalesce(F.dayofmonth("seen"), F.col("seen_day"), F.col("last_day"))
-    return joined.select(
+    return rows.select(
         "user_id",
-        total.cast("bigint").alias("total_points"),
-        F.concat(held, X.new_badges(total, held)).alias("badges"),
+        F.col("_total").cast("bigint").alias("total_points"),
+        F.concat("_held", X.new_badges(F.col("_total"), F.col("_held"))).alias("badges"),
         (F.coalesce("workout_count", F.lit(0)) + F.coalesce("done", F.lit(0))).cast("bigint").alias("workout_count"),
         day.cast("int").alias("last_day"),
         F.greatest("seen", "last_activity_date").alias("last_activity_date"),
