@@ -19,33 +19,39 @@ def workouts(messages: DataFrame) -> DataFrame:
     return kept.groupBy("user_id", "activity_date", "day").agg(F.max("points").alias("points"))
 
 
-def reward_state(messages: DataFrame, state: DataFrame | None = None) -> DataFrame:
-    """Profile per user after ``messages``, on top of ``state`` if given.
-
-    With a state, messages must be new to it (see ``streaming.rewards`` for that bookkeeping).
-    """
-    earned = workouts(messages).groupBy("user_id").agg(
+def earned_totals(messages: DataFrame) -> DataFrame:
+    """Points, workouts and last day per user."""
+    return workouts(messages).groupBy("user_id").agg(
         F.sum("points").alias("earned"),
         F.count(F.lit(1)).alias("done"),
         F.max("activity_date").alias("seen"),
         F.max("day").alias("seen_day"),
     )
-    if state is None:
-        state_columns = earned.select(
-            "*",
-            F.lit(0).cast("bigint").alias("total_points"),
-            _no_badges().alias("badges"),
-            F.lit(0).cast("bigint").alias("workout_count"),
-            F.lit(None).cast("int").alias("last_day"),
-            F.lit(None).cast("date").alias("last_activity_date"),
+
+
+def reward_state(messages: DataFrame, state: DataFrame | None = None) -> DataFrame:
+    """Profile per user after ``messages``, on top of ``state`` if given.
+
+    With a state, messages must be new to it (``streaming.tables.reward_sink`` does that bookkeeping).
+    """
+    earned = earned_totals(messages)
+    if state is not None:
+        return add_rewards(earned.join(state, "user_id", "full"))
+    return add_rewards(
+        earned.withColumns(
+            {
+                "total_points": F.lit(0).cast("bigint"),
+                "badges": _no_badges(),
+                "workout_count": F.lit(0).cast("bigint"),
+                "last_day": F.lit(None).cast("int"),
+                "last_activity_date": F.lit(None).cast("date"),
+            }
         )
-    else:
-        state_columns = earned.join(state, "user_id", "full")
-    return add_rewards(state_columns)
+    )
 
 
-def add_rewards(joined: DataFrame) -> DataFrame:
-    """New profile from old profile columns and (earned, done, seen, seen_day), either side missing."""
+def add_rewards(joined: DataFrame, *carry: str) -> DataFrame:
+    """New profile from old profile columns and those of ``earned_totals``; either side may be missing."""
     # The new total gets its own name first: inside the badge lambdas "total_points" would resolve to
     # the select's own output column instead of the old total.
     rows = joined.withColumns(
@@ -54,14 +60,16 @@ def add_rewards(joined: DataFrame) -> DataFrame:
             "_held": F.coalesce("badges", _no_badges()),
         }
     )
-    day = F.coalesce(F.dayofmonth("seen"), F.col("seen_day"), F.col("last_day"))
+    latest = F.greatest("seen", "last_activity_date")
+    day = F.coalesce(F.dayofmonth(latest), F.col("seen_day"), F.col("last_day"))
     return rows.select(
         "user_id",
         F.col("_total").cast("bigint").alias("total_points"),
         F.concat("_held", X.new_badges(F.col("_total"), F.col("_held"))).alias("badges"),
         (F.coalesce("workout_count", F.lit(0)) + F.coalesce("done", F.lit(0))).cast("bigint").alias("workout_count"),
         day.cast("int").alias("last_day"),
-        F.greatest("seen", "last_activity_date").alias("last_activity_date"),
+        latest.alias("last_activity_date"),
+        *carry,
     )
 
 

@@ -75,13 +75,16 @@ def with_action(rules: Sequence[Rule], name: str, action: str) -> tuple[Rule, ..
 
 
 def enforce(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Keep rows that pass all drop rules; a row that breaks a fail rule stops the job. Streams too."""
+    """Keep rows that pass all drop rules; a row that breaks a fail rule stops the job. Streams too.
+
+    Spark may run a later filter before an earlier one, and so drop a row before its fail rule has
+    seen it. A check whose message carries a fresh incident id is not deterministic and stays put.
+    """
     for rule in (r for r in rules if r.action == "fail"):
-        stop = F.raise_error(F.lit(f"expectation {rule.name} failed: {rule.predicate}")).cast("boolean")
-        df = df.filter(F.when(rule.passes(), F.lit(True)).otherwise(stop))
-    drops = [r.passes() for r in rules if r.action == "drop"]
-    for passes in drops:
-        df = df.filter(passes)
+        message = F.concat(F.lit(f"expectation {rule.name} failed: {rule.predicate}, incident "), F.expr("uuid()"))
+        df = df.filter(F.when(rule.passes(), F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    for rule in (r for r in rules if r.action == "drop"):
+        df = df.filter(rule.passes())
     return df
 
 

@@ -312,6 +312,10 @@ _FRAUD_FLAGS = """*, CASE WHEN anomaly_score >= 0.8 THEN 'FRAUD' ELSE 'CLEAN' EN
          WHEN anomaly_score >= 0.8 THEN 'Anomaly score threshold exceeded' END AS fraud_reason"""
 
 _BODIES: dict[str, str] = {
+    # --- streams end up with the batch result ---
+    "stream_silver": "SELECT * FROM silver",
+    "stream_gold": _gold("silver"),
+    "stream_rewards": "SELECT * FROM state",
     "scan_parquet": "SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'",
     "silver_typed": "SELECT * FROM typed",
     "silver_clean": "SELECT * FROM cleaned",

@@ -19,8 +19,10 @@ from stridelake.operators import rewards as W
 from stridelake.operators import rules as R
 from stridelake.operators import silver as S
 from stridelake.plans import adapters as A
-from stridelake.session import pin
+from stridelake.schemas import CORRUPT
+from stridelake.session import pin, scratch
 from stridelake.sources import readers, sinks
+from stridelake.streaming import sources, stages, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -424,3 +426,46 @@ def decode_prediction(spark, sf_dir):
 @query
 def prediction_report(spark, sf_dir):
     return M.prediction_report(M.predictions(A.scored(spark, sf_dir)))
+
+
+# --- streams, run to the end of the data and read back ---
+
+
+def _streamed(spark, sf_dir):
+    """(silver path, change feed path): raw rows as JSON files, streamed in several batches."""
+    root = scratch(spark, "stream")
+    raw = A.minute_raw(spark, sf_dir)
+    sinks.write_json_lines(raw.select(F.to_json(F.struct(*raw.columns)).alias("value")).repartition(4), f"{root}/raw")
+    bronze = sources.bronze_stream(spark, f"{root}/raw", f"{root}/schema", max_files=2)
+    rows = stages.silver_stream(bronze, "batch").drop(CORRUPT, *PROVENANCE)
+    each = tables.silver_with_feed(f"{root}/silver", f"{root}/feed", "ingest_time")
+    tables.run(rows, f"{root}/checkpoint-silver", each).awaitTermination()
+    return root
+
+
+PROVENANCE = ("event_type", "source", "ingestion_timestamp", "source_file", "data_source", "pipeline_name")
+
+
+@query
+def stream_silver(spark, sf_dir):
+    return readers.read_silver(spark, f"{_streamed(spark, sf_dir)}/silver").drop("processed_at")
+
+
+@query
+def stream_gold(spark, sf_dir):
+    root = _streamed(spark, sf_dir)
+    schema = spark.read.parquet(f"{root}/feed").drop("batch").schema
+    feed = sources.parquet_stream(spark, f"{root}/feed", schema)
+    each = tables.refresh_gold(f"{root}/silver", f"{root}/gold", full=False)
+    tables.run(feed, f"{root}/checkpoint-gold", each).awaitTermination()
+    return readers.read_gold(spark, f"{root}/gold").drop("processed_at")
+
+
+@query
+def stream_rewards(spark, sf_dir):
+    root = scratch(spark, "stream")
+    sinks.write_messages(A.messages(spark, sf_dir).repartition(4), f"{root}/queue")
+    found = sources.message_stream(spark, f"{root}/queue", max_files=2)
+    each = tables.reward_sink(f"{root}/state", f"{root}/log", buckets=8)
+    tables.run(found, f"{root}/checkpoint", each).awaitTermination()
+    return readers.read_state(spark, f"{root}/state").withColumn("badges", _text("badges"))

@@ -44,7 +44,7 @@ def evolve_schema(spark: SparkSession, path: str, store: str, base: T.StructType
     """
     version, stored_at, known = load_schema(spark, store)
     known = known or base
-    reader = spark.read.option("primitivesAsString", True).option("pathGlobFilter", "*.json*")
+    reader = spark.read.option("primitivesAsString", True)
     if stored_at is not None:
         reader = reader.option("modifiedAfter", stored_at).option("timeZone", "UTC")
     now = spark.sql("SELECT date_format(to_utc_timestamp(now(), current_timezone()), \"yyyy-MM-dd'T'HH:mm:ss\")").first()[0]

@@ -87,5 +87,5 @@ def read_gold(spark: SparkSession, path: str, where: Column | None = None) -> Da
 
 def read_state(spark: SparkSession, path: str, user_id: str | None = None) -> DataFrame:
     """Reward profiles: all, or one user's by a pushed-down filter."""
-    df = spark.read.schema(schemas.REWARD_STATE).parquet(path)
+    df = spark.read.schema(schemas.REWARD_STATE).parquet(path).select(*schemas.REWARD_STATE.names)
     return df if user_id is None else df.filter(F.col("user_id") == user_id)
