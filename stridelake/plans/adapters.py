@@ -42,20 +42,20 @@ def _sleep(k: Column) -> Column:
 def minute_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw minute events as text: some without user, with unreadable time, negative steps or delivered twice."""
     k = F.col("k")
-    copies = F.when(k < 10, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    row = F.struct(
+        F.when(k == 97, None).otherwise(F.col("user_id").cast("string")).alias("user_id"),
+        F.when(k == 98, "bad").otherwise(F.date_format("ts", TIME_PATTERN)).alias("timestamp"),
+        F.when(k == 99, "-1").otherwise(F.floor("value").cast("string")).alias("steps"),
+        (F.floor("value") / 4.0).cast("string").alias("calories"),
+        _intensity().cast("string").alias("intensity"),
+        _sleep(k).cast("string").alias("sleep_value"),
+    )
+    sent = F.array_repeat(row, F.when(k < 10, 2).otherwise(1))
     return (
         table(spark, sf_dir, "events")
         .withColumn("k", _k())
-        .withColumn("copy", F.explode(copies))
-        .select(
-            F.when(k == 97, None).otherwise(F.col("user_id").cast("string")).alias("user_id"),
-            F.when(k == 98, "bad").otherwise(F.date_format("ts", TIME_PATTERN)).alias("timestamp"),
-            F.when(k == 99, "-1").otherwise(F.floor("value").cast("string")).alias("steps"),
-            (F.floor("value") / 4.0).cast("string").alias("calories"),
-            _intensity().cast("string").alias("intensity"),
-            _sleep(k).cast("string").alias("sleep_value"),
-            F.concat(F.lit("2024-02-01 00:0"), F.col("copy").cast("string"), F.lit(":00")).alias("ingest_time"),
-        )
+        .select(F.posexplode(sent).alias("copy", "row"))
+        .select("row.*", F.concat(F.lit("2024-02-01 00:0"), F.col("copy").cast("string"), F.lit(":00")).alias("ingest_time"))
     )
 
 
@@ -90,12 +90,12 @@ def _user_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "events")
         .groupBy(F.col("user_id").alias("Id"), F.to_date("ts").alias("date"))
         .agg(
-            F.sum(steps).cast("int").alias("StepTotal"),
-            F.floor(F.sum(F.floor("value") / 4.0)).cast("int").alias("Calories"),
-            (25 * rows("purchase") + 15 * rows("click")).cast("int").alias("VeryActiveMinutes"),
-            (15 * rows("view")).cast("int").alias("FairlyActiveMinutes"),
-            (20 * rows("signup")).cast("int").alias("LightlyActiveMinutes"),
-            F.greatest(F.lit(0), 1440 - 250 * F.count(F.lit(1))).cast("int").alias("SedentaryMinutes"),
+            F.sum(steps).alias("StepTotal"),
+            F.floor(F.sum(F.floor("value") / 4.0)).alias("Calories"),
+            (25 * rows("purchase") + 15 * rows("click")).alias("VeryActiveMinutes"),
+            (15 * rows("view")).alias("FairlyActiveMinutes"),
+            (20 * rows("signup")).alias("LightlyActiveMinutes"),
+            F.greatest(F.lit(0), 1440 - 250 * F.count(F.lit(1))).alias("SedentaryMinutes"),
             F.count_if(F.col("event_type") != "error").alias("readings"),
             F.count_if(F.col("event_type") != "signup").alias("moves"),
         )
@@ -121,8 +121,8 @@ def hourly_tables(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFram
         table(spark, sf_dir, "events")
         .groupBy(F.col("user_id").alias("Id"), F.date_trunc("hour", "ts").alias("hour"))
         .agg(
-            F.sum(F.floor("value")).cast("int").alias("StepTotal"),
-            F.sum(_intensity()).cast("int").alias("TotalIntensity"),
+            F.sum(F.floor("value")).alias("StepTotal"),
+            F.sum(_intensity()).alias("TotalIntensity"),
             F.count_if(F.col("event_type") != "error").alias("readings"),
         )
         .withColumn("ActivityHour", F.date_format("hour", TIME_PATTERN))

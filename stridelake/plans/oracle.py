@@ -119,12 +119,12 @@ _PARTS: dict[str, str] = {
     # --- daily ---
     "user_days": """
         SELECT user_id, CAST(ts AS DATE) AS activity_date,
-               CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE floor(value) * 75 END) AS INTEGER) AS daily_steps,
-               CAST(floor(sum(floor(value) / 4.0)) AS INTEGER) AS daily_calories,
-               CAST(25 * count(*) FILTER (WHERE event_type = 'purchase') + 15 * count(*) FILTER (WHERE event_type = 'click') AS INTEGER) AS VeryActiveMinutes,
-               CAST(15 * count(*) FILTER (WHERE event_type = 'view') AS INTEGER) AS FairlyActiveMinutes,
-               CAST(20 * count(*) FILTER (WHERE event_type = 'signup') AS INTEGER) AS LightlyActiveMinutes,
-               CAST(greatest(0, 1440 - 250 * count(*)) AS INTEGER) AS SedentaryMinutes,
+               CAST(sum(CASE WHEN event_type = 'error' THEN 0 ELSE floor(value) * 75 END) AS BIGINT) AS daily_steps,
+               CAST(floor(sum(floor(value) / 4.0)) AS BIGINT) AS daily_calories,
+               CAST(25 * count(*) FILTER (WHERE event_type = 'purchase') + 15 * count(*) FILTER (WHERE event_type = 'click') AS BIGINT) AS VeryActiveMinutes,
+               CAST(15 * count(*) FILTER (WHERE event_type = 'view') AS BIGINT) AS FairlyActiveMinutes,
+               CAST(20 * count(*) FILTER (WHERE event_type = 'signup') AS BIGINT) AS LightlyActiveMinutes,
+               CAST(greatest(0, 1440 - 250 * count(*)) AS BIGINT) AS SedentaryMinutes,
                count(*) FILTER (WHERE event_type <> 'error') AS readings, count(*) FILTER (WHERE event_type <> 'signup') AS moves
         FROM ev GROUP BY ALL""",
     "fact": """
@@ -145,7 +145,7 @@ _PARTS: dict[str, str] = {
     "hourly": """
         SELECT Id, ts_hour, CAST(ts_hour AS DATE) AS activity_date, CAST(hour(ts_hour) AS INTEGER) AS activity_hour,
                steps AS StepTotal, CASE WHEN steps > 0 OR intensity > 0 THEN 1 ELSE 0 END AS is_active_hour
-        FROM (SELECT user_id AS Id, date_trunc('hour', ts) AS ts_hour, CAST(sum(floor(value)) AS INTEGER) AS steps,
+        FROM (SELECT user_id AS Id, date_trunc('hour', ts) AS ts_hour, CAST(sum(floor(value)) AS BIGINT) AS steps,
                      sum(intensity) AS intensity, count(*) FILTER (WHERE event_type <> 'error') AS readings FROM ev GROUP BY ALL)
         WHERE readings > 0""",
     "peak": """

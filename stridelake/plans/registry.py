@@ -20,7 +20,7 @@ from stridelake.operators import rules as R
 from stridelake.operators import silver as S
 from stridelake.plans import adapters as A
 from stridelake.schemas import CORRUPT
-from stridelake.session import pin, scratch
+from stridelake.session import cut, pin, scratch
 from stridelake.sources import readers, sinks
 from stridelake.streaming import sources, stages, tables
 
@@ -376,7 +376,8 @@ def retention_filter(spark, sf_dir):
 
 
 def _versions(spark, sf_dir):
-    base = A.silver(spark, sf_dir).withColumn("seq", F.lit(0))
+    """(silver before, silver after): the stored table and the same with changes applied."""
+    base = cut(A.silver(spark, sf_dir).withColumn("seq", F.lit(0)))
     return base, C.cdc_apply(base, A.change_rows(base), S.KEYS, "seq")
 
 
@@ -394,6 +395,7 @@ def snapshot_diff(spark, sf_dir):
 @query
 def gold_incremental(spark, sf_dir):
     old, new = _versions(spark, sf_dir)
+    new = cut(new)
     return G.gold_incremental(new, G.gold_daily(old), C.snapshot_diff(old, new, S.KEYS))
 
 
