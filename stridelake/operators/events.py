@@ -118,25 +118,20 @@ def route(messages: DataFrame) -> dict[str, DataFrame]:
 
 # --- texts ---
 
-TEXT_COLUMNS = ("user_id", "activity_date", "kind", "subject", "body")
-
-
-def fraud_alerts(events: DataFrame) -> DataFrame:
-    body = F.concat(F.lit("User: "), "user_id", F.lit("\nDay: "), F.col("day").cast("string"), F.lit("\n"), "message")
-    return events.filter(F.col("event_type") == FRAUD).select(
-        "user_id", "activity_date", F.lit("fraud").alias("kind"), F.lit(FRAUD_SUBJECT).alias("subject"),
-        body.alias("body"),
-    )
-
-
-def reminders(messages: DataFrame) -> DataFrame:
-    body = F.concat(
-        F.lit("Hey "), "user_id", F.lit("!\nNo steps recorded on day "), F.col("day").cast("string"),
+def event_texts(events: DataFrame) -> DataFrame:
+    """Alerts for suspicious days and reminders for idle ones, in one pass over the events. Streams too."""
+    kind, day = F.col("event_type"), F.col("day").cast("string")
+    alert = F.concat(F.lit("User: "), "user_id", F.lit("\nDay: "), day, F.lit("\n"), "message")
+    reminder = F.concat(
+        F.lit("Hey "), "user_id", F.lit("!\nNo steps recorded on day "), day,
         F.lit("\nTime to get moving! 💪\nEven a short walk counts!"),
     )
-    return messages.filter(F.col("event_type") == INACTIVITY).select(
-        "user_id", "activity_date", F.lit("reminder").alias("kind"), F.lit(REMINDER_SUBJECT).alias("subject"),
-        body.alias("body"),
+    return events.filter(kind.isin(FRAUD, INACTIVITY)).select(
+        "user_id",
+        "activity_date",
+        F.when(kind == FRAUD, "fraud").otherwise("reminder").alias("kind"),
+        F.when(kind == FRAUD, FRAUD_SUBJECT).otherwise(REMINDER_SUBJECT).alias("subject"),
+        F.when(kind == FRAUD, alert).otherwise(reminder).alias("body"),
     )
 
 
@@ -159,7 +154,7 @@ def reward_notes(progress: DataFrame) -> DataFrame:
 
 def notifications(events: DataFrame, progress: DataFrame) -> DataFrame:
     """All texts of a run: alerts and reminders from the events, notes from the reward progress."""
-    return fraud_alerts(events).unionByName(reminders(events)).unionByName(reward_notes(progress))
+    return event_texts(events).unionByName(reward_notes(progress))
 
 
 def event_counts(validated: DataFrame, gold: DataFrame, messages: DataFrame) -> DataFrame:
