@@ -147,7 +147,7 @@ def validate_events(df: DataFrame, t: Thresholds = DEFAULTS) -> DataFrame:
     )
     checks = [F.lit(f"Missing column: {c}") for c in REQUIRED if c not in present]
     for c in REQUIRED:
-        blank = text(c).isNull() | (F.trim(text(c)) == "")
+        blank = text(c).isNull() | ~text(c).rlike(r"\S")
         checks.append(F.when(blank, f"Null value in: {c}"))
     checks += [
         F.when(steps.isNull(), "Steps must be integer"),

@@ -12,7 +12,7 @@ from stridelake import schemas
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Headered CSV. Columns are matched by name, so their order in the file does not matter."""
+    """Headered CSV. A file whose header differs from the schema is refused, not read into wrong columns."""
     return spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(path)
 
 

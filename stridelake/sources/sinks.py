@@ -62,22 +62,40 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(root) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(root))
 
 
+def touched_partitions(changes: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
+    """Partition values that occur in ``changes``: at most one entry per partition folder."""
+    return [tuple(r) for r in changes.select(*partition_by).distinct().collect()]
+
+
+def in_partitions(df: DataFrame, partition_by: Sequence[str], touched: Sequence[tuple]) -> DataFrame:
+    """Rows of the given partitions. The filter is literal, so a scan lists and opens only their folders.
+
+    A join with the touched values would not do: Spark prunes by a join side only if it expects that
+    side to be selective, and never for an anti join.
+    """
+    kinds = [df.schema[c].dataType for c in partition_by]
+    wanted = [F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(t, kinds, partition_by)]) for t in touched]
+    return df.filter(F.struct(*partition_by).isin(wanted))
+
+
+def read_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], touched: Sequence[tuple]) -> DataFrame | None:
+    """The given partitions of a stored table; None if there is no table yet."""
+    return in_partitions(spark.read.parquet(path), partition_by, touched) if table_exists(spark, path) else None
+
+
 def upsert_partitions(changes: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str],
                       sequence_by: str, cluster_by: Sequence[str] = (), delete_when: str = DELETE) -> None:
     """Merge ``changes`` into the Parquet table at ``path``, rewriting only the partitions they touch.
 
-    The partition columns must follow from the key, so a key never moves. The touched partitions are
-    listed on the driver: at most one entry per partition folder. Applying the same changes again
-    gives the same table, so a repeated micro-batch does no harm. One writer at a time.
+    The partition columns must follow from the key, so a key never moves. Applying the same changes
+    again gives the same table, so a repeated micro-batch does no harm. One writer at a time.
     """
     spark = changes.sparkSession
-    touched = [tuple(r) for r in changes.select(*partition_by).distinct().collect()]
+    touched = touched_partitions(changes, partition_by)
     if not touched:
         return
-    if table_exists(spark, path):
-        stored = spark.read.parquet(path)
-        current = stored.filter(_in_partitions(stored, partition_by, touched))
-    else:
+    current = read_partitions(spark, path, partition_by, touched)
+    if current is None:
         current = changes.filter(F.lit(False)).drop("operation_type")
     merged = cdc_apply(current, changes, keys, sequence_by, delete_when)
     emptied = _emptied(merged, changes, partition_by, delete_when)
@@ -95,23 +113,10 @@ def _emptied(merged: DataFrame, changes: DataFrame, partition_by: Sequence[str],
     """
     if delete_when == DELETE and "operation_type" not in changes.columns:
         return set()
-    suspects = {tuple(r) for r in changes.filter(F.expr(delete_when)).select(*partition_by).distinct().collect()}
+    suspects = touched_partitions(changes.filter(F.expr(delete_when)), partition_by)
     if not suspects:
         return set()
-    filled = merged.filter(_in_partitions(merged, partition_by, sorted(suspects))).select(*partition_by).distinct()
-    return suspects - {tuple(r) for r in filled.collect()}
-
-
-def _in_partitions(df: DataFrame, partition_by: Sequence[str], touched: Sequence[tuple]) -> Column:
-    """Literal partition filter: the scan lists and opens only these folders."""
-    if len(partition_by) == 1:
-        return F.col(partition_by[0]).isin([v for (v,) in touched])
-    values = F.struct(*[F.col(c) for c in partition_by])
-    exact = values.isin([F.struct(*[F.lit(v).cast(df.schema[c].dataType) for c, v in zip(partition_by, t)]) for t in touched])
-    pruning = F.lit(True)
-    for i, c in enumerate(partition_by):
-        pruning = pruning & F.col(c).isin(sorted({t[i] for t in touched}))
-    return pruning & exact
+    return set(suspects) - set(touched_partitions(in_partitions(merged, partition_by, suspects), partition_by))
 
 
 # --- edges ---

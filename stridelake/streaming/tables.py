@@ -65,11 +65,9 @@ def silver_with_feed(path: str, feed: str, sequence_by: str = "processed_at") ->
         spark = batch.sparkSession
         target = f"{feed}/batch={_query_id(spark)}-{batch_id}"
         if not _finished(spark, target):
-            days = list(sinks.SILVER_PARTITIONS)
-            touched = batch.select(*days).distinct()
-            if sinks.table_exists(spark, path):
-                current = spark.read.parquet(path).join(touched, days, "left_semi")
-            else:
+            days = sinks.SILVER_PARTITIONS
+            current = sinks.read_partitions(spark, path, days, sinks.touched_partitions(batch, days))
+            if current is None:
                 current = batch.filter(F.lit(False)).drop("operation_type")
             after = C.cdc_apply(current, batch, KEYS, sequence_by)
             C.snapshot_diff(current, after, KEYS).write.mode("overwrite").parquet(target)
@@ -98,11 +96,12 @@ def refresh_gold(silver_path: str, gold_path: str, full: bool = True, t: Thresho
     def each(feed: DataFrame, _: int) -> None:
         spark = feed.sparkSession
         keys = list(G.DAY_KEYS)
-        touched = feed.select(*keys).distinct()
-        if not sinks.table_exists(spark, silver_path):
+        days = sinks.SILVER_PARTITIONS
+        silver = sinks.read_partitions(spark, silver_path, days, sinks.touched_partitions(feed, days))
+        if silver is None:
             return
-        days = G.recompute_days(spark.read.parquet(silver_path), feed, full, t)
-        changes = touched.join(days, keys, "left").withColumns(
+        recomputed = G.recompute_days(silver, feed, full, t)
+        changes = feed.select(*keys).distinct().join(recomputed, keys, "left").withColumns(
             {
                 "operation_type": F.when(F.col("total_minutes_recorded").isNull(), "DELETE").otherwise("UPDATE"),
                 "processed_at": F.current_timestamp(),
@@ -129,12 +128,11 @@ def reward_sink(state_path: str, log_path: str, notes_path: str | None = None, b
         if fresh is None:
             return
         fresh = fresh.withColumn("bucket", _bucket(buckets))
-        touched = [r.bucket for r in fresh.select("bucket").distinct().collect()]  # at most ``buckets`` values
+        touched = sinks.touched_partitions(fresh, ["bucket"])
         if not touched:
             return
-        if sinks.table_exists(spark, state_path):
-            state = spark.read.parquet(state_path).filter(F.col("bucket").isin(touched)).drop("bucket")
-        else:
+        state = sinks.read_partitions(spark, state_path, ["bucket"], touched)
+        if state is None:
             state = spark.createDataFrame([], REWARD_STATE).withColumn("last_batch", F.lit(""))
         if notes_path is not None and not _finished(spark, f"{notes_path}/batch={mark}"):
             notes = reward_notes(W.workout_progress(fresh, state.filter(F.col("last_batch") != mark)))
@@ -155,10 +153,9 @@ def _log_new_workouts(batch: DataFrame, log_path: str, mark: str) -> DataFrame |
     news = W.workouts(decode_messages(batch).filter(~F.col("failed"))).withColumn(
         "activity_date", F.coalesce("activity_date", no_date)
     )
-    if sinks.table_exists(spark, log_path):
-        # Days are folders of the log, so the join reads only those this batch talks about.
-        logged = spark.read.parquet(log_path).filter(F.col("batch") != mark)
-        news = news.join(logged, ["user_id", "activity_date", "day"], "left_anti")
+    logged = sinks.read_partitions(spark, log_path, ["activity_date"], sinks.touched_partitions(news, ["activity_date"]))
+    if logged is not None:
+        news = news.join(logged.filter(F.col("batch") != mark), ["user_id", "activity_date", "day"], "left_anti")
     sinks.write_partitions(news.withColumn("batch", F.lit(mark)), log_path, ["activity_date", "batch"], ["user_id"])
     if not sinks.table_exists(spark, log_path):
         return None

@@ -41,6 +41,12 @@ def test_hourly_and_minute_csv(spark, tmp_path):
     assert S.minute_merge(*readers.read_minute_csv(spark, *paths, sleep)).first().sleep_value == "3"
 
 
+def test_csv_with_a_different_header_is_refused(spark, tmp_path):
+    path = write(tmp_path / "c.csv", "Id,Calories,ActivityDay\n1,5,4/12/2016\n")
+    with pytest.raises(Exception, match="header"):
+        readers.read_csv(spark, path, schemas.DAILY_CALORIES).collect()
+
+
 def test_bronze_json_gzip_and_corrupt_lines(spark, tmp_path):
     lines = [json.dumps({"user_id": "1", "timestamp": "t", "steps": 5}), "{broken", json.dumps({"user_id": "2"})]
     with gzip.open(tmp_path / "part.json.gz", "wt") as f:

@@ -24,6 +24,7 @@ def errors(spark, *row):
         (("7", T0, "-1", "-0.1"), ["Steps out of range: -1", "Calories out of range: -0.1"]),
         ((None, T0, "1", "1"), ["Null value in: user_id"]),
         (("  ", T0, "1", "1"), ["Null value in: user_id"]),
+        ((" \t", T0, "1", "1"), ["Null value in: user_id"]),
         (("7", "bad", "1", "1"), ["Invalid timestamp format"]),
         (("7", None, "1", "1"), ["Null value in: timestamp", "Invalid timestamp format"]),
         (("7", T0, None, "1"), ["Null value in: steps", "Steps must be integer"]),
