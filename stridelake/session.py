@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,31 +14,22 @@ def pin(spark: SparkSession) -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder every executor can reach, from ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a temporary folder of its own.
-    """
+    """Folder every executor can reach: ``spark.checkpoint.dir``, else the context's checkpoint folder, else a folder
+    in the warehouse. The same rule holds for every master, and the session is not changed."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="stridelake-")
-    spark.sparkContext.setCheckpointDir(folder)
-    return folder
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared").rstrip("/")
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new, unused path below the shared folder."""
+    """A new, unused path below the shared folder. Who asks for it removes it when its readers are done."""
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and keep it in the shared folder, so that several readers do not repeat the work.
+    """Compute ``df`` once and read it back from the shared folder, so that several readers do not repeat the work.
 
-    A reliable checkpoint: it outlives the executors that wrote it.
+    The written table outlives the executors that made it, and later steps still prune its columns.
     """
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint()
+    path = scratch(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
