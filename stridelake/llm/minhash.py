@@ -8,7 +8,8 @@ With 9 chunks of 6 components and one error the threshold is 17 of 54; a pair of
 probability 0.0004, a more similar pair hardly ever.
 
 Copies of one set are one representative throughout. Buckets and groups are dealt out in bounded blocks, each pair of
-blocks is one task's work, and a task returns only a spanning set of its links, never all pairs.
+blocks is one unit of work, and a unit returns only links that connect, never all pairs. Links are confirmed within the
+groups that candidate pairs connect, so every candidate pair is compared on its full sets.
 
 Empty or NULL texts have an empty set and stay alone; fewer words than a shingle are one shingle. Rows are never merged:
 rows that repeat an id each get the component of their own text. Other columns are ignored.
@@ -23,6 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType
 
 from stridelake.llm.common import stored
 from stridelake.llm.graph import components
@@ -180,20 +182,25 @@ def _by_cell(rows: DataFrame, key: str, links_of_cells) -> DataFrame:
 
 
 def _close_signatures(batch: pd.DataFrame, starts: np.ndarray) -> np.ndarray:
-    """Pairs within the signature distance: all of a small cell, a spanning set of a larger one."""
+    """Pairs of different groups within the signature distance; in a larger cell one for each row and group it meets."""
     sig = np.frombuffer(b"".join(batch["signature"]), np.uint8).reshape(len(batch), COMPONENTS)
+    group, minor = batch["rep"].to_numpy(), batch["minor"].to_numpy()
     sizes = np.diff(np.append(starts, len(batch)))
-    out = []
+    out = [np.empty((0, 2), np.int64)]
     for size in range(2, 9):
         members = starts[sizes == size][:, None] + np.arange(size)
         x, y = np.triu_indices(size, 1)
         x, y = members[:, x].ravel(), members[:, y].ravel()
+        apart = group[x] != group[y]
+        x, y = x[apart], y[apart]
         near = (sig[x] != sig[y]).sum(1) <= DISTANCE
         out.append(np.column_stack((x[near], y[near])))
     for at, size in zip(starts[sizes > 8], sizes[sizes > 8]):
-        own = sig[at : at + size]
-        found = _spread(size, lambda x, rest: (own[rest] != own[x]).sum(1) <= DISTANCE)
-        out.append(np.array(found, np.int64).reshape(-1, 2) + at)
+        own = slice(at, at + size)
+        for x in np.flatnonzero(minor[own]) + at:
+            hit = np.flatnonzero(((sig[own] != sig[x]).sum(1) <= DISTANCE) & (group[own] != group[x])) + at
+            hit = hit[np.unique(group[hit], return_index=True)[1]]
+            out.append(np.column_stack((np.full(len(hit), x), hit)))
     return np.concatenate(out)
 
 
@@ -225,6 +232,53 @@ def _similar_sets(percent: int):
     return run
 
 
+@F.pandas_udf(BooleanType())
+def _close(x: pd.Series, y: pd.Series) -> pd.Series:
+    sig = [np.frombuffer(b"".join(v), np.uint8).reshape(len(v), COMPONENTS) for v in (x, y)]
+    return pd.Series((sig[0] != sig[1]).sum(1) <= DISTANCE)
+
+
+def candidate_groups(reps: DataFrame) -> DataFrame:
+    """``(node, component)``: representatives connected by pairs within the signature distance.
+
+    First every member of a bucket meets one member, picked by the key, under one left-out place for each chunk; that
+    joins most copies of a family. Then only buckets that still hold members of several groups are searched, and only
+    for pairs across groups: the members outside a bucket's largest group meet all others.
+    """
+    keys = bucket_keys(reps)
+    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
+    members = stored(keys.join(sizes, "key"), "members")
+    mask = F.xxhash64("key")
+    picked = members.where(F.expr(f"shiftright(key, {8 * (WIDTH - 1)}) % {WIDTH} = 0")).withColumn("_x", F.col("rep").bitwiseXOR(mask))
+    hubs = picked.groupBy("key").agg(F.min("_x").alias("_x")).select("key", F.col("_x").bitwiseXOR(mask).alias("hub"))
+    star = picked.join(hubs, "key").where("rep <> hub").select("rep", "hub").distinct()
+    star = star.join(reps, "rep").join(reps.select(F.col("rep").alias("hub"), F.col("signature").alias("other")), "hub")
+    star = star.where(_close("signature", "other")).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    first = components(star).withColumnRenamed("node", "rep")
+    label = F.coalesce("component", "rep").alias("label")
+    named = members.join(first, "rep", "left").select("key", "rep", label)
+    mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
+    named = stored(named.join(mixed, "key").join(reps, "rep"), "mixed")
+    per = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    main = per.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main"))
+    blocks = [F.greatest(F.ceil(n / BUCKET_BLOCK), F.lit(1)).cast("long") for n in (F.col("all") - F.col("main.n"), F.col("main.n"))]
+    main = main.select("key", F.col("main.label").alias("main"), blocks[0].alias("minors"), blocks[1].alias("mains"))
+    dealt = named.join(main, "key").withColumn("minor", F.col("label") != F.col("main"))
+    salt = F.xxhash64("rep", F.lit(7))
+    own = F.when(F.col("minor"), F.pmod(salt, "minors")).otherwise(F.col("minors") + F.pmod(salt, "mains"))
+    last = F.when(F.col("minor"), F.col("minors") + F.col("mains")).otherwise(F.col("minors")) - 1
+    cells = F.transform(F.sequence(F.lit(0).cast("long"), last),
+                        lambda x: F.struct(F.least(x, F.col("own")).alias("i"), F.greatest(x, F.col("own")).alias("j")))
+    dealt = dealt.withColumn("own", own).select("key", F.col("label").alias("rep"), "minor", "signature", F.explode(cells).alias("c"))
+    across = _by_cell(dealt.select("key", "c.i", "c.j", "rep", "minor", "signature"), "key", _close_signatures)
+    second = components(across)
+    every = named.select("label").union(first.select(F.col("component").alias("label"))).distinct()
+    whole = every.join(second.withColumnRenamed("node", "label"), "label", "left").select(
+        "label", F.coalesce("component", "label").alias("component"))
+    out = first.withColumnRenamed("component", "label").unionByName(second.select(F.col("node").alias("rep"), F.col("node").alias("label")))
+    return out.distinct().join(whole, "label").select(F.col("rep").alias("node"), "component").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept`` and the text's hash ``text_hash``.
 
@@ -235,12 +289,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     reps = sketch.where("n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("least"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
     reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
-    keys = stored(bucket_keys(reps), "keys")
-    blocks = F.ceil(F.count(F.lit(1)) / BUCKET_BLOCK).cast("long")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), blocks.alias("blocks")).where("n > 1").drop("n")
-    members = keys.join(shared, "key").join(reps.select("rep", "signature"), "rep")
-    close = _by_cell(_in_cells(members, "key", "blocks"), "key", _close_signatures)
-    groups = components(close)
+    groups = candidate_groups(reps.select("rep", "signature"))
     links = _confirmed(docs, reps.join(groups.withColumnRenamed("node", "rep"), "rep"), percent, size)
     labels = components(links).withColumnRenamed("node", "rep")
     named = reps.select("digest", "rep", "least").join(labels, "rep", "left")
