@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import IntegerType
 
 from stridelake.llm.common import stored
 from stridelake.llm.graph import components
@@ -232,51 +232,45 @@ def _similar_sets(percent: int):
     return run
 
 
-@F.pandas_udf(BooleanType())
-def _close(x: pd.Series, y: pd.Series) -> pd.Series:
+@F.pandas_udf(IntegerType())
+def _distance(x: pd.Series, y: pd.Series) -> pd.Series:
     sig = [np.frombuffer(b"".join(v), np.uint8).reshape(len(v), COMPONENTS) for v in (x, y)]
-    return pd.Series((sig[0] != sig[1]).sum(1) <= DISTANCE)
+    return pd.Series((sig[0] != sig[1]).sum(1).astype(np.int32))
 
 
 def candidate_groups(reps: DataFrame) -> DataFrame:
-    """``(node, component)``: representatives connected by pairs within the signature distance.
+    """``(node, component)``: groups of representatives such that all pairs within the signature distance share a group.
 
-    First every member of a bucket meets one member, picked by the key, under one left-out place for each chunk; that
-    joins most copies of a family. Then only buckets that still hold members of several groups are searched, and only
-    for pairs across groups: the members outside a bucket's largest group meet all others.
+    The distance is a metric. In a bucket, everybody within twice the threshold of its smallest member joins that one;
+    a pair under the threshold then shares a group unless one of the two is farther than that, and the other is farther
+    than the threshold. Only buckets with such far members are searched, far members against all but the nearest.
     """
-    keys = bucket_keys(reps)
-    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
-    members = stored(keys.join(sizes, "key"), "members")
-    mask = F.xxhash64("key")
-    picked = members.where(F.expr(f"shiftright(key, {8 * (WIDTH - 1)}) % {WIDTH} = 0")).withColumn("_x", F.col("rep").bitwiseXOR(mask))
-    hubs = picked.groupBy("key").agg(F.min("_x").alias("_x")).select("key", F.col("_x").bitwiseXOR(mask).alias("hub"))
-    star = picked.join(hubs, "key").where("rep <> hub").select("rep", "hub").distinct()
-    star = star.join(reps, "rep").join(reps.select(F.col("rep").alias("hub"), F.col("signature").alias("other")), "hub")
-    star = star.where(_close("signature", "other")).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    first = components(star).withColumnRenamed("node", "rep")
-    label = F.coalesce("component", "rep").alias("label")
-    named = members.join(first, "rep", "left").select("key", "rep", label)
-    mixed = named.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key")
-    named = stored(named.join(mixed, "key").join(reps, "rep"), "mixed")
-    per = named.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-    main = per.groupBy("key").agg(F.sum("n").alias("all"), F.max(F.struct("n", "label")).alias("main"))
-    blocks = [F.greatest(F.ceil(n / BUCKET_BLOCK), F.lit(1)).cast("long") for n in (F.col("all") - F.col("main.n"), F.col("main.n"))]
-    main = main.select("key", F.col("main.label").alias("main"), blocks[0].alias("minors"), blocks[1].alias("mains"))
-    dealt = named.join(main, "key").withColumn("minor", F.col("label") != F.col("main"))
+    keys = bucket_keys(reps).repartition("key")  # one exchange for the aggregate and the join
+    hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    members = stored(keys.join(hubs, "key").where("rep <> hub"), "members")
+    pairs = members.select("rep", "hub").distinct().join(reps, "rep")
+    pairs = pairs.join(reps.select(F.col("rep").alias("hub"), F.col("signature").alias("other")), "hub")
+    pairs = stored(pairs.select("rep", "hub", _distance("signature", "other").alias("d")), "pairs")
+    near = pairs.where(F.col("d") <= 2 * DISTANCE).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    first = components(near).withColumnRenamed("node", "rep").withColumnRenamed("component", "label")
+    outer = members.join(pairs.where(F.col("d") > DISTANCE), ["rep", "hub"])
+    outer = outer.select("key", "rep", (F.col("d") > 2 * DISTANCE).alias("minor"))
+    count = [F.greatest(F.ceil(F.sum(x.cast("long")) / BUCKET_BLOCK), F.lit(1)).cast("long") for x in (F.col("minor"), ~F.col("minor"))]
+    blocks = outer.groupBy("key").agg(count[0].alias("minors"), count[1].alias("mains"), F.max("minor").alias("far"),
+                                      F.count(F.lit(1)).alias("n")).where("far and n > 1").drop("far", "n")
+    dealt = outer.join(blocks, "key").join(first, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
     salt = F.xxhash64("rep", F.lit(7))
     own = F.when(F.col("minor"), F.pmod(salt, "minors")).otherwise(F.col("minors") + F.pmod(salt, "mains"))
     last = F.when(F.col("minor"), F.col("minors") + F.col("mains")).otherwise(F.col("minors")) - 1
     cells = F.transform(F.sequence(F.lit(0).cast("long"), last),
                         lambda x: F.struct(F.least(x, F.col("own")).alias("i"), F.greatest(x, F.col("own")).alias("j")))
-    dealt = dealt.withColumn("own", own).select("key", F.col("label").alias("rep"), "minor", "signature", F.explode(cells).alias("c"))
+    dealt = dealt.join(reps, "rep").withColumn("own", own).select(
+        "key", F.col("label").alias("rep"), "minor", "signature", F.explode(cells).alias("c"))
     across = _by_cell(dealt.select("key", "c.i", "c.j", "rep", "minor", "signature"), "key", _close_signatures)
-    second = components(across)
-    every = named.select("label").union(first.select(F.col("component").alias("label"))).distinct()
-    whole = every.join(second.withColumnRenamed("node", "label"), "label", "left").select(
-        "label", F.coalesce("component", "label").alias("component"))
-    out = first.withColumnRenamed("component", "label").unionByName(second.select(F.col("node").alias("rep"), F.col("node").alias("label")))
-    return out.distinct().join(whole, "label").select(F.col("rep").alias("node"), "component").distinct()
+    second = components(across).withColumnRenamed("node", "label")
+    grouped = first.join(second, "label", "left").select(F.col("rep").alias("node"), F.coalesce("component", "label").alias("component"))
+    alone = second.withColumnRenamed("label", "node").join(first.select(F.col("rep").alias("node")), "node", "left_anti")
+    return grouped.unionByName(alone)
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFrame:
