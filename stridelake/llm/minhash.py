@@ -33,7 +33,7 @@ CHUNKS, WIDTH, ERRORS = 9, 6, 1
 COMPONENTS = CHUNKS * WIDTH
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 #: Representatives in a block of a bucket, shingles in a block of a group.
-BUCKET_BLOCK, GROUP_BLOCK = 1024, 200_000
+BUCKET_BLOCK, GROUP_BLOCK = 1024, 1_000_000
 #: Words remembered by a task before it starts afresh.
 CACHE_WORDS = 1_000_000
 _RNG = np.random.default_rng(20_240_501)
