@@ -33,7 +33,7 @@ CHUNKS, WIDTH, ERRORS = 9, 6, 1
 COMPONENTS = CHUNKS * WIDTH
 DISTANCE = CHUNKS * (ERRORS + 1) - 1
 #: Representatives in a block of a bucket, shingles in a block of a group.
-BUCKET_BLOCK, GROUP_BLOCK = 1024, 1_000_000
+BUCKET_BLOCK, GROUP_BLOCK = 1024, 400_000
 #: Words remembered by a task before it starts afresh.
 CACHE_WORDS = 1_000_000
 _RNG = np.random.default_rng(20_240_501)
@@ -77,7 +77,7 @@ def signature(shingled: np.ndarray) -> bytes:
             least = ((block ^ _XOR[k]) * _MUL[k]).min()
             if least < minima[k]:
                 minima[k] = least
-    return (minima >> np.uint64(56)).astype(np.uint8).tobytes()
+    return (_mix(minima) >> np.uint64(56)).astype(np.uint8).tobytes()  # the minima themselves all begin with zeros
 
 
 def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
