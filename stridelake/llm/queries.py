@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm import curriculum, minhash, packing, pseudonyms, quality
+from stridelake.llm import covertree, curriculum, licences, minhash, packing, preference, pseudonyms, quality, sharding, warc
 from stridelake.llm.common import documents
+from stridelake.session import scratch
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -19,6 +20,11 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged
 
 
+def op2_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = preference.sampled_pairs(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return preference.format_pairs(turns)
+
+
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = curriculum.mix(documents(spark, sf_dir, "doc_id", "source", "text"), keep_text=False)
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "positions")
@@ -28,20 +34,43 @@ def op4_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonymise(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op5_cover_tree_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return covertree.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+def op6_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch(spark, "warc")
+    warc.write_archives(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    schema = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+    return warc.read_archives(spark, path, schema)
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(documents(spark, sf_dir, "doc_id", "text"))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_licence_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir, "doc_id", "text")
+    return licences.scan(docs, licences.known_digests(spark)).select("doc_id", "digest", "licence")
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     packed = packing.pack(documents(spark, sf_dir, "doc_id", "text"), TOKENIZER, with_ids=False)
     return packed.select("doc_id", "piece", "start", "length", F.col("ids_crc32"), "sequence_id", "offset")
 
 
+def op10_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir, "doc_id", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    fn.__name__: fn for fn in (op1_quality_rules, op3_curriculum_mix, op4_feistel_pseudonyms, op7_near_duplicates, op9_best_fit_packing)
+    fn.__name__: fn
+    for fn in (op1_quality_rules, op2_preference_pairs, op3_curriculum_mix, op4_feistel_pseudonyms, op5_cover_tree_pairs,
+               op6_warc_round_trip, op7_near_duplicates, op8_licence_digests, op9_best_fit_packing, op10_label_propagation_shards)
 }
 
 
 def statements() -> dict[str, str]:
+    """SQL for the queries that it can express."""
     return {}
