@@ -194,15 +194,20 @@ def model(docs: DataFrame) -> DataFrame:
 class HashArrays:
     """The model as sorted arrays: for each language and order the keys and what belongs to them."""
 
-    def __init__(self, table):
+    def __init__(self, arrays: dict):
+        self.arrays = arrays
+
+    @staticmethod
+    def sorted_arrays(table) -> dict:
         lang, order = np.array(table["lang"].to_pylist(), object), table["order"].to_numpy()
         gram, value = table["gram"].to_numpy(), table["value"].to_numpy()
-        self.arrays = {}
+        arrays = {}
         for name in sorted(set(lang)):
             for k in range(-ORDER, ORDER + 1):
                 at = np.flatnonzero((lang == name) & (order == k))
                 at = at[np.argsort(gram[at])]
-                self.arrays[name, k] = gram[at], value[at]
+                arrays[name, k] = gram[at], value[at]
+        return arrays
 
     def _find(self, lang: str, order: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         known, value = self.arrays[lang, order]
@@ -232,11 +237,12 @@ class HashArrays:
 def _measured(docs: DataFrame) -> DataFrame:
     """``docs`` with ``_m``: base counts and logarithm of the perplexity under the model of all of ``docs``."""
     spark = docs.sparkSession
-    arrays = spark.sparkContext.broadcast(HashArrays(model(docs).toArrow()))
+    arrays = spark.sparkContext.broadcast(HashArrays.sorted_arrays(model(docs).toArrow()))
 
     @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_ppl double")
     def measure(lang: pd.Series, text: pd.Series) -> pd.DataFrame:
-        rows = [(*base_counts(t), arrays.value.log_perplexity(x, t) if t else None) for x, t in zip(lang, text)]
+        scorer = HashArrays(arrays.value)
+        rows = [(*base_counts(t), scorer.log_perplexity(x, t) if t else None) for x, t in zip(lang, text)]
         return pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_ppl"])
 
     return docs.withColumn("_m", measure(_language(), F.col("text").cast("binary")))

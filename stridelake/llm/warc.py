@@ -126,7 +126,7 @@ class WarcReader(DataSourceReader):
         system, _ = _file_system(self.path)
         for path in partition.paths:
             with system.open_input_file(path) as raw:
-                stream = io.BufferedReader(gzip.GzipFile(fileobj=raw), 1 << 20) if path.endswith(".gz") else raw
+                stream = io.BufferedReader(gzip.GzipFile(fileobj=raw) if path.endswith(".gz") else raw, 1 << 20)
                 yield from self._records(stream)
 
     def _records(self, stream) -> Iterator[tuple]:
