@@ -37,7 +37,7 @@ def activity_profile(gold: DataFrame) -> DataFrame:
         F.max("total_steps").alias("best_day_steps"),
         F.sum("active_minutes").alias("active_minutes"),
         F.sum("sleep_minutes").alias("sleep_minutes"),
-        F.count_if(F.col("anomaly_score") >= DEFAULTS.fraud_score).alias("suspicious_days"),
+        F.count_if(X.is_fraud(F.col("anomaly_score"), DEFAULTS)).alias("suspicious_days"),
     )
 
 
@@ -97,10 +97,14 @@ def fraud_explain(fraud: DataFrame, user_id: str | None = None, t: Thresholds =
 
 
 def run_sql(spark: SparkSession, views: Mapping[str, DataFrame], text: str) -> DataFrame:
-    """Spark SQL over named tables; the answer keeps its types."""
+    """Spark SQL over named tables; the answer keeps its types. The names are gone once the text is resolved."""
     for name, df in views.items():
         df.createOrReplaceTempView(name)
-    return spark.sql(text)
+    try:
+        return spark.sql(text)
+    finally:
+        for name in views:
+            spark.catalog.dropTempView(name)
 
 
 def try_sql(spark: SparkSession, views: Mapping[str, DataFrame], text: str) -> tuple[DataFrame | None, str | None]:

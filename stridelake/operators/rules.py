@@ -24,17 +24,20 @@ class Rule:
         return F.coalesce(F.expr(self.predicate), F.lit(False))
 
 
+#: An empty id masks to nothing, so it is no user.
+HAS_USER = "user_id IS NOT NULL AND length(user_id) > 0"
+
 # Presets over typed minute rows.
 BATCH_RULES = (
     Rule("timestamp_not_null", "timestamp IS NOT NULL", "drop"),
     Rule("steps_not_negative", "steps >= 0", "drop"),
     Rule("calories_not_negative", "calories >= 0", "drop"),
-    Rule("user_id_not_null", "user_id IS NOT NULL", "drop"),
+    Rule("user_id_not_null", HAS_USER, "drop"),
 )
 STREAM_RULES = (
     Rule("valid_steps_range", "steps >= 0 AND steps <= 200", "warn"),
     Rule("valid_calories_range", "calories >= 0 AND calories <= 20", "warn"),
-    Rule("user_id_not_null", "user_id IS NOT NULL", "drop"),
+    Rule("user_id_not_null", HAS_USER, "drop"),
     Rule("timestamp_not_null", "timestamp IS NOT NULL", "fail"),
     Rule("valid_intensity", "intensity >= 0 AND intensity <= 3", "drop"),
 )
@@ -171,13 +174,14 @@ def quality_report(typed: DataFrame) -> DataFrame:
     with very many copies costs one row per task in the shuffle.
     """
     has_time = F.col("timestamp").isNotNull()
-    valid = has_time & (F.col("steps") >= 0) & (F.col("calories") >= 0) & F.col("user_id").isNotNull()
+    has_user = F.coalesce(F.expr(HAS_USER), F.lit(False))
+    valid = has_time & (F.col("steps") >= 0) & (F.col("calories") >= 0) & has_user
     per_key = typed.groupBy("user_id", "timestamp").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(~has_time).alias("null_ts"),
         F.count_if(has_time & (F.col("steps") < 0)).alias("bad_steps"),
         F.count_if(has_time & (F.col("calories") < 0)).alias("bad_calories"),
-        F.count_if(has_time & F.col("user_id").isNull()).alias("null_user"),
+        F.count_if(has_time & ~has_user).alias("null_user"),
         F.count_if(valid).alias("valid"),
     )
 

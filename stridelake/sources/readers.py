@@ -71,7 +71,7 @@ def read_event_lines(spark: SparkSession, path: str, schema: T.StructType = sche
 def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                  where: Column | None = None) -> DataFrame:
     """A Parquet table. Columns, filters and partition filters reach the scan."""
-    df = spark.read.parquet(path)
+    df = spark.read.option("mergeSchema", "true").parquet(path)
     if where is not None:
         df = df.filter(where)
     return df.select(*columns) if columns else df

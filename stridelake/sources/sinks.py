@@ -79,12 +79,15 @@ def in_partitions(df: DataFrame, partition_by: Sequence[str], touched: Sequence[
 
 
 def read_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], touched: Sequence[tuple]) -> DataFrame | None:
-    """The given partitions of a stored table; None if there is no table yet."""
-    return in_partitions(spark.read.parquet(path), partition_by, touched) if table_exists(spark, path) else None
+    """The given partitions of a stored table, with every column that any of its files has; None without a table."""
+    if not table_exists(spark, path):
+        return None
+    return in_partitions(spark.read.option("mergeSchema", "true").parquet(path), partition_by, touched)
 
 
 def upsert_partitions(changes: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str],
-                      sequence_by: str, cluster_by: Sequence[str] = (), delete_when: str = DELETE) -> None:
+                      sequence_by: str, cluster_by: Sequence[str] = (), delete_when: str = DELETE,
+                      ties: Sequence[str] = ()) -> None:
     """Merge ``changes`` into the Parquet table at ``path``, rewriting only the partitions they touch.
 
     The partition columns must follow from the key, so a key never moves. Applying the same changes
@@ -97,7 +100,7 @@ def upsert_partitions(changes: DataFrame, path: str, keys: Sequence[str], partit
     current = read_partitions(spark, path, partition_by, touched)
     if current is None:
         current = changes.filter(F.lit(False)).drop("operation_type")
-    merged = cdc_apply(current, changes, keys, sequence_by, delete_when)
+    merged = cdc_apply(current, changes, keys, sequence_by, delete_when, ties=ties)
     emptied = _emptied(merged, changes, partition_by, delete_when)
     write_partitions(merged, path, partition_by, cluster_by or keys)
     for values in emptied:
@@ -183,8 +186,11 @@ def warehouse_rows(gold: DataFrame) -> DataFrame:
 
 
 def load_warehouse(spark: SparkSession, gold: DataFrame, table: str = "daily_summary") -> None:
-    """Drop, create and bulk load the reporting table."""
+    """Create and bulk load the reporting table. The old one is replaced only when the new one is complete."""
+    new = f"{table}__loading"
+    spark.sql(f"DROP TABLE IF EXISTS {new}")
+    spark.sql(f"CREATE TABLE {new} ({WAREHOUSE_DDL}) USING parquet")
+    rows = gold.withColumn("processed_at", F.current_timestamp()).select(*WAREHOUSE_COLUMNS, "processed_at")
+    rows.select(*spark.table(new).columns).write.insertInto(new)
     spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"CREATE TABLE {table} ({WAREHOUSE_DDL}) USING parquet")
-    gold.withColumn("processed_at", F.current_timestamp()).createOrReplaceTempView("_warehouse_load")
-    spark.sql(f"INSERT INTO {table} BY NAME SELECT {', '.join(WAREHOUSE_COLUMNS)}, processed_at FROM _warehouse_load")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")

@@ -25,9 +25,12 @@ def _event_time(df: DataFrame, watermark: str) -> DataFrame:
 
 
 def silver_stream(raw: DataFrame, preset: str | Sequence[R.Rule] = "stream", watermark: str | None = None,
-                  t: Thresholds = DEFAULTS) -> DataFrame:
+                  t: Thresholds = DEFAULTS, hex_chars: int = 8) -> DataFrame:
     """Raw stream to silver rows.
 
+    The sinks merge on the masked id; ``hex_chars`` must be large enough for the population (16 or more beyond
+    some ten thousand users), or people whose masks agree lose rows to each other.
+
     With ``watermark``, copies of a (user, minute) are dropped on the way; state is kept for that
     long in event time only, and rows later than it are dropped too. Without, the table sink removes
     copies by key, however late they come, and the stream holds no state. Rows without user or time
@@ -35,10 +38,10 @@ def silver_stream(raw: DataFrame, preset: str | Sequence[R.Rule] = "stream", wat
     """
     rules = R.PRESETS[preset] if isinstance(preset, str) else preset
     typed = R.observe_rules(S.typed(raw), rules, OBSERVED)
-    rows = R.enforce(typed, rules).filter(F.col("timestamp").isNotNull() & F.col("user_id").isNotNull())
+    rows = R.enforce(typed, rules).filter(F.col("timestamp").isNotNull() & F.expr(R.HAS_USER))
     if watermark is not None:
         rows = _event_time(rows, watermark).dropDuplicatesWithinWatermark(list(S.KEYS)).drop(EVENT_TIME)
-    return S.stamp(S.enrich(S.mask(rows), t))
+    return S.stamp(S.enrich(S.mask(rows, hex_chars), t))
 
 
 def observed_totals(query: StreamingQuery, name: str = OBSERVED) -> dict[str, int]:

@@ -13,7 +13,7 @@ from stridelake.operators import change as C
 from stridelake.operators import gold as G
 from stridelake.operators import rewards as W
 from stridelake.operators.events import decode_messages, reward_notes
-from stridelake.operators.silver import KEYS
+from stridelake.operators.silver import KEYS, MEASURES
 from stridelake.schemas import REWARD_STATE
 from stridelake.sources import sinks
 
@@ -64,14 +64,15 @@ def silver_with_feed(path: str, feed: str, sequence_by: str = "processed_at") ->
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         target = f"{feed}/batch={_query_id(spark)}-{batch_id}"
+        ties = [c for c in MEASURES if c in batch.columns]  # as in the batch dedup
         if not _finished(spark, target):
             days = sinks.SILVER_PARTITIONS
             current = sinks.read_partitions(spark, path, days, sinks.touched_partitions(batch, days))
             if current is None:
                 current = batch.filter(F.lit(False)).drop("operation_type")
-            after = C.cdc_apply(current, batch, KEYS, sequence_by)
+            after = C.cdc_apply(current, batch, KEYS, sequence_by, ties=ties)
             C.snapshot_diff(current, after, KEYS).write.mode("overwrite").parquet(target)
-        sinks.upsert_partitions(batch, path, KEYS, sinks.SILVER_PARTITIONS, sequence_by)
+        sinks.upsert_partitions(batch, path, KEYS, sinks.SILVER_PARTITIONS, sequence_by, ties=ties)
 
     return each
 

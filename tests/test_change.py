@@ -116,3 +116,26 @@ def test_bad_partition_source_does_not_damage_the_table(spark, tmp_path):
     with pytest.raises(Exception, match="boom"):
         upsert(bad, path)
     assert stored(spark, path) == [("a", 1, 0, 5)]
+
+
+def test_ties_do_not_depend_on_arrival(spark):
+    rows = [spark.createDataFrame([("u", 1, steps)], "user_id string, seq int, steps int") for steps in (5, 9)]
+    for first, second in (rows, rows[::-1]):
+        assert [r["steps"] for r in C.cdc_apply(first, second, ["user_id"], "seq", ties=["steps"]).collect()] == [5]
+
+
+def test_difference_over_the_union_of_columns(spark):
+    old = spark.createDataFrame([("u", 1), ("v", 2)], "user_id string, steps int")
+    new = spark.createDataFrame([("u", 1, 60), ("v", 2, None)], "user_id string, steps int, heart_rate int")
+    for a, b in ((old, new), (new, old)):
+        found = C.snapshot_diff(a, b, ["user_id"]).collect()
+        assert sorted((r["user_id"], r["heart_rate"] or 0) for r in found) == [("u", 0), ("u", 60)]
+
+
+def test_empty_user_ids_are_dropped_and_counted(spark):
+    from stridelake.operators import rules as R
+
+    df = spark.createDataFrame([("", 1, 1.0), ("u", 1, 1.0)], "user_id string, steps int, calories double").selectExpr(
+        "*", "timestamp_ntz '2024-01-01 00:00:00' timestamp")
+    assert [r["user_id"] for r in R.enforce(df, R.BATCH_RULES).collect()] == ["u"]
+    assert "1" in {str(v) for k, v in R.quality_report(df).first().asDict().items() if "user" in k}
