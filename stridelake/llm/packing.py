@@ -22,8 +22,10 @@ NULL); other columns are ignored; an empty table packs nothing.
 from __future__ import annotations
 
 import zlib
+from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -36,6 +38,8 @@ from stridelake.llm.common import stored
 CAPACITY, END = 2048, 0
 #: Words whose ids a task remembers before it starts afresh.
 CACHE_WORDS = 500_000
+#: Characters of texts whose new words are encoded together.
+CHUNK_CHARS = 1_000_000
 
 
 # --- tokens ---
@@ -48,20 +52,27 @@ class _WordIds(dict):
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
 
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = self.whole(word)
-        return value
-
     def whole(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def text(self, text: str) -> bytes:
-        # str.split also splits at four control characters that the tokenizer does not take for white space
-        if any(c in text for c in "\x1c\x1d\x1e\x1f"):
-            return self.whole(text)
-        return b"".join(map(self.__getitem__, text.split()))
+    def texts(self, texts: list[str | None]) -> Iterator[bytes]:
+        """Ids of each text. The words that are new among some texts are encoded together."""
+        at = 0
+        while at < len(texts):
+            end, size = at, 0
+            while end < len(texts) and (end == at or size < CHUNK_CHARS):
+                size += len(texts[end] or "")
+                end += 1
+            # str.split also splits at four control characters that the tokenizer does not take for white space
+            split = [None if t and any(c in t for c in "\x1c\x1d\x1e\x1f") else (t or "").split() for t in texts[at:end]]
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            new = list(set(chain.from_iterable(words for words in split if words)).difference(self))
+            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+                self[word] = array("I", found.ids).tobytes()
+            for text, words in zip(texts[at:end], split):
+                yield self.whole(text) if words is None else b"".join(map(self.__getitem__, words))
+            at = end
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
@@ -80,8 +91,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             rows = []
-            for doc_id, text, part in zip(batch["doc_id"], batch["text"], batch["_part"]):
-                ids = (words.text(text) if text else b"") + end
+            for doc_id, ids, part in zip(batch["doc_id"], words.texts(batch["text"].tolist()), batch["_part"]):
+                ids += end
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     own = ids[at : at + 4 * capacity]
                     n = len(own) // 4
