@@ -21,6 +21,8 @@ NULL); other columns are ignored; an empty table packs nothing.
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from array import array
 from bisect import bisect_right
@@ -40,17 +42,50 @@ CAPACITY, END = 2048, 0
 CACHE_WORDS = 500_000
 #: Characters of texts whose new words are encoded together.
 CHUNK_CHARS = 1_000_000
+#: The tokenizer's steps before its model; and what its pattern finds in printable ASCII, lower-cased.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+_UNITS = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 # --- tokens ---
 
 
+class _UnitIds(dict):
+    """Ids of what the pattern finds, from the tokenizer's model alone."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def __missing__(self, unit: str) -> bytes:
+        value = self[unit] = array("I", [t.id for t in self.model.tokenize(unit)]).tobytes()
+        return value
+
+
 class _WordIds(dict):
     """Ids of a word as little-endian unsigned 32-bit numbers. The tokenizer splits at white space and drops it, so
     a text's ids are its words' ids one after the other."""
 
     def __init__(self, tokenizer):
-        self.tokenizer = tokenizer
+        self.tokenizer, self.units = tokenizer, _UnitIds(tokenizer.model)
+        steps = [json.loads(x.__getstate__()) if x else None for x in (tokenizer.normalizer, tokenizer.pre_tokenizer)]
+        self.known = steps == [NORMALIZER, PRE_TOKENIZER]
+
+    def learn(self, words: set[str]) -> None:
+        """Take in new words. Normalising leaves printable ASCII as it is but for the case, so such words, added tokens
+        apart, are cut here and go to the model; all others, and those of other tokenizers, go through the whole."""
+        if len(self) >= CACHE_WORDS or len(self.units) >= CACHE_WORDS:
+            self.units.clear()
+        plain = [w for w in words if w.isascii() and w.isprintable() and "<|" not in w] if self.known else []
+        for word in plain:
+            self[word] = b"".join(map(self.units.__getitem__, _UNITS.findall(word.lower())))
+        other = list(words.difference(plain))
+        for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
+            self[word] = array("I", found.ids).tobytes()
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -67,9 +102,7 @@ class _WordIds(dict):
             split = [None if t and any(c in t for c in "\x1c\x1d\x1e\x1f") else (t or "").split() for t in texts[at:end]]
             if len(self) >= CACHE_WORDS:
                 self.clear()
-            new = list(set(chain.from_iterable(words for words in split if words)).difference(self))
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                self[word] = array("I", found.ids).tobytes()
+            self.learn(set(chain.from_iterable(words for words in split if words)).difference(self))
             for text, words in zip(texts[at:end], split):
                 yield self.whole(text) if words is None else b"".join(map(self.__getitem__, words))
             at = end

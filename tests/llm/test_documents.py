@@ -257,6 +257,23 @@ def test_reduction_keeps_the_best_packing(seed):
     assert fixed + best(rest, 20) == best(items, 20)
 
 
+def test_word_ids_are_those_of_whole_texts():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    rnd = random.Random(8)
+    some = ["".join(rnd.choice("abZtTsSrRevElLmMdD'''!#59éß<|>~-\"_ \t\x00\x7f\x1f\xa0İσΣ") for _ in range(rnd.randint(0, 25))) for _ in range(5000)]
+    some += ["<|endoftext|>", "a<|startoftext|>b", "x" * 5000, "'" * 9, "I'LL don't I'D", None]
+    for name in ("word_bpe_49k.json",):
+        t = Tokenizer.from_file(public_tokenizers.path(name))
+        words = packing._WordIds(t)
+        want = [packing.array("I", e.ids).tobytes() for e in t.encode_batch([x or "" for x in some], add_special_tokens=False)]
+        assert words.known and list(words.texts(some)) == want
+        words.known = False
+        words.clear()
+        assert list(words.texts(some)) == want
+
+
 def test_packing(spark):
     import numpy as np
     import public_tokenizers
