@@ -31,6 +31,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ CAPACITY, END = 2048, 0
 CACHE_WORDS = 500_000
 #: Characters of texts whose new words are encoded together.
 CHUNK_CHARS = 1_000_000
+#: Rows of an Arrow batch that are taken apart at a time.
+SLICE_ROWS = 256
 #: The tokenizer's steps before its model; and what its pattern finds in printable ASCII, lower-cased.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZER = {"type": "Sequence", "normalizers": [
@@ -115,7 +118,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     that length it is.
     """
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
         from tokenizers import Tokenizer
 
@@ -123,20 +126,23 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
         end = np.array([END], "<u4").tobytes()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            rows = []
-            for doc_id, ids, part in zip(batch["doc_id"], words.texts(batch["text"].tolist()), batch["_part"]):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                    own = ids[at : at + 4 * capacity]
-                    n = len(own) // 4
-                    rows.append((doc_id, piece, at // 4, n, zlib.crc32(own), part, seen[n], *([np.frombuffer(own, "<u4").astype(np.int32)] if with_ids else [])))
-                    seen[n] += 1
-            yield pd.DataFrame(rows, columns=names)
+            for first in range(0, batch.num_rows, SLICE_ROWS):  # few texts and ids are Python objects at a time
+                doc_ids, parts, texts = (batch[c].slice(first, SLICE_ROWS).to_pylist() for c in ("doc_id", "_part", "text"))
+                rows = []
+                for doc_id, part, ids in zip(doc_ids, parts, words.texts(texts)):
+                    ids += end
+                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                        own = ids[at : at + 4 * capacity]
+                        n = len(own) // 4
+                        rows.append((doc_id, piece, at // 4, n, zlib.crc32(own), part, seen[n], *([np.frombuffer(own, "<u4").astype(np.int32)] if with_ids else [])))
+                        seen[n] += 1
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, _part int, _rank long" + ", ids array<int>" * with_ids
     names = [x.split()[0] for x in schema.split(", ")]
+    types = [{"int": pa.int32(), "long": pa.int64()}.get(x.split()[1], pa.list_(pa.int32())) for x in schema.split(", ")]
     slim = docs.select(F.col("doc_id").cast("long"), "text", F.spark_partition_id().alias("_part"))
-    return slim.mapInPandas(run, schema)
+    return slim.mapInArrow(run, schema)
 
 
 # --- plan, on the histogram ---
