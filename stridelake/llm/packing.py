@@ -45,27 +45,35 @@ CACHE_WORDS = 500_000
 CHUNK_CHARS = 1_000_000
 #: Rows of an Arrow batch that are taken apart at a time.
 SLICE_ROWS = 256
-#: The tokenizer's steps before its model; and what its pattern finds in printable ASCII, lower-cased.
+#: The tokenizer's steps before its model; and what its pattern finds in plain words, lower-cased.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZER = {"type": "Sequence", "normalizers": [
     {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
     {"type": "Split", "pattern": {"Regex": PATTERN}, "behavior": "Removed", "invert": True},
     {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
-_UNITS = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-z]+|[0-9]|[^a-z0-9]+")
+_UNITS = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+")
+#: Plain words: printable ASCII and the letters of Latin-1 and Latin Extended-A. Each such letter is composed already,
+#: and its small letter (but that of the dotted capital I) is one of them too.
+_PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 
 
 # --- tokens ---
 
 
 class _UnitIds(dict):
-    """Ids of what the pattern finds, from the tokenizer's model alone."""
+    """Ids of what the pattern finds, from the tokenizer's model alone. The model knows each UTF-8 byte as a character."""
 
     def __init__(self, model):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
         self.model = model
+        self.spelt = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x180)}
 
     def __missing__(self, unit: str) -> bytes:
-        value = self[unit] = array("I", [t.id for t in self.model.tokenize(unit)]).tobytes()
+        spelt = unit if unit.isascii() else unit.translate(self.spelt)
+        value = self[unit] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
         return value
 
 
@@ -79,11 +87,11 @@ class _WordIds(dict):
         self.known = steps == [NORMALIZER, PRE_TOKENIZER]
 
     def learn(self, words: set[str]) -> None:
-        """Take in new words. Normalising leaves printable ASCII as it is but for the case, so such words, added tokens
+        """Take in new words. Normalising leaves plain words as they are but for the case, so these, added tokens
         apart, are cut here and go to the model; all others, and those of other tokenizers, go through the whole."""
         if len(self) >= CACHE_WORDS or len(self.units) >= CACHE_WORDS:
             self.units.clear()
-        plain = [w for w in words if w.isascii() and w.isprintable() and "<|" not in w] if self.known else []
+        plain = [w for w in words if _PLAIN.fullmatch(w) and "<|" not in w] if self.known else []
         for word in plain:
             self[word] = b"".join(map(self.units.__getitem__, _UNITS.findall(word.lower())))
         other = list(words.difference(plain))

@@ -263,6 +263,8 @@ def test_word_ids_are_those_of_whole_texts():
 
     rnd = random.Random(8)
     some = ["".join(rnd.choice("abZtTsSrRevElLmMdD'''!#59éß<|>~-\"_ \t\x00\x7f\x1f\xa0İσΣ") for _ in range(rnd.randint(0, 25))) for _ in range(5000)]
+    latin = [chr(c) for c in range(0xA0, 0x250)] + ["'s", "'RE", "a", "E", "\u0301", "\u0307"]
+    some += ["".join(rnd.choices(latin, k=rnd.randint(1, 12))) for _ in range(5000)] + latin
     some += ["<|endoftext|>", "a<|startoftext|>b", "x" * 5000, "'" * 9, "I'LL don't I'D", None]
     for name in ("word_bpe_49k.json",):
         t = Tokenizer.from_file(public_tokenizers.path(name))
