@@ -72,10 +72,23 @@ def to_messages(events: DataFrame, sent_at: Column | None = None) -> DataFrame:
     return events.select("user_id", body.alias("body"))
 
 
+def _day_before(sent: Column, day: Column) -> Column:
+    """The last date with this day of the month up to the sending date; the sending date if no month has the day."""
+    this = F.trunc(sent, "month")
+    before = F.add_months(this, -1)
+    month = (
+        F.when(day <= F.dayofmonth(sent), this)
+        .when(day <= F.dayofmonth(F.last_day(before)), before)
+        .otherwise(F.add_months(before, -1))  # of two months in a row one has 31 days
+    )
+    return F.when(day.between(1, 31), F.date_add(month, day - 1)).otherwise(sent)
+
+
 def decode_messages(df: DataFrame) -> DataFrame:
     """Read message bodies. Absent fields get defaults; a body that does not parse is marked failed.
 
-    A body counts as failed if it is no JSON object or if a field has the wrong type.
+    A body counts as failed if it is no JSON object or if a field has the wrong type. Without an activity date,
+    a message is dated by its day number and the time it was sent, so that months do not mix.
     """
     parsed = F.from_json("body", MESSAGE, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
     rows = df.select("body", parsed.alias("m"))
@@ -84,10 +97,12 @@ def decode_messages(df: DataFrame) -> DataFrame:
     def field(name: str, default: Column) -> Column:
         return F.when(~F.col("failed"), F.coalesce(F.col(f"m.{name}"), default)).alias(name)
 
+    sent = F.to_date(F.try_to_timestamp(F.col("m.timestamp")))
+    dated = _day_before(sent, F.coalesce(F.col("m.day"), F.lit(0)))
     return rows.withColumn("failed", failed).select(
         field("user_id", F.lit("UNKNOWN")),
         field("day", F.lit(0)),
-        F.when(~F.col("failed"), F.col("m.activity_date")).alias("activity_date"),
+        F.when(~F.col("failed"), F.coalesce(F.col("m.activity_date"), dated)).alias("activity_date"),
         field("event_type", F.lit("")),
         F.when(~F.col("failed"), F.col("m.message")).alias("message"),
         field("points", F.lit(0)),

@@ -60,29 +60,29 @@ def score(model: PipelineModel, gold: DataFrame) -> DataFrame:
     """Every gold row with its fraud probability and class."""
     scored = model.transform(features(gold))
     probability = vector_to_array("probability")[1]
-    return predictions(scored.withColumn("raw_prediction", probability)).withColumn(
-        "predicted_class", X.decode_fraud(F.col("raw_prediction"))
-    )
+    return predictions(scored.withColumn("raw_prediction", probability))
 
 
-def predictions(scored: DataFrame, exact: bool = False) -> DataFrame:
-    """Prediction rows as stored: who, when, the inputs shown to readers, the decoded level.
+def predictions(scored: DataFrame, levels: bool = False, exact: bool = False) -> DataFrame:
+    """Prediction rows as stored: who, when, the inputs shown to readers, the class of the two-class model.
 
-    A missing prediction is stored as -1 with level UNKNOWN.
+    With ``levels`` also the level of a four-level model's code. A missing prediction is stored as -1 and UNKNOWN.
     """
     raw = F.col("raw_prediction")
+    level = [X.decode_prediction(raw, exact).alias("predicted_activity")] if levels else []
     return scored.select(
         F.col("user_id").cast("string").alias("user_id"),
         X.date_label(F.col("year"), F.col("month"), F.col("day")).alias("date"),
         "total_steps",
         "total_calories",
-        X.decode_prediction(raw, exact).alias("predicted_activity"),
+        X.decode_fraud(raw).alias("predicted_class"),
+        *level,
         F.coalesce(raw.cast("double"), F.lit(-1.0)).alias("raw_prediction"),
         "anomaly_score",
     )
 
 
-def prediction_report(rows: DataFrame, by: str = "predicted_activity", t: Thresholds = DEFAULTS) -> DataFrame:
+def prediction_report(rows: DataFrame, by: str = "predicted_class", t: Thresholds = DEFAULTS) -> DataFrame:
     """Rows and suspicious rows per predicted value, with a TOTAL line, in one aggregate."""
     return (
         rows.rollup(by)
@@ -95,7 +95,7 @@ def prediction_report(rows: DataFrame, by: str = "predicted_activity", t: Thresh
     )
 
 
-def prediction_note(report: DataFrame, run_date: Column, by: str = "predicted_activity") -> DataFrame:
+def prediction_note(report: DataFrame, run_date: Column, by: str = "predicted_class") -> DataFrame:
     """Subject and body of the run report, from the few lines of ``prediction_report``."""
     total = F.col(by) == "TOTAL"
     line = F.when(~total, F.concat(F.lit("  "), by, F.lit(": "), F.col("row_count").cast("string")))

@@ -339,6 +339,11 @@ _BODIES: dict[str, str] = {
         f" count(*) FILTER (WHERE ({test}) IS NOT TRUE) AS failed_rows FROM typed"
         for name, action, test in _RULE_LINES
     ),
+    "stream_expectations": " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, '{'drop' if action == 'fail' else action}' AS action, count(*) AS total_rows,"
+        f" count(*) FILTER (WHERE ({test}) IS NOT TRUE) AS failed_rows FROM typed"
+        for name, action, test in _RULE_LINES[:5]
+    ),
     "validate_events": f"SELECT *, {_ERRORS} AS errors FROM raw",
     "quarantine": f"SELECT * FROM (SELECT *, {_ERRORS} AS errors FROM raw) WHERE errors <> ''",
     "layer_quality": """
@@ -520,6 +525,11 @@ _BODIES: dict[str, str] = {
         SELECT user_id, date, CAST(raw_prediction AS DOUBLE) AS raw_prediction, rounded_level, exact_level,
                CASE WHEN raw_prediction >= 0.5 THEN 'FRAUD' ELSE 'NORMAL' END AS fraud_class
         FROM decoded_codes""",
+    "prediction_classes": """
+        SELECT CASE WHEN raw_prediction >= 0.5 THEN 'FRAUD' ELSE 'NORMAL' END AS predicted_class, count(*) AS row_count,
+               count(*) FILTER (WHERE anomaly_score >= 0.8) AS fraud_rows
+        FROM decoded_codes GROUP BY ALL
+        UNION ALL SELECT 'TOTAL', count(*), count(*) FILTER (WHERE anomaly_score >= 0.8) FROM decoded_codes""",
     "prediction_report": """
         SELECT rounded_level AS predicted_activity, count(*) AS row_count, count(*) FILTER (WHERE anomaly_score >= 0.8) AS fraud_rows
         FROM decoded_codes GROUP BY rounded_level

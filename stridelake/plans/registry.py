@@ -427,6 +427,11 @@ def decode_prediction(spark, sf_dir):
 
 @query
 def prediction_report(spark, sf_dir):
+    return M.prediction_report(M.predictions(A.scored(spark, sf_dir), levels=True), by="predicted_activity")
+
+
+@query
+def prediction_classes(spark, sf_dir):
     return M.prediction_report(M.predictions(A.scored(spark, sf_dir)))
 
 
@@ -453,6 +458,18 @@ def stream_silver(spark, sf_dir):
     return readers.read_silver(spark, f"{_streamed(spark, sf_dir)}/silver").drop("processed_at")
 
 
+@query
+def stream_expectations(spark, sf_dir):
+    root = scratch(spark, "stream")
+    raw = A.minute_raw(spark, sf_dir)
+    sinks.write_json_lines(raw.select(F.to_json(F.struct(*raw.columns)).alias("value")).repartition(4), f"{root}/raw")
+    bronze = sources.bronze_stream(spark, f"{root}/raw", f"{root}/schema", max_files=2)
+    rules = R.with_action(R.STREAM_RULES, "timestamp_not_null", "drop")
+    each = tables.counted(f"{root}/counts", rules, tables.silver_with_feed(f"{root}/silver", f"{root}/feed", "ingest_time"))
+    tables.run(bronze.drop(CORRUPT, *PROVENANCE), f"{root}/checkpoint", each).awaitTermination()
+    return tables.expectation_totals(spark, f"{root}/counts")
+
+
 @query
 def stream_gold(spark, sf_dir):
     root = _streamed(spark, sf_dir)

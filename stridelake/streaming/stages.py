@@ -45,7 +45,7 @@ def silver_stream(raw: DataFrame, preset: str | Sequence[R.Rule] = "stream", wat
 
 
 def observed_totals(query: StreamingQuery, name: str = OBSERVED) -> dict[str, int]:
-    """Violation counts summed over the query's recent batches."""
+    """Violation counts summed over the recent batches Spark lists, a live view. ``tables.counted`` keeps them all."""
     totals: dict[str, int] = {}
     for progress in query.recentProgress:
         row = (progress.observedMetrics or {}).get(name)

@@ -12,10 +12,13 @@ from stridelake.config import DEFAULTS, WORKOUT, Thresholds
 from stridelake.operators import change as C
 from stridelake.operators import gold as G
 from stridelake.operators import rewards as W
+from stridelake.operators import rules as R
+from stridelake.operators import silver as S
 from stridelake.operators.events import decode_messages, reward_notes
 from stridelake.operators.silver import KEYS, MEASURES
 from stridelake.schemas import REWARD_STATE
 from stridelake.sources import sinks
+from stridelake.streaming import stages
 
 Batch = Callable[[DataFrame, int], None]
 
@@ -87,6 +90,27 @@ def _finished(spark: SparkSession, path: str) -> bool:
     return fs.exists(marker)
 
 
+def counted(path: str, rules: Sequence[R.Rule], then: Batch, t: Thresholds = DEFAULTS, hex_chars: int = 8) -> Batch:
+    """For a stream of raw rows: store each batch's expectation counts, then hand its silver rows to ``then``.
+
+    Counts lie in a folder for each batch, which a repeated batch writes anew, so the totals count every batch once
+    however long the stream runs. They are stored before a fail rule can stop the batch.
+    """
+
+    def each(raw: DataFrame, batch_id: int) -> None:
+        mark = f"{_query_id(raw.sparkSession)}-{batch_id}"
+        R.rules_report(S.typed(raw), rules).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={mark}")
+        then(stages.silver_stream(raw, rules, t=t, hex_chars=hex_chars), batch_id)
+
+    return each
+
+
+def expectation_totals(spark: SparkSession, path: str) -> DataFrame:
+    """Rows seen and rows that broke each rule, over all batches."""
+    totals = spark.read.parquet(path).groupBy("rule", "action")
+    return totals.agg(F.sum("total_rows").alias("total_rows"), F.sum("failed_rows").alias("failed_rows"))
+
+
 def refresh_gold(silver_path: str, gold_path: str, full: bool = True, t: Thresholds = DEFAULTS) -> Batch:
     """Recompute the user-days a change feed batch touches and merge them into gold.
 
@@ -119,12 +143,14 @@ def reward_sink(state_path: str, log_path: str, notes_path: str | None = None, b
     ``log_path`` keeps which user-days have been rewarded, and by which batch. Messages logged by
     another batch are left out; those logged by this very batch are not, so a repeated batch sees the
     same messages, and profiles it has already changed carry its mark and stay as they are. Profiles
-    lie in hash buckets of the user; only buckets with news are rewritten.
+    lie in hash buckets of the user; only buckets with news are rewritten. The number of buckets is stored with the
+    profiles, and another one is refused: users would get a second profile.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         mark = f"{_query_id(spark)}-{batch_id}"
+        _fixed_buckets(spark, state_path, buckets)
         fresh = _log_new_workouts(batch, log_path, mark)
         if fresh is None:
             return
@@ -169,6 +195,16 @@ def _log_new_workouts(batch: DataFrame, log_path: str, mark: str) -> DataFrame |
     )
 
 
+def _fixed_buckets(spark: SparkSession, state_path: str, buckets: int) -> None:
+    """Remember the number of buckets at the first batch, in a folder that table readers skip; refuse any other."""
+    root, fs = sinks._path(spark, f"{state_path}/_buckets")
+    stored = {s.getPath().getName() for s in fs.listStatus(root)} if fs.exists(root) else set()
+    if not stored:
+        fs.mkdirs(sinks._path(spark, f"{state_path}/_buckets/{buckets}")[0])
+    elif stored != {str(buckets)}:
+        raise ValueError(f"{state_path} is kept in {', '.join(sorted(stored))} buckets, not {buckets}")
+
+
 def _bucket(buckets: int) -> Column:
     return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
 

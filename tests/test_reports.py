@@ -92,13 +92,13 @@ def test_model(spark):
     scored = M.score(model, gold)
     assert scored.count() == gold.count()
     assert {r.predicted_class for r in scored.select("predicted_class").distinct().collect()} == {"FRAUD", "NORMAL"}
-    report = M.prediction_report(scored, by="predicted_class")
+    report = M.prediction_report(scored)
     total = report.filter("predicted_class = 'TOTAL'").first()
     assert (total.row_count, total.fraud_rows) == (gold.count(), gold.filter("anomaly_score >= 0.8").count())
-    note = M.prediction_note(report, F.lit("2024-02-01").cast("date"), by="predicted_class").first()
+    note = M.prediction_note(report, F.lit("2024-02-01").cast("date")).first()
     assert f"Total users predicted: {gold.count()}" in note.body
 
 
 def test_missing_prediction(spark):
     row = M.predictions(A.scored(spark, SF).withColumn("raw_prediction", F.lit(None).cast("double"))).first()
-    assert (row.raw_prediction, row.predicted_activity) == (-1.0, "UNKNOWN")
+    assert (row.raw_prediction, row.predicted_class) == (-1.0, "UNKNOWN")

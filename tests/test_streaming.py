@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stridelake.operators import events as E
 from stridelake.operators import gold as G
 from stridelake.operators import rewards as W
+from stridelake.operators import rules as R
 from stridelake.operators import silver as S
 from stridelake.plans import adapters as A
 from stridelake.schemas import CORRUPT
@@ -159,3 +160,38 @@ def test_messages_without_a_date(spark, tmp_path):
     each(queue(spark, body), 0)
     each(queue(spark, body), 1)
     assert profiles(spark, tmp_path) == {"a": (100, 1, 7)}
+
+
+def test_undated_messages_of_two_months_are_two_workouts(spark, tmp_path):
+    def undated(day, sent):
+        return json.dumps({"user_id": "a", "day": day, "event_type": "WORKOUT_COMPLETED", "points": 100, "timestamp": sent})
+
+    each = tables.reward_sink(f"{tmp_path}/state", f"{tmp_path}/log", buckets=4)
+    each(queue(spark, undated(7, "2024-01-07 20:00:00"), undated(31, "2024-02-01 06:00:00")), 0)
+    each(queue(spark, undated(7, "2024-02-07 20:00:00"), undated(7, "2024-01-07 20:00:00")), 1)
+    assert profiles(spark, tmp_path) == {"a": (300, 3, 7)}
+    sent = [undated(d, s) for d, s in ((31, "2024-03-01 00:00:00"), (30, "2024-05-31 00:00:00"), (0, "2024-05-31 00:00:00"), (40, "2024-05-31 00:00:00"), (1, "never"))]
+    found = [r.activity_date for r in E.decode_messages(queue(spark, *sent)).collect()]
+    assert found == [dt.date(2024, 1, 31), dt.date(2024, 5, 30), dt.date(2024, 5, 31), dt.date(2024, 5, 31), None]
+
+
+def test_another_number_of_buckets_is_refused(spark, tmp_path):
+    tables.reward_sink(f"{tmp_path}/state", f"{tmp_path}/log", buckets=4)(queue(spark, message("a", 1)), 0)
+    with pytest.raises(ValueError, match="4 buckets, not 64"):
+        tables.reward_sink(f"{tmp_path}/state", f"{tmp_path}/log", buckets=64)(queue(spark, message("b", 1)), 1)
+    assert profiles(spark, tmp_path) == {"a": (100, 1, 1)}
+
+
+def test_counts_of_all_batches_are_kept(spark, tmp_path):
+    for i in range(6):
+        put(tmp_path / "raw", f"{i}.json", minute("a", 1, i + 1, 300), minute("", 1, i + 1, 5))
+    raw = sources.bronze_stream(spark, f"{tmp_path}/raw", f"{tmp_path}/schema", max_files=1).drop(CORRUPT)
+    each = tables.counted(f"{tmp_path}/counts", R.STREAM_RULES, tables.silver_with_feed(f"{tmp_path}/silver", f"{tmp_path}/feed", "ingest_time"))
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        tables.run(raw, f"{tmp_path}/ck", each).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    got = {r.rule: (r.total_rows, r.failed_rows) for r in tables.expectation_totals(spark, f"{tmp_path}/counts").collect()}
+    assert got["valid_steps_range"] == (12, 6) and got["user_id_not_null"] == (12, 6) and got["valid_intensity"] == (12, 0)
+    assert spark.read.parquet(f"{tmp_path}/silver").count() == 6
