@@ -20,11 +20,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id; of its rows, one."""
-    found = minhash.near_duplicates(docs).where("kept").select("doc_id", "text_hash", "component_id", "n_shingles")
-    # rows that repeat an id: the smallest text hash speaks for its group, texts without a set speak for themselves
-    empty = F.col("n_shingles") == 0
-    group = [F.when(~empty, F.col("component_id")).alias("g"), F.when(empty, F.col("text_hash")).alias("e")]
-    one = found.groupBy(*group, "doc_id").agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash")
+    found = minhash.near_duplicates(docs).where("kept").select("doc_id", "text_hash", "component")
+    # ids may be missing or repeated: a group is its component; texts without a set speak for themselves
+    alone = F.when(F.col("component").isNull(), F.col("text_hash")).alias("e")
+    one = found.groupBy("component", alone, "doc_id").agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash")
     rows = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & F.col("d._hash").eqNullSafe(F.col("o.text_hash"))
     return rows.join(one.alias("o"), same, "left_semi").select(*docs.columns)

@@ -274,9 +274,10 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFrame:
-    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept`` and the text's hash ``text_hash``.
+    """One row per row of ``docs``: ``doc_id, n_shingles, component_id, kept``, the text's hash ``text_hash`` and ``component``.
 
     Rows whose sets share at least ``percent`` of their union are linked; ``component_id`` is the smallest id reachable.
+    Ids may be missing or repeated, so only ``component`` (NULL for an empty set) tells components apart.
     """
     sketch = stored(sketches(docs, size), "sketches")
     # copies meet by digest: one representative for each set
@@ -289,10 +290,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     named = reps.select("digest", "rep", "least").join(labels, "rep", "left")
     named = named.withColumn("component", F.coalesce("component", "rep"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = named.join(smallest, "component").select("digest", "component_id")
+    found = named.join(smallest, "component").select("digest", "component", "component_id")
     out = sketch.join(found, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-                      "text_hash")
+                      "text_hash", "component")
 
 
 def _confirmed(docs: DataFrame, grouped: DataFrame, percent: int, size: int) -> DataFrame:

@@ -153,3 +153,12 @@ def test_pipeline(spark):
         sizes.append(docs.count())
     assert sizes[0] > sizes[1] > sizes[2] == sizes[3] > 0
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality_rules", "near_duplicates", "pii", "target_weights", "best_fit_packing"]
+
+
+def test_near_duplicates_stage_keeps_texts_without_or_with_repeated_ids(spark):
+    rnd = random.Random(11)
+    texts = [" ".join(f"w{rnd.randrange(500)}" for _ in range(80)) for _ in range(9)]
+    rows = [(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:7]] + [(8, texts[7]), (None, texts[7]), (9, texts[7]), (None, texts[0]), (7, texts[4]), (10, texts[8])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
+    assert got == collections.Counter([(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:7]] + [(8, texts[7]), (10, texts[8])])
