@@ -9,6 +9,8 @@ from stridelake.llm import curriculum, minhash, packing, pseudonyms, quality
 from stridelake.llm.common import stored
 
 TOKENIZER = "word_bpe_49k.json"
+#: Least similarity of near copies, in percent of the union of their word shingles.
+PERCENT = 80
 #: Scoring, similarity and packing have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
@@ -20,7 +22,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that with the smallest id; of its rows, one."""
-    found = minhash.near_duplicates(docs).where("kept").select("doc_id", "text_hash", "component")
+    found = minhash.near_duplicates(docs, PERCENT).where("kept").select("doc_id", "text_hash", "component")
     # ids may be missing or repeated: a group is its component; texts without a set speak for themselves
     alone = F.when(F.col("component").isNull(), F.col("text_hash")).alias("e")
     one = found.groupBy("component", alone, "doc_id").agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash")

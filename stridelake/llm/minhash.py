@@ -1,11 +1,12 @@
 """Near duplicates: MinHash signatures, multi-index Hamming join, links confirmed on full shingle sets.
 
 A text's set holds its distinct word 5-shingles as 64-bit hashes. Its signature keeps ``b`` = 8 bits of each of
-``COMPONENTS`` minima; the distance of two signatures is the number of components that differ. By pigeonhole, two
-signatures within ``CHUNKS * (ERRORS + 1) - 1`` differ in at most ``ERRORS`` components of some chunk, so each signature
-is filed under every chunk with every choice of ``ERRORS`` components left out: all pairs under the threshold meet.
-With 9 chunks of 6 components and one error the threshold is 17 of 54; a pair of similarity 0.85 lies above it with
-probability 0.0004, a more similar pair hardly ever.
+``components`` minima; the distance of two signatures is the number of components that differ. By pigeonhole, two
+signatures within ``chunks * (errors + 1) - 1`` differ in at most ``errors`` components of some chunk, so each signature
+is filed under every chunk with every choice of ``errors`` components left out: all pairs under the threshold meet.
+``plan`` derives these numbers from the least similarity, so that a pair of just that similarity lies above the distance
+with probability ``MISS`` at most, a more similar pair hardly ever. For 0.85 these are 9 chunks of 6 components with one
+error, a distance of 17 of 54 (probability 0.00058); for 0.80 they are 19 chunks, 37 of 114 (0.00054).
 
 Copies of one set are one representative throughout. Buckets and groups are dealt out in bounded blocks, each pair of
 blocks is one unit of work, and a unit returns only links that connect, never all pairs. Links are confirmed within the
@@ -18,6 +19,10 @@ rows that repeat an id each get the component of their own text. Other columns a
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
+from itertools import combinations
+from math import comb
+from typing import NamedTuple
 
 import numpy as np
 import pandas as pd
@@ -29,16 +34,56 @@ from pyspark.sql.types import IntegerType
 from stridelake.llm.common import stored
 from stridelake.llm.graph import components
 
-CHUNKS, WIDTH, ERRORS = 9, 6, 1
-COMPONENTS = CHUNKS * WIDTH
-DISTANCE = CHUNKS * (ERRORS + 1) - 1
+#: Probability at most that a pair of just the least similarity lies above the signature distance.
+MISS = 0.0006
+#: Components that a key holds, and most chunks before one more error is allowed.
+KEPT, MOST_CHUNKS = 5, 24
+
+
+class Plan(NamedTuple):
+    """Chunks of a signature, components of a chunk, components left out of each."""
+
+    chunks: int
+    width: int
+    errors: int
+
+    @property
+    def components(self) -> int:
+        return self.chunks * self.width
+
+    @property
+    def distance(self) -> int:
+        return self.chunks * (self.errors + 1) - 1
+
+    def miss(self, percent: int) -> float:
+        """Probability that signatures of sets of that similarity lie above the distance."""
+        differ = (1 - percent / 100) * 255 / 256
+        return sum(comb(self.components, k) * differ**k * (1 - differ) ** (self.components - k)
+                   for k in range(self.distance + 1, self.components + 1))
+
+
+def plan(percent: int) -> Plan:
+    """The plan with the fewest errors, then chunks, that misses a pair of ``percent`` with probability ``MISS`` at most."""
+    for errors in range(1, 9):
+        for chunks in range(4, MOST_CHUNKS + 1):
+            found = Plan(chunks, KEPT + errors, errors)
+            if found.miss(percent) <= MISS:
+                return found
+    raise ValueError(f"similarity of {percent} percent is too low for signatures")
+
+
+PLAN = plan(85)
+COMPONENTS, DISTANCE = PLAN.components, PLAN.distance
 #: Representatives in a block of a bucket, shingles in a block of a group.
 BUCKET_BLOCK, GROUP_BLOCK = 1024, 400_000
 #: Words remembered by a task before it starts afresh.
 CACHE_WORDS = 1_000_000
-_RNG = np.random.default_rng(20_240_501)
-_XOR = _RNG.integers(0, 2**63, COMPONENTS, dtype=np.uint64)
-_MUL = _RNG.integers(0, 2**63, COMPONENTS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def _permutations(components: int) -> tuple[np.ndarray, np.ndarray]:
+    rng = np.random.default_rng(20_240_501)
+    xor = rng.integers(0, 2**63, components, dtype=np.uint64)
+    return xor, rng.integers(0, 2**63, components, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 class _WordHashes(dict):
@@ -69,20 +114,22 @@ def shingles(text: bytes | None, hashes: dict, size: int) -> np.ndarray:
     return np.unique(_mix(out))
 
 
-def signature(shingled: np.ndarray) -> bytes:
-    minima = np.full(COMPONENTS, np.iinfo(np.uint64).max, np.uint64)
+def signature(shingled: np.ndarray, xor: np.ndarray, mul: np.ndarray) -> bytes:
+    minima = np.full(len(xor), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingled), 4096):
         block = shingled[at : at + 4096]
-        for k in range(COMPONENTS):
-            least = ((block ^ _XOR[k]) * _MUL[k]).min()
+        for k in range(len(xor)):
+            least = ((block ^ xor[k]) * mul[k]).min()
             if least < minima[k]:
                 minima[k] = least
     return (_mix(minima) >> np.uint64(56)).astype(np.uint8).tobytes()  # the minima themselves all begin with zeros
 
 
-def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
+def sketches(docs: DataFrame, size: int = 5, plan: Plan = PLAN) -> DataFrame:
     """Per row: id, set size, 128-bit digest of the set and signature (NULL for an empty set), hash of the text."""
 
+    xor, mul = _permutations(plan.components)
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _WordHashes()
         for batch in batches:
@@ -90,7 +137,7 @@ def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
             for doc_id, text, text_hash in zip(batch["doc_id"], batch["text"], batch["text_hash"]):
                 s = shingles(text, hashes, size)
                 digest = xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None
-                rows.append((doc_id, len(s), digest, signature(s) if len(s) else None, text_hash))
+                rows.append((doc_id, len(s), digest, signature(s, xor, mul) if len(s) else None, text_hash))
             yield pd.DataFrame(rows, columns=["doc_id", "n_shingles", "digest", "signature", "text_hash"])
 
     slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("binary").alias("text"),
@@ -98,20 +145,21 @@ def sketches(docs: DataFrame, size: int = 5) -> DataFrame:
     return slim.mapInPandas(run, "doc_id long, n_shingles long, digest binary, signature binary, text_hash long")
 
 
-def bucket_keys(reps: DataFrame) -> DataFrame:
-    """``(key, rep)``: each chunk of the signature, once for every component left out of it. Keys are exact."""
+def bucket_keys(reps: DataFrame, plan: Plan = PLAN) -> DataFrame:
+    """``(key, rep)``: each chunk of the signature, once for every choice of components left out. Keys are exact."""
+    chunks, width = plan.chunks, plan.width
+    choices = list(combinations(range(width), KEPT))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if not len(batch):
                 continue
-            sig = np.frombuffer(b"".join(batch["signature"]), np.uint8).reshape(len(batch), CHUNKS, WIDTH).astype(np.int64)
-            for c in range(CHUNKS):
-                for out in range(WIDTH):
-                    key = np.full(len(batch), c * WIDTH + out, np.int64)
-                    for j in range(WIDTH):
-                        if j != out:
-                            key = (key << 8) | sig[:, c, j]
+            sig = np.frombuffer(b"".join(batch["signature"]), np.uint8).reshape(len(batch), chunks, width).astype(np.int64)
+            for c in range(chunks):
+                for at, places in enumerate(choices):
+                    key = np.full(len(batch), c * len(choices) + at, np.int64)
+                    for j in places:
+                        key = (key << 8) | sig[:, c, j]
                     yield pd.DataFrame({"key": key, "rep": batch["rep"].to_numpy()})
 
     return reps.select("rep", "signature").mapInPandas(run, "key long, rep long")
@@ -181,9 +229,9 @@ def _by_cell(rows: DataFrame, key: str, links_of_cells) -> DataFrame:
     return rows.repartition(*names).sortWithinPartitions(*names).mapInPandas(run, "a long, b long")
 
 
-def _close_signatures(batch: pd.DataFrame, starts: np.ndarray) -> np.ndarray:
+def _close_signatures(batch: pd.DataFrame, starts: np.ndarray, distance: int = DISTANCE) -> np.ndarray:
     """Pairs of different groups within the signature distance; in a larger cell one for each row and group it meets."""
-    sig = np.frombuffer(b"".join(batch["signature"]), np.uint8).reshape(len(batch), COMPONENTS)
+    sig = np.frombuffer(b"".join(batch["signature"]), np.uint8).reshape(len(batch), -1)
     group, minor = batch["rep"].to_numpy(), batch["minor"].to_numpy()
     sizes = np.diff(np.append(starts, len(batch)))
     out = [np.empty((0, 2), np.int64)]
@@ -193,12 +241,12 @@ def _close_signatures(batch: pd.DataFrame, starts: np.ndarray) -> np.ndarray:
         x, y = members[:, x].ravel(), members[:, y].ravel()
         apart = group[x] != group[y]
         x, y = x[apart], y[apart]
-        near = (sig[x] != sig[y]).sum(1) <= DISTANCE
+        near = (sig[x] != sig[y]).sum(1) <= distance
         out.append(np.column_stack((x[near], y[near])))
     for at, size in zip(starts[sizes > 8], sizes[sizes > 8]):
         own = slice(at, at + size)
         for x in np.flatnonzero(minor[own]) + at:
-            hit = np.flatnonzero(((sig[own] != sig[x]).sum(1) <= DISTANCE) & (group[own] != group[x])) + at
+            hit = np.flatnonzero(((sig[own] != sig[x]).sum(1) <= distance) & (group[own] != group[x])) + at
             hit = hit[np.unique(group[hit], return_index=True)[1]]
             out.append(np.column_stack((np.full(len(hit), x), hit)))
     return np.concatenate(out)
@@ -234,27 +282,28 @@ def _similar_sets(percent: int):
 
 @F.pandas_udf(IntegerType())
 def _distance(x: pd.Series, y: pd.Series) -> pd.Series:
-    sig = [np.frombuffer(b"".join(v), np.uint8).reshape(len(v), COMPONENTS) for v in (x, y)]
+    sig = [np.frombuffer(b"".join(v), np.uint8).reshape(len(v), -1) for v in (x, y)]
     return pd.Series((sig[0] != sig[1]).sum(1).astype(np.int32))
 
 
-def candidate_groups(reps: DataFrame) -> DataFrame:
+def candidate_groups(reps: DataFrame, plan: Plan = PLAN) -> DataFrame:
     """``(node, component)``: groups of representatives such that all pairs within the signature distance share a group.
 
     The distance is a metric. In a bucket, everybody within twice the threshold of its smallest member joins that one;
     a pair under the threshold then shares a group unless one of the two is farther than that, and the other is farther
     than the threshold. Only buckets with such far members are searched, far members against all but the nearest.
     """
-    keys = bucket_keys(reps).repartition("key")  # one exchange for the aggregate and the join
+    distance = plan.distance
+    keys = bucket_keys(reps, plan).repartition("key")  # one exchange for the aggregate and the join
     hubs = keys.groupBy("key").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     members = stored(keys.join(hubs, "key").where("rep <> hub"), "members")
     pairs = members.select("rep", "hub").distinct().join(reps, "rep")
     pairs = pairs.join(reps.select(F.col("rep").alias("hub"), F.col("signature").alias("other")), "hub")
     pairs = stored(pairs.select("rep", "hub", _distance("signature", "other").alias("d")), "pairs")
-    near = pairs.where(F.col("d") <= 2 * DISTANCE).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
+    near = pairs.where(F.col("d") <= 2 * distance).select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     first = components(near).withColumnRenamed("node", "rep").withColumnRenamed("component", "label")
-    outer = members.join(pairs.where(F.col("d") > DISTANCE), ["rep", "hub"])
-    outer = outer.select("key", "rep", (F.col("d") > 2 * DISTANCE).alias("minor"))
+    outer = members.join(pairs.where(F.col("d") > distance), ["rep", "hub"])
+    outer = outer.select("key", "rep", (F.col("d") > 2 * distance).alias("minor"))
     count = [F.greatest(F.ceil(F.sum(x.cast("long")) / BUCKET_BLOCK), F.lit(1)).cast("long") for x in (F.col("minor"), ~F.col("minor"))]
     blocks = outer.groupBy("key").agg(count[0].alias("minors"), count[1].alias("mains"), F.max("minor").alias("far"),
                                       F.count(F.lit(1)).alias("n")).where("far and n > 1").drop("far", "n")
@@ -266,7 +315,7 @@ def candidate_groups(reps: DataFrame) -> DataFrame:
                         lambda x: F.struct(F.least(x, F.col("own")).alias("i"), F.greatest(x, F.col("own")).alias("j")))
     dealt = dealt.join(reps, "rep").withColumn("own", own).select(
         "key", F.col("label").alias("rep"), "minor", "signature", F.explode(cells).alias("c"))
-    across = _by_cell(dealt.select("key", "c.i", "c.j", "rep", "minor", "signature"), "key", _close_signatures)
+    across = _by_cell(dealt.select("key", "c.i", "c.j", "rep", "minor", "signature"), "key", partial(_close_signatures, distance=distance))
     second = components(across).withColumnRenamed("node", "label")
     grouped = first.join(second, "label", "left").select(F.col("rep").alias("node"), F.coalesce("component", "label").alias("component"))
     alone = second.withColumnRenamed("label", "node").join(first.select(F.col("rep").alias("node")), "node", "left_anti")
@@ -279,12 +328,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     Rows whose sets share at least ``percent`` of their union are linked; ``component_id`` is the smallest id reachable.
     Ids may be missing or repeated, so only ``component`` (NULL for an empty set) tells components apart.
     """
-    sketch = stored(sketches(docs, size), "sketches")
+    chosen = plan(percent)
+    sketch = stored(sketches(docs, size, chosen), "sketches")
     # copies meet by digest: one representative for each set
     reps = sketch.where("n_shingles > 0").groupBy("digest").agg(
         F.min("doc_id").alias("least"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
     reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
-    groups = candidate_groups(reps.select("rep", "signature"))
+    groups = candidate_groups(reps.select("rep", "signature"), chosen)
     links = _confirmed(docs, reps.join(groups.withColumnRenamed("node", "rep"), "rep"), percent, size)
     labels = components(links).withColumnRenamed("node", "rep")
     named = reps.select("digest", "rep", "least").join(labels, "rep", "left")

@@ -11,7 +11,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 import corpus_pipeline
-from stridelake.llm import covertree, graph, preference, queries, warc
+from stridelake.llm import covertree, graph, minhash, preference, queries, warc
 
 SF = "/root/testdata/sf0.001"
 
@@ -162,3 +162,19 @@ def test_near_duplicates_stage_keeps_texts_without_or_with_repeated_ids(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = collections.Counter((r["doc_id"], r["text"]) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect())
     assert got == collections.Counter([(None, t) for t in texts[:4]] + [(7, t) for t in texts[4:7]] + [(8, texts[7]), (10, texts[8])])
+
+
+def test_near_duplicates_stage_links_from_80_percent(spark):
+    assert minhash.plan(85) == (9, 6, 1) == minhash.PLAN
+    assert all(minhash.plan(p).miss(p) <= minhash.MISS for p in (70, 80, 90))
+    rnd, rows = random.Random(12), []
+    for i in range(400):  # one changed word in the middle changes 5 shingles of n: similarity (n - 5) / (n + 5)
+        n = rnd.randint(45, 60)
+        words = [f"x{rnd.randrange(10**9)}" for _ in range(n + 4)]
+        rows.append((2 * i, " ".join(words)))
+        words[n // 2] = "other"
+        rows.append((2 * i + 1, " ".join(words)))
+    rows += [(900, " ".join(a := [f"y{k}" for k in range(48)])), (901, " ".join([*a[:20], "other", *a[21:]]))]  # 39 of 49: below
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()}
+    assert got == {2 * i for i in range(400)} | {900, 901}
