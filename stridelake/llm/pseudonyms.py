@@ -1,7 +1,9 @@
 """Format-preserving pseudonyms for personal data and secrets, in native expressions.
 
 One regular expression finds candidates; each is validated (check digits, ranges, calendar) and, if valid, permuted
-within its format by a keyed Feistel network. The network works on the value without its punctuation, so a value has one
+within its format by a keyed Feistel network. Numbers may stand side by side: a run of digit groups, and any candidate that
+its kind rejects, is searched for cards from group to group, the longest valid one first; an IBAN ends where its country's
+length does. The network works on the value without its punctuation, so a value has one
 pseudonym in every document and notation, and different values have different ones.
 
 | kind | validated by | pseudonym |
@@ -31,13 +33,24 @@ SPAN_SIDE = (292, 250)  # days of a date span as a product of two sides
 SPAN = SPAN_SIDE[0] * SPAN_SIDE[1]
 
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
-_SECRET = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])|(?i:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?[A-Za-z0-9+/_-]{8,200}+"
-_IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+_SECRET = r"(?<![A-Za-z0-9])AKIA[A-Z0-9]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9])gh[pousr]_[A-Za-z0-9]{36}(?![A-Za-z0-9])|(?i:password|passwd|token|secret|api_?key)\s{0,3}[=:]\s{0,3}[\"']?(?=[^\s\"']{8})[A-Za-z0-9+/_-]++(?:[.~!@#$%^&*=:]++[A-Za-z0-9+/_-]++)*+"
+#: Lengths of IBANs by country; other countries' take any length.
+IBAN_LENGTHS = {
+    15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+    22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ DZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST",
+    26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE",
+    31: "MT SC", 32: "LC", 33: "RU",
+}
+_IBAN = r"(?<![A-Za-z0-9])(?:" + "|".join(
+    [rf"(?:{names.replace(' ', '|')})\d{{2}}(?: ?[A-Z0-9]){{{n - 4}}}(?![A-Za-z0-9])" for n, names in IBAN_LENGTHS.items()]
+    + [r"[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"]) + ")"
 _IP = r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?![\d]|\.\d)"
 _DATE = r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d]|[./-]\d)"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 _PHONE = r"(?<![\dA-Za-z])\+\d(?:[ .-]?\(?\d{1,4}\)?){2,6}(?!\d)|(?<!\d)\(\d{3}\) ?\d{3}[ .-]?\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d]|[.-]\d)"
-_CARD = r"(?<![\d.])\d(?:[ -]?\d){12,18}(?!\d)"
+#: A run of digit groups up to a date, address or number of another kind; it may hold several cards.
+_CARD = (r"(?<![\d.])\d(?:(?:[ -](?!\d{4}-\d{2}-\d{2}(?!\d)|\d{2}/\d{2}/\d{4}(?!\d)|\d{2}\.\d{2}\.\d{4}(?!\d)|\d{1,3}\.\d{1,3}\.\d"
+         r"|\d{3}-\d{2}-\d{4}(?![\d-])|\d{3}[.-]\d{3}[.-]\d{4}(?![\d.-])))?\d){12,}+")
 CANDIDATE = "|".join((_SECRET, _EMAIL, _IBAN, _IP, _DATE, _SSN, _PHONE, _CARD))
 
 
@@ -54,14 +67,15 @@ def _noise(key: str, tweak: Column | str, i: Column, text: Column) -> Column:
 def _shifted(text: Column, noise: Column) -> Column:
     """Each digit, capital and small letter moved within its alphabet by the noise at its place (64 places a cycle)."""
 
-    def move(c: Column, at: Column) -> Column:
-        step = F.conv(F.substr(noise, F.pmod(at * 2, F.lit(62)) + 1, F.lit(2)), 16, 10).cast("int") + at
+    def move(c: Column, at: Column, once: Column) -> Column:
+        step = F.conv(F.substr(once, F.pmod(at * 2, F.lit(62)) + 1, F.lit(2)), 16, 10).cast("int") + at
         code = F.ascii(c)
         turned = lambda base, size: F.char(F.lit(base) + F.pmod(code - base + step, F.lit(size)))
         return (F.when(code.between(48, 57), turned(48, 10)).when(code.between(65, 90), turned(65, 26))
                 .when(code.between(97, 122), turned(97, 26)).otherwise(c))
 
-    return F.array_join(F.transform(F.split(text, ""), move), "")
+    # the noise goes through an array, so that it is evaluated once and not for each character
+    return F.get(F.transform(F.array(noise), lambda once: F.array_join(F.transform(F.split(text, ""), lambda c, at: move(c, at, once)), "")), F.lit(0))
 
 
 def permuted(value: Column, key: str, tweak: str) -> Column:
@@ -98,13 +112,17 @@ def _permuted_number(value: Column, sides: tuple[int, int], key: str, tweak: str
 
 def _refilled(match: Column, value: Column, place: str = "[A-Za-z0-9]") -> Column:
     """The match with its letters and digits replaced, in turn, by those of ``value``."""
-    chars = F.split(match, "")
+    runs, gaps = F.regexp_extract_all(match, F.lit(f"({place}+)"), F.lit(1)), F.split(match, f"{place}+", -1)
+    # what a lambda takes from outside is evaluated at every step, so all of it travels in the arguments
+    start = F.struct(F.lit("").alias("out"), value.alias("rest"))
 
-    def put(c: Column, at: Column) -> Column:
-        nth = F.length(F.regexp_replace(F.substr(match, F.lit(1), at + 1), f"(?!{place}).", ""))
-        return F.when(c.rlike(place), F.substr(value, nth, F.lit(1))).otherwise(c)
+    def put(acc: Column, x: Column) -> Column:
+        n = F.length(x["run"])
+        return F.struct(F.concat(acc["out"], x["gap"], F.substr(acc["rest"], F.lit(1), n)).alias("out"),
+                        F.substr(acc["rest"], n + 1, F.length(acc["rest"])).alias("rest"))
 
-    return F.array_join(F.transform(chars, put), "")
+    parts = F.zip_with(runs, gaps, lambda r, g: F.struct(F.coalesce(r, F.lit("")).alias("run"), g.alias("gap")))
+    return F.aggregate(parts, start, put, lambda acc: acc["out"])
 
 
 def _plain(match: Column) -> Column:
@@ -129,14 +147,41 @@ def _mod97(text: Column) -> Column:
         .otherwise(F.pmod(acc * 100 + F.ascii(c) - 55, F.lit(97))).cast("int"))
 
 
-def _card(match: Column, key: str) -> tuple[Column, Column]:
+def _is_card(digits: Column) -> Column:
+    # one digit repeated passes the check but is no card number
+    return (F.length(digits).between(13, 19) & (F.pmod(_luhn_sum(digits, 2), F.lit(10)) == 0)
+            & (F.length(F.translate(digits, "0", "")) > 0))
+
+
+def _card(match: Column, key: str) -> Column:
     digits = _plain(match)
     body = F.substr(digits, F.lit(1), F.length(digits) - 1)
     new = permuted(body, key, "card")
     check = F.pmod(10 - F.pmod(_luhn_sum(new, 1), F.lit(10)), F.lit(10)).cast("string")
-    # one digit repeated passes the check but is no card number
-    valid = (F.pmod(_luhn_sum(digits, 2), F.lit(10)) == 0) & (F.length(F.translate(digits, "0", "")) > 0)
-    return valid, _refilled(match, F.concat(new, check))
+    return _refilled(match, F.concat(new, check))
+
+
+def _cards(match: Column, key: str) -> Column:
+    """struct(kinds, text): the digit groups of ``match`` from the left, each card (longest first) replaced."""
+    groups, gaps = F.regexp_extract_all(match, F.lit(r"(\d+)"), F.lit(1)), F.split(match, r"\d+", -1)
+    windows = F.regexp_extract_all(match, F.lit(r"(?<!\d)(?=(\d(?:[ -]?\d){0,19}))"), F.lit(1))
+
+    def part(x: Column, gap: Column) -> Column:
+        ends = [F.regexp_extract(x["window"], rf"^(\d(?:[ -]?\d){{{n - 1}}})(?!\d)", 1) for n in range(19, 12, -1)]
+        card = F.get(F.filter(F.array(*ends), lambda e: (e != "") & _is_card(_plain(e))), F.lit(0))
+        return F.struct(gap.alias("gap"), F.coalesce(x["group"], F.lit("")).alias("group"),
+                        F.when(F.length(x["window"]) >= 13, card).alias("card"))
+
+    def step(acc: Column, x: Column) -> Column:
+        card = F.struct((F.size(F.split(x["card"], "[ -]")) - 1).alias("skip"), F.array_append(acc["kinds"], F.lit("card")).alias("kinds"),
+                        F.concat(acc["text"], x["gap"], _card(x["card"], key)).alias("text"))
+        other = F.struct(F.lit(0).alias("skip"), acc["kinds"].alias("kinds"), F.concat(acc["text"], x["gap"], x["group"]).alias("text"))
+        inside = F.struct((acc["skip"] - 1).alias("skip"), acc["kinds"].alias("kinds"), acc["text"].alias("text"))
+        return F.when(acc["skip"] > 0, inside).otherwise(F.when(x["card"].isNotNull(), card).otherwise(other))
+
+    start = F.struct(F.lit(0).alias("skip"), F.array().cast("array<string>").alias("kinds"), F.lit("").alias("text"))
+    pairs = F.zip_with(groups, windows, lambda g, w: F.struct(g.alias("group"), w.alias("window")))
+    return F.aggregate(F.zip_with(pairs, gaps, part), start, step, lambda acc: F.struct(acc["kinds"].alias("kinds"), acc["text"].alias("text")))
 
 
 def _iban(match: Column, key: str) -> tuple[Column, Column]:
@@ -197,16 +242,16 @@ def _secret(match: Column, key: str) -> tuple[Column, Column]:
 
 
 KINDS = (("secret", _SECRET, _secret), ("email", _EMAIL, _email), ("iban", _IBAN, _iban), ("ip", _IP, _ip), ("date", _DATE, _date),
-         ("ssn", _SSN, _ssn), ("phone", _PHONE, _phone), ("card", _CARD, _card))
+         ("ssn", _SSN, _ssn), ("phone", _PHONE, _phone))  # cards are searched for in what these reject
 
 
 def _pseudonym(match: Column, key: str) -> Column:
-    """struct(kind, text) of a candidate; kind is NULL if no kind accepts it."""
-    none = F.struct(F.lit(None).cast("string").alias("kind"), match.alias("text"))
-    out = none
+    """struct(kinds, text) of a candidate: the kinds replaced in it, none if no kind accepts a part of it."""
+    none = F.struct(F.array().cast("array<string>").alias("kinds"), match.alias("text"))
+    out = F.when(match.rlike(r"\d(?:[ -]?\d){12}"), _cards(match, key)).otherwise(none)
     for kind, pattern, build in reversed(KINDS):
         valid, text = build(match, key)
-        out = F.when(match.rlike(_full(pattern)) & F.coalesce(valid, F.lit(False)), F.struct(F.lit(kind).alias("kind"), text.alias("text"))).otherwise(out)
+        out = F.when(match.rlike(_full(pattern)) & F.coalesce(valid, F.lit(False)), F.struct(F.array(F.lit(kind)).alias("kinds"), text.alias("text"))).otherwise(out)
     return out
 
 
@@ -217,7 +262,7 @@ def pseudonymise(docs: DataFrame, key: str = KEY, column: str = "text") -> DataF
     candidate = F.lit(CANDIDATE)
     matches = F.when(hinted, F.regexp_extract_all(text, candidate, F.lit(0))).otherwise(F.array().cast("array<string>"))
     found = F.transform(matches, lambda m: _pseudonym(m, key))
-    kinds = F.filter(F.transform(F.col("_found"), lambda x: x["kind"]), lambda k: k.isNotNull())
+    kinds = F.flatten(F.transform(F.col("_found"), lambda x: x["kinds"]))
     gaps = F.split(text, CANDIDATE, -1)
     fill = F.array_append(F.transform(F.col("_found"), lambda x: x["text"]), F.lit(""))
     new = F.when(F.size("pseudonyms") > 0, F.array_join(F.zip_with(gaps, fill, lambda g, r: F.concat(g, r)), "")).otherwise(text)

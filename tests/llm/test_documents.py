@@ -336,3 +336,20 @@ def test_licences(spark):
     assert [got[i][0]["digest"] for i in (3, 4, 5)] == [None] * 3 and len(got[9]) == 2
     assert got[7][0]["digest"] == got[8][0]["digest"] != got[6][0]["digest"]
     assert licences.scan(docs.limit(0), licences.known_digests(spark)).count() == 0
+
+
+def test_pseudonyms_of_numbers_side_by_side(spark):
+    card, pl, be = "4111 1111 1111 1111", "PL61 1090 1014 0000 0712 1981 2874", "BE68 5390 0754 7034"
+    long = "".join(random.Random(1).choice("abcdef0123456789") for _ in range(5000))
+    rows = [f"{card} 12/27", f"{card} 2024-02-29 x", f"4111111111111111 737", f"order 7 {card}", f"2023 {card}", f"{card} 5555 5555 5555 4444 end", f"{pl} OK", f"{be} IBAN",
+            f"{be} {card}", f"AB12 {card}", f"password={long}", "token=abcdefgh.ijklmnop.qrst!uvw next", "8 " * 3_000, "7" * 50_000, card, pl, be, "5555 5555 5555 4444", "2024-02-29", "4111111111111111"]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id int, text string")
+    got = {r["doc_id"]: (r["text"], r["pseudonyms"]) for r in pseudonyms.pseudonymise(docs).collect()}
+    text = [got[i][0] for i in range(len(rows))]
+    one, pl2, be2, two, day = text[14:19]
+    assert len({one, pl2, be2, two, day} - {card, pl, be, rows[17], rows[18]}) == 5
+    assert text[:10] == [f"{one} 12/27", f"{one} {day} x", f"{text[19]} 737", f"order 7 {one}", f"2023 {one}", f"{one} {two} end", f"{pl2} OK", f"{be2} IBAN", f"{be2} {one}", f"AB12 {one}"]
+    assert got[5][1] == ["card", "card"] and got[8][1] == ["iban", "card"] and got[1][1] == ["card", "date"]
+    assert len(text[10]) == len(rows[10]) and sum(a == b for a, b in zip(text[10][9:], long)) < 1500 and text[10][-200:] != long[-200:]
+    assert not any(x in text[11] for x in ("abcdefgh", "ijklmnop", "qrst", "uvw")) and text[11].endswith(" next")
+    assert len(text[12]) == 6_000 and text[13] == rows[13] and got[13][1] == []
