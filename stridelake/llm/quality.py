@@ -1,14 +1,23 @@
-"""Quality rules: n-gram perplexity under a modified Kneser-Ney model that Spark counts, with bands for each language.
+"""Quality rules: word perplexity under a model that grows with the corpus, with bands for each language.
 
-The model reads characters, folded into 64 classes (blank, letters without case, digit, punctuation, other letters by
-their code point), so an n-gram of order 4 is a number below 2**24 and a language's model has at most
-64 + 64**2 + 64**3 + 64**4 entries of 12 bytes, whatever the corpus. That is the size bound of the broadcast; natural
-languages use about one entry in a hundred. Tasks count the n-grams of their texts (whole texts, sorted runs), Spark adds
-them up, discounts and interpolates them in one join for each order, and tasks look texts up in sorted arrays of keys.
+The model counts word pairs (64-bit hashes) over all texts. The probability of a word after another is the pair's count
+smoothed by the word's own count (Dirichlet prior of ``PAIR_PRIOR`` words), that by the word's spelling (``WORD_PRIOR``).
+A text is judged by what the rest of the corpus says: its own counts are taken off, so a word that only it has is as
+likely as its spelling, and a pair that only it has as likely as its second word.
 
-Perplexity is per character. A language's band lies around its median logarithm, ``WIDTH`` times the quartile distances
-to either side (``LEAST`` at least): what is outside is rejected, the repetitive below, the garbled above. Medians are
-taken over all documents that pass the base rules, from a histogram of fixed steps.
+Tasks hand over blocks of sorted arrays, one for each hash partition of the second word: pairs, counts and the documents
+they are from. A partition then holds all pairs of its words, adds the counts up and looks the documents' pairs up in them;
+only sums of documents leave it. Nothing of it is collected but words with more than a thousandth of a language's words
+(a thousand a language at most): their pairs are spread by pair. Every word is followed once, so a word's count is also
+that of its pairs.
+
+Spelling is a modified Kneser-Ney model of characters folded into 64 classes (blank, letters without case, digit,
+punctuation, other letters by their code point), of order 4: at most 64 + 64**2 + 64**3 + 64**4 entries of 12 bytes for a
+language, which bounds its broadcast. Spark counts, discounts and interpolates it in one join for each order.
+
+Perplexity is per word. A language's band lies around its median logarithm, ``WIDTH`` times the quartile distances to
+either side (``LEAST`` at least): what is outside is rejected, the repetitive below, the garbled above. Medians are taken over all documents
+that pass the base rules, from a histogram of fixed steps.
 
 NULL or empty texts have no words, fail the base rules and have no perplexity; a NULL language is a language of its
 own; texts are read whole, however long; repeated rows count and are judged like any other; extra columns pass through
@@ -25,11 +34,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stridelake.llm.common import stored
+from stridelake.llm.minhash import _mix, _WordHashes
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 ORDER, BITS = 4, 6
 #: Width of the bands in quartile distances, least width and histogram step, all of the perplexity's logarithm.
 WIDTH, LEAST, STEP = 14.0, 0.5, 0.001
+#: Words that the lower order counts for.
+PAIR_PRIOR, WORD_PRIOR = 50.0, 5.0
+#: Pairs of a block, and share of a language's words from which a word's pairs are spread.
+BLOCK, COMMON = 500_000, 0.001
 #: n-grams sorted at a time.
 RUN = 4_000_000
 
@@ -166,7 +180,7 @@ def model(docs: DataFrame) -> DataFrame:
     for k in range(1, ORDER + 1):
         level = stored(levels[k].withColumn("context", F.shiftright("gram", BITS)), "level")
         many = level.groupBy("lang").agg(*[F.sum((F.col("c") == i).cast("long")).cast("double").alias(f"n{i}") for i in range(1, 5)])
-        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
         cut = [F.least(F.greatest(F.coalesce(i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")), F.lit(0.5 * i)), F.lit(0.1)), F.lit(i - 0.05)).alias(f"d{i}")
                for i in (1, 2, 3)]
         discounts = many.select("lang", *cut)
@@ -216,36 +230,171 @@ class HashArrays:
         at = np.minimum(np.searchsorted(known, key), len(known) - 1)
         return known[at] == key, value[at]
 
-    def log_perplexity(self, lang: str, text: bytes) -> float:
-        """Mean negative logarithm of the probability of each character, blanks and end mark included."""
+    def logs(self, lang: str, text: bytes) -> np.ndarray:
+        """Logarithm of the probability of each character, end mark included."""
         key = keys(text)
-        total = 0.0
+        out, at = np.zeros(len(key)), np.arange(len(key))
         for k in range(ORDER, 0, -1):
             hit, p = self._find(lang, k, key & ((1 << (BITS * k)) - 1))
-            total += float(p[hit].sum(dtype=np.float64))
-            key = key[~hit]
+            out[at[hit]] += p[hit]
+            key, at = key[~hit], at[~hit]
             if not len(key):
                 break
             known, left = self._find(lang, -k, (key & ((1 << (BITS * k)) - 1)) >> BITS)
-            total += float(left[known].sum(dtype=np.float64))
-        return -(total - len(key) * BITS * np.log(2)) / len(keys(text))
+            out[at[known]] += left[known]
+        out[at] -= BITS * np.log(2)
+        return out
+
+
+# --- word pairs ---
+
+_EDGE = np.uint64(1)  # before the first and after the last word
+_ENTRY = np.dtype([("w", np.uint64), ("pair", np.uint64), ("doc", np.int64), ("n", np.int32), ("n_w", np.int32), ("spelt", np.float32), ("lang", np.int32)])
+_FIELDS = [(name, _ENTRY[name]) for name in _ENTRY.names]
+
+
+def hashed(lang: str, text: bytes, hashes: dict) -> np.ndarray:
+    """Hashes of the words of a text, in their order."""
+    words = text.split()
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    return _mix(h ^ np.uint64(hashes[lang.encode()]))
+
+
+def spelt(logs: np.ndarray, text: bytes) -> np.ndarray:
+    """Logarithm of the probability of each word's characters and of the blank or end after it."""
+    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
+    letter = np.append(~np.isin(points, np.frombuffer(_SPACE, np.uint8)), False)
+    before = np.append(False, letter[:-1])
+    start, end = np.flatnonzero(letter & ~before), np.flatnonzero(before & ~letter)
+    total = np.append(0.0, np.cumsum(logs))
+    return total[end + 1] - total[start]
+
+
+def _entries(lang: int, doc: int, w: np.ndarray, by_spelling: np.ndarray) -> np.ndarray:
+    """The distinct word pairs of a document."""
+    first, second = np.append(_EDGE, w), np.append(w, _EDGE)
+    pair, at, n = np.unique(_mix(first * np.uint64(0x9E3779B97F4A7C15) + second), return_index=True, return_counts=True)
+    _, which, many = np.unique(second, return_inverse=True, return_counts=True)
+    out = np.empty(len(pair), _ENTRY)
+    out["w"], out["pair"], out["doc"], out["n"], out["n_w"] = second[at], pair, doc, n, many[which][at]
+    out["spelt"], out["lang"] = np.append(by_spelling, 0.0)[at], lang
+    return out
+
+
+def _packed(entries: np.ndarray) -> bytes:
+    return b"".join(entries[name].tobytes() for name, _ in _FIELDS)
+
+
+def _unpacked(data: bytes) -> np.ndarray:
+    n = len(data) // _ENTRY.itemsize
+    out, at = np.empty(n, _ENTRY), 0
+    for name, kind in _FIELDS:
+        out[name] = np.frombuffer(data, kind, n, at)
+        at += n * kind.itemsize
+    return out
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    text = F.col("text").cast("binary").alias("text")
+    return docs.select(_language().alias("lang"), text, _handle().alias("doc")).where("text is not null and text <> ''")
+
+
+def _handle():
+    """Perplexity is a function of language and text: copies share a handle, and their sums have the same mean."""
+    return F.xxhash64(_language(), F.col("text"))
+
+
+def common_words(docs: DataFrame) -> tuple[dict[str, int], dict[int, int]]:
+    """Words of each language, edges included, and the counts of those with more than ``COMMON`` of them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hashes = _WordHashes()
+        for batch in batches:
+            for lang, own in batch.groupby("lang"):
+                w, n = np.unique(np.concatenate([np.append(hashed(lang, t, hashes), _EDGE) for t in own["text"]]), return_counts=True)
+                yield pd.DataFrame({"lang": lang, "w": w.view(np.int64), "n": n})
+
+    counts = stored(_texts(docs).mapInPandas(run, "lang string, w long, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")), "words")
+    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
+    many = counts.join(totals, "lang").where(F.col("n") > COMMON * F.col("total")).select("lang", "w", "n")
+    return {r["lang"]: r["total"] for r in totals.collect()}, {(r["lang"], r["w"]): r["n"] for r in many.collect()}
+
+
+def word_logs(docs: DataFrame, arrays) -> DataFrame:
+    """``(doc, log_ppl)``: mean negative logarithm of the probability of a text's words, the end included."""
+    spark = docs.sparkSession
+    totals, many = common_words(docs)
+    names = sorted(totals)
+    number = {name: i for i, name in enumerate(names)}
+    size = np.array([totals[name] for name in names], float)
+    hot = sorted((number[lang], w, n) for (lang, w), n in many.items())
+    shared = spark.sparkContext.broadcast((number, size, {(i, w): n for i, w, n in hot}, np.unique(np.array([w for _, w, _ in hot], np.int64)).view(np.uint64)))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        number, _, _, common = shared.value
+        scorer, hashes, waiting, held = HashArrays(arrays.value), _WordHashes(), [], 0
+
+        def block() -> pd.DataFrame:
+            entries = np.concatenate(waiting)
+            by = np.where(np.isin(entries["w"], common), entries["pair"], entries["w"])
+            bucket = (_mix(by) % np.uint64(buckets)).astype(np.int32)
+            entries = entries[np.lexsort((entries["w"], bucket))]
+            bucket = np.sort(bucket)
+            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+            return pd.DataFrame({"bucket": bucket[cuts], "data": [_packed(e) for e in np.split(entries, cuts[1:])]})
+
+        for batch in batches:
+            for lang, text, doc in zip(batch["lang"], batch["text"], batch["doc"]):
+                w = hashed(lang, text, hashes)
+                waiting.append(_entries(number[lang], doc, w, spelt(scorer.logs(lang, text), text)))
+                held += len(waiting[-1])
+                if held >= BLOCK:
+                    yield block()
+                    waiting, held = [], 0
+        if held:
+            yield block()
+
+    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        _, size, counts, common = shared.value
+        parts = [_unpacked(data) for batch in batches for data in batch["data"]]
+        if not parts:
+            return
+        e = np.concatenate(parts)
+        parts.clear()
+        n = e["n"].astype(float)
+        _, at = np.unique(_mix(e["pair"] + e["lang"].astype(np.uint64)), return_inverse=True)
+        pairs = np.bincount(at, n)[at]
+        _, first, at = np.unique(_mix(e["w"] + e["lang"].astype(np.uint64)), return_index=True, return_inverse=True)
+        words = np.bincount(at, n)
+        for k in np.flatnonzero(np.isin(e["w"][first], common)):  # the pairs of these are spread: known counts
+            x = e[first[k]]
+            words[k] = counts.get((int(x["lang"]), int(x["w"].astype(np.int64))), words[k])
+        words = np.maximum(words[at] - e["n_w"], 0)
+        alone = (words + WORD_PRIOR * np.exp(e["spelt"].astype(float))) / (size[e["lang"]] + WORD_PRIOR)
+        logs = np.log(pairs - n + PAIR_PRIOR * alone) - np.log(words + PAIR_PRIOR)
+        doc, at = np.unique(e["doc"], return_inverse=True)
+        yield pd.DataFrame({"doc": doc, "logs": np.bincount(at, n * logs), "n": np.bincount(at, n).astype(np.int64)})
+
+    dealt = _texts(docs).mapInPandas(blocks, "bucket int, data binary").repartition(buckets, "bucket")
+    sums = dealt.mapInPandas(scores, "doc long, logs double, n long").groupBy("doc").agg((-F.sum("logs") / F.sum("n")).alias("log_ppl"))
+    return stored(sums, "word_logs")
 
 
 # --- verdict ---
 
 
-def _measured(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``_m``: base counts and logarithm of the perplexity under the model of all of ``docs``."""
+def _measured(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``docs`` with ``_m``: base counts, and ``_doc``; logarithms of the perplexity by ``doc`` under the model of all of ``docs``."""
     spark = docs.sparkSession
     arrays = spark.sparkContext.broadcast(HashArrays.sorted_arrays(model(docs).toArrow()))
+    logs = word_logs(docs, arrays)
 
-    @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, log_ppl double")
-    def measure(lang: pd.Series, text: pd.Series) -> pd.DataFrame:
-        scorer = HashArrays(arrays.value)
-        rows = [(*base_counts(t), scorer.log_perplexity(x, t) if t else None) for x, t in zip(lang, text)]
-        return pd.DataFrame(rows, columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "log_ppl"])
+    @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+    def measure(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([base_counts(t) for t in text], columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
 
-    return docs.withColumn("_m", measure(_language(), F.col("text").cast("binary")))
+    return docs.withColumn("_m", measure(F.col("text").cast("binary"))).withColumn("_doc", _handle()), logs
 
 
 def assess(docs: DataFrame, width: float = WIDTH, carry: Sequence[str] | None = None) -> DataFrame:
@@ -254,20 +403,21 @@ def assess(docs: DataFrame, width: float = WIDTH, carry: Sequence[str] | None =
     The measured rows are stored once, with the columns in ``carry`` (all, unless given).
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    carried = docs.drop(*names, "perplexity", "lower", "upper", "base_failed", "kept", "_m", "_lang")
+    carried = docs.drop(*names, "perplexity", "lower", "upper", "base_failed", "kept", "_m", "_lang", "_doc", "_log")
     failed = (F.col("_m.n_words") < MIN_WORDS) | (100 * F.col("_m.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_m.n_words"))
     columns = list(carry if carry is not None else carried.columns)
-    measured = _measured(carried).withColumn("base_failed", failed)
-    measured = stored(measured.select(*columns, "_m", "base_failed", _language().alias("_lang")), "measured")
-    step = F.round(F.col("_m.log_ppl") / STEP).cast("int").alias("step")
-    steps = measured.where("not base_failed and _m.log_ppl is not null").groupBy("_lang", step).agg(F.count(F.lit(1)).alias("n"))
+    measured, logs = _measured(carried)
+    measured = stored(measured.withColumn("base_failed", failed).select(*columns, "_m", "base_failed", _language().alias("_lang"), "_doc"), "measured")
+    measured = measured.join(logs.select(F.col("doc").alias("_doc"), F.col("log_ppl").alias("_log")), "_doc", "left")
+    step = F.round(F.col("_log") / STEP).cast("int").alias("step")
+    steps = measured.where("not base_failed and _log is not null").groupBy("_lang", step).agg(F.count(F.lit(1)).alias("n"))
     quarters = F.percentile("step", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q")
     bands = steps.groupBy("_lang").agg(quarters).select(
         "_lang",
         (F.col("q")[1] * STEP - F.greatest((F.col("q")[1] - F.col("q")[0]) * STEP * width, F.lit(LEAST))).alias("lower"),
         (F.col("q")[1] * STEP + F.greatest((F.col("q")[2] - F.col("q")[1]) * STEP * width, F.lit(LEAST))).alias("upper"))
     judged = measured.join(bands, "_lang", "left")
-    inside = F.coalesce(F.col("_m.log_ppl").between(F.col("lower"), F.col("upper")), F.lit(True))
+    inside = F.coalesce(F.col("_log").between(F.col("lower"), F.col("upper")), F.lit(True))
     return judged.select(*columns, *[F.col(f"_m.{n}").alias(n) for n in names], "base_failed",
-                         (~F.col("base_failed") & inside).alias("kept"), F.exp("_m.log_ppl").alias("perplexity"),
+                         (~F.col("base_failed") & inside).alias("kept"), F.exp("_log").alias("perplexity"),
                          F.exp("lower").alias("lower"), F.exp("upper").alias("upper"))

@@ -353,3 +353,13 @@ def test_pseudonyms_of_numbers_side_by_side(spark):
     assert len(text[10]) == len(rows[10]) and sum(a == b for a, b in zip(text[10][9:], long)) < 1500 and text[10][-200:] != long[-200:]
     assert not any(x in text[11] for x in ("abcdefgh", "ijklmnop", "qrst", "uvw")) and text[11].endswith(" next")
     assert len(text[12]) == 6_000 and text[13] == rows[13] and got[13][1] == []
+
+
+def test_words_of_the_quality_model():
+    hashes = quality._WordHashes()
+    text = " ab  é\tab\x0b x\n".encode()
+    w = quality.hashed("en", text, hashes)
+    assert len(w) == 4 and w[0] == w[2] != w[1] and quality.hashed("de", text, hashes)[0] != w[0]
+    assert list(quality.spelt(quality.np.arange(len(text.decode()) + 1.0), text)) == [1 + 2 + 3, 5 + 6, 7 + 8 + 9, 11 + 12]
+    entries = quality._entries(0, 7, w, quality.np.zeros(4))
+    assert entries["n"].sum() == 5 and (quality._unpacked(quality._packed(entries)) == entries).all()
