@@ -16,7 +16,7 @@ punctuation, other letters by their code point), of order 4: at most 64 + 64**2
 language, which bounds its broadcast. Spark counts, discounts and interpolates it in one join for each order.
 
 Perplexity is per word. A language's band lies around its median logarithm, ``WIDTH`` times the quartile distances to
-either side (``LEAST`` at least): what is outside is rejected, the repetitive below, the garbled above. Medians are taken over all documents
+either side: what is outside is rejected, the repetitive below, the garbled above. Medians are taken over all documents
 that pass the base rules, from a histogram of fixed steps.
 
 NULL or empty texts have no words, fail the base rules and have no perplexity; a NULL language is a language of its
@@ -38,8 +38,8 @@ from stridelake.llm.minhash import _mix, _WordHashes
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 ORDER, BITS = 4, 6
-#: Width of the bands in quartile distances, least width and histogram step, all of the perplexity's logarithm.
-WIDTH, LEAST, STEP = 14.0, 0.5, 0.001
+#: Width of the bands in quartile distances, and histogram step (the least width), both of the perplexity's logarithm.
+WIDTH, STEP = 6.0, 0.001
 #: Words that the lower order counts for.
 PAIR_PRIOR, WORD_PRIOR = 50.0, 5.0
 #: Pairs of a block, and share of a language's words from which a word's pairs are spread.
@@ -414,8 +414,8 @@ def assess(docs: DataFrame, width: float = WIDTH, carry: Sequence[str] | None =
     quarters = F.percentile("step", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q")
     bands = steps.groupBy("_lang").agg(quarters).select(
         "_lang",
-        (F.col("q")[1] * STEP - F.greatest((F.col("q")[1] - F.col("q")[0]) * STEP * width, F.lit(LEAST))).alias("lower"),
-        (F.col("q")[1] * STEP + F.greatest((F.col("q")[2] - F.col("q")[1]) * STEP * width, F.lit(LEAST))).alias("upper"))
+        (F.col("q")[1] * STEP - F.greatest((F.col("q")[1] - F.col("q")[0]) * STEP * width, F.lit(STEP))).alias("lower"),
+        (F.col("q")[1] * STEP + F.greatest((F.col("q")[2] - F.col("q")[1]) * STEP * width, F.lit(STEP))).alias("upper"))
     judged = measured.join(bands, "_lang", "left")
     inside = F.coalesce(F.col("_log").between(F.col("lower"), F.col("upper")), F.lit(True))
     return judged.select(*columns, *[F.col(f"_m.{n}").alias(n) for n in names], "base_failed",

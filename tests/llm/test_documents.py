@@ -355,6 +355,29 @@ def test_pseudonyms_of_numbers_side_by_side(spark):
     assert len(text[12]) == 6_000 and text[13] == rows[13] and got[13][1] == []
 
 
+def test_quality_rejects_garbled_and_shuffled_texts(spark):
+    rnd = random.Random(21)
+    kinds = [["".join(rnd.choice("bdklmnrst") + rnd.choice("aeiou") for _ in range(3)) for _ in range(30)] for _ in range(4)]
+    clean = [[rnd.choice(kinds[i % 4]) for i in range(rnd.randint(80, 160))] for _ in range(400)]
+    planted = {"shuffled": [], "garbled": [], "symbols": []}
+    for _ in range(8):
+        for kind, found in planted.items():
+            words = [rnd.choice(kinds[i % 4]) for i in range(100)]
+            if kind == "shuffled":
+                rnd.shuffle(words)
+            elif kind == "garbled":
+                words[::10] = ["".join(rnd.choice("qwxzvjfghpcy") for _ in range(7)) for _ in words[::10]]
+            else:
+                words = ["".join("%&|$#*"[rnd.randrange(6)] if rnd.random() < 0.15 else c for c in w) for w in words]
+            found.append(words)
+    rows = [("clean", w) for w in clean] + [(kind, w) for kind, found in planted.items() for w in found]
+    docs = spark.createDataFrame([(kind, " ".join(w), "x") for kind, w in rows], "kind string, text string, lang string")
+    got = quality.assess(docs).collect()
+    assert not any(r["base_failed"] for r in got) and len(got) == len(rows)
+    assert not [r for r in got if r["kept"] and r["kind"] != "clean"]
+    assert sum(r["kept"] for r in got if r["kind"] == "clean") >= 396
+
+
 def test_words_of_the_quality_model():
     hashes = quality._WordHashes()
     text = " ab  é\tab\x0b x\n".encode()
