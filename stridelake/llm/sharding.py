@@ -2,9 +2,10 @@
 
 Documents are linked if their texts are equal. Members of a group with the same shard are interchangeable, so the state
 is one line for each group with its members by shard; hot groups are a line like any other. In each round a group's
-members ask to move to the shard that holds most of them. Requests are counted by (from, to, gain class, hash class), a
-table whose size is fixed by the number of shards; quotas are dealt on that table by falling gain, and joined back to
-the requests. Documents without a link cost nothing wherever they are and fill every shard up to its quota, so the law
+members ask to move to the shard that holds most of them; ties are broken anew in each round. Requests are counted by
+(from, to), a table whose size is fixed by the number of shards. Opposite requests, and such as close a longer circle of
+shards, are granted against each other, so full shards take part; what is left goes into free room. Each pair of shards
+grants its requests in the order of falling gain up to its number, the last one in part. Documents without a link cost nothing wherever they are and fill every shard up to its quota, so the law
 ``rows`` (counts at most one apart) holds after every round.
 
 NULL texts have no link, one byte of size and no checksum; empty texts are equal to each other; repeated rows are rows;
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 from stridelake.llm.common import laid_out, running, stored
 
 SHARDS, ROUNDS = 8, 5
-GAIN_CLASSES, HASH_CLASSES = 40, 16
 LAW = "rows"
 
 
@@ -27,56 +27,67 @@ def _quotas(rows: int, shards: int) -> list[int]:
     return [rows // shards + (k < rows % shards) for k in range(shards)]
 
 
-def _grants(wanted: list[tuple[int, int, int, int]], linked: list[int], quota: list[int]) -> list[tuple[int, int, int, float]]:
-    """Shares of the request classes (from, to, class, members) that are granted, best class first."""
-    found, open_ = [], sorted(wanted, key=lambda r: (r[2], r[0], r[1]))
-    linked, granted = list(linked), True
-    while granted:
-        granted, later = False, []
-        for a, b, rank, n in open_:
-            if linked[b] + n <= quota[b]:
-                linked[a] -= n
-                linked[b] += n
-                found.append((a, b, rank, 1.0))
-                granted = True
-            else:
-                later.append((a, b, rank, n))
-        open_ = later
-    for a, b, rank, n in open_:  # what is left of the room, in part; nobody's leaving is counted on
-        room = quota[b] - linked[b]
-        if room > 0:
-            linked[b] += room
-            found.append((a, b, rank, room / n))
-    return found
-
-
-def _round(state: DataFrame, shards: int, quota: list[int]) -> tuple[DataFrame, int]:
-    spark = state.sparkSession
+def _circle(left: dict[tuple[int, int], int]) -> list[tuple[int, int]]:
+    """A shortest circle of open requests between shards, if there is one."""
+    best: list[tuple[int, int]] = []
+    for start in sorted({a for a, _ in left}):
+        paths, seen = [[(a, b)] for a, b in sorted(left) if a == start and left[a, b]], set()
+        for path in paths:  # breadth first; the list grows
+            end = path[-1][1]
+            if end == start:
+                if not best or len(path) < len(best):
+                    best = path
+                break
+            if end not in seen:
+                seen.add(end)
+                paths += [[*path, (a, b)] for a, b in sorted(left) if a == end and left[a, b]]
+    return best
+
+
+def _grants(wanted: dict[tuple[int, int], int], linked: list[int], quota: list[int]) -> dict[tuple[int, int], int]:
+    """Members that may move between each two shards, all at once: circles first, then free room until none is left."""
+    left, linked = dict(wanted), list(linked)
+    granted = dict.fromkeys(wanted, 0)
+    while circle := _circle(left):
+        n = min(left[e] for e in circle)
+        for e in circle:
+            left[e] -= n
+            granted[e] += n
+    moved = True
+    while moved:
+        moved = False
+        for a, b in sorted(left, key=lambda e: (-left[e], e)):
+            n = min(left[a, b], quota[b] - linked[b])
+            if n > 0:
+                left[a, b] -= n
+                granted[a, b] += n
+                linked[a], linked[b], moved = linked[a] - n, linked[b] + n, True
+    return {e: n for e, n in granted.items() if n}
+
+
+def _round(state: DataFrame, shards: int, quota: list[int], turn_of: int) -> tuple[DataFrame, int]:
+    """The state after a round, and how many requests there were."""
     linked = list(state.agg(*[F.coalesce(F.sum(F.col("c")[k]), F.lit(0)) for k in range(shards)]).first())
-    closed = [linked[k] >= quota[k] for k in range(shards)]
-    turn = F.pmod(F.xxhash64("g"), F.lit(shards))
-    order = [F.struct(F.when(F.lit(closed[k]), F.lit(-1)).otherwise(F.col("c")[k]).alias("n"), F.pmod(turn + k, F.lit(shards)).alias("t"), F.lit(k).alias("k"))
-             for k in range(shards)]
+    turn = F.pmod(F.xxhash64("g", F.lit(turn_of)), F.lit(shards))
+    order = [F.struct(F.col("c")[k].alias("n"), F.pmod(turn + k, F.lit(shards)).alias("t"), F.lit(k).alias("k")) for k in range(shards)]
     best = state.withColumn("to", F.array_max(F.array(*order))["k"])
     asks = best.select("g", "to", F.posexplode("c").alias("from", "n"), F.element_at("c", F.col("to") + 1).alias("there"))
-    asks = asks.where((F.col("n") > 0) & (F.col("from") != F.col("to")) & (F.col("there") >= F.col("n")) & (F.col("there") >= 0))
-    gain = F.least(F.floor(F.log2(F.col("there") - F.col("n") + 1)), F.lit(GAIN_CLASSES - 1))
-    rank = (GAIN_CLASSES - 1 - gain) * HASH_CLASSES + F.pmod(F.xxhash64("g", F.lit(3)), F.lit(HASH_CLASSES))
-    asks = stored(asks.select("g", "from", "to", "n", rank.cast("int").alias("rank")), "asks")
-    # at most shards * shards * GAIN_CLASSES * HASH_CLASSES lines
-    wanted = [(r["from"], r["to"], r["rank"], r["n"]) for r in asks.groupBy("from", "to", "rank").agg(F.sum("n").alias("n")).collect()]
-    wanted = [w for w in wanted if not closed[w[1]]]
+    asks = asks.where((F.col("n") > 0) & (F.col("from") != F.col("to"))).withColumn("gain", F.col("n") - F.col("there"))
+    asks = laid_out(asks.select("g", "from", "to", "n", "gain"), ["from", "to", "gain", "g"], "asks")
+    # at most shards * shards lines
+    wanted = {(r["from"], r["to"]): r["n"] for r in asks.groupBy("from", "to").agg(F.sum("n").alias("n")).collect()}
     grants = _grants(wanted, linked, quota)
     if not grants:
-        return state, 0
-    allowed = spark.createDataFrame(grants, "from int, to int, rank int, share double")
-    moved = asks.join(allowed, ["from", "to", "rank"]).withColumn("m", F.floor(F.col("n") * F.col("share"))).where("m > 0")
+        return state, len(wanted)
+    limit = F.lit(0)
+    for (a, b), n in grants.items():
+        limit = F.when((F.col("from") == a) & (F.col("to") == b), F.lit(n)).otherwise(limit)
+    moved = running(asks, "n", "before", by=["from", "to"]).withColumn("m", F.least(F.col("n"), limit - F.col("before"))).where("m > 0")
     change = moved.groupBy("g").agg(*[
         (F.sum(F.when(F.col("to") == k, F.col("m")).otherwise(0)) - F.sum(F.when(F.col("from") == k, F.col("m")).otherwise(0))).alias(f"d{k}")
         for k in range(shards)])
     new = F.array(*[F.col("c")[k] + F.coalesce(F.col(f"d{k}"), F.lit(0)) for k in range(shards)])
-    state = stored(state.join(change, "g", "left").select("g", "first", new.alias("c")), "labels")
-    return state, len(grants)
+    return stored(state.join(change, "g", "left").select("g", "first", new.alias("c")), "labels"), len(wanted)
 
 
 def _pick(cumulative: list[Column], value: Column) -> Column:
@@ -97,9 +108,9 @@ def shard(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS) -> DataFr
     dealt = [F.greatest(F.floor((F.col("n") - F.pmod(k - F.col("start"), F.lit(shards)) + shards - 1) / shards), F.lit(0)).cast("long") for k in range(shards)]
     state = stored(groups.select("g", "first", F.array(*dealt).alias("c")), "labels")
     quota = _quotas(placed.count(), shards)
-    for _ in range(rounds):
-        state, moves = _round(state, shards, quota)
-        if not moves:
+    for i in range(rounds):
+        state, asked = _round(state, shards, quota, i)
+        if not asked:
             break
     linked = list(state.agg(*[F.coalesce(F.sum(F.col("c")[k]), F.lit(0)) for k in range(shards)]).first())
     own = placed.join(state.select("g", "first", "c"), "g", "left")

@@ -386,3 +386,22 @@ def test_words_of_the_quality_model():
     assert list(quality.spelt(quality.np.arange(len(text.decode()) + 1.0), text)) == [1 + 2 + 3, 5 + 6, 7 + 8 + 9, 11 + 12]
     entries = quality._entries(0, 7, w, quality.np.zeros(4))
     assert entries["n"].sum() == 5 and (quality._unpacked(quality._packed(entries)) == entries).all()
+
+
+def test_grants_swap_between_full_shards():
+    full = [10, 10, 10]
+    assert sharding._grants({(0, 1): 3, (1, 0): 5}, full, full) == {(0, 1): 3, (1, 0): 3}
+    assert sharding._grants({(0, 1): 3, (1, 2): 5, (2, 0): 4}, full, full) == {(0, 1): 3, (1, 2): 3, (2, 0): 3}
+    assert sharding._grants({(0, 1): 30, (1, 2): 1}, [10, 9, 10], full) == {(0, 1): 1}
+
+
+def test_shards_of_a_table_in_which_all_rows_have_copies(spark):
+    rows = [(i, f"group {i // 8}") for i in range(800)] + [(1000 + i, f"pair {i // 2}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    text, shards, places = dict(rows), collections.Counter(), collections.defaultdict(set)
+    for r in sharding.shard(docs).collect():
+        shards[r["shard"]] += 1
+        places[text[r["doc_id"]]].add(r["shard"])
+    assert sum(shards.values()) == 1200 and max(shards.values()) - min(shards.values()) <= 1
+    groups, pairs = ([len(v) for k, v in places.items() if k.startswith(name)] for name in ("group", "pair"))
+    assert sum(groups) <= 200 and sum(n == 1 for n in pairs) >= 120  # 800 and 0 if nothing moves
