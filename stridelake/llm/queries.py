@@ -7,11 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.llm import covertree, curriculum, licences, minhash, packing, preference, pseudonyms, quality, sharding, warc
-from stridelake.llm.common import documents
+from stridelake.llm import (
+    alignment, conversation_repair, covertree, curriculum, licences, minhash, packing, preference, pseudonyms, quality, secret_scan, sharding, warc,
+)
+from stridelake.llm.common import documents, stored
 from stridelake.session import scratch
 
 TOKENIZER = "word_bpe_49k.json"
+BYTE_LEVEL, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,10 +67,29 @@ def op10_label_propagation_shards(spark: SparkSession, sf_dir: str) -> DataFrame
     return sharding.shard(documents(spark, sf_dir, "doc_id", "text"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(documents(spark, sf_dir, "doc_id", "text"))
+    counts = [F.size(secret_scan.of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in secret_scan.KINDS]
+    base = F.sha2(secret_scan.written(secret_scan.of_kind(*secret_scan.BASE)), 256)
+    return found.select("doc_id", *counts, base.alias("base_sha256"), secret_scan.written(F.col("secrets")).alias("spans"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = conversation_repair.damaged(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return conversation_repair.repair(turns, F.col("present"))
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(documents(spark, sf_dir, "doc_id", "text"), BYTE_LEVEL, PIECES)
+    found = alignment.scored(stored(aligned, "aligned"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     fn.__name__: fn
     for fn in (op1_quality_rules, op2_preference_pairs, op3_curriculum_mix, op4_feistel_pseudonyms, op5_cover_tree_pairs,
-               op6_warc_round_trip, op7_near_duplicates, op8_licence_digests, op9_best_fit_packing, op10_label_propagation_shards)
+               op6_warc_round_trip, op7_near_duplicates, op8_licence_digests, op9_best_fit_packing, op10_label_propagation_shards,
+               op11_secret_scan, op12_conversation_repair, op13_token_alignment)
 }
 
 
