@@ -1,14 +1,15 @@
 """Alignment of two tokenizers over the same texts, on Arrow arrays.
 
-A chunk of texts is encoded by both tokenizers. Its ids are one list array each: flattened, with parent indices; the
-byte lengths of the ids are summed up and each text's start taken off, which gives every token's end; (text, end) is one
-number, on which an Acero hash join finds the tokens that end together; a group-by of that join counts each text's id
-pairs. Spark merges these partial counts over the corpus and joins them back to the texts, by broadcast only where its
-own size check allows, else by a shuffle; a pair that a third of all texts hold is one row for each of them there.
+The texts of a chunk are cut at single blanks between other characters. Neither vocabulary has a token that continues over
+such a blank, so a text's tokens are those of its words (this is checked when the vocabularies are loaded; where it does
+not hold, a text is one word), and a word is encoded once for many texts. The chunk's ids are one list array each:
+flattened, with parent indices; the byte lengths of the ids are summed up and each text's start taken off, which gives
+every token's end; (text, end) is one number, on which an Acero hash join finds the tokens that end together; a group-by
+of that join counts each text's id pairs. Spark merges these partial counts over the corpus and joins them back to the
+texts, by broadcast only where its own size check allows, else by a shuffle; a pair that a third of all texts hold is one
+row for each of them there.
 
-A text longer than ``CHUNK_CHARS`` is cut at single blanks between other characters. Neither vocabulary has a token that
-continues over such a blank, so the pieces have the tokens of the whole and end together in both; this is checked when
-the vocabularies are loaded, and a text is left whole where it does not hold. A text without such a blank is one piece.
+A text longer than ``CHUNK_CHARS`` is aligned piece by piece, cut at such blanks too; one without any is one piece.
 
 A text has no tokens, and zeros for all counts, if it is NULL or empty or if the bytes of either tokenizer's tokens are not a
 blank and the text. Repeated rows and ids are texts of their own; only the carried columns are returned, so others may have
@@ -20,7 +21,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -32,9 +33,12 @@ from stridelake.llm.common import stored
 
 #: Characters of texts that are taken together, and of the pieces of a long one.
 CHUNK_CHARS = 1 << 20
+#: Words whose ids a task remembers, and their characters, before it starts afresh.
+CACHE_WORDS, CACHE_CHARS = 300_000, 8 << 20
 #: Bits of the end within a text; the text's place stands above them.
 END_BITS = 40
 _CUT = re.compile(r"(?<=\S) (?=\S)")
+_OTHER_BLANKS = re.compile(r"\s\s")
 _PAIRS = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32()), ("n", pa.int64())]))
 FIELDS = ("n_a", "n_b", "n_groups", "n_links")
 
@@ -46,6 +50,14 @@ def _byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(other)}
 
 
+class _Numbers(dict):
+    """Words by the order in which they came."""
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        return number
+
+
 class Tokenizers:
     """Both tokenizers with the bytes of their ids. ``a`` is a byte-level file, ``b`` a model that puts a blank in front."""
 
@@ -71,9 +83,36 @@ class Tokenizers:
         self.shown = pa.array([f"{i}{e}" for s, side in zip((spelt_a, spelt_b), ends) for i in range(len(s)) for e in side], pa.string())
         self.first_b = 2 * len(spelt_a)
 
-    def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
-        in_a = [e.ids for e in self.a.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
-        return in_a, self.b.encode(texts, num_threads=1)
+        self.forget()
+
+    def forget(self) -> None:
+        self.numbers, self.chars, self.good = _Numbers(), 0, np.zeros(0, bool)
+        self.ids = [pa.array([], pa.list_(pa.int32()))] * 2
+
+    def words(self, text: str) -> list[str]:
+        if not self.separable or not text:
+            return [text] if text else []
+        if text[0] == " " or text[-1] == " " or _OTHER_BLANKS.search(text):
+            return _CUT.split(text)
+        return text.split(" ")
+
+    def numbered(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the texts' words, one text after the other, and how many each text has. New words are encoded together."""
+        if len(self.numbers) >= CACHE_WORDS or self.chars >= CACHE_CHARS:
+            self.forget()
+        before, words = len(self.numbers), [self.words(t) for t in texts]
+        counts = np.fromiter(map(len, words), np.int64, len(words))
+        codes = np.fromiter(map(self.numbers.__getitem__, chain.from_iterable(words)), np.int64, counts.sum())
+        new = list(islice(reversed(self.numbers), len(self.numbers) - before))[::-1]
+        if new:
+            self.chars += sum(map(len, new))
+            in_a = [e.ids for e in self.a.encode_batch_fast([" " + w for w in new], add_special_tokens=False)]
+            found = [_flat(in_a), _flat(self.b.encode(new, num_threads=1))]
+            want = [b" " + w.encode() for w in new]
+            good = _spells(found[0], self.bytes[0], want) & _spells(found[1], self.bytes[1], want)
+            self.good = np.concatenate([self.good, good])
+            self.ids = [pa.concat_arrays([known, f]) for known, f in zip(self.ids, found)]
+        return codes, counts
 
     def pieces(self, text: str) -> list[str]:
         if len(text) <= CHUNK_CHARS or not self.separable:
@@ -89,21 +128,23 @@ class Chunk:
     """Alignment of some texts: counts by text, the id pairs ``(text, a, b, n)`` and the groups as written."""
 
     def __init__(self, both: Tokenizers, texts: list[str]):
-        found = both.encode(texts)
-        want = [b" " + t.encode() for t in texts]
-        sides = [_flat(ids) for ids in found]
-        self.good = np.array([bool(t) for t in texts], bool)
-        for side, spelt in zip(sides, both.bytes):
-            self.good &= _spells(side, spelt, want)
-        if not self.good.all():  # rare: encode nothing for those texts
-            sides = [_flat([i if g else [] for i, g in zip(ids, self.good)]) for ids in found]
+        codes, n_words = both.numbered(texts)
+        owner = np.repeat(np.arange(len(texts)), n_words)
+        self.good = (n_words > 0) & (np.bincount(owner[~both.good[codes]], minlength=len(texts)) == 0)
+        if not self.good.all():
+            codes, n_words = codes[self.good[owner]], n_words * self.good
+        starts, sides = np.concatenate([[0], np.cumsum(n_words)]), []
+        for known in both.ids:
+            taken = known.take(pa.array(codes))
+            sides.append(pa.ListArray.from_arrays(taken.offsets.take(pa.array(starts)), pc.list_flatten(taken)))
         (ids_a, key_a), (ids_b, key_b) = [_ends(s, n) for s, n in zip(sides, both.lengths)]
         left = pa.table({"key": key_a, "a": ids_a})
         links = left.join(pa.table({"key": key_b, "b": ids_b}), "key", join_type="inner", use_threads=False).combine_chunks()
         text = pc.shift_right(links["key"], END_BITS)
         pairs = pa.table({"text": text, "a": links["a"], "b": links["b"]}).group_by(["text", "a", "b"], use_threads=False).aggregate([([], "count_all")])
         self.pairs = pairs.rename_columns(["text", "a", "b", "n"]).sort_by("text").combine_chunks()
-        common = np.unique(links["key"].to_numpy())
+        common = np.sort(links["key"].to_numpy(), kind="stable")
+        common = common[np.append(True, common[1:] != common[:-1])[: len(common)]]
         per = lambda values: np.bincount(values, minlength=len(texts)).astype(np.int64)
         self.counts = np.stack([pc.list_value_length(s).to_numpy().astype(np.int64) for s in sides]
                                + [per(common >> END_BITS), per(text.to_numpy())], axis=1)
@@ -137,8 +178,9 @@ def _written(both: Tokenizers, ids_a: pa.Array, key_a: pa.Array, ids_b: pa.Array
     what follows them taken in one go; a text's groups are then a slice of the result's bytes."""
     a, b, key_a, key_b = (x.to_numpy() for x in (ids_a, ids_b, key_a, key_b))
     group_a, group_b = np.searchsorted(common, key_a), np.searchsorted(common, key_b)
-    place_a = np.arange(len(a)) + np.searchsorted(group_b, group_a, "left")
-    place_b = np.arange(len(b)) + np.searchsorted(group_a, group_b, "right")
+    in_a, in_b = np.bincount(group_a, minlength=len(common)), np.bincount(group_b, minlength=len(common))
+    place_a = np.arange(len(a)) + (np.cumsum(in_b) - in_b)[group_a]
+    place_b = np.arange(len(b)) + np.cumsum(in_a)[group_b]
     last = lambda x: np.append(x[1:] != x[:-1], True)[: len(x)]
     codes = np.empty(len(a) + len(b), np.int64)
     codes[place_a] = 2 * a + last(group_a)
