@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stridelake.llm import (
-    alignment, conversation_repair, covertree, curriculum, licences, minhash, packing, preference, pseudonyms, quality, secret_scan, sharding, warc,
+    alignment, conversation_repair, covertree, curriculum, licences, minhash, oracle, packing, preference, pseudonyms, quality, secret_scan, sharding, warc,
 )
 from stridelake.llm.common import documents, stored
 from stridelake.session import scratch
@@ -95,4 +95,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 def statements() -> dict[str, str]:
     """SQL for the queries that it can express."""
-    return {}
+    return oracle.statements()
