@@ -12,6 +12,8 @@ from stridelake.functions import columns as X
 from stridelake.operators import rules as R
 
 KEYS = ("user_id", "timestamp")
+#: Whole digest of the user's id, which stored tables merge on.
+USER_KEY = "user_key"
 MEASURES = ("steps", "calories", "intensity", "sleep_value")
 
 
@@ -74,6 +76,11 @@ def dedup(df: DataFrame, keys: Sequence[str] = KEYS, order_by: Sequence[Column]
     return latest_per_key(df, keys, order_by)
 
 
+def merge_keys(columns: Sequence[str]) -> list[str]:
+    """What tells the rows of a stored silver table apart."""
+    return [USER_KEY if c == "user_id" and USER_KEY in columns else c for c in KEYS]
+
+
 def mask(df: DataFrame, hex_chars: int = 8) -> DataFrame:
     return df.withColumn("user_id", X.mask_user(F.col("user_id"), hex_chars))
 

@@ -39,7 +39,7 @@ def _sleep(k: Column) -> Column:
     return F.when(k < 25, None).when(k < 50, 1).when(k < 75, 2).otherwise(3)
 
 
-def minute_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+def minute_raw(spark: SparkSession, sf_dir: str, *carry: str) -> DataFrame:
     """Raw minute events as text: some without user, with unreadable time, negative steps or delivered twice."""
     k = F.col("k")
     row = F.struct(
@@ -54,11 +54,25 @@ def minute_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
         .withColumn("k", _k())
-        .select(F.posexplode(sent).alias("copy", "row"))
-        .select("row.*", F.concat(F.lit("2024-02-01 00:0"), F.col("copy").cast("string"), F.lit(":00")).alias("ingest_time"))
+        .select(F.posexplode(sent).alias("copy", "row"), *carry)
+        .select("row.*", F.concat(F.lit("2024-02-01 00:0"), F.col("copy").cast("string"), F.lit(":00")).alias("ingest_time"), *carry)
     )
 
 
+def loads(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """All raw events as JSON lines of three loads, by event type. The second load brings a ``heart_rate``; every load has
+    lines that break off."""
+    k, kind = F.col("k"), F.col("event_type")
+    raw = ("user_id", "timestamp", "steps", "calories", "intensity", "sleep_value", "ingest_time")
+    rows = minute_raw(spark, sf_dir, "event_type", "k")
+    load = F.when(kind.isin("view", "click"), 0).when(kind.isin("signup", "purchase"), 1).otherwise(2)
+    rate = F.when(load == 1, 60 + k)
+    line = F.to_json(F.struct(*raw, rate.alias("heart_rate")))
+    broken = F.when(k == 96, F.concat(F.lit("broken "), line)).otherwise(line)
+    dealt = rows.select(load.alias("load"), broken.alias("value"))
+    return [dealt.filter(F.col("load") == i).select("value") for i in range(3)]
+
+
 def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.build_silver(minute_raw(spark, sf_dir))
 

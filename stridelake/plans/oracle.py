@@ -217,6 +217,40 @@ _PARTS: dict[str, str] = {
                            UNION ALL SELECT {_SILVER}, seq, operation_type FROM changed)
             QUALIFY row_number() OVER (PARTITION BY user_id, timestamp ORDER BY seq DESC) = 1)
         WHERE operation_type IS DISTINCT FROM 'DELETE'""",
+    "lines": f"""
+        SELECT *, CASE WHEN load = 1 THEN CAST(60 + k AS VARCHAR) END AS heart_rate FROM (
+            SELECT CASE WHEN k = 97 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS user_id,
+                   CASE WHEN k = 98 THEN 'bad' ELSE {_MINUTE_TEXT} END AS timestamp,
+                   CASE WHEN k = 99 THEN '-1' ELSE CAST(CAST(floor(value) AS BIGINT) AS VARCHAR) END AS steps,
+                   CAST(floor(value) / 4.0 AS VARCHAR) AS calories, CAST(intensity AS VARCHAR) AS intensity,
+                   CAST(sleep_value AS VARCHAR) AS sleep_value, '2024-02-01 00:0' || copy || ':00' AS ingest_time, k,
+                   CASE WHEN event_type IN ('view', 'click') THEN 0 WHEN event_type IN ('signup', 'purchase') THEN 1 ELSE 2 END AS load
+            FROM (SELECT *, unnest(CASE WHEN k < 10 THEN [0, 1] ELSE [0] END) AS copy FROM ev))""",
+    "bronze_rows": """
+        SELECT load, k = 96 AS broken, CASE WHEN k <> 96 THEN user_id END AS user_id, CASE WHEN k <> 96 THEN timestamp END AS timestamp,
+               CASE WHEN k <> 96 THEN steps END AS steps, CASE WHEN k <> 96 THEN calories END AS calories,
+               CASE WHEN k <> 96 THEN intensity END AS intensity, CASE WHEN k <> 96 THEN sleep_value END AS sleep_value,
+               CASE WHEN k <> 96 THEN ingest_time END AS ingest_time, CASE WHEN k <> 96 THEN heart_rate END AS heart_rate,
+               CASE WHEN k = 96 THEN 'broken {' || concat_ws(',', '"user_id":"' || user_id || '"', '"timestamp":"' || timestamp || '"',
+                   '"steps":"' || steps || '"', '"calories":"' || calories || '"', '"intensity":"' || intensity || '"',
+                   '"sleep_value":"' || sleep_value || '"', '"ingest_time":"' || ingest_time || '"', '"heart_rate":' || heart_rate) || '}'
+               END AS _corrupt_record, CAST(NULL AS VARCHAR) AS _rescued,
+               try_strptime(CASE WHEN k <> 96 THEN timestamp END, '%m/%d/%Y %I:%M:%S %p') AS ts
+        FROM lines""",
+    "judged": """
+        SELECT *, CASE WHEN broken THEN 'unreadable' ELSE concat_ws('; ', CASE WHEN ts IS NULL THEN 'timestamp_not_null' END,
+            CASE WHEN TRY_CAST(steps AS INTEGER) >= 0 THEN NULL ELSE 'steps_not_negative' END,
+            CASE WHEN TRY_CAST(calories AS DOUBLE) >= 0 THEN NULL ELSE 'calories_not_negative' END,
+            CASE WHEN user_id IS NULL THEN 'user_id_not_null' END) END AS broken_rules
+        FROM bronze_rows""",
+    "first_late": "SELECT max(ts) - INTERVAL 20 DAY AS mark FROM judged WHERE load = 0 AND broken_rules = ''",
+    "second_late": """
+        SELECT max(ts) - INTERVAL 20 DAY AS mark FROM judged
+        WHERE broken_rules = '' AND (load = 0 OR load = 1 AND ts >= (SELECT mark FROM first_late))""",
+    "routed": """
+        SELECT * EXCLUDE (broken_rules), concat_ws('; ', nullif(broken_rules, ''), CASE WHEN NOT broken AND ts <
+            CASE load WHEN 1 THEN (SELECT mark FROM first_late) WHEN 2 THEN (SELECT mark FROM second_late) END THEN 'late' END) AS reasons
+        FROM judged""",
     # --- retention ---
     "listing": """
         SELECT CASE o_orderstatus WHEN 'F' THEN 'bronze' WHEN 'O' THEN 'silver' ELSE 'gold' END AS store,
@@ -278,6 +312,7 @@ _GOLD_RULES = {
     "health_risk_domain": "health_risk IN ('LOW_RISK', 'MEDIUM_RISK', 'HIGH_RISK')",
 }
 _PARTS["gold_from_silver"] = _gold("silver", full=True)
+_PARTS["gold_applied"] = _gold("applied", full=True)
 _PARTS["quality_lines"] = " UNION ALL ".join(
     [
         _failed("bronze", "typed", _BRONZE_RULES, "user_id, timestamp"),
@@ -316,6 +351,14 @@ _BODIES: dict[str, str] = {
     "stream_silver": "SELECT * FROM silver",
     "stream_gold": _gold("silver"),
     "stream_rewards": "SELECT * FROM state",
+    "profile_lookup": "SELECT * FROM state WHERE user_id IN (SELECT user_id FROM found WHERE event_type = 'FRAUD_DETECTED')",
+    "stream_drift": "SELECT * EXCLUDE (load, broken, ts) FROM bronze_rows",
+    "stream_quarantine": "SELECT * EXCLUDE (load, broken, ts) FROM routed WHERE reasons <> ''",
+    "stream_bronze": """
+        SELECT 'bronze' AS layer, count(*) AS row_count FROM bronze_rows
+        UNION ALL SELECT 'silver', count(*) FROM (SELECT DISTINCT user_id, ts FROM routed WHERE reasons = '')
+        UNION ALL SELECT 'quarantine: ' || reason, count(*)
+        FROM (SELECT unnest(string_split(reasons, '; ')) AS reason FROM routed WHERE reasons <> '') GROUP BY ALL""",
     "scan_parquet": "SELECT event_id, user_id, event_type, value FROM events WHERE event_type <> 'error'",
     "silver_typed": "SELECT * FROM typed",
     "silver_clean": "SELECT * FROM cleaned",
@@ -512,6 +555,33 @@ _BODIES: dict[str, str] = {
         SELECT user_id, timestamp, {_VALUES}, 'update_postimage' FROM (
             SELECT n.* FROM base o JOIN applied n USING (user_id, timestamp) WHERE o.seq <> n.seq)""",
     "gold_incremental": _gold("applied"),
+    "feed_between_versions": f"""
+        SELECT user_id, timestamp, {_VALUES}, CAST(NULL AS INTEGER) AS heart_rate, 'insert' AS _change_type, 1 AS since
+        FROM applied n ANTI JOIN base USING (user_id, timestamp)
+        UNION ALL
+        SELECT user_id, timestamp, {_VALUES}, NULL, 'delete', 1 FROM base o ANTI JOIN applied USING (user_id, timestamp)
+        UNION ALL
+        SELECT user_id, timestamp, {_VALUES}, NULL, 'update_preimage', 1 FROM (
+            SELECT o.* FROM base o JOIN applied n USING (user_id, timestamp) WHERE o.seq <> n.seq)
+        UNION ALL
+        SELECT user_id, timestamp, {_VALUES}, NULL, 'update_postimage', 1 FROM (
+            SELECT n.* FROM base o JOIN applied n USING (user_id, timestamp) WHERE o.seq <> n.seq)
+        UNION ALL
+        SELECT user_id, timestamp, {_VALUES}, NULL, 'update_preimage', 2 FROM applied WHERE sleep_value = 1
+        UNION ALL
+        SELECT user_id, timestamp, {_VALUES}, 60 + intensity, 'update_postimage', 2
+        FROM (SELECT * REPLACE (seq + 10 AS seq) FROM applied) WHERE sleep_value = 1""",
+    "gold_partials": _gold("applied"),
+    "gold_followed": f"""
+        SELECT *, CASE WHEN insurance_risk_score <= 10 THEN 'DISCOUNT_10%' WHEN insurance_risk_score >= 90 THEN 'SURCHARGE_20%'
+                       ELSE 'STANDARD' END AS premium_adjustment
+        FROM (SELECT {_FRAUD_FLAGS}, CASE activity_level WHEN 'HIGH' THEN 10 WHEN 'MEDIUM' THEN 30 WHEN 'LOW' THEN 60
+                     ELSE 90 END AS insurance_risk_score FROM gold_applied)""",
+    "gold_expectations": " UNION ALL ".join(
+        f"SELECT '{name}' AS rule, count(*) AS total_rows, count(*) FILTER (WHERE ({test}) IS NOT TRUE) AS failed_rows FROM gold_from_silver"
+        for name, test in (("valid_total_steps", "total_steps >= 0"), ("valid_total_calories", "total_calories >= 0"), ("valid_user_id", "user_id IS NOT NULL"),
+                           ("valid_anomaly_score", "anomaly_score BETWEEN 0 AND 1"), ("valid_fraud_flag", "true"))
+    ),
     # --- model ---
     "training_set": """
         SELECT CASE WHEN anomaly_score >= 0.8 THEN 1 ELSE 0 END AS label, total_steps, total_calories, active_minutes,

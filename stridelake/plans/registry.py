@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stridelake.config import FRAUD
 from stridelake.functions import columns as X
 from stridelake.operators import change as C
 from stridelake.operators import events as E
@@ -21,8 +23,8 @@ from stridelake.operators import silver as S
 from stridelake.plans import adapters as A
 from stridelake.schemas import CORRUPT
 from stridelake.session import cut, pin, scratch
-from stridelake.sources import readers, sinks
-from stridelake.streaming import sources, stages, tables
+from stridelake.sources import readers, sinks, versions
+from stridelake.streaming import bronze, follow, sources, stages, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -155,7 +157,8 @@ def warehouse_daily_summary(spark, sf_dir):
 
 @query
 def warehouse_count(spark, sf_dir):
-    return sinks.warehouse_rows(A.gold_scaled(spark, sf_dir)).agg(F.count(F.lit(1)).alias("row_count"))
+    sinks.load_warehouse(spark, A.gold_scaled(spark, sf_dir), "daily_summary_loaded", scratch(spark, "warehouse"))
+    return spark.table("daily_summary_loaded").agg(F.count(F.lit(1)).alias("row_count"))
 
 
 # --- daily and hourly features ---
@@ -392,6 +395,51 @@ def snapshot_diff(spark, sf_dir):
     return C.snapshot_diff(old, new, S.KEYS)
 
 
+def _three_versions(spark, sf_dir, path):
+    """Silver in versions: the table, changes applied, and a column added to some rows."""
+    base = A.silver(spark, sf_dir).withColumn("seq", F.lit(0))
+    versions.commit(base, path, sinks.SILVER_PARTITIONS, cluster_by=S.KEYS)
+    yield 1
+    versions.upsert(A.change_rows(versions.read(spark, path)), path, S.KEYS, sinks.SILVER_PARTITIONS, "seq")
+    yield 2
+    measured = versions.read(spark, path).filter("sleep_value = 1")
+    measured = measured.withColumns({"heart_rate": 60 + F.col("intensity"), "seq": F.col("seq") + 10})
+    versions.upsert(measured, path, S.KEYS, sinks.SILVER_PARTITIONS, "seq")
+    yield 3
+
+
+@query
+def feed_between_versions(spark, sf_dir):
+    path = scratch(spark, "versions")
+    last = list(_three_versions(spark, sf_dir, path))[-1]
+    feeds = [versions.feed_between(spark, path, S.KEYS, old, old + 1).withColumn("since", F.lit(old)) for old in range(1, last)]
+    return feeds[0].unionByName(feeds[1], allowMissingColumns=True)
+
+
+@query
+def gold_partials(spark, sf_dir):
+    root = scratch(spark, "partials")
+    for _ in _three_versions(spark, sf_dir, f"{root}/silver"):
+        follow.partial_days(spark, f"{root}/silver", f"{root}/partial")
+    return G.classify(G.partial_totals(versions.read(spark, f"{root}/partial")))
+
+
+@query
+def gold_followed(spark, sf_dir):
+    root = scratch(spark, "followed")
+    for _ in _three_versions(spark, sf_dir, f"{root}/silver"):
+        follow.gold(spark, f"{root}/silver", f"{root}/gold")
+    return versions.read(spark, f"{root}/gold/insurance").drop("processed_at", follow.SEQUENCE)
+
+
+@query
+def gold_expectations(spark, sf_dir):
+    root = scratch(spark, "expected")
+    next(_three_versions(spark, sf_dir, f"{root}/silver"))
+    follow.gold(spark, f"{root}/silver", f"{root}/gold")
+    return follow.expectation_counts(spark, f"{root}/gold/daily").unionByName(follow.expectation_counts(spark, f"{root}/gold/fraud"))
+
+
 @query
 def gold_incremental(spark, sf_dir):
     old, new = _versions(spark, sf_dir)
@@ -438,14 +486,14 @@ def prediction_classes(spark, sf_dir):
 # --- streams, run to the end of the data and read back ---
 
 
-def _streamed(spark, sf_dir):
-    """(silver path, change feed path): raw rows as JSON files, streamed in several batches."""
+def _streamed(spark, sf_dir, then=None):
+    """Folder with silver: raw rows as JSON files, streamed in several batches."""
     root = scratch(spark, "stream")
     raw = A.minute_raw(spark, sf_dir)
     sinks.write_json_lines(raw.select(F.to_json(F.struct(*raw.columns)).alias("value")).repartition(4), f"{root}/raw")
     bronze = sources.bronze_stream(spark, f"{root}/raw", f"{root}/schema", max_files=2)
     rows = stages.silver_stream(bronze, "batch").drop(CORRUPT, *PROVENANCE)
-    each = tables.silver_with_feed(f"{root}/silver", f"{root}/feed", "ingest_time")
+    each = tables.silver_sink(f"{root}/silver", "ingest_time", then and partial(then, root=root))
     tables.run(rows, f"{root}/checkpoint-silver", each).awaitTermination()
     return root
 
@@ -455,7 +503,7 @@ PROVENANCE = ("event_type", "source", "ingestion_timestamp", "source_file", "dat
 
 @query
 def stream_silver(spark, sf_dir):
-    return readers.read_silver(spark, f"{_streamed(spark, sf_dir)}/silver").drop("processed_at")
+    return readers.read_silver(spark, f"{_streamed(spark, sf_dir)}/silver").drop("processed_at", S.USER_KEY)
 
 
 @query
@@ -465,19 +513,19 @@ def stream_expectations(spark, sf_dir):
     sinks.write_json_lines(raw.select(F.to_json(F.struct(*raw.columns)).alias("value")).repartition(4), f"{root}/raw")
     bronze = sources.bronze_stream(spark, f"{root}/raw", f"{root}/schema", max_files=2)
     rules = R.with_action(R.STREAM_RULES, "timestamp_not_null", "drop")
-    each = tables.counted(f"{root}/counts", rules, tables.silver_with_feed(f"{root}/silver", f"{root}/feed", "ingest_time"))
+    each = tables.counted(f"{root}/counts", rules, tables.silver_sink(f"{root}/silver", "ingest_time"))
     tables.run(bronze.drop(CORRUPT, *PROVENANCE), f"{root}/checkpoint", each).awaitTermination()
     return tables.expectation_totals(spark, f"{root}/counts")
 
 
+def _gold_after_each_batch(spark, root):
+    follow.gold(spark, f"{root}/silver", f"{root}/gold", full=False)
+
+
 @query
 def stream_gold(spark, sf_dir):
-    root = _streamed(spark, sf_dir)
-    schema = spark.read.parquet(f"{root}/feed").drop("batch").schema
-    feed = sources.parquet_stream(spark, f"{root}/feed", schema)
-    each = tables.refresh_gold(f"{root}/silver", f"{root}/gold", full=False)
-    tables.run(feed, f"{root}/checkpoint-gold", each).awaitTermination()
-    return readers.read_gold(spark, f"{root}/gold").drop("processed_at")
+    root = _streamed(spark, sf_dir, _gold_after_each_batch)
+    return readers.read_gold(spark, f"{root}/gold/daily").drop("processed_at", follow.SEQUENCE)
 
 
 @query
@@ -488,3 +536,48 @@ def stream_rewards(spark, sf_dir):
     each = tables.reward_sink(f"{root}/state", f"{root}/log", buckets=8)
     tables.run(found, f"{root}/checkpoint", each).awaitTermination()
     return readers.read_state(spark, f"{root}/state").withColumn("badges", _text("badges"))
+
+
+@query
+def profile_lookup(spark, sf_dir):
+    root = scratch(spark, "profiles")
+    tables.reward_sink(f"{root}/state", f"{root}/log", buckets=8)(A.messages(spark, sf_dir), 0)
+    suspects = E.detect_events(A.gold_scaled(spark, sf_dir)).filter(F.col("event_type") == FRAUD).select("user_id").distinct()
+    return readers.lookup_profiles(spark, f"{root}/state", suspects).withColumn("badges", _text("badges"))
+
+
+# --- three loads of raw lines, the second with a new column, through bronze, quarantine and silver ---
+
+
+def _loaded(spark, sf_dir):
+    """Folder with the tables after three loads, each a run of the same stream."""
+    root = scratch(spark, "loads")
+    for load in A.loads(spark, sf_dir):
+        load.coalesce(2).write.mode("append").text(f"{root}/lines")
+        tables.run(bronze.line_stream(spark, f"{root}/lines"), f"{root}/checkpoint", bronze.medallion(root, delay="20 days")).awaitTermination()
+    return root
+
+
+NOT_LOADED = (*bronze.PROVENANCE, bronze.BATCH, "event_type", "source")
+
+
+@query
+def stream_drift(spark, sf_dir):
+    rows = versions.read(spark, f"{_loaded(spark, sf_dir)}/bronze").drop(*NOT_LOADED)
+    return rows.withColumn(bronze.RESCUED, F.to_json(bronze.RESCUED))
+
+
+@query
+def stream_bronze(spark, sf_dir):
+    root = _loaded(spark, sf_dir)
+    rows, refused = (versions.read(spark, f"{root}/{name}") for name in ("bronze", "quarantine"))
+    silver = versions.read(spark, f"{root}/silver").select(F.lit("silver").alias("layer"))
+    layers = rows.select(F.lit("bronze").alias("layer")).unionByName(silver).unionByName(
+        refused.select(F.explode(bronze.REASONS).alias("reason")).select(F.concat(F.lit("quarantine: "), "reason").alias("layer")))
+    return layers.groupBy("layer").agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def stream_quarantine(spark, sf_dir):
+    rows = versions.read(spark, f"{_loaded(spark, sf_dir)}/quarantine").drop(*NOT_LOADED)
+    return rows.withColumns({bronze.RESCUED: F.to_json(bronze.RESCUED), bronze.REASONS: F.concat_ws("; ", bronze.REASONS)})

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -33,3 +35,26 @@ def cut(df: DataFrame) -> DataFrame:
     path = scratch(df.sparkSession, "cut")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder on whatever file system it lives."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+@contextmanager
+def cuts(spark: SparkSession) -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """``cut`` for work that ends here: what it has written is removed on the way out."""
+    paths: list[str] = []
+
+    def keep(df: DataFrame) -> DataFrame:
+        paths.append(scratch(spark, "cut"))
+        df.write.parquet(paths[-1])
+        return spark.read.schema(df.schema).parquet(paths[-1])
+
+    try:
+        yield keep
+    finally:
+        for path in paths:
+            remove(spark, path)

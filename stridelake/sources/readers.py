@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stridelake import schemas
+from stridelake.sources import versions
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -70,8 +71,13 @@ def read_event_lines(spark: SparkSession, path: str, schema: T.StructType = sche
 
 def scan_parquet(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
                  where: Column | None = None) -> DataFrame:
-    """A Parquet table. Columns, filters and partition filters reach the scan."""
-    df = spark.read.option("mergeSchema", "true").parquet(path)
+    """A Parquet table, its newest version if it has any. Columns, filters and partition filters reach the scan.
+
+    A table in versions brings its schema along; a plain folder's is merged from its files.
+    """
+    df = versions.read(spark, path)
+    if df is None:
+        df = spark.read.option("mergeSchema", "true").parquet(path)
     if where is not None:
         df = df.filter(where)
     return df.select(*columns) if columns else df
@@ -86,6 +92,30 @@ def read_gold(spark: SparkSession, path: str, where: Column | None = None) -> Da
 
 
 def read_state(spark: SparkSession, path: str, user_id: str | None = None) -> DataFrame:
-    """Reward profiles: all, or one user's by a pushed-down filter."""
-    df = spark.read.schema(schemas.REWARD_STATE).parquet(path).select(*schemas.REWARD_STATE.names)
+    """Reward profiles: all, or one user's. The user's hash bucket is worked out first, so one folder is listed and opened."""
+    version = versions.load(spark, path)
+    if version is None:
+        return spark.createDataFrame([], schemas.REWARD_STATE)
+    folders = None if user_id is None else _bucket_folders(spark, version, spark.range(1).select(F.lit(user_id).alias("user_id")))
+    df = versions.read(spark, path, version, folders).select(*schemas.REWARD_STATE.names)
     return df if user_id is None else df.filter(F.col("user_id") == user_id)
+
+
+def bucket_of(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
+
+
+def _bucket_folders(spark: SparkSession, version: versions.Version, users: DataFrame) -> list[str]:
+    """Folders of the buckets that hold ``users``: at most one line for each bucket reaches the driver."""
+    wanted = users.select(bucket_of(version.notes["layout"]["buckets"]).alias("bucket"))
+    return versions.touched(wanted, ["bucket"])
+
+
+def lookup_profiles(spark: SparkSession, path: str, users: DataFrame) -> DataFrame:
+    """Reward profiles of the users in ``users (user_id)``: only their buckets are opened, then a semi join by user."""
+    version = versions.load(spark, path)
+    if version is None:
+        return spark.createDataFrame([], schemas.REWARD_STATE)
+    wanted = users.select(F.col("user_id").cast("string").alias("user_id"))
+    rows = versions.read(spark, path, version, _bucket_folders(spark, version, wanted))
+    return rows.select(*schemas.REWARD_STATE.names).join(wanted, "user_id", "left_semi")

@@ -4,27 +4,27 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from stridelake.config import FEATURES
-from stridelake.operators.change import DELETE, cdc_apply
 from stridelake.schemas import WAREHOUSE_DDL
+from stridelake.sources import versions
 
 SILVER_PARTITIONS = ("year", "month", "day")
 GOLD_PARTITIONS = ("year", "month")
 
 
 def write_partitions(df: DataFrame, path: str, partition_by: Sequence[str], cluster_by: Sequence[str] = ()) -> None:
-    """Replace the partitions that occur in ``df``, leave the others.
+    """Replace the partitions that occur in ``df``, leave the others. Plain folders without versions, for one writer
+    whose readers wait until it is done; ``versions.commit`` is for all others.
 
-    Rows are range-partitioned by partition and cluster columns: a day, however large, is split over
-    several tasks, a small one shares a task with its neighbours, and the rows of one user-day end up
-    in one file, where the daily aggregate then sums them before its shuffle.
+    Rows are dealt by partition; a day, however large, is split over several tasks and a small one shares a task with its
+    neighbours, both by the sizes that the shuffle has measured. Within a file rows lie in cluster order.
     """
     order = [*partition_by, *cluster_by]
     (
-        df.repartitionByRange(*order)
+        df.hint("rebalance", *partition_by)
         .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -42,84 +42,30 @@ def write_gold(df: DataFrame, path: str) -> None:
     write_partitions(df, path, GOLD_PARTITIONS, ["user_id", "day"])
 
 
-def managed_table(df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
-    """Catalog table: Parquet, Snappy, partitioned."""
-    (
-        df.repartitionByRange(*partition_by, *[c for c in ("user_id",) if c in df.columns])
-        .write.mode("overwrite").format("parquet").option("compression", "snappy")
-        .partitionBy(*partition_by).saveAsTable(name)
-    )
-
-
-def _path(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path, hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """TRUE if the folder holds anything but markers, on whatever file system it lives."""
-    root, fs = _path(spark, path)
-    return fs.exists(root) and any(not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(root))
-
-
-def touched_partitions(changes: DataFrame, partition_by: Sequence[str]) -> list[tuple]:
-    """Partition values that occur in ``changes``: at most one entry per partition folder."""
-    return [tuple(r) for r in changes.select(*partition_by).distinct().collect()]
+def managed_table(df: DataFrame, name: str, partition_by: Sequence[str]) -> int:
+    """Replace a catalog table by ``df`` and return its new version.
 
-
-def in_partitions(df: DataFrame, partition_by: Sequence[str], touched: Sequence[tuple]) -> DataFrame:
-    """Rows of the given partitions. The filter is literal, so a scan lists and opens only their folders.
-
-    A join with the touched values would not do: Spark prunes by a join side only if it expects that
-    side to be selective, and never for an anti join.
+    Rows are committed as a version of ``table_path(name)``; the catalog entry is a view of that version's folder and moves
+    in one step, so readers see the old table or the new one. ``versions.feed_between`` gives what has changed.
     """
-    kinds = [df.schema[c].dataType for c in partition_by]
-    wanted = [F.struct(*[F.lit(v).cast(k).alias(c) for v, k, c in zip(t, kinds, partition_by)]) for t in touched]
-    return df.filter(F.struct(*partition_by).isin(wanted))
+    spark = df.sparkSession
+    path = table_path(spark, name)
+    new = versions.commit(df, path, partition_by, None, versions.load(spark, path), cluster_by=[c for c in ("user_id",) if c in df.columns])
+    columns = ", ".join(f"`{c}`" for c in new.schema.names if c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{_whole_commit(path, new)}`")
+    return new.number
 
 
-def read_partitions(spark: SparkSession, path: str, partition_by: Sequence[str], touched: Sequence[tuple]) -> DataFrame | None:
-    """The given partitions of a stored table, with every column that any of its files has; None without a table."""
-    if not table_exists(spark, path):
-        return None
-    return in_partitions(spark.read.option("mergeSchema", "true").parquet(path), partition_by, touched)
+def table_path(spark: SparkSession, name: str) -> str:
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name}.versions"
 
 
-def upsert_partitions(changes: DataFrame, path: str, keys: Sequence[str], partition_by: Sequence[str],
-                      sequence_by: str, cluster_by: Sequence[str] = (), delete_when: str = DELETE,
-                      ties: Sequence[str] = ()) -> None:
-    """Merge ``changes`` into the Parquet table at ``path``, rewriting only the partitions they touch.
-
-    The partition columns must follow from the key, so a key never moves. Applying the same changes
-    again gives the same table, so a repeated micro-batch does no harm. One writer at a time.
-    """
-    spark = changes.sparkSession
-    touched = touched_partitions(changes, partition_by)
-    if not touched:
-        return
-    current = read_partitions(spark, path, partition_by, touched)
-    if current is None:
-        current = changes.filter(F.lit(False)).drop("operation_type")
-    merged = cdc_apply(current, changes, keys, sequence_by, delete_when, ties=ties)
-    emptied = _emptied(merged, changes, partition_by, delete_when)
-    write_partitions(merged, path, partition_by, cluster_by or keys)
-    for values in emptied:
-        folder = "/".join(f"{c}={v}" for c, v in zip(partition_by, values))
-        target, fs = _path(spark, f"{path}/{folder}")
-        fs.delete(target, True)
-
-
-def _emptied(merged: DataFrame, changes: DataFrame, partition_by: Sequence[str], delete_when: str) -> set[tuple]:
-    """Partitions without a row after the merge; an overwrite alone would leave their old files.
-
-    Only a delete can empty a partition, so only partitions with deletes are looked at.
-    """
-    if delete_when == DELETE and "operation_type" not in changes.columns:
-        return set()
-    suspects = touched_partitions(changes.filter(F.expr(delete_when)), partition_by)
-    if not suspects:
-        return set()
-    return set(suspects) - set(touched_partitions(in_partitions(merged, partition_by, suspects), partition_by))
+def _whole_commit(path: str, version: versions.Version) -> str:
+    """Folder of a version whose rows all come from one commit."""
+    commits = set(version.folders.values())
+    if len(commits) != 1:
+        raise ValueError(f"version {version.number} of {path} has no rows or is made of {len(commits)} commits")
+    return f"{path}/data/{versions.COMMIT}={commits.pop()}"
 
 
 # --- edges ---
@@ -175,8 +121,8 @@ def write_predictions(rows: DataFrame, path: str, run_date: str, source: str) ->
 # --- warehouse ---
 
 WAREHOUSE_COLUMNS = (
-    "user_id", "year", "month", "day", *FEATURES[:4], "avg_intensity", "max_steps_in_minute",
-    "total_minutes_recorded", "anomaly_score", "activity_level",
+    "user_id", "year", "month", "day", "total_steps", "total_calories", "active_minutes", "sleep_minutes", "avg_intensity",
+    "max_steps_in_minute", "total_minutes_recorded", "anomaly_score", "activity_level",
 )
 
 
@@ -185,12 +131,24 @@ def warehouse_rows(gold: DataFrame) -> DataFrame:
     return gold.select(*WAREHOUSE_COLUMNS)
 
 
-def load_warehouse(spark: SparkSession, gold: DataFrame, table: str = "daily_summary") -> None:
-    """Create and bulk load the reporting table. The old one is replaced only when the new one is complete."""
-    new = f"{table}__loading"
-    spark.sql(f"DROP TABLE IF EXISTS {new}")
-    spark.sql(f"CREATE TABLE {new} ({WAREHOUSE_DDL}) USING parquet")
+def load_warehouse(spark: SparkSession, gold: DataFrame, table: str = "daily_summary", path: str | None = None) -> int:
+    """Bulk load the reporting table and return its number of rows.
+
+    The rows are committed as a new version, read back and counted, and only then does the catalog entry change its
+    location, in one step: a stop at any point leaves the old table or the new one. The version before stays on disk for
+    queries that still read it. ``path`` is where the versions lie, below the warehouse unless given.
+    """
+    path = path or table_path(spark, table)
     rows = gold.withColumn("processed_at", F.current_timestamp()).select(*WAREHOUSE_COLUMNS, "processed_at")
-    rows.select(*spark.table(new).columns).write.insertInto(new)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({WAREHOUSE_DDL}) USING parquet LOCATION '{path}/empty'")
+    target = spark.table(table).schema
+    rows = rows.select(*[F.col(f.name).cast(f.dataType) for f in target.fields])
+    expected = rows.observe(seen := Observation(), F.count(F.lit(1)).alias("n"))
+    new = versions.commit(expected, path, (), None, versions.load(spark, path))
+    written = versions.read(spark, path, new).count()
+    if written != seen.get["n"]:
+        raise RuntimeError(f"{table}: {seen.get['n']} rows were sent, {written} arrived")
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_whole_commit(path, new)}'")
+    spark.catalog.refreshTable(table)
+    versions.expire(spark, path, keep=2)
+    return written

@@ -28,8 +28,8 @@ def silver_stream(raw: DataFrame, preset: str | Sequence[R.Rule] = "stream", wat
                   t: Thresholds = DEFAULTS, hex_chars: int = 8) -> DataFrame:
     """Raw stream to silver rows.
 
-    The sinks merge on the masked id; ``hex_chars`` must be large enough for the population (16 or more beyond
-    some ten thousand users), or people whose masks agree lose rows to each other.
+    ``user_key`` is the whole digest of the id: the sinks merge on it, so people whose short masks agree keep their rows.
+    What is summed by ``user_id`` still adds them up; ``hex_chars`` of 16 or more keeps large populations apart there too.
 
     With ``watermark``, copies of a (user, minute) are dropped on the way; state is kept for that
     long in event time only, and rows later than it are dropped too. Without, the table sink removes
@@ -41,7 +41,13 @@ def silver_stream(raw: DataFrame, preset: str | Sequence[R.Rule] = "stream", wat
     rows = R.enforce(typed, rules).filter(F.col("timestamp").isNotNull() & F.expr(R.HAS_USER))
     if watermark is not None:
         rows = _event_time(rows, watermark).dropDuplicatesWithinWatermark(list(S.KEYS)).drop(EVENT_TIME)
-    return S.stamp(S.enrich(S.mask(rows, hex_chars), t))
+    return finished(rows, t, hex_chars)
+
+
+def finished(rows: DataFrame, t: Thresholds = DEFAULTS, hex_chars: int = 8) -> DataFrame:
+    """Trusted typed rows as silver stores them: whole digest and short mask of the user, date parts, flags, audit time."""
+    keyed = rows.withColumn(S.USER_KEY, F.sha2(F.col("user_id").cast("string"), 256))
+    return S.stamp(S.enrich(S.mask(keyed, hex_chars), t))
 
 
 def observed_totals(query: StreamingQuery, name: str = OBSERVED) -> dict[str, int]:
@@ -65,15 +71,7 @@ def closed_days_stream(silver: DataFrame, watermark: str = "2 days", full: bool
     totals = (
         _event_time(silver, watermark)
         .groupBy("user_id", F.window(EVENT_TIME, "1 day").alias("w"))
-        .agg(
-            F.sum("steps").alias("total_steps"),
-            F.sum("calories").alias("total_calories"),
-            F.sum("is_active").alias("active_minutes"),
-            F.sum("is_sleeping").alias("sleep_minutes"),
-            F.avg("intensity").alias("avg_intensity"),
-            F.max("steps").alias("max_steps_in_minute"),
-            F.count(F.lit(1)).alias("total_minutes_recorded"),
-        )
+        .agg(*G.day_aggregates())
         .select(
             "user_id",
             F.year("w.start").alias("year"),

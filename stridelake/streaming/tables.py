@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stridelake.config import DEFAULTS, WORKOUT, Thresholds
-from stridelake.operators import change as C
-from stridelake.operators import gold as G
 from stridelake.operators import rewards as W
 from stridelake.operators import rules as R
 from stridelake.operators import silver as S
 from stridelake.operators.events import decode_messages, reward_notes
-from stridelake.operators.silver import KEYS, MEASURES
+from stridelake.operators.silver import MEASURES
 from stridelake.schemas import REWARD_STATE
-from stridelake.sources import sinks
+from stridelake.sources import sinks, versions
+from stridelake.sources.readers import bucket_of
 from stridelake.streaming import stages
 
 Batch = Callable[[DataFrame, int], None]
@@ -43,11 +42,33 @@ def run(df: DataFrame, checkpoint: str, each: Batch, mode: str = "append", conti
     )
 
 
-def upsert_to(path: str, keys: Sequence[str], partition_by: Sequence[str], sequence_by: str) -> Batch:
-    """Merge each batch into the table by key; the highest sequence wins."""
+def _stream(spark: SparkSession) -> str:
+    """Id of the running stream; it stays the same when the stream restarts from its checkpoint. Outside a stream the caller
+    numbers the batches, and a number counts once for each table."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
+
+
+def _there(spark: SparkSession, path: str, batch_id: int) -> bool:
+    """TRUE if the table holds this batch of the running stream already."""
+    version = versions.load(spark, path)
+    return version is not None and version.applied(_stream(spark)) >= batch_id
+
 
-    def each(batch: DataFrame, _: int) -> None:
-        sinks.upsert_partitions(batch, path, keys, partition_by, sequence_by)
+def upsert_to(path: str, keys: Sequence[str], partition_by: Sequence[str], sequence_by: str, ties: Sequence[str] = (),
+              keep: int = 10) -> Batch:
+    """Merge each batch into the table by key; the highest sequence wins. The batch's number is committed with its rows.
+
+    The newest ``keep`` versions stay; who follows the table must not fall further behind.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        if _there(spark, path, batch_id):
+            return
+        own = [c for c in ties if c in batch.columns]
+        done = versions.upsert(batch, path, keys, partition_by, sequence_by, own, notes={"applied": {_stream(spark): batch_id}})
+        if done is not None and done.number % keep == 0:
+            versions.expire(spark, path, keep)
 
     return each
 
@@ -57,36 +78,20 @@ def run_to_table(df: DataFrame, path: str, checkpoint: str, keys: Sequence[str],
     return run(df, checkpoint, upsert_to(path, keys, partition_by, sequence_by), mode)
 
 
-def silver_with_feed(path: str, feed: str, sequence_by: str = "processed_at") -> Batch:
-    """Merge each batch into silver and leave what it changed as a change feed.
-
-    The feed of a batch is finished before silver is touched and never written again: a batch that
-    comes a second time finds silver already changed and could no longer tell what it had done.
-    """
+def silver_sink(path: str, sequence_by: str = "processed_at", then: Callable[[SparkSession], None] | None = None) -> Batch:
+    """Merge each batch into silver; copies are settled as in the batch dedup. ``then`` runs after each commit, such as
+    ``follow.gold``; what it misses by a stop it takes up at the next batch. The change feed is ``versions.feed_between``."""
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        target = f"{feed}/batch={_query_id(spark)}-{batch_id}"
-        ties = [c for c in MEASURES if c in batch.columns]  # as in the batch dedup
-        if not _finished(spark, target):
-            days = sinks.SILVER_PARTITIONS
-            current = sinks.read_partitions(spark, path, days, sinks.touched_partitions(batch, days))
-            if current is None:
-                current = batch.filter(F.lit(False)).drop("operation_type")
-            after = C.cdc_apply(current, batch, KEYS, sequence_by, ties=ties)
-            C.snapshot_diff(current, after, KEYS).write.mode("overwrite").parquet(target)
-        sinks.upsert_partitions(batch, path, KEYS, sinks.SILVER_PARTITIONS, sequence_by, ties=ties)
+        upsert_to(path, S.merge_keys(batch.columns), sinks.SILVER_PARTITIONS, sequence_by, MEASURES)(batch, batch_id)
+        if then is not None:
+            then(batch.sparkSession)
 
     return each
 
 
-def _query_id(spark: SparkSession) -> str:
-    """Id of the running stream; it stays the same when the stream restarts from its checkpoint."""
-    return spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "batch"
-
-
 def _finished(spark: SparkSession, path: str) -> bool:
-    marker, fs = sinks._path(spark, f"{path}/_SUCCESS")
+    marker, fs = versions._files(spark, f"{path}/_SUCCESS")
     return fs.exists(marker)
 
 
@@ -98,7 +103,7 @@ def counted(path: str, rules: Sequence[R.Rule], then: Batch, t: Thresholds = DEF
     """
 
     def each(raw: DataFrame, batch_id: int) -> None:
-        mark = f"{_query_id(raw.sparkSession)}-{batch_id}"
+        mark = f"{_stream(raw.sparkSession)}-{batch_id}"
         R.rules_report(S.typed(raw), rules).coalesce(1).write.mode("overwrite").parquet(f"{path}/batch={mark}")
         then(stages.silver_stream(raw, rules, t=t, hex_chars=hex_chars), batch_id)
 
@@ -111,61 +116,41 @@ def expectation_totals(spark: SparkSession, path: str) -> DataFrame:
     return totals.agg(F.sum("total_rows").alias("total_rows"), F.sum("failed_rows").alias("failed_rows"))
 
 
-def refresh_gold(silver_path: str, gold_path: str, full: bool = True, t: Thresholds = DEFAULTS) -> Batch:
-    """Recompute the user-days a change feed batch touches and merge them into gold.
-
-    Sums are taken anew from silver, so updates, late rows and deletes are right and a second
-    delivery changes nothing. A user-day without rows left is deleted.
-    """
-
-    def each(feed: DataFrame, _: int) -> None:
-        spark = feed.sparkSession
-        keys = list(G.DAY_KEYS)
-        days = sinks.SILVER_PARTITIONS
-        silver = sinks.read_partitions(spark, silver_path, days, sinks.touched_partitions(feed, days))
-        if silver is None:
-            return
-        recomputed = G.recompute_days(silver, feed, full, t)
-        changes = feed.select(*keys).distinct().join(recomputed, keys, "left").withColumns(
-            {
-                "operation_type": F.when(F.col("total_minutes_recorded").isNull(), "DELETE").otherwise("UPDATE"),
-                "processed_at": F.current_timestamp(),
-            }
-        )
-        sinks.upsert_partitions(changes, gold_path, keys, sinks.GOLD_PARTITIONS, "processed_at")
-
-    return each
-
-
-def reward_sink(state_path: str, log_path: str, notes_path: str | None = None, buckets: int = 64) -> Batch:
+def reward_sink(state_path: str, log_path: str, notes_path: str | None = None, buckets: int = 64, keep: int = 10) -> Batch:
     """Add the rewards of each message batch to the profiles, once per user and day.
 
-    ``log_path`` keeps which user-days have been rewarded, and by which batch. Messages logged by
-    another batch are left out; those logged by this very batch are not, so a repeated batch sees the
-    same messages, and profiles it has already changed carry its mark and stay as they are. Profiles
-    lie in hash buckets of the user; only buckets with news are rewritten. The number of buckets is stored with the
-    profiles, and another one is refused: users would get a second profile.
+    ``log_path`` is a table of the user-days that have been rewarded, and by which batch. Messages logged by another batch
+    are left out; those logged by this very batch are not, so a batch that stopped between log and profiles sees the same
+    messages again, and profiles that hold the batch already stay as they are. Profiles lie in hash buckets of the user;
+    only buckets with news are rewritten. The number of buckets is noted with the profiles, and another one is refused:
+    users would get a second profile. Both tables keep their newest ``keep`` versions, so the number of files follows the
+    number of days and buckets, not that of batches.
+
+    A keyed stateful operator with a time limit would forget user-days that may still be delivered again, and in Python it
+    runs each row through a worker; the log table holds them all and is read by day.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        mark = f"{_query_id(spark)}-{batch_id}"
-        _fixed_buckets(spark, state_path, buckets)
-        fresh = _log_new_workouts(batch, log_path, mark)
-        if fresh is None:
-            return
-        fresh = fresh.withColumn("bucket", _bucket(buckets))
-        touched = sinks.touched_partitions(fresh, ["bucket"])
-        if not touched:
+        mark = f"{_stream(spark)}-{batch_id}"
+        base = versions.load(spark, state_path)
+        if base is not None and base.notes["layout"]["buckets"] != buckets:
+            raise ValueError(f"{state_path} is kept in {base.notes['layout']['buckets']} buckets, not {buckets}")
+        fresh = _log_new_workouts(batch, log_path, batch_id)
+        if _there(spark, state_path, batch_id):
             return
-        state = sinks.read_partitions(spark, state_path, ["bucket"], touched)
-        if state is None:
-            state = spark.createDataFrame([], REWARD_STATE).withColumn("last_batch", F.lit(""))
+        fresh = fresh.withColumn("bucket", bucket_of(buckets))
+        folders = versions.touched(fresh, ["bucket"])
+        state = versions.read(spark, state_path, base, folders) if base is not None else spark.createDataFrame([], REWARD_STATE)
         if notes_path is not None and not _finished(spark, f"{notes_path}/batch={mark}"):
-            notes = reward_notes(W.workout_progress(fresh, state.filter(F.col("last_batch") != mark)))
+            notes = reward_notes(W.workout_progress(fresh, state))
             notes.write.mode("overwrite").json(f"{notes_path}/batch={mark}")
-        after = _apply(fresh, state, mark).withColumn("bucket", _bucket(buckets))
-        sinks.write_partitions(after, state_path, ["bucket"], ["user_id"])
+        after = W.reward_state(fresh, state.select(*REWARD_STATE.names)).withColumn("bucket", bucket_of(buckets))
+        done = versions.commit(after, state_path, ["bucket"], folders, base,
+                               {"applied": {_stream(spark): batch_id}, "layout": {"buckets": buckets}}, ["user_id"])
+        if done.number % keep == 0:
+            versions.expire(spark, state_path, keep)
+            versions.expire(spark, log_path, keep)
 
     return each
 
@@ -173,46 +158,26 @@ def reward_sink(state_path: str, log_path: str, notes_path: str | None = None, b
 _NO_DATE = "1970-01-01"
 
 
-def _log_new_workouts(batch: DataFrame, log_path: str, mark: str) -> DataFrame | None:
+def _log_new_workouts(batch: DataFrame, log_path: str, batch_id: int) -> DataFrame:
     """Log the workouts of this batch that no other batch has logged, and read them back."""
     spark = batch.sparkSession
+    mark = f"{_stream(spark)}-{batch_id}"
     no_date = F.lit(_NO_DATE).cast("date")
     news = W.workouts(decode_messages(batch).filter(~F.col("failed"))).withColumn(
         "activity_date", F.coalesce("activity_date", no_date)
     )
-    logged = sinks.read_partitions(spark, log_path, ["activity_date"], sinks.touched_partitions(news, ["activity_date"]))
-    if logged is not None:
-        news = news.join(logged.filter(F.col("batch") != mark), ["user_id", "activity_date", "day"], "left_anti")
-    sinks.write_partitions(news.withColumn("batch", F.lit(mark)), log_path, ["activity_date", "batch"], ["user_id"])
-    if not sinks.table_exists(spark, log_path):
-        return None
-    return spark.read.parquet(log_path).filter(F.col("batch") == mark).select(
+    base = versions.load(spark, log_path)
+    folders = versions.touched(news, ["activity_date"])
+    if not _there(spark, log_path, batch_id):
+        rows = news.withColumn("batch", F.lit(mark))
+        if base is not None:
+            logged = versions.read(spark, log_path, base, folders).filter(F.col("batch") != mark)
+            rows = logged.unionByName(rows.join(logged, ["user_id", "activity_date", "day"], "left_anti"))
+        base = versions.commit(rows, log_path, ["activity_date"], folders, base, {"applied": {_stream(spark): batch_id}}, ["user_id"])
+    return versions.read(spark, log_path, base, folders).filter(F.col("batch") == mark).select(
         "user_id",
         F.nullif(F.col("activity_date"), no_date).alias("activity_date"),
         "day",
         "points",
         F.lit(WORKOUT).alias("event_type"),
     )
-
-
-def _fixed_buckets(spark: SparkSession, state_path: str, buckets: int) -> None:
-    """Remember the number of buckets at the first batch, in a folder that table readers skip; refuse any other."""
-    root, fs = sinks._path(spark, f"{state_path}/_buckets")
-    stored = {s.getPath().getName() for s in fs.listStatus(root)} if fs.exists(root) else set()
-    if not stored:
-        fs.mkdirs(sinks._path(spark, f"{state_path}/_buckets/{buckets}")[0])
-    elif stored != {str(buckets)}:
-        raise ValueError(f"{state_path} is kept in {', '.join(sorted(stored))} buckets, not {buckets}")
-
-
-def _bucket(buckets: int) -> Column:
-    return F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int")
-
-
-def _apply(fresh: DataFrame, state: DataFrame, mark: str) -> DataFrame:
-    """Profiles after the fresh workouts; profiles that carry the mark already include them."""
-    joined = state.join(W.earned_totals(fresh), "user_id", "full")
-    open_ = ~F.col("last_batch").eqNullSafe(mark)
-    joined = joined.withColumns({c: F.when(open_, F.col(c)) for c in ("earned", "done", "seen", "seen_day")})
-    changed = F.when(F.col("earned").isNotNull(), F.lit(mark)).otherwise(F.col("last_batch"))
-    return W.add_rewards(joined.withColumn("last_batch", changed), "last_batch")

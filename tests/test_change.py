@@ -1,12 +1,11 @@
 import datetime as dt
-import re
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from stridelake.operators import change as C
-from stridelake.sources import sinks
+from stridelake.sources import sinks, versions
 
 KEYS = ["user_id", "timestamp"]
 BASE = "user_id string, timestamp int, steps int, seq int"
@@ -75,11 +74,11 @@ def rows(spark, *items, deletes=False):
 
 
 def stored(spark, path):
-    return sorted((r.user_id, r.day, r.timestamp.hour, r.steps) for r in spark.read.parquet(path).collect())
+    return sorted((r.user_id, r.day, r.timestamp.hour, r.steps) for r in versions.read(spark, path).collect())
 
 
 def upsert(df, path):
-    sinks.upsert_partitions(df, path, KEYS, sinks.SILVER_PARTITIONS, "seq")
+    versions.upsert(df, path, KEYS, sinks.SILVER_PARTITIONS, "seq")
 
 
 def test_upsert_keeps_earlier_hours_and_other_days(spark, tmp_path):
@@ -96,16 +95,15 @@ def test_delete_that_empties_a_partition(spark, tmp_path):
     upsert(rows(spark, ("a", 1, 0, 5, 1), ("a", 2, 0, 6, 1), ("b", 2, 0, 6, 1)), path)
     upsert(rows(spark, ("a", 1, 0, 0, 2), ("a", 2, 0, 0, 2), deletes=True), path)
     assert stored(spark, path) == [("b", 2, 0, 6)]
-    assert not (tmp_path / "silver/year=2024/month=1/day=1").exists()
+    assert list(versions.load(spark, path).folders) == ["year=2024/month=1/day=2"]
 
 
 def test_upsert_reads_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "silver")
     upsert(rows(spark, ("a", 1, 0, 5, 1), ("a", 2, 0, 6, 1), ("a", 3, 0, 6, 1)), path)
-    df = sinks.read_partitions(spark, path, sinks.SILVER_PARTITIONS, [(2024, 1, 2)])
+    df = versions.read(spark, path, only=[versions.partition_folder(spark, sinks.SILVER_PARTITIONS, (2024, 1, 2))])
     assert [r.day for r in df.collect()] == [2]
-    scan = next(line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in line)
-    assert re.search(r"DataFilters: \[\], .*PartitionFilters: \[struct\(year", scan)
+    assert {f.split("/")[-2] for f in df.inputFiles()} == {"day=2"}
 
 
 def test_bad_partition_source_does_not_damage_the_table(spark, tmp_path):

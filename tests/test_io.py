@@ -10,7 +10,7 @@ from stridelake.operators import gold as G
 from stridelake.operators import ml as M
 from stridelake.operators import silver as S
 from stridelake.plans import adapters as A
-from stridelake.sources import drift, readers, sinks
+from stridelake.sources import drift, readers, sinks, versions
 
 SF = "/root/testdata/sf0.001"
 
@@ -111,10 +111,16 @@ def test_warehouse(spark, gold):
 
 
 def test_managed_table(spark, gold):
-    sinks.managed_table(gold, "gold_managed", sinks.GOLD_PARTITIONS)
-    assert spark.table("gold_managed").count() == gold.count()
-    assert [p.name for p in spark.catalog.listColumns("gold_managed") if p.isPartition] == ["year", "month"]
-    spark.sql("DROP TABLE gold_managed")
+    first = sinks.managed_table(gold, "gold_managed", sinks.GOLD_PARTITIONS)
+    table = spark.table("gold_managed")
+    assert table.count() == gold.count() and table.columns == gold.columns
+    plan = table.filter("month = 1")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month" in plan
+    sinks.managed_table(gold.withColumn("total_steps", F.col("total_steps") + F.col("day").isin(3).cast("int")), "gold_managed", sinks.GOLD_PARTITIONS)
+    path = sinks.table_path(spark, "gold_managed")
+    feed = versions.feed_between(spark, path, list(G.DAY_KEYS), first)
+    assert {r.day for r in feed.select("day").distinct().collect()} == {3} and spark.table("gold_managed").count() == gold.count()
+    spark.sql("DROP VIEW gold_managed")
 
 
 def test_training_csv_and_predictions(spark, gold, tmp_path):

@@ -12,8 +12,8 @@ from stridelake.operators import rules as R
 from stridelake.operators import silver as S
 from stridelake.plans import adapters as A
 from stridelake.schemas import CORRUPT
-from stridelake.sources import sinks
-from stridelake.streaming import sources, stages, tables
+from stridelake.sources import readers, sinks
+from stridelake.streaming import follow, sources, stages, tables
 
 SF = "/root/testdata/sf0.001"
 RAW = "user_id string, timestamp string, steps string, calories string, intensity string, sleep_value string, ingest_time string"
@@ -32,16 +32,14 @@ def minute(user, day, hour, steps, seq="1"):
 def silver_run(spark, root, preset="batch"):
     raw = sources.bronze_stream(spark, f"{root}/raw", f"{root}/schema", max_files=1)
     rows = stages.silver_stream(raw, preset).drop(CORRUPT)
-    query = tables.run(rows, f"{root}/ck", tables.silver_with_feed(f"{root}/silver", f"{root}/feed", "ingest_time"))
+    query = tables.run(rows, f"{root}/ck", tables.silver_sink(f"{root}/silver", "ingest_time"))
     query.awaitTermination()
     return query
 
 
 def gold_run(spark, root):
-    schema = spark.read.parquet(f"{root}/feed").drop("batch").schema
-    feed = sources.parquet_stream(spark, f"{root}/feed", schema)
-    tables.run(feed, f"{root}/ck-gold", tables.refresh_gold(f"{root}/silver", f"{root}/gold")).awaitTermination()
-    return {(r.user_id, r.day): r.total_steps for r in spark.read.parquet(f"{root}/gold").collect()}
+    follow.gold(spark, f"{root}/silver", f"{root}/gold")
+    return {(r.user_id, r.day): r.total_steps for r in readers.read_gold(spark, f"{root}/gold/daily").collect()}
 
 
 def test_silver_and_gold_follow_late_updates(spark, tmp_path):
@@ -53,7 +51,7 @@ def test_silver_and_gold_follow_late_updates(spark, tmp_path):
     query = silver_run(spark, tmp_path)
     assert sorted(gold_run(spark, tmp_path).values()) == [6, 31]
     assert stages.observed_totals(query)["total_rows"] == 3
-    sources_seen = spark.read.parquet(f"{tmp_path}/silver").select("source_file").distinct().collect()
+    sources_seen = readers.read_silver(spark, f"{tmp_path}/silver").select("source_file").distinct().collect()
     assert {r.source_file.split("/")[-1] for r in sources_seen} <= {"1.json", "2.json"}
 
 
@@ -103,7 +101,7 @@ def test_running_totals_with_upsert(spark, tmp_path):
     totals = stages.day_totals_stream(stream, full=False).withColumn("processed_at", F.current_timestamp())
     tables.run_to_table(totals, f"{tmp_path}/gold", f"{tmp_path}/ck", list(G.DAY_KEYS), sinks.GOLD_PARTITIONS,
                         "processed_at", mode="update").awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/gold").drop("processed_at")
+    got = readers.read_gold(spark, f"{tmp_path}/gold").drop("processed_at")
     want = G.gold_daily(silver).select(*got.columns)
     assert sorted(got.collect()) == sorted(want.collect())
 
@@ -126,7 +124,7 @@ def queue(spark, *bodies):
 
 
 def profiles(spark, root):
-    return {r.user_id: (r.total_points, r.workout_count, r.last_day) for r in spark.read.parquet(f"{root}/state").collect()}
+    return {r.user_id: (r.total_points, r.workout_count, r.last_day) for r in readers.read_state(spark, f"{root}/state").collect()}
 
 
 def test_rewards_survive_any_replay(spark, tmp_path):
@@ -149,7 +147,7 @@ def test_rewards_survive_any_replay(spark, tmp_path):
 
 def test_rewards_after_a_crash_between_log_and_profiles(spark, tmp_path):
     batch = queue(spark, message("a", 1), message("b", 1))
-    tables._log_new_workouts(batch, f"{tmp_path}/log", "batch-0")
+    tables._log_new_workouts(batch, f"{tmp_path}/log", 0)
     tables.reward_sink(f"{tmp_path}/state", f"{tmp_path}/log", buckets=4)(batch, 0)
     assert profiles(spark, tmp_path) == {"a": (100, 1, 1), "b": (100, 1, 1)}
 
@@ -186,7 +184,7 @@ def test_counts_of_all_batches_are_kept(spark, tmp_path):
     for i in range(6):
         put(tmp_path / "raw", f"{i}.json", minute("a", 1, i + 1, 300), minute("", 1, i + 1, 5))
     raw = sources.bronze_stream(spark, f"{tmp_path}/raw", f"{tmp_path}/schema", max_files=1).drop(CORRUPT)
-    each = tables.counted(f"{tmp_path}/counts", R.STREAM_RULES, tables.silver_with_feed(f"{tmp_path}/silver", f"{tmp_path}/feed", "ingest_time"))
+    each = tables.counted(f"{tmp_path}/counts", R.STREAM_RULES, tables.silver_sink(f"{tmp_path}/silver", "ingest_time"))
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
     try:
         tables.run(raw, f"{tmp_path}/ck", each).awaitTermination()
@@ -194,4 +192,4 @@ def test_counts_of_all_batches_are_kept(spark, tmp_path):
         spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
     got = {r.rule: (r.total_rows, r.failed_rows) for r in tables.expectation_totals(spark, f"{tmp_path}/counts").collect()}
     assert got["valid_steps_range"] == (12, 6) and got["user_id_not_null"] == (12, 6) and got["valid_intensity"] == (12, 0)
-    assert spark.read.parquet(f"{tmp_path}/silver").count() == 6
+    assert readers.read_silver(spark, f"{tmp_path}/silver").count() == 6
