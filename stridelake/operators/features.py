@@ -8,6 +8,8 @@ shuffles and sorts once.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
@@ -243,3 +245,80 @@ def feature_store(gold: DataFrame) -> DataFrame:
         .withColumn("same_steps_streak", F.col("_row") - F.max("_start").over(so_far()) + 1)
         .drop("_row", "_start")
     )
+
+
+# --- features as of a day, from what is carried over ---
+
+#: Rows of a user that a 7-row window reaches back to.
+REACH = 6
+FEATURE_STATE = (
+    "user_id string, last_rows array<struct<activity_date:date,total_steps:bigint>>, calories_sum double, calories_n bigint, "
+    "sleep_sum bigint, sleep_n bigint, same_steps_streak int"
+)
+
+
+def feature_days(gold: DataFrame) -> DataFrame:
+    """The columns of the daily table that the features are made of."""
+    return gold.select("user_id", F.make_date("year", "month", "day").alias("activity_date"), "total_steps", "total_calories", "sleep_minutes")
+
+
+def features_as_of(days: DataFrame, state: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(features of ``days``, state after them). A day's features use that day and earlier ones, never a later one.
+
+    ``state`` holds one line for each user: the last six rows, sums and counts behind the means, and the run of equal step
+    counts. It must end before the user's first new day. A user's window group is those six rows and the new days, however
+    long the history; users without new days are not in the result, their lines stay as they are.
+    """
+    carried = ("calories_sum", "calories_n", "sleep_sum", "sleep_n", "same_steps_streak")
+    own = state.join(days.select("user_id").distinct(), "user_id", "left_semi")
+    old = own.select("user_id", F.explode("last_rows").alias("_r")).select("user_id", "_r.*", F.lit(False).alias("_new"))
+    rows = old.unionByName(days.withColumn("_new", F.lit(True)), allowMissingColumns=True)
+    rows = rows.join(own.select("user_id", *[F.col(c).alias(f"_{c}") for c in carried]), "user_id", "left")
+    steps, new = F.col("total_steps"), F.col("_new")
+    changed = ~steps.eqNullSafe(F.lag(steps).over(by_day()))
+
+    def so_far_of(c: str, name: str, kind: str) -> dict[str, Column]:
+        value = F.when(new, F.col(c))
+        return {
+            f"{name}_sum": (F.coalesce(f"_{name}_sum", F.lit(0)) + F.coalesce(F.sum(value).over(so_far()), F.lit(0))).cast(kind),
+            f"{name}_n": F.coalesce(f"_{name}_n", F.lit(0)) + F.count(value).over(so_far()),
+        }
+
+    rows = rows.withColumns(
+        {
+            "steps_7day_avg": F.avg(steps).over(last_7()),
+            "steps_7day_std": F.stddev_samp(steps).over(last_7()),
+            **so_far_of("total_calories", "calories", "double"),
+            **so_far_of("sleep_minutes", "sleep", "bigint"),
+            "_nth": F.sum(X.flag(new)).over(so_far()),
+            "_first": F.row_number().over(by_day()) == 1,
+            "_changed": changed,
+        }
+    )
+    start = F.max(F.when(new & (F.col("_first") | F.col("_changed")), F.col("_nth"))).over(so_far())
+    run = F.when(start.isNull(), F.coalesce("_same_steps_streak", F.lit(0)) + F.col("_nth")).otherwise(F.col("_nth") - start + 1)
+    rows = rows.withColumn("same_steps_streak", run.cast("int"))
+    features = rows.filter("_new").select(
+        "user_id", "activity_date", "total_steps", "total_calories", "sleep_minutes", "steps_7day_avg", "steps_7day_std",
+        F.try_divide("calories_sum", "calories_n").alias("calories_avg"), F.try_divide("sleep_sum", "sleep_n").alias("sleep_avg"),
+        "same_steps_streak")
+    latest = F.max_by(F.struct(*carried), "activity_date").alias("_l")
+    held = F.when(F.size("_all") > REACH, F.slice("_all", -REACH, REACH)).otherwise(F.col("_all"))
+    lists = rows.groupBy("user_id").agg(F.sort_array(F.collect_list(F.struct("activity_date", "total_steps"))).alias("_all"), latest)
+    return features, lists.select("user_id", held.alias("last_rows"), "_l.*")
+
+
+def as_of_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_time: str, right_time: str, strict: bool = False) -> DataFrame:
+    """Each row of ``left`` with the columns of the newest row of ``right`` up to its time (before it, if ``strict``).
+
+    Both sides are sorted together by key and time, and the newest right row is carried along: one shuffle and no pairs,
+    however many rows a key has. Rows without a match keep NULLs; ``right`` has one row for each key and time.
+    """
+    values = [c for c in right.columns if c not in (*keys, right_time)]
+    ours = left.select(*keys, F.col(left_time).alias("_t"), F.lit(0 if strict else 1).alias("_side"), F.struct(*left.columns).alias("_left"))
+    theirs = right.select(*keys, F.col(right_time).alias("_t"), F.lit(1 if strict else 0).alias("_side"),
+                          F.struct(F.col(right_time).alias("_at"), *values).alias("_right"))
+    both = ours.unionByName(theirs, allowMissingColumns=True)
+    before = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    met = both.withColumn("_right", F.last("_right", ignorenulls=True).over(before)).filter(F.col("_left").isNotNull())
+    return met.select("_left.*", F.col("_right._at").alias(f"{right_time}_as_of"), *[F.col(f"_right.{v}").alias(v) for v in values])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -63,7 +65,7 @@ def score(model: PipelineModel, gold: DataFrame) -> DataFrame:
     return predictions(scored.withColumn("raw_prediction", probability))
 
 
-def predictions(scored: DataFrame, levels: bool = False, exact: bool = False) -> DataFrame:
+def predictions(scored: DataFrame, levels: bool = False, exact: bool = False, carry: Sequence[str] = ()) -> DataFrame:
     """Prediction rows as stored: who, when, the inputs shown to readers, the class of the two-class model.
 
     With ``levels`` also the level of a four-level model's code. A missing prediction is stored as -1 and UNKNOWN.
@@ -79,6 +81,7 @@ def predictions(scored: DataFrame, levels: bool = False, exact: bool = False) ->
         *level,
         F.coalesce(raw.cast("double"), F.lit(-1.0)).alias("raw_prediction"),
         "anomaly_score",
+        *carry,
     )
 
 

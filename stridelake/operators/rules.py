@@ -199,52 +199,51 @@ def quality_report(typed: DataFrame) -> DataFrame:
     )
 
 
-def _layer_lines(df: DataFrame, layer: str, rules: Sequence[Rule], keys: Sequence[str]) -> DataFrame:
-    """Failed rows per rule plus ``no_duplicates``, from one aggregate per key and one over the keys."""
+def _layer_lines(df: DataFrame, layer: str, rules: Sequence[Rule], keys: Sequence[str], date: Column | None = None) -> DataFrame:
+    """Failed rows per rule, ``no_duplicates`` and, with ``date``, ``complete_days``: one aggregate per key feeds all lines.
+
+    ``complete_days`` counts the days without a row between a user's first and last day, without listing them: the keys
+    are summed up by user (and day, which the keys imply) before all users are.
+    """
     all_pass = F.lit(True)
     for rule in rules:
         all_pass = all_pass & rule.passes()
-    per_key = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(all_pass).alias("all_pass"),
-        *[F.count_if(~r.passes()).alias(f"f{i}") for i, r in enumerate(rules)],
-    )
     complete_key = F.lit(True)
     for key in keys:
         complete_key = complete_key & F.col(key).isNotNull()
-    totals = per_key.agg(
+    names = ["n", "all_pass", *[f"f{i}" for i in range(len(rules))]]
+    sums = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(all_pass).alias("all_pass"),
+        *[F.count_if(~r.passes()).alias(f"f{i}") for i, r in enumerate(rules)],
+    ).withColumn("dup", F.when(complete_key, F.col("n") - 1).otherwise(0))
+    days: list[Column] = []
+    if date is not None:
+        totals = [F.sum(c).alias(c) for c in (*names, "dup")]
+        sums = sums.groupBy("user_id").agg(*totals, F.count_distinct(date).alias("days"), (F.datediff(F.max(date), F.min(date)) + 1).alias("span"))
+        days = [F.coalesce(F.sum("span"), F.lit(0)).cast("bigint").alias("span"),
+                F.coalesce(F.sum(F.col("span") - F.col("days")), F.lit(0)).cast("bigint").alias("missing")]
+    totals = sums.agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("total_rows"),
         F.coalesce(F.sum(F.col("n") - F.col("all_pass")), F.lit(0)).alias("any"),
-        F.coalesce(F.sum(F.when(complete_key, F.col("n") - 1).otherwise(0)), F.lit(0)).alias("dup"),
+        F.coalesce(F.sum("dup"), F.lit(0)).alias("dup"),
         *[F.coalesce(F.sum(f"f{i}"), F.lit(0)).alias(f"f{i}") for i in range(len(rules))],
+        *days,
     )
 
-    def line(name: str, failed: str) -> Column:
+    def line(name: str, failed: str, total: str = "total_rows") -> Column:
         return F.struct(
-            F.lit(layer).alias("layer"), F.lit(name).alias("rule"), F.col("total_rows"),
+            F.lit(layer).alias("layer"), F.lit(name).alias("rule"), F.col(total).alias("total_rows"),
             F.col(failed).alias("failed_rows"),
         )
 
     lines = [line(r.name, f"f{i}") for i, r in enumerate(rules)]
     lines += [line("valid_rows", "any"), line("no_duplicates", "dup")]
+    if date is not None:
+        lines.append(line("complete_days", "missing", "span"))
     return totals.select(F.inline(F.array(*lines)))
 
 
-def _missing_days(gold: DataFrame) -> DataFrame:
-    """Days without a row between a user's first and last day, counted without listing them."""
-    date = F.make_date("year", "month", "day")
-    per_day = gold.groupBy("user_id", date.alias("date")).agg(F.count(F.lit(1)).alias("n"))
-    per_user = per_day.groupBy("user_id").agg(
-        F.count("date").alias("days"), (F.datediff(F.max("date"), F.min("date")) + 1).alias("span")
-    )
-    return per_user.agg(
-        F.lit("gold").alias("layer"),
-        F.lit("complete_days").alias("rule"),
-        F.coalesce(F.sum("span"), F.lit(0)).cast("bigint").alias("total_rows"),
-        F.coalesce(F.sum(F.col("span") - F.col("days")), F.lit(0)).cast("bigint").alias("failed_rows"),
-    )
-
-
 def layer_quality(bronze: DataFrame, silver: DataFrame, gold: DataFrame, valid_share: float = 0.99) -> DataFrame:
     """Quality policy as a table: layer, rule, rows seen, rows failed, verdict.
 
@@ -254,8 +253,7 @@ def layer_quality(bronze: DataFrame, silver: DataFrame, gold: DataFrame, valid_s
     lines = (
         _layer_lines(bronze, "bronze", BRONZE_CATALOG, ["user_id", "timestamp"])
         .unionByName(_layer_lines(silver, "silver", SILVER_CATALOG, ["user_id", "timestamp"]))
-        .unionByName(_layer_lines(gold, "gold", GOLD_CATALOG, ["user_id", "year", "month", "day"]))
-        .unionByName(_missing_days(gold))
+        .unionByName(_layer_lines(gold, "gold", GOLD_CATALOG, ["user_id", "year", "month", "day"], F.make_date("year", "month", "day")))
     )
     tolerant = (F.col("layer") == "bronze") & (F.col("rule") == "valid_rows")
     passed_share = 1 - F.try_divide(F.col("failed_rows"), F.col("total_rows"))

@@ -224,6 +224,10 @@ def listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+def with_code(gold: DataFrame) -> DataFrame:
     """Gold rows with a raw class code that covers halves and codes outside the map."""
-    return gold_scaled(spark, sf_dir).withColumn("raw_prediction", (F.col("total_steps") % 50) / 10.0)
+    return gold.withColumn("raw_prediction", (F.col("total_steps") % 50) / 10.0)
+
+
+def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_code(gold_scaled(spark, sf_dir))

@@ -407,6 +407,9 @@ _BODIES: dict[str, str] = {
                        ELSE 'STANDARD' END AS premium_adjustment
         FROM (SELECT {_FRAUD_FLAGS}, CASE activity_level WHEN 'HIGH' THEN 10 WHEN 'MEDIUM' THEN 30 WHEN 'LOW' THEN 60
                      ELSE 90 END AS insurance_risk_score FROM gold_full)""",
+    "silver_written": "SELECT * FROM silver",
+    "gold_written": "SELECT * FROM gold_full",
+    "managed_gold": "SELECT * FROM gold_full",
     "warehouse_daily_summary": f"SELECT {_WAREHOUSE} FROM gold_full",
     "warehouse_count": "SELECT count(*) AS row_count FROM gold_full",
     # --- daily ---
@@ -474,6 +477,25 @@ _BODIES: dict[str, str] = {
         FROM (SELECT *, sum(CASE WHEN total_steps IS NOT DISTINCT FROM before AND n > 1 THEN 0 ELSE 1 END) {_BY_DAY} AS run
               FROM (SELECT *, lag(total_steps) {_BY_DAY} AS before, row_number() {_BY_DAY} AS n
                     FROM (SELECT *, make_date(year, month, day) AS activity_date FROM gold_full)))""",
+    "feature_store_asof": f"""
+        SELECT user_id, activity_date, total_steps, total_calories, sleep_minutes,
+               round(avg(total_steps) {_LAST_7}, 6) AS steps_7day_avg,
+               round(stddev_samp(total_steps) {_LAST_7}, 6) AS steps_7day_std,
+               round(avg(total_calories) {_BY_DAY}, 6) AS calories_avg,
+               round(avg(sleep_minutes) {_BY_DAY}, 6) AS sleep_avg,
+               CAST(row_number() OVER (PARTITION BY user_id, run ORDER BY activity_date) AS INTEGER) AS same_steps_streak
+        FROM (SELECT *, sum(CASE WHEN total_steps IS NOT DISTINCT FROM before AND n > 1 THEN 0 ELSE 1 END) {_BY_DAY} AS run
+              FROM (SELECT *, lag(total_steps) {_BY_DAY} AS before, row_number() {_BY_DAY} AS n
+                    FROM (SELECT * REPLACE (CASE WHEN day % 3 = 1 AND anomaly_score > 0.1 THEN total_steps + 7 ELSE total_steps END AS total_steps),
+                                 make_date(year, month, day) AS activity_date FROM gold_full)))""",
+    "feature_asof_join": f"""
+        SELECT e.user_id, e.activity_date, e.event_type, f.feature_date AS feature_date_as_of, f.steps_7day_avg
+        FROM found e ASOF LEFT JOIN (
+            SELECT user_id, activity_date AS feature_date, round(steps_7day_avg, 6) AS steps_7day_avg
+            FROM (SELECT user_id, activity_date, avg(total_steps) {_LAST_7} AS steps_7day_avg, total_steps, lag(total_steps) {_BY_DAY} AS before, row_number() {_BY_DAY} AS n
+                  FROM (SELECT *, make_date(year, month, day) AS activity_date FROM gold_full))
+            WHERE n = 1 OR total_steps IS DISTINCT FROM before) f
+        ON e.user_id = f.user_id AND e.activity_date > f.feature_date""",
     # --- events ---
     "detect_events": "SELECT * FROM found",
     "event_messages": f"SELECT user_id, {_message()} AS body FROM found",
@@ -595,6 +617,11 @@ _BODIES: dict[str, str] = {
         SELECT user_id, date, CAST(raw_prediction AS DOUBLE) AS raw_prediction, rounded_level, exact_level,
                CASE WHEN raw_prediction >= 0.5 THEN 'FRAUD' ELSE 'NORMAL' END AS fraud_class
         FROM decoded_codes""",
+    "predictions_written": """
+        SELECT d.user_id, d.date, g.total_steps, g.total_calories, CASE WHEN raw_prediction >= 0.5 THEN 'FRAUD' ELSE 'NORMAL' END AS predicted_class,
+               CAST(raw_prediction AS DOUBLE) AS raw_prediction, d.anomaly_score, 'v1' AS model_version
+        FROM decoded_codes d JOIN (SELECT *, CAST(year AS VARCHAR) || '-' || month || '-' || day AS date FROM gold_full) g
+          ON d.user_id = g.user_id AND d.date = g.date""",
     "prediction_classes": """
         SELECT CASE WHEN raw_prediction >= 0.5 THEN 'FRAUD' ELSE 'NORMAL' END AS predicted_class, count(*) AS row_count,
                count(*) FILTER (WHERE anomaly_score >= 0.8) AS fraud_rows
@@ -607,6 +634,24 @@ _BODIES: dict[str, str] = {
 }
 
 
+#: What is written and read back equals what went in.
+_BODIES |= {
+    "csv_daily_fact": """
+        SELECT user_id, activity_date, CAST(daily_calories AS INTEGER) AS daily_calories, CAST(daily_steps AS INTEGER) AS daily_steps,
+               CAST(SedentaryMinutes AS INTEGER) AS SedentaryMinutes, CAST(LightlyActiveMinutes AS INTEGER) AS LightlyActiveMinutes,
+               CAST(FairlyActiveMinutes AS INTEGER) AS FairlyActiveMinutes, CAST(VeryActiveMinutes AS INTEGER) AS VeryActiveMinutes
+        FROM fact""",
+    "csv_hourly_features": _BODIES["hourly_features"],
+    "csv_minute_merge": _BODIES["minute_merge"],
+    "json_bronze": _BODIES["silver_typed"],
+    "event_lines": _gold("scaled_silver"),
+    "event_lines_refused": "SELECT user_id, count(*) AS row_count FROM gold_full WHERE day = 2 GROUP BY ALL",
+    "predictions_files": f"""
+        SELECT * EXCLUDE (model_version), (SELECT count(*) FROM gold_full) AS total_users FROM ({_BODIES["predictions_written"]})""",
+    "training_csv": f"SELECT * EXCLUDE (user_id, date) FROM ({_BODIES['training_set']})",
+}
+
+
 def _needed(text: str, found: dict[str, None]) -> None:
     for name, part in _PARTS.items():
         if name not in found and re.search(rf"\b(?:FROM|JOIN)\s+\(?{name}\b", text):

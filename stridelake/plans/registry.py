@@ -8,7 +8,7 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stridelake.config import FRAUD
+from stridelake.config import FEATURES, FRAUD
 from stridelake.functions import columns as X
 from stridelake.operators import change as C
 from stridelake.operators import events as E
@@ -264,6 +264,32 @@ def feature_store(spark, sf_dir):
     return df.withColumns(rounded)
 
 
+@query
+def feature_store_asof(spark, sf_dir):
+    """Five runs over a growing daily table; before the fourth, some days of earlier runs change."""
+    root = scratch(spark, "features")
+    gold, month = A.gold_scaled(spark, sf_dir), F.make_date("year", "month", "day")
+    versions.commit(gold.withColumn("seq", F.lit(0)), f"{root}/daily", sinks.GOLD_PARTITIONS)
+    first, last = gold.agg(F.min(month), F.max(month)).first()
+    step = (last - first) / 5
+    for run in range(1, 6):
+        if run == 4:
+            changed = versions.read(spark, f"{root}/daily").filter("day % 3 = 1 and anomaly_score > 0.1").withColumns({"total_steps": F.col("total_steps") + 7, "seq": F.lit(1)})
+            versions.upsert(changed, f"{root}/daily", G.DAY_KEYS, sinks.GOLD_PARTITIONS, "seq")
+        follow.features(spark, f"{root}/daily", f"{root}/store", str(first + step * run), buckets=8)
+    rounded = {c: F.round(c, 6) for c in ("steps_7day_avg", "steps_7day_std", "calories_avg", "sleep_avg")}
+    return versions.read(spark, f"{root}/store/features").drop("year", "month", "run").withColumns(rounded)
+
+
+@query
+def feature_asof_join(spark, sf_dir):
+    gold = A.gold_scaled(spark, sf_dir)
+    events = E.detect_events(gold).select("user_id", "activity_date", "event_type")
+    known, _ = D.features_as_of(D.feature_days(gold), spark.createDataFrame([], D.FEATURE_STATE))
+    known = known.filter("same_steps_streak = 1").select("user_id", F.col("activity_date").alias("feature_date"), F.round("steps_7day_avg", 6).alias("steps_7day_avg"))
+    return D.as_of_join(events, known, ["user_id"], "activity_date", "feature_date", strict=True)
+
+
 # --- events and rewards ---
 
 
@@ -375,6 +401,94 @@ def retention_filter(spark, sf_dir):
     return T.within_retention(orders, F.col("order_date"), "silver", F.lit(A.AS_OF).cast("date"))
 
 
+# --- files written and read back ---
+
+
+def _csv(tables_, root):
+    for i, df in enumerate(tables_):
+        df.write.option("header", True).csv(f"{root}/{i}")
+    return [f"{root}/{i}" for i in range(len(tables_))]
+
+
+@query
+def csv_daily_fact(spark, sf_dir):
+    return D.daily_fact(*readers.read_daily_csv(spark, *_csv(A.daily_tables(spark, sf_dir), scratch(spark, "csv"))))
+
+
+@query
+def csv_hourly_features(spark, sf_dir):
+    return D.hourly_features(D.hourly_fact(*readers.read_hourly_csv(spark, *_csv(A.hourly_tables(spark, sf_dir), scratch(spark, "csv")))))
+
+
+@query
+def csv_minute_merge(spark, sf_dir):
+    return S.minute_merge(*readers.read_minute_csv(spark, *_csv(A.minute_tables(spark, sf_dir), scratch(spark, "csv"))))
+
+
+@query
+def json_bronze(spark, sf_dir):
+    raw, path = A.minute_raw(spark, sf_dir), scratch(spark, "json")
+    sinks.write_json_lines(raw.select(F.to_json(F.struct(*raw.columns)).alias("value")), path)
+    return S.typed(readers.read_bronze_json(spark, path)).select(*raw.columns)
+
+
+def _event_lines(spark, sf_dir):
+    """Daily rows as JSON lines; those of the second day of a month come once more, broken off."""
+    gold, path = A.gold_scaled(spark, sf_dir, full=False), scratch(spark, "lines")
+    line = F.to_json(F.struct(*gold.columns))
+    copies = F.when(F.col("day") == 2, F.array(line, F.concat(F.lit("broken "), line))).otherwise(F.array(line))
+    sinks.write_json_lines(gold.select(F.explode(copies).alias("value")), path)
+    return readers.read_event_lines(spark, path)
+
+
+@query
+def event_lines(spark, sf_dir):
+    return _event_lines(spark, sf_dir)[0]
+
+
+@query
+def event_lines_refused(spark, sf_dir):
+    user = F.regexp_extract("value", '"user_id":"([^"]*)"', 1).alias("user_id")
+    return _event_lines(spark, sf_dir)[1].groupBy(user).agg(F.count(F.lit(1)).alias("row_count"))
+
+
+@query
+def silver_written(spark, sf_dir):
+    path = scratch(spark, "silver")
+    sinks.write_silver(A.silver(spark, sf_dir), path)
+    return readers.read_silver(spark, path)
+
+
+@query
+def gold_written(spark, sf_dir):
+    path = scratch(spark, "gold")
+    sinks.write_gold(A.gold_scaled(spark, sf_dir), path)
+    return readers.read_gold(spark, path)
+
+
+@query
+def managed_gold(spark, sf_dir):
+    sinks.managed_table(A.gold_scaled(spark, sf_dir), "managed_gold", sinks.GOLD_PARTITIONS, scratch(spark, "managed"))
+    return spark.table("managed_gold")
+
+
+@query
+def predictions_files(spark, sf_dir):
+    rows, path = M.predictions(A.scored(spark, sf_dir)), scratch(spark, "predictions")
+    sinks.write_predictions(rows, path, "2024-02-01", "gold")
+    total = spark.read.schema("total_users long").json(f"{path}/summaries").select("total_users")
+    return spark.read.schema(rows.schema).json(f"{path}/predictions").drop("run_date").join(total)
+
+
+@query
+def training_csv(spark, sf_dir):
+    data, path = M.training_set(A.gold_scaled(spark, sf_dir)), scratch(spark, "training")
+    sinks.write_training_csv(data, path)
+    columns = data.select("label", *FEATURES).schema
+    sides = [spark.read.schema(columns).csv(f"{path}/{side}").withColumn("split", F.lit(side)) for side in ("train", "test")]
+    return sides[0].unionByName(sides[1])
+
+
 # --- change data ---
 
 
@@ -483,6 +597,19 @@ def prediction_classes(spark, sf_dir):
     return M.prediction_report(M.predictions(A.scored(spark, sf_dir)))
 
 
+@query
+def predictions_written(spark, sf_dir):
+    """Gold files scored as they arrive, by a stream that is restarted and once more by one that has lost its checkpoint."""
+    root = scratch(spark, "scoring")
+    gold = A.gold_scaled(spark, sf_dir)
+    each = tables.scoring_sink(f"{root}/predictions", A.with_code, "v1")
+    for part, checkpoint in ((F.col("day") <= 15, "a"), (F.col("day") > 15, "a"), (F.lit(False), "b")):
+        gold.filter(part).coalesce(2).write.mode("append").parquet(f"{root}/gold")
+        arriving = sources.arriving_gold(spark, f"{root}/gold", gold.schema, max_files=1)
+        tables.run(arriving, f"{root}/checkpoint-{checkpoint}", each).awaitTermination()
+    return versions.read(spark, f"{root}/predictions").drop("source_file", "scored_at", "run", "year", "month")
+
+
 # --- streams, run to the end of the data and read back ---
 
 

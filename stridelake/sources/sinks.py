@@ -42,14 +42,14 @@ def write_gold(df: DataFrame, path: str) -> None:
     write_partitions(df, path, GOLD_PARTITIONS, ["user_id", "day"])
 
 
-def managed_table(df: DataFrame, name: str, partition_by: Sequence[str]) -> int:
+def managed_table(df: DataFrame, name: str, partition_by: Sequence[str], path: str | None = None) -> int:
     """Replace a catalog table by ``df`` and return its new version.
 
-    Rows are committed as a version of ``table_path(name)``; the catalog entry is a view of that version's folder and moves
+    Rows are committed as a version of ``path``, ``table_path`` of the name unless given; the catalog entry is a view of that version's folder and moves
     in one step, so readers see the old table or the new one. ``versions.feed_between`` gives what has changed.
     """
     spark = df.sparkSession
-    path = table_path(spark, name)
+    path = path or table_path(spark, name)
     new = versions.commit(df, path, partition_by, None, versions.load(spark, path), cluster_by=[c for c in ("user_id",) if c in df.columns])
     columns = ", ".join(f"`{c}`" for c in new.schema.names if c in df.columns)
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM parquet.`{_whole_commit(path, new)}`")

@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from stridelake.config import DEFAULTS, Thresholds
 from stridelake.operators import change as C
+from stridelake.operators import features as D
 from stridelake.operators import gold as G
 from stridelake.operators import rules as R
 from stridelake.operators.silver import merge_keys
 from stridelake.session import cuts
 from stridelake.sources import sinks, versions
+from stridelake.sources.readers import bucket_of
 
 SEQUENCE = "source_version"
 
@@ -105,3 +107,54 @@ def gold(spark: SparkSession, silver: str, root: str, full: bool = True, t: Thre
     derived(spark, f"{root}/partial", f"{root}/daily", keys, by, lambda rows: G.classify(G.partial_totals(rows), full, t), R.GOLD_RULES)
     derived(spark, f"{root}/daily", f"{root}/fraud", keys, by, lambda rows: G.flag_fraud(rows, t), R.FRAUD_RULES)
     derived(spark, f"{root}/fraud", f"{root}/insurance", keys, by, lambda rows: G.gold_insurance(rows, t))
+
+
+# --- feature store ---
+
+
+def features(spark: SparkSession, daily: str, root: str, run_date: str, buckets: int = 64) -> None:
+    """Refresh the feature store below ``root`` from the daily table, as of ``run_date`` (yyyy-mm-dd).
+
+    A run reads the days since the last run and one state line for each of their users. Users of whom a day up to the last
+    run has changed since are made anew from their whole history. Days after ``run_date`` wait for their run.
+    """
+    state_path, table = f"{root}/state", f"{root}/features"
+    base, newest = versions.load(spark, state_path), versions.numbers(spark, daily)[-1]
+    last = base.notes["run"]["date"] if base is not None else None
+    if last is not None and run_date < last:
+        raise ValueError(f"the store is of {last}, after {run_date}")
+    month = F.col("year") * 12 + F.col("month")
+    date = F.make_date("year", "month", "day")
+    until = versions.read(spark, daily, newest).filter((month <= _month(run_date)) & (date <= F.lit(run_date).cast("date")))
+    none = spark.createDataFrame([], D.FEATURE_STATE)
+    with cuts(spark) as cut:
+        if base is None:
+            rows, after = D.features_as_of(D.feature_days(until), none)
+            gone = None
+        else:
+            state = versions.read(spark, state_path, base)
+            feed = versions.feed_between(spark, daily, G.DAY_KEYS, base.followed(daily), newest)
+            changed = cut(feed.filter(date <= F.lit(last).cast("date")).select("user_id", date.alias("activity_date"), C.CHANGE_TYPE))
+            users = changed.select("user_id").distinct()
+            fresh = until.filter((month >= _month(last)) & (date > F.lit(last).cast("date")))
+            rows, after = D.features_as_of(D.feature_days(fresh.join(users, "user_id", "left_anti")), state.select(*none.columns))
+            again, state_again = D.features_as_of(D.feature_days(until.join(users, "user_id", "left_semi")), none)
+            gone = changed.filter(F.col(C.CHANGE_TYPE) == C.DELETED).select("user_id", "activity_date")
+            lost = users.join(state_again, "user_id", "left_anti")  # no day is left of them
+            rows, after = rows.unionByName(again), after.unionByName(state_again).unionByName(lost, allowMissingColumns=True)
+        number = (base.number if base else 0) + 1
+        changes = rows.withColumn("operation_type", F.lit("UPDATE"))
+        if gone is not None:
+            changes = changes.unionByName(gone.withColumn("operation_type", F.lit("DELETE")), allowMissingColumns=True)
+        changes = cut(changes.withColumns({"year": F.year("activity_date"), "month": F.month("activity_date"), "run": F.lit(number)}))
+        versions.upsert(changes, table, ["user_id", "activity_date"], sinks.GOLD_PARTITIONS, "run")
+        after = cut(after.withColumns({"bucket": bucket_of(buckets), "run": F.lit(number),
+                                       "operation_type": F.when(F.col("last_rows").isNull(), "DELETE").otherwise("UPDATE")}))
+        notes = {"followed": {daily: newest}, "run": {"date": run_date}}
+        if versions.upsert(after, state_path, ["user_id"], ["bucket"], "run", notes=notes) is None:
+            versions.commit(after.drop("operation_type"), state_path, ["bucket"], (), None, notes)
+
+
+def _month(date: str) -> int:
+    year, month, _ = map(int, date.split("-"))
+    return year * 12 + month

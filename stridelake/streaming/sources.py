@@ -43,6 +43,11 @@ def parquet_stream(spark: SparkSession, path: str, schema: T.StructType, max_fil
     return reader.parquet(path)
 
 
+def arriving_gold(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:
+    """Daily rows of gold files as they arrive, with the file they come from."""
+    return parquet_stream(spark, path, schema, max_files).withColumn("source_file", F.col("_metadata.file_path"))
+
+
 def message_stream(spark: SparkSession, path: str, max_files: int | None = None) -> DataFrame:
     """Message bodies, one per line, as ``sinks.write_messages`` leaves them."""
     reader = spark.readStream

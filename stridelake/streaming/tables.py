@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stridelake.config import DEFAULTS, WORKOUT, Thresholds
+from stridelake.operators import ml as M
 from stridelake.operators import rewards as W
 from stridelake.operators import rules as R
 from stridelake.operators import silver as S
@@ -181,3 +182,36 @@ def _log_new_workouts(batch: DataFrame, log_path: str, batch_id: int) -> DataFra
         "points",
         F.lit(WORKOUT).alias("event_type"),
     )
+
+
+# --- scoring on arrival ---
+
+PREDICTION_KEYS = ("model_version", "user_id", "date")
+PREDICTION_PARTITIONS = ("model_version", "year", "month")
+
+
+def scoring_sink(path: str, score: Callable[[DataFrame], DataFrame], model_version: str, keep: int = 10) -> Batch:
+    """Score daily rows as their files arrive, each file once for each model version.
+
+    Batches carry the file in ``source_file`` (``sources.arriving_gold``); ``score`` adds ``raw_prediction``. Files are known
+    by the predictions they have left in the months they touch, so a file that is delivered again, even to a new
+    checkpoint, is not scored again; a later file's row for the same user and day replaces the earlier one.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        rows = batch.withColumn("model_version", F.lit(model_version))
+        base = versions.load(spark, path)
+        number = base.number if base is not None else 0
+        if base is not None:
+            if base.applied(_stream(spark)) >= batch_id:
+                return
+            known = versions.read(spark, path, base, versions.touched(rows, PREDICTION_PARTITIONS))
+            rows = rows.join(known.select("source_file").distinct(), "source_file", "left_anti")
+        carry = ("source_file", *PREDICTION_PARTITIONS)
+        found = M.predictions(score(rows), carry=carry).withColumns({"run": F.lit(number + 1), "scored_at": F.current_timestamp()})
+        done = versions.upsert(found, path, PREDICTION_KEYS, PREDICTION_PARTITIONS, "run", notes={"applied": {_stream(spark): batch_id}})
+        if done is not None and done.number % keep == 0:
+            versions.expire(spark, path, keep)
+
+    return each
