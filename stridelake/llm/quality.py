@@ -1,59 +1,60 @@
-"""Quality rules: word perplexity under a model that grows with the corpus, with bands for each language.
+"""Quality rules: word perplexity under a modified Kneser-Ney model of the corpus, with bands for each language.
 
-The model counts word pairs (64-bit hashes) over all texts. The probability of a word after another is the pair's count
-smoothed by the word's own count (Dirichlet prior of ``PAIR_PRIOR`` words), that by the word's spelling (``WORD_PRIOR``).
-A text is judged by what the rest of the corpus says: its own counts are taken off, so a word that only it has is as
-likely as its spelling, and a pair that only it has as likely as its second word.
+The model is of pairs: a word after the class of the word before it. Classes are 2**16 hash values of (language, word), so
+a table of contexts is bounded whatever the vocabulary; predicted words are all words of the corpus, and pair counts grow
+with it. Every occurrence of a pair is dealt to one of two folds by the hash of the four words around it, and judged by the
+model of the other fold. So neither the text itself nor any copy, exact or near, vouches for it: where they agree they
+fall into the same fold. Probabilities of all known words and the unknown one add up to 1 after any context.
 
-Tasks hand over blocks of sorted arrays, one for each hash partition of the second word: pairs, counts and the documents
-they are from. A partition then holds all pairs of its words, adds the counts up and looks the documents' pairs up in them;
-only sums of documents leave it. Nothing of it is collected but words with more than a thousandth of a language's words
-(a thousand a language at most): their pairs are spread by pair. Every word is followed once, so a word's count is also
-that of its pairs.
+* Counting. Tasks count pairs in blocks and hand over sorted arrays for each shard (a hash range of predicted words). A
+  shard adds them up and stores them as a sorted hash array: pair hashes, counts of both folds. It reports totals and
+  numbers of pairs seen once, twice and thrice by context, and how many contexts its words follow (their lower order).
+  These reports are bounded by the number of classes; discounts and context weights follow from them and are broadcast.
+* Scoring. Tasks hand over blocks of (pair hash, text of the block, count), sorted, for each shard, where they meet the
+  stored array; sums by text and block come back.
 
-Spelling is a modified Kneser-Ney model of characters folded into 64 classes (blank, letters without case, digit,
-punctuation, other letters by their code point), of order 4: at most 64 + 64**2 + 64**3 + 64**4 entries of 12 bytes for a
-language, which bounds its broadcast. Spark counts, discounts and interpolates it in one join for each order.
+The number of shards follows from the size of the texts (``SHARD_BYTES``), so a task's memory does not grow with the corpus.
+Words that a bounded sample shows to be frequent are spread over all shards by pair, and their lower order is added up
+from the reports; the sample decides where counts lie, never what they are.
 
-Perplexity is per word. A language's band lies around its median logarithm, ``WIDTH`` times the quartile distances to
-either side: what is outside is rejected, the repetitive below, the garbled above. Medians are taken over all documents
-that pass the base rules, from a histogram of fixed steps.
+Perplexity is per word, the end included. A language's band lies around its median logarithm, ``WIDTH`` times the quartile
+distances to either side: what is below is repetitive, what is above garbled, both go. Medians are taken over all
+documents that pass the base rules, from a histogram of fixed steps.
 
 NULL or empty texts have no words, fail the base rules and have no perplexity; a NULL language is a language of its
 own; texts are read whole, however long; repeated rows count and are judged like any other; extra columns pass through
-``assess``, and those that clash with its results are replaced. An empty table gives an empty result.
+``assess``, whatever their names but its results', which it replaces. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import stored
+from stridelake.llm.common import SPACE, stored
 from stridelake.llm.minhash import _mix, _WordHashes
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
-ORDER, BITS = 4, 6
 #: Width of the bands in quartile distances, and histogram step (the least width), both of the perplexity's logarithm.
-WIDTH, STEP = 6.0, 0.001
-#: Words that the lower order counts for.
-PAIR_PRIOR, WORD_PRIOR = 50.0, 5.0
-#: Pairs of a block, and share of a language's words from which a word's pairs are spread.
-BLOCK, COMMON = 500_000, 0.001
-#: n-grams sorted at a time.
-RUN = 4_000_000
-
-_SPACE = b" \t\n\x0b\f\r"
+WIDTH, STEP = 7.0, 0.001
+#: Bits of a context class, and of a predicted word's hash within its shard.
+CLASS_BITS, WORD_BITS = 16, 32
+#: Text of a shard, pairs of a block, documents of a block at most (their numbers take two bytes).
+SHARD_BYTES, BLOCK, BLOCK_DOCS = 32 << 20, 2_000_000, 1 << 16
+#: Share of the words of a sample of ``SAMPLE_BYTES`` from which a word is spread over the shards.
+FREQUENT, SAMPLE_BYTES = 0.002, 16 << 20
+
+_SPACE = SPACE.encode()
 _TAILS = bytes(range(0x80, 0xC0))  # bytes of a character after its first
 _SYMBOLS = b"#*$%&|<>"
-_BEGIN, _BLANK, _DIGIT, _PUNCTUATION, _OTHER, _END = 0, 1, 28, 29, 39, 63
-
-_CLASS = np.array([_BLANK if c in _SPACE else _DIGIT if 48 <= c < 58 else 2 + (c | 32) - 97 if chr(c).isalpha() else _PUNCTUATION + c % 10
-                   for c in range(128)], np.int32)
+_EDGE = np.uint64(1)  # before the first and after the last word
+_FOLDS, _CLASSES = 2, 1 << CLASS_BITS
+NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
 
 # --- base rules ---
@@ -87,267 +88,181 @@ def base_counts(text: bytes | None) -> tuple[int, int, int, int, int]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeated
 
 
-# --- n-grams ---
+# --- hashes ---
 
 
-def classes(text: bytes) -> np.ndarray:
-    """The text's character classes, with begin marks in front and an end mark."""
-    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
-    out = np.empty(len(points) + ORDER, np.int32)
-    out[: ORDER - 1], out[-1] = _BEGIN, _END
-    ascii_only = points < 128
-    out[ORDER - 1 : -1] = np.where(ascii_only, _CLASS[np.minimum(points, 127)], _OTHER + points % (_END - _OTHER))
-    return out
+@dataclass(frozen=True)
+class Layout:
+    """Where pairs lie. Pair hashes hold the word's bits, its context's class and the fold, from high to low."""
 
+    shards: int
+    frequent: tuple[int, ...] = ()  # word hashes, ascending
 
-def keys(text: bytes) -> np.ndarray:
-    """The n-gram that ends at each character, as a number of ``BITS`` bits for each place."""
-    c = classes(text)
-    out = c[ORDER - 1 :].copy()
-    for k in range(1, ORDER):
-        out |= c[ORDER - 1 - k : len(c) - k] << (BITS * k)
-    return out
+    @property
+    def bits(self) -> int:
+        return min(63 - CLASS_BITS, WORD_BITS + max(self.shards - 1, 0).bit_length())
 
+    def words(self, mixed: np.ndarray) -> np.ndarray:
+        return mixed >> np.uint64(64 - self.bits)
 
-def _added(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
-    key = np.concatenate([k for k, _ in parts])
-    n = np.concatenate([n for _, n in parts])
-    order = np.argsort(key, kind="stable")
-    key, n = key[order], n[order]
-    first = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
-    return key[first], np.add.reduceat(n, first)
+    def is_frequent(self, word: np.ndarray) -> np.ndarray:
+        return np.isin(word, np.array(self.frequent, np.uint64)) if self.frequent else np.zeros(len(word), bool)
 
+    def shard(self, key: np.ndarray) -> np.ndarray:
+        """Ranges of the word's hash; a frequent word's pairs by the hash of the pair."""
+        word = key >> np.uint64(CLASS_BITS + 1)
+        place = word >> np.uint64(self.bits - 32)
+        often = self.is_frequent(word)
+        place[often] = _mix(key[often] >> np.uint64(1)) >> np.uint64(32)
+        return ((place * np.uint64(self.shards)) >> np.uint64(32)).astype(np.int32)
 
-class _Counts:
-    """n-grams of one language: unsorted runs are sorted when they get long, sums stay sorted."""
 
-    def __init__(self):
-        self.runs, self.waiting, self.sums = [], 0, []
+def mixed_words(lang: bytes, text: bytes, hashes: dict) -> np.ndarray:
+    """Hashes of a text's words in their order, each language's apart."""
+    words = text.split()
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
+    return _mix(h ^ np.uint64(hashes[lang]))
 
-    def add(self, key: np.ndarray) -> None:
-        self.runs.append(key)
-        self.waiting += len(key)
-        if self.waiting >= RUN:
-            self.close()
 
-    def close(self) -> None:
-        if self.runs:
-            self.sums.append(np.unique(np.concatenate(self.runs), return_counts=True))
-            self.runs, self.waiting = [], 0
-        if len(self.sums) > 1:
-            self.sums = [_added(self.sums)]
+def pair_hashes(mixed: np.ndarray, layout: Layout) -> np.ndarray:
+    """One hash for each word and the end, with its context; the lowest bit is the fold, by the words from two before to one after."""
+    words = np.concatenate([[_EDGE, _EDGE], mixed, [_EDGE, _EDGE]])
+    around = words[:-3]
+    for k in range(1, 4):
+        around = _mix(around + words[k : len(words) - 3 + k] * np.uint64(2 * k + 1))
+    context = _mix(words[1:-2]) >> np.uint64(64 - CLASS_BITS)
+    return (layout.words(words[2:-1]) << np.uint64(CLASS_BITS + 1)) | (context << np.uint64(1)) | (around & np.uint64(1))
 
 
-def ngrams(docs: DataFrame) -> DataFrame:
-    """``(lang, gram, n)``: how often each n-gram of the highest order occurs in the corpus."""
+def _planes(values: np.ndarray, kind: type) -> bytes:
+    """Bytes of equal weight side by side, which a compressor shortens where they are alike."""
+    return np.ascontiguousarray(values.astype(kind)).view(np.uint8).reshape(len(values), np.dtype(kind).itemsize).T.tobytes()
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts: dict[str, _Counts] = {}
-        for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
-                counts.setdefault(lang, _Counts()).add(keys(text))
-            if len(counts) > 64:  # many languages in one task: hand over what is there
-                yield from _rows(counts)
-                counts = {}
-        yield from _rows(counts)
 
-    def _rows(counts):
-        for lang, c in counts.items():
-            c.close()
-            for key, n in c.sums:
-                yield pd.DataFrame({"lang": lang, "gram": key.astype(np.int32), "n": n.astype(np.int64)})
+def _values(data: bytes, at: int, n: int, kind: type) -> tuple[np.ndarray, int]:
+    size = np.dtype(kind).itemsize
+    out = np.frombuffer(data, np.uint8, n * size, at).reshape(size, n).T
+    return np.ascontiguousarray(out).view(kind).ravel(), at + n * size
 
-    texts = docs.select(_language().alias("lang"), F.col("text").cast("binary").alias("text")).where("text is not null and text <> ''")
-    return texts.mapInPandas(run, "lang string, gram int, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
+def packed(keys: np.ndarray, *values: np.ndarray) -> bytes:
+    """Sorted hashes as differences, and 32-bit numbers beside them."""
+    steps = np.diff(keys, prepend=np.uint64(0))
+    return len(keys).to_bytes(8, "little") + _planes(steps, np.uint64) + b"".join(_planes(v, np.uint32) for v in values)
 
-def _language():
-    return F.coalesce("lang", F.lit(""))
 
+def unpacked(data: bytes, columns: int) -> list[np.ndarray]:
+    n = int.from_bytes(data[:8], "little")
+    steps, at = _values(data, 8, n, np.uint64)
+    out = [np.cumsum(steps, dtype=np.uint64)]
+    for _ in range(columns):
+        values, at = _values(data, at, n, np.uint32)
+        out.append(values)
+    return out
 
-def model(docs: DataFrame) -> DataFrame:
-    """``(lang, order, gram, p, rest)``: interpolated logarithm of the probability, and that of what its context leaves
-    to lower orders."""
-    top = stored(ngrams(docs), "ngrams")
-    levels = {ORDER: top.select("lang", "gram", F.col("n").alias("raw"), F.col("n").alias("c"))}
-    for k in range(ORDER - 1, 0, -1):
-        # how many characters come before it; as often as it occurs if it begins the text
-        begins = F.shiftright("suffix", BITS * (k - 1)) == _BEGIN if k > 1 else F.lit(False)
-        lower = levels[k + 1].withColumn("suffix", F.col("gram").bitwiseAND((1 << (BITS * k)) - 1)).groupBy("lang", "suffix").agg(
-            F.sum("raw").alias("raw"), F.count(F.lit(1)).alias("n"))
-        levels[k] = lower.select("lang", F.col("suffix").alias("gram"), "raw", F.when(begins, F.col("raw")).otherwise(F.col("n")).alias("c"))
-    out, below = [], None
-    for k in range(1, ORDER + 1):
-        level = stored(levels[k].withColumn("context", F.shiftright("gram", BITS)), "level")
-        many = level.groupBy("lang").agg(*[F.sum((F.col("c") == i).cast("long")).cast("double").alias(f"n{i}") for i in range(1, 5)])
-        y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
-        cut = [F.least(F.greatest(F.coalesce(i - (i + 1) * y * F.try_divide(F.col(f"n{i + 1}"), F.col(f"n{i}")), F.lit(0.5 * i)), F.lit(0.1)), F.lit(i - 0.05)).alias(f"d{i}")
-               for i in (1, 2, 3)]
-        discounts = many.select("lang", *cut)
-        d = F.when(F.col("c") == 1, F.col("d1")).when(F.col("c") == 2, F.col("d2")).otherwise(F.col("d3"))
-        level = level.join(discounts, "lang").withColumn("d", d)
-        contexts = level.groupBy("lang", "context").agg(F.sum("c").alias("total"), (F.sum("d") / F.sum("c")).alias("left"))
-        level = level.join(contexts, ["lang", "context"])
-        if below is None:
-            level = level.withColumn("q", F.lit(1.0 / (1 << BITS)))
-        else:
-            suffix = F.col("gram").bitwiseAND((1 << (BITS * (k - 1))) - 1)
-            level = level.withColumn("suffix", suffix).join(below, ["lang", "suffix"])
-        level = level.withColumn("p", (F.col("c") - F.col("d")) / F.col("total") + F.col("left") * F.col("q"))
-        level = stored(level.select("lang", "gram", "p", "context", "left"), "level")
-        below = level.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("q"))
-        out.append(level.select("lang", F.lit(k).alias("order"), "gram", F.log("p").cast("float").alias("value")))
-        left = level.select("lang", F.lit(-k).alias("order"), F.col("context").alias("gram"), F.log("left").cast("float").alias("value"))
-        out.append(left.dropDuplicates(["lang", "order", "gram"]))
-    whole = out[0]
-    for part in out[1:]:
-        whole = whole.unionByName(part)
-    return whole
-
-
-class HashArrays:
-    """The model as sorted arrays: for each language and order the keys and what belongs to them."""
-
-    def __init__(self, arrays: dict):
-        self.arrays = arrays
-
-    @staticmethod
-    def sorted_arrays(table) -> dict:
-        lang, order = np.array(table["lang"].to_pylist(), object), table["order"].to_numpy()
-        gram, value = table["gram"].to_numpy(), table["value"].to_numpy()
-        arrays = {}
-        for name in sorted(set(lang)):
-            for k in range(-ORDER, ORDER + 1):
-                at = np.flatnonzero((lang == name) & (order == k))
-                at = at[np.argsort(gram[at])]
-                arrays[name, k] = gram[at], value[at]
-        return arrays
-
-    def _find(self, lang: str, order: int, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        known, value = self.arrays[lang, order]
-        if not len(known):
-            return np.zeros(len(key), bool), np.zeros(len(key), np.float32)
-        at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-        return known[at] == key, value[at]
-
-    def logs(self, lang: str, text: bytes) -> np.ndarray:
-        """Logarithm of the probability of each character, end mark included."""
-        key = keys(text)
-        out, at = np.zeros(len(key)), np.arange(len(key))
-        for k in range(ORDER, 0, -1):
-            hit, p = self._find(lang, k, key & ((1 << (BITS * k)) - 1))
-            out[at[hit]] += p[hit]
-            key, at = key[~hit], at[~hit]
-            if not len(key):
-                break
-            known, left = self._find(lang, -k, (key & ((1 << (BITS * k)) - 1)) >> BITS)
-            out[at[known]] += left[known]
-        out[at] -= BITS * np.log(2)
-        return out
 
+def _runs(ordered: np.ndarray) -> np.ndarray:
+    """Where runs of equal values begin."""
+    return np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)])
 
-# --- word pairs ---
 
-_EDGE = np.uint64(1)  # before the first and after the last word
-_ENTRY = np.dtype([("w", np.uint64), ("pair", np.uint64), ("doc", np.int64), ("n", np.int32), ("n_w", np.int32), ("spelt", np.float32), ("lang", np.int32)])
-_FIELDS = [(name, _ENTRY[name]) for name in _ENTRY.names]
+def _by_shard(keys: np.ndarray, layout: Layout) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """Order of sorted ``keys`` by shard, and each shard's part of it."""
+    shard = layout.shard(keys)
+    order = np.argsort(shard, kind="stable")
+    shard = shard[order]
+    cuts = _runs(shard)
+    return order, [(int(shard[a]), slice(a, b)) for a, b in zip(cuts, [*cuts[1:], len(shard)])]
 
 
-def hashed(lang: str, text: bytes, hashes: dict) -> np.ndarray:
-    """Hashes of the words of a text, in their order."""
-    words = text.split()
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    return _mix(h ^ np.uint64(hashes[lang.encode()]))
-
-
-def spelt(logs: np.ndarray, text: bytes) -> np.ndarray:
-    """Logarithm of the probability of each word's characters and of the blank or end after it."""
-    points = np.frombuffer(text.decode("utf-8", "replace").encode("utf-32-le", "replace"), np.uint32)
-    letter = np.append(~np.isin(points, np.frombuffer(_SPACE, np.uint8)), False)
-    before = np.append(False, letter[:-1])
-    start, end = np.flatnonzero(letter & ~before), np.flatnonzero(before & ~letter)
-    total = np.append(0.0, np.cumsum(logs))
-    return total[end + 1] - total[start]
-
-
-def _entries(lang: int, doc: int, w: np.ndarray, by_spelling: np.ndarray) -> np.ndarray:
-    """The distinct word pairs of a document."""
-    first, second = np.append(_EDGE, w), np.append(w, _EDGE)
-    pair, at, n = np.unique(_mix(first * np.uint64(0x9E3779B97F4A7C15) + second), return_index=True, return_counts=True)
-    _, which, many = np.unique(second, return_inverse=True, return_counts=True)
-    out = np.empty(len(pair), _ENTRY)
-    out["w"], out["pair"], out["doc"], out["n"], out["n_w"] = second[at], pair, doc, n, many[which][at]
-    out["spelt"], out["lang"] = np.append(by_spelling, 0.0)[at], lang
-    return out
+# --- corpus ---
 
 
-def _packed(entries: np.ndarray) -> bytes:
-    return b"".join(entries[name].tobytes() for name, _ in _FIELDS)
+def _language():
+    return F.coalesce("lang", F.lit(""))
 
 
-def _unpacked(data: bytes) -> np.ndarray:
-    n = len(data) // _ENTRY.itemsize
-    out, at = np.empty(n, _ENTRY), 0
-    for name, kind in _FIELDS:
-        out[name] = np.frombuffer(data, kind, n, at)
-        at += n * kind.itemsize
-    return out
+def _handle():
+    """Perplexity is a function of language and text: copies share a handle, and their sums have the same mean."""
+    return F.xxhash64(_language(), F.col("text"))
 
 
 def _texts(docs: DataFrame) -> DataFrame:
     text = F.col("text").cast("binary").alias("text")
-    return docs.select(_language().alias("lang"), text, _handle().alias("doc")).where("text is not null and text <> ''")
-
+    return docs.select(_language().cast("binary").alias("lang"), text, _handle().alias("doc")).where("text is not null and octet_length(text) > 0")
 
-def _handle():
-    """Perplexity is a function of language and text: copies share a handle, and their sums have the same mean."""
-    return F.xxhash64(_language(), F.col("text"))
 
-
-def common_words(docs: DataFrame) -> tuple[dict[str, int], dict[int, int]]:
-    """Words of each language, edges included, and the counts of those with more than ``COMMON`` of them."""
+def layout_of(docs: DataFrame) -> Layout:
+    """Shards by the size of the texts; frequent words from a sample whose size does not grow with them."""
+    size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
+    layout = Layout(max(1, -(-size // SHARD_BYTES)))
+    if layout.shards == 1:
+        return layout
+    sample = _texts(docs.sample(min(1.0, SAMPLE_BYTES / size), seed=7))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hashes = _WordHashes()
         for batch in batches:
-            for lang, own in batch.groupby("lang"):
-                w, n = np.unique(np.concatenate([np.append(hashed(lang, t, hashes), _EDGE) for t in own["text"]]), return_counts=True)
-                yield pd.DataFrame({"lang": lang, "w": w.view(np.int64), "n": n})
-
-    counts = stored(_texts(docs).mapInPandas(run, "lang string, w long, n long").groupBy("lang", "w").agg(F.sum("n").alias("n")), "words")
-    totals = counts.groupBy("lang").agg(F.sum("n").alias("total"))
-    many = counts.join(totals, "lang").where(F.col("n") > COMMON * F.col("total")).select("lang", "w", "n")
-    return {r["lang"]: r["total"] for r in totals.collect()}, {(r["lang"], r["w"]): r["n"] for r in many.collect()}
+            found = [np.append(mixed_words(lang, text, hashes), _EDGE) for lang, text in zip(batch["lang"], batch["text"])]
+            if not found:
+                continue
+            word, n = np.unique(layout.words(np.concatenate(found)), return_counts=True)
+            yield pd.DataFrame({"word": word.view(np.int64), "n": n})
+
+    counts = sample.mapInPandas(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    total = F.sum("n").alias("total")
+    often = counts.join(F.broadcast(counts.agg(total))).where(F.col("n") > FREQUENT * F.col("total"))  # one line; at most 1 / FREQUENT words
+    return Layout(layout.shards, tuple(sorted(r["word"] for r in often.select("word").collect())))
+
+
+# --- counts ---
+
+#: What shards report: totals and pairs seen once, twice and more often by (fold, class); numbers of pairs, and of words by
+#: how many classes they follow, seen once to four times by fold; classes that a frequent word follows.
+_BY_CLASS, _PAIRS, _WORDS, _OFTEN = range(4)
+
+
+def _times(counts: np.ndarray) -> list[int]:
+    """How many are 1, 2, 3, 4."""
+    found = np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)
+    return [int(x) for x in found[1:5]]
+
+
+def _reports(pair: np.ndarray, counts: list[np.ndarray], layout: Layout) -> list[tuple[int, int, int, int, int, int, int]]:
+    """Lines ``(kind, fold, id, a, b, c, d)`` of one shard."""
+    word, context = pair >> np.uint64(CLASS_BITS), (pair & np.uint64(_CLASSES - 1)).astype(np.int64)
+    starts = _runs(word)
+    own = word[starts]
+    often = layout.is_frequent(own)
+    out = []
+    for fold, c in enumerate(counts):
+        total = np.bincount(context, c, _CLASSES)
+        kinds = [np.bincount(context[at], minlength=_CLASSES) for at in (c == 1, c == 2, c > 2)]
+        for i in np.flatnonzero(total):
+            out.append((_BY_CLASS, fold, int(i), int(total[i]), *[int(k[i]) for k in kinds]))
+        out.append((_PAIRS, fold, 0, *_times(c)))
+        follows = np.add.reduceat(c > 0, starts, dtype=np.int64) if len(starts) else np.zeros(0, np.int64)
+        known = follows[~often]
+        out.append((_WORDS, fold, 0, *_times(known)))
+        out.append((_WORDS, fold, 1, int(known.sum()), int((known > 0).sum()), int((known > 2).sum()), 0))
+        out += [(_OFTEN, fold, int(w.astype(np.int64)), int(n), 0, 0, 0) for w, n in zip(own[often], follows[often])]
+    return out
 
 
-def word_logs(docs: DataFrame, arrays) -> DataFrame:
-    """``(doc, log_ppl)``: mean negative logarithm of the probability of a text's words, the end included."""
-    spark = docs.sparkSession
-    totals, many = common_words(docs)
-    names = sorted(totals)
-    number = {name: i for i, name in enumerate(names)}
-    size = np.array([totals[name] for name in names], float)
-    hot = sorted((number[lang], w, n) for (lang, w), n in many.items())
-    shared = spark.sparkContext.broadcast((number, size, {(i, w): n for i, w, n in hot}, np.unique(np.array([w for _, w, _ in hot], np.int64)).view(np.uint64)))
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+def counted(docs: DataFrame, layout: Layout) -> DataFrame:
+    """The model's shards: ``shard, model`` (pairs and their counts in both folds, sorted) and ``reports``, stored."""
 
     def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number, _, _, common = shared.value
-        scorer, hashes, waiting, held = HashArrays(arrays.value), _WordHashes(), [], 0
+        hashes, waiting, held = _WordHashes(), [], 0
 
         def block() -> pd.DataFrame:
-            entries = np.concatenate(waiting)
-            by = np.where(np.isin(entries["w"], common), entries["pair"], entries["w"])
-            bucket = (_mix(by) % np.uint64(buckets)).astype(np.int32)
-            entries = entries[np.lexsort((entries["w"], bucket))]
-            bucket = np.sort(bucket)
-            cuts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
-            return pd.DataFrame({"bucket": bucket[cuts], "data": [_packed(e) for e in np.split(entries, cuts[1:])]})
+            keys, n = np.unique(np.concatenate(waiting), return_counts=True)
+            order, parts = _by_shard(keys, layout)
+            return pd.DataFrame([(shard, packed(keys[order[p]], n[order[p]])) for shard, p in parts], columns=["shard", "data"])
 
         for batch in batches:
-            for lang, text, doc in zip(batch["lang"], batch["text"], batch["doc"]):
-                w = hashed(lang, text, hashes)
-                waiting.append(_entries(number[lang], doc, w, spelt(scorer.logs(lang, text), text)))
+            for lang, text in zip(batch["lang"], batch["text"]):
+                waiting.append(pair_hashes(mixed_words(lang, text, hashes), layout))
                 held += len(waiting[-1])
                 if held >= BLOCK:
                     yield block()
@@ -355,46 +270,182 @@ def word_logs(docs: DataFrame, arrays) -> DataFrame:
         if held:
             yield block()
 
-    def scores(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        _, size, counts, common = shared.value
-        parts = [_unpacked(data) for batch in batches for data in batch["data"]]
-        if not parts:
-            return
-        e = np.concatenate(parts)
-        parts.clear()
-        n = e["n"].astype(float)
-        _, at = np.unique(_mix(e["pair"] + e["lang"].astype(np.uint64)), return_inverse=True)
-        pairs = np.bincount(at, n)[at]
-        _, first, at = np.unique(_mix(e["w"] + e["lang"].astype(np.uint64)), return_index=True, return_inverse=True)
-        words = np.bincount(at, n)
-        for k in np.flatnonzero(np.isin(e["w"][first], common)):  # the pairs of these are spread: known counts
-            x = e[first[k]]
-            words[k] = counts.get((int(x["lang"]), int(x["w"].astype(np.int64))), words[k])
-        words = np.maximum(words[at] - e["n_w"], 0)
-        alone = (words + WORD_PRIOR * np.exp(e["spelt"].astype(float))) / (size[e["lang"]] + WORD_PRIOR)
-        logs = np.log(pairs - n + PAIR_PRIOR * alone) - np.log(words + PAIR_PRIOR)
-        doc, at = np.unique(e["doc"], return_inverse=True)
-        yield pd.DataFrame({"doc": doc, "logs": np.bincount(at, n * logs), "n": np.bincount(at, n).astype(np.int64)})
-
-    dealt = _texts(docs).mapInPandas(blocks, "bucket int, data binary").repartition(buckets, "bucket")
-    sums = dealt.mapInPandas(scores, "doc long, logs double, n long").groupBy("doc").agg((-F.sum("logs") / F.sum("n")).alias("log_ppl"))
-    return stored(sums, "word_logs")
+    def shard(own: pd.DataFrame) -> pd.DataFrame:
+        parts = [unpacked(data, 1) for data in own["data"]]
+        keys = np.concatenate([k for k, _ in parts])
+        n = np.concatenate([n for _, n in parts]).astype(np.int64)
+        order = np.argsort(keys, kind="stable")
+        keys, n = keys[order], n[order]
+        starts = _runs(keys >> np.uint64(1))
+        fold = (keys & np.uint64(1)) == 1
+        counts = [np.add.reduceat(np.where(fold == f, n, 0), starts) for f in (False, True)]
+        pair = keys[starts] >> np.uint64(1)
+        lines = [dict(zip(("kind", "fold", "id", "a", "b", "c", "d"), line)) for line in _reports(pair, counts, layout)]
+        return pd.DataFrame({"shard": [own["shard"].iloc[0]], "model": [packed(pair, *counts)], "reports": [lines]})
+
+    dealt = _texts(docs).mapInPandas(blocks, "shard int, data binary")
+    line = "kind int, fold int, id bigint, a bigint, b bigint, c bigint, d bigint"
+    return stored(dealt.groupBy("shard").applyInPandas(shard, f"shard int, model binary, reports array<struct<{line.replace(' ', ':').replace(',:', ',')}>>"), "model")
+
+
+# --- probabilities ---
+
+
+def discounts(times: Sequence[int]) -> np.ndarray:
+    """Modified Kneser-Ney's, by count 0, 1, 2 and more, from how often counts 1 to 4 occur. Where those do not occur, half the
+    count; always less than the count."""
+    n1, n2, n3, n4 = times
+    y = n1 / (n1 + 2 * n2) if n1 else 0.5
+    raw = [1 - 2 * y * n2 / n1 if n1 else 0.5, 2 - 3 * y * n3 / n2 if n2 else 1.0, 3 - 4 * y * n4 / n3 if n3 else 1.5]
+    return np.array([0.0, *[min(max(d, 0.1), i - 0.05) for i, d in enumerate(raw, 1)]])
+
+
+@dataclass
+class Fold:
+    """What the words of one fold say about a word and its context."""
+
+    totals: np.ndarray  # by class
+    weights: np.ndarray  # by class: what is left to the lower order
+    pair_cut: np.ndarray
+    word_cut: np.ndarray
+    followed: int  # pairs, which are what the lower order counts
+    unknown: float  # probability of a word that the fold does not have; of known ones it is the share of the uniform part
+
+    def lower(self, follows: np.ndarray) -> np.ndarray:
+        if not self.followed:
+            return np.full(len(follows), self.unknown)
+        return (follows - self.word_cut[np.minimum(follows, 3)]) / self.followed + self.unknown
+
+    def probability(self, context: np.ndarray, count: np.ndarray, follows: np.ndarray) -> np.ndarray:
+        total, low = self.totals[context], self.lower(follows)
+        high = (count - self.pair_cut[np.minimum(count, 3)]) / np.maximum(total, 1)
+        return np.where(total > 0, high + self.weights[context] * low, low)
+
+
+def folds(shards: DataFrame) -> tuple[list[Fold], dict[int, tuple[int, int]]]:
+    """Both folds, and by frequent word how many classes it follows in each. The reports that reach the driver are bounded
+    by twice the number of classes and of frequent words."""
+    lines = shards.select(F.inline("reports")).groupBy("kind", "fold", "id").agg(*[F.sum(c).alias(c) for c in "abcd"]).toArrow().to_pydict()
+    kind, fold, number = (np.array(lines[c], np.int64) for c in ("kind", "fold", "id"))
+    values = np.array([lines[c] for c in "abcd"], np.int64).T.reshape(-1, 4)
+    out, often = [], {}
+    for f in range(_FOLDS):
+        def only(k: int, i: int | None = None, f: int = f) -> np.ndarray:
+            return (kind == k) & (fold == f) & (True if i is None else number == i)
+
+        frequent = values[only(_OFTEN)][:, 0]
+        for word, n in zip(number[only(_OFTEN)], frequent):
+            often[int(word)] = (*often.get(int(word), (0, 0))[:f], int(n), *often.get(int(word), (0, 0))[f + 1 :])
+        pair_cut = discounts(values[only(_PAIRS)].sum(0))
+        times = values[only(_WORDS, 0)].sum(0) + np.array(_times(frequent))
+        word_cut = discounts(times)
+        followed, known, many, _ = values[only(_WORDS, 1)].sum(0) + np.array([frequent.sum(), (frequent > 0).sum(), (frequent > 2).sum(), 0])
+        left = word_cut[1] * times[0] + word_cut[2] * times[1] + word_cut[3] * many
+        at = only(_BY_CLASS)
+        totals, weights = np.zeros(_CLASSES), np.zeros(_CLASSES)
+        totals[number[at]] = values[at][:, 0]
+        weights[number[at]] = values[at][:, 1:] @ pair_cut[1:] / values[at][:, 0]
+        out.append(Fold(totals, weights, pair_cut, word_cut, int(followed), (left / followed if followed else 1.0) / (known + 1)))
+    return out, often
+
+
+# --- scores ---
+
+
+class Shard:
+    """A stored shard, to be looked up."""
+
+    def __init__(self, model: bytes, layout: Layout, often: dict[int, tuple[int, int]]):
+        self.pair, *self.counts = unpacked(model, _FOLDS)
+        word = self.pair >> np.uint64(CLASS_BITS)
+        starts = _runs(word)
+        self.nth = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(word))))
+        own = word[starts]
+        frequent = layout.is_frequent(own)
+        self.follows = []
+        for fold, c in enumerate(self.counts):
+            n = np.add.reduceat(c > 0, starts, dtype=np.int64) if len(starts) else np.zeros(0, np.int64)
+            n[frequent] = [often[int(w)][fold] for w in own[frequent]]
+            self.follows.append(n)
+
+    def logs(self, keys: np.ndarray, both: list[Fold]) -> np.ndarray:
+        """Logarithms of the probabilities that the other fold gives."""
+        at = np.searchsorted(self.pair, keys >> np.uint64(1))
+        context = (self.pair[at] & np.uint64(_CLASSES - 1)).astype(np.int64)
+        fold = (keys & np.uint64(1)).astype(np.int64)
+        out = np.empty(len(keys))
+        for f, judge in ((0, 1), (1, 0)):
+            own = fold == f
+            out[own] = np.log(both[judge].probability(context[own], self.counts[judge][at[own]].astype(np.int64), self.follows[judge][self.nth[at[own]]]))
+        return out
 
 
-# --- verdict ---
+def word_logs(docs: DataFrame, layout: Layout, shards: DataFrame) -> DataFrame:
+    """``(doc, log_ppl)``: mean negative logarithm of the probability of a text's words, the end included."""
+    found, often = folds(shards)
+    shared = docs.sparkSession.sparkContext.broadcast(([vars(f) for f in found], often))  # plain values: no class to import
 
+    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        from pyspark import TaskContext
 
-def _measured(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``docs`` with ``_m``: base counts, and ``_doc``; logarithms of the perplexity by ``doc`` under the model of all of ``docs``."""
-    spark = docs.sparkSession
-    arrays = spark.sparkContext.broadcast(HashArrays.sorted_arrays(model(docs).toArrow()))
-    logs = word_logs(docs, arrays)
+        hashes, waiting, handles, held, number = _WordHashes(), [], [], 0, TaskContext.get().partitionId() << 32
 
-    @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
-    def measure(text: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([base_counts(t) for t in text], columns=["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"])
+        def block() -> pd.DataFrame:
+            keys = np.concatenate(waiting)
+            doc = np.repeat(np.arange(len(waiting), dtype=np.uint32), [len(w) for w in waiting])
+            order = np.argsort(keys, kind="stable")
+            keys, doc = keys[order], doc[order]
+            same = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])))
+            n = np.diff(np.append(same, len(keys)))
+            keys, doc = keys[same], doc[same]
+            order, parts = _by_shard(keys, layout)
+            rows = [(shard, number, packed(keys[order[p]], doc[order[p]], n[order[p]])) for shard, p in parts]
+            # the texts' handles and lengths travel with one of the shards and pass it
+            ids = np.array(handles, np.int64).tobytes() + np.array([len(w) for w in waiting], np.int64).tobytes()
+            return pd.DataFrame([*rows, (parts[0][0], -1 - number, ids)], columns=["shard", "block", "data"])
 
-    return docs.withColumn("_m", measure(F.col("text").cast("binary"))).withColumn("_doc", _handle()), logs
+        for batch in batches:
+            for lang, text, doc in zip(batch["lang"], batch["text"], batch["doc"]):
+                waiting.append(pair_hashes(mixed_words(lang, text, hashes), layout))
+                handles.append(doc)
+                held += len(waiting[-1])
+                if held >= BLOCK or len(waiting) == BLOCK_DOCS:
+                    yield block()
+                    waiting, handles, held, number = [], [], 0, number + 1
+        if held:
+            yield block()
+
+    def scored(entries: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
+        known, often = shared.value
+        both = [Fold(**f) for f in known]
+        own, out = Shard(model["model"].iloc[0], layout, often), []
+        for block, data in zip(entries["block"], entries["data"]):
+            if block >= 0:
+                keys, doc, n = unpacked(data, 2)
+                sums = np.bincount(doc, n * own.logs(keys, both))
+                docs_ = np.flatnonzero(np.bincount(doc))
+                data = docs_.astype(np.uint16).tobytes() + sums[docs_].astype(np.float32).tobytes()
+            out.append((block, data))
+        return pd.DataFrame(out, columns=["block", "data"])
+
+    def added(parts: pd.DataFrame) -> pd.DataFrame:
+        heads = parts[parts["block"] < 0]["data"].iloc[0]
+        handles, lengths = np.frombuffer(heads, np.int64).reshape(2, -1)
+        sums = np.zeros(len(handles))
+        for block, data in zip(parts["block"], parts["data"]):
+            if block >= 0:
+                n = len(data) // 6
+                sums[np.frombuffer(data, np.uint16, n)] += np.frombuffer(data, np.float32, n, 2 * n)
+        return pd.DataFrame({"doc": handles, "logs": sums, "n": lengths})
+
+    dealt = _texts(docs).mapInPandas(blocks, "shard int, block long, data binary")
+    sums = dealt.groupBy("shard").cogroup(shards.select("shard", "model").groupBy("shard")).applyInPandas(scored, "block long, data binary")
+    of_block = F.when(F.col("block") < 0, -1 - F.col("block")).otherwise(F.col("block"))
+    sums = sums.withColumn("of", of_block).groupBy("of").applyInPandas(added, "doc long, logs double, n long")
+    return stored(sums.groupBy("doc").agg((-F.sum("logs") / F.sum("n")).alias("log_ppl")), "word_logs")
+
+
+# --- verdict ---
 
 
 def assess(docs: DataFrame, width: float = WIDTH, carry: Sequence[str] | None = None) -> DataFrame:
@@ -402,22 +453,29 @@ def assess(docs: DataFrame, width: float = WIDTH, carry: Sequence[str] | None =
 
     The measured rows are stored once, with the columns in ``carry`` (all, unless given).
     """
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
-    carried = docs.drop(*names, "perplexity", "lower", "upper", "base_failed", "kept", "_m", "_lang", "_doc", "_log")
-    failed = (F.col("_m.n_words") < MIN_WORDS) | (100 * F.col("_m.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("_m.n_words"))
-    columns = list(carry if carry is not None else carried.columns)
-    measured, logs = _measured(carried)
-    measured = stored(measured.withColumn("base_failed", failed).select(*columns, "_m", "base_failed", _language().alias("_lang"), "_doc"), "measured")
-    measured = measured.join(logs.select(F.col("doc").alias("_doc"), F.col("log_ppl").alias("_log")), "_doc", "left")
-    step = F.round(F.col("_log") / STEP).cast("int").alias("step")
-    steps = measured.where("not base_failed and _log is not null").groupBy("_lang", step).agg(F.count(F.lit(1)).alias("n"))
+    results = [*NAMES, "perplexity", "lower", "upper", "base_failed", "kept"]
+    columns = [c for c in (carry if carry is not None else docs.columns) if c not in results]
+    layout = layout_of(docs)
+    logs = word_logs(docs, layout, counted(docs, layout))
+
+    @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
+    def measure(text: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([base_counts(t) for t in text], columns=NAMES)
+
+    # the caller's columns travel in one struct, so that none of them can clash with those here
+    measured = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), _language().alias("lang"), _handle().alias("doc"),
+                           measure(F.col("text").cast("binary")).alias("m"))
+    failed = (F.col("m.n_words") < MIN_WORDS) | (100 * F.col("m.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("m.n_words"))
+    measured = stored(measured.withColumn("failed", failed), "measured").join(logs, "doc", "left")
+    step = F.round(F.col("log_ppl") / STEP).cast("int").alias("step")
+    steps = measured.where("not failed and log_ppl is not null").groupBy("lang", step).agg(F.count(F.lit(1)).alias("n"))
     quarters = F.percentile("step", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q")
-    bands = steps.groupBy("_lang").agg(quarters).select(
-        "_lang",
-        (F.col("q")[1] * STEP - F.greatest((F.col("q")[1] - F.col("q")[0]) * STEP * width, F.lit(STEP))).alias("lower"),
-        (F.col("q")[1] * STEP + F.greatest((F.col("q")[2] - F.col("q")[1]) * STEP * width, F.lit(STEP))).alias("upper"))
-    judged = measured.join(bands, "_lang", "left")
-    inside = F.coalesce(F.col("_log").between(F.col("lower"), F.col("upper")), F.lit(True))
-    return judged.select(*columns, *[F.col(f"_m.{n}").alias(n) for n in names], "base_failed",
-                         (~F.col("base_failed") & inside).alias("kept"), F.exp("_log").alias("perplexity"),
-                         F.exp("lower").alias("lower"), F.exp("upper").alias("upper"))
+    bands = steps.groupBy("lang").agg(quarters).select(
+        "lang",
+        (F.col("q")[1] * STEP - F.greatest((F.col("q")[1] - F.col("q")[0]) * STEP * width, F.lit(STEP))).alias("low"),
+        (F.col("q")[1] * STEP + F.greatest((F.col("q")[2] - F.col("q")[1]) * STEP * width, F.lit(STEP))).alias("high"))
+    judged = measured.join(bands, "lang", "left")
+    inside = F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(True))
+    return judged.select("row.*", *[F.col(f"m.{n}").alias(n) for n in NAMES], F.col("failed").alias("base_failed"),
+                         (~F.col("failed") & inside).alias("kept"), F.exp("log_ppl").alias("perplexity"),
+                         F.exp("low").alias("lower"), F.exp("high").alias("upper"))

@@ -104,27 +104,112 @@ def test_quality_base_and_bands(spark):
     assert quality.assess(docs.limit(0)).count() == 0
 
 
-def test_kneser_ney_sums_to_one_and_matches_counts(spark):
-    docs = spark.createDataFrame([(1, "abab abc cab abba", "x"), (2, "bacab abab", "x")], "doc_id long, text string, lang string")
-    arrays = quality.HashArrays(quality.HashArrays.sorted_arrays(quality.model(docs).toArrow()))
-    grams = collections.Counter(int(k) for t in ("abab abc cab abba", "bacab abab") for k in quality.keys(t.encode()))
-    assert {int(k) for k in arrays.arrays["x", quality.ORDER][0]} == set(grams)
-    for context in {k >> quality.BITS for k in grams}:
-        total = 0.0
-        for c in range(64):
-            key, p = (context << quality.BITS) | c, 0.0
-            for k in range(quality.ORDER, 0, -1):
-                own = key & ((1 << (6 * k)) - 1)
-                hit, v = arrays._find("x", k, quality.np.array([own]))
-                if hit[0]:
-                    p += float(v[0])
-                    break
-                known, left = arrays._find("x", -k, quality.np.array([own >> 6]))
-                p += float(left[0]) if known[0] else 0.0
-            else:
-                p -= 6 * math.log(2)
-            total += math.exp(p)
-        assert total == pytest.approx(1.0, abs=1e-4)
+class BruteModel:
+    """Counts by word and class in dictionaries, one modified Kneser-Ney model for each fold."""
+
+    def __init__(self, docs, layout):
+        self.layout, self.hashes = layout, quality._WordHashes()
+        self.pairs = [collections.Counter(), collections.Counter()]
+        for lang, text in docs:
+            for word, context, fold in self.keys(lang, text):
+                self.pairs[fold][word, context] += 1
+        self.totals = [collections.Counter() for _ in range(2)]
+        self.times = [collections.defaultdict(collections.Counter) for _ in range(2)]
+        self.follows = [collections.Counter() for _ in range(2)]
+        for fold, pairs in enumerate(self.pairs):
+            for (word, context), n in pairs.items():
+                self.totals[fold][context] += n
+                self.times[fold][context][min(n, 3)] += 1
+                self.follows[fold][word] += 1
+        self.cuts = [(self.cut(p.values()), self.cut(f.values())) for p, f in zip(self.pairs, self.follows)]
+
+    def keys(self, lang, text):
+        found = quality.pair_hashes(quality.mixed_words((lang or "").encode(), text.encode(), self.hashes), self.layout)
+        return [(int(k) >> 17, int(k) >> 1 & 0xFFFF, int(k) & 1) for k in found]
+
+    @staticmethod
+    def cut(counts):
+        n = collections.Counter(counts)
+        y = n[1] / (n[1] + 2 * n[2]) if n[1] else 0.5
+        out = [0.0]
+        for i in (1, 2, 3):
+            d = i - (i + 1) * y * n[i + 1] / n[i] if n[i] else 0.5 * i
+            out.append(min(max(d, 0.1), i - 0.05))
+        return out
+
+    def lower(self, fold, word):
+        follows, cut = self.follows[fold], self.cuts[fold][1]
+        total = sum(follows.values())
+        left = sum(cut[min(n, 3)] for n in follows.values()) / total if total else 1.0
+        n = follows[word]
+        return (n - cut[min(n, 3)]) / (total or 1) + left / (len(follows) + 1)
+
+    def probability(self, fold, word, context):
+        total, cut, n = self.totals[fold][context], self.cuts[fold][0], self.pairs[fold][word, context]
+        low = self.lower(fold, word)
+        if not total:
+            return low
+        left = sum(cut[k] * m for k, m in self.times[fold][context].items()) / total
+        return (n - cut[min(n, 3)]) / total + left * low
+
+    def perplexity(self, lang, text):
+        keys = self.keys(lang, text)
+        return math.exp(-sum(math.log(self.probability(1 - fold, word, context)) for word, context, fold in keys) / len(keys))
+
+
+@pytest.fixture(scope="module")
+def prose():
+    rnd = random.Random(13)
+    words = ["".join(rnd.choice("bdklmnrst") + rnd.choice("aeiou") for _ in range(rnd.randint(1, 3))) for _ in range(300)]
+    texts = [" ".join(words[min(int(rnd.expovariate(0.02)), 299)] for _ in range(rnd.randint(60, 140))) for _ in range(200)]
+    return [(i, t, "en" if i % 3 else None) for i, t in enumerate([*texts, texts[0], texts[1] + " end"])]
+
+
+def test_probabilities_add_up_to_one_and_equal_brute_force(spark, prose, monkeypatch):
+    docs = spark.createDataFrame(prose, "doc_id long, text string, lang string")
+    seen = {}
+    for size, often in ((1 << 30, 0.002), (4000, 0.002), (4000, 0.01)):
+        monkeypatch.setattr(quality, "SHARD_BYTES", size)
+        monkeypatch.setattr(quality, "FREQUENT", often)
+        monkeypatch.setattr(quality, "BLOCK", 3000)
+        layout = quality.layout_of(docs)
+        assert (layout.shards > 20 and layout.frequent) or size == 1 << 30
+        brute = BruteModel([(lang, t) for _, t, lang in prose], layout)
+        shards = quality.counted(docs, layout)
+        both, _ = quality.folds(shards)
+        for fold in range(2):  # over all known words and the unknown one, after a context that is known and one that isn't
+            known = list(brute.follows[fold])
+            for context in [*random.Random(1).sample(list(brute.totals[fold]), 25), next(c for c in range(1 << 16) if c not in brute.totals[fold])]:
+                own = quality.np.full(len(known) + 1, context)
+                counts = quality.np.array([*(brute.pairs[fold][w, context] for w in known), 0])
+                follows = quality.np.array([*(brute.follows[fold][w] for w in known), 0])
+                assert both[fold].probability(own, counts, follows).sum() == pytest.approx(1.0, abs=1e-9)
+        got = {r["doc_id"]: r["perplexity"] for r in quality.assess(docs).collect()}
+        assert got == {i: pytest.approx(brute.perplexity(lang, t), rel=1e-5) for i, t, lang in prose}
+        seen[size, often] = got
+    first, *others = seen.values()
+    assert all(other == {i: pytest.approx(p, rel=1e-5) for i, p in first.items()} for other in others)  # shards don't matter
+
+
+def test_copies_do_not_vouch_for_each_other(spark, prose):
+    """A text of words that occur nowhere else stays unlikely however often it, or nearly it, is there."""
+    strange = " ".join(f"zz{i}q" for i in range(100))
+    copies = [(1000 + i, strange + (f" tail{i}" if i % 2 else ""), "en") for i in range(20)]
+    docs = spark.createDataFrame([*prose, *copies], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality.assess(docs).collect()}
+    usual = max(r["perplexity"] for i, r in got.items() if i < 1000)
+    assert all(got[i]["perplexity"] > 1.5 * usual and not got[i]["kept"] for i, _, _ in copies), (usual, [got[i] for i, _, _ in copies])
+
+
+def test_bands_reject_on_both_sides(spark, prose):
+    common = collections.Counter(w for _, t, _ in prose for w in t.split()).most_common(4)
+    rnd = random.Random(2)
+    dull = [(2000 + i, " ".join(rnd.choice(common)[0] for _ in range(120)), "en") for i in range(4)]
+    wild = [(3000 + i, " ".join(f"{rnd.randrange(10**9)}x" for _ in range(120)), "en") for i in range(4)]
+    docs = spark.createDataFrame([*prose, *dull, *wild], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality.assess(docs).collect()}
+    assert all(got[i]["base_failed"] or got[i]["perplexity"] < got[i]["lower"] for i, _, _ in dull) and all(got[i]["perplexity"] > got[i]["upper"] for i, _, _ in wild)
+    assert not any(got[i]["kept"] for i, _, _ in dull + wild) and sum(got[i]["kept"] for i, _, _ in prose) >= 200
 
 
 def test_curriculum(spark):
@@ -378,14 +463,13 @@ def test_quality_rejects_garbled_and_shuffled_texts(spark):
     assert sum(r["kept"] for r in got if r["kind"] == "clean") >= 396
 
 
-def test_words_of_the_quality_model():
-    hashes = quality._WordHashes()
-    text = " ab  é\tab\x0b x\n".encode()
-    w = quality.hashed("en", text, hashes)
-    assert len(w) == 4 and w[0] == w[2] != w[1] and quality.hashed("de", text, hashes)[0] != w[0]
-    assert list(quality.spelt(quality.np.arange(len(text.decode()) + 1.0), text)) == [1 + 2 + 3, 5 + 6, 7 + 8 + 9, 11 + 12]
-    entries = quality._entries(0, 7, w, quality.np.zeros(4))
-    assert entries["n"].sum() == 5 and (quality._unpacked(quality._packed(entries)) == entries).all()
+def test_packed_hashes_come_back():
+    rnd = random.Random(3)
+    keys = quality.np.array(sorted(rnd.randrange(1 << 64) for _ in range(1000)), quality.np.uint64)
+    n = quality.np.arange(1000, dtype=quality.np.uint32) * 70_000
+    back = quality.unpacked(quality.packed(keys, n, n[::-1]), 2)
+    assert (back[0] == keys).all() and (back[1] == n).all() and (back[2] == n[::-1]).all()
+    assert [len(x) for x in quality.unpacked(quality.packed(keys[:0], n[:0]), 1)] == [0, 0]
 
 
 def test_grants_swap_between_full_shards():
