@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -15,14 +17,49 @@ SPACE = " \t\n\x0b\f\r"
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back: later readers repeat nothing, and no executor owns it."""
+#: Removes the shuffle files of a query as soon as it has ended, not when its plan is collected some time later.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def _settings(spark: SparkSession, arrow_rows: int | None) -> Iterator[None]:
+    wanted = {_CLEAN: "true"} | ({_ROWS: str(arrow_rows)} if arrow_rows else {})
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def stored(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back: later readers repeat nothing, and no executor owns it. What
+    was shuffled for it is given up then, so a chain of steps holds the files of one step at a time.
+
+    ``arrow_rows`` bounds the rows that a Python worker gets at a time, for steps on whole texts.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    with _settings(spark, arrow_rows):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, name: str, by: str, buckets: int, arrow_rows: int | None = None) -> DataFrame:
+    """``stored`` in buckets of ``by``: a step that groups or joins by it reads the table where it lies, without a shuffle.
+    The catalog entry that Spark's writer wants is given up at once; the rows stay."""
+    spark = df.sparkSession
+    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    with _settings(spark, arrow_rows):
+        df.write.bucketBy(buckets, by).option("path", scratch(spark, name)).saveAsTable(table)
+    rows = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")
+    return rows
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return df.select(*columns) if columns else df

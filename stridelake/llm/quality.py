@@ -7,9 +7,10 @@ model of the other fold. So neither the text itself nor any copy, exact or near,
 fall into the same fold. Probabilities of all known words and the unknown one add up to 1 after any context.
 
 * Counting. Tasks count pairs in blocks and hand over sorted arrays for each shard (a hash range of predicted words). A
-  shard adds them up and stores them as a sorted hash array: pair hashes, counts of both folds. It reports totals and
-  numbers of pairs seen once, twice and thrice by context, and how many contexts its words follow (their lower order).
-  These reports are bounded by the number of classes; discounts and context weights follow from them and are broadcast.
+  shard adds them up and stores them as a sorted hash array: pair hashes, counts of both folds. Beside it lie totals and
+  numbers of pairs seen once, twice and more often by context, and how many contexts its words follow (their lower order).
+  These are vectors of the number of classes, summed up as a tree; discounts and context weights follow from them and
+  are broadcast.
 * Scoring. Tasks hand over blocks of (pair hash, text of the block, count), sorted, for each shard, where they meet the
   stored array; sums by text and block come back.
 
@@ -33,11 +34,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import SPACE, stored
-from stridelake.llm.minhash import _mix, _WordHashes
+from stridelake.llm.common import SPACE, bucketed, stored
+from stridelake.llm.minhash import _mix
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: Width of the bands in quartile distances, and histogram step (the least width), both of the perplexity's logarithm.
@@ -45,7 +47,13 @@ WIDTH, STEP = 7.0, 0.001
 #: Bits of a context class, and of a predicted word's hash within its shard.
 CLASS_BITS, WORD_BITS = 16, 32
 #: Text of a shard, pairs of a block, documents of a block at most (their numbers take two bytes).
-SHARD_BYTES, BLOCK, BLOCK_DOCS = 32 << 20, 2_000_000, 1 << 16
+SHARD_BYTES, BLOCK, BLOCK_DOCS = 16 << 20, 2_500_000, 1 << 16
+#: Bytes of texts that are hashed together, and texts that a task holds at a time.
+PIECE_BYTES, ARROW_ROWS = 1 << 20, 1000
+#: Folders of the stored model at most; each holds whole shards.
+MOST_BUCKETS = 10_000
+#: Parts of one in which a text's sum of logarithms comes back from a shard.
+QUANTA = 256
 #: Share of the words of a sample of ``SAMPLE_BYTES`` from which a word is spread over the shards.
 FREQUENT, SAMPLE_BYTES = 0.002, 16 << 20
 
@@ -117,21 +125,72 @@ class Layout:
         return ((place * np.uint64(self.shards)) >> np.uint64(32)).astype(np.int32)
 
 
-def mixed_words(lang: bytes, text: bytes, hashes: dict) -> np.ndarray:
-    """Hashes of a text's words in their order, each language's apart."""
-    words = text.split()
-    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
-    return _mix(h ^ np.uint64(hashes[lang]))
-
-
-def pair_hashes(mixed: np.ndarray, layout: Layout) -> np.ndarray:
-    """One hash for each word and the end, with its context; the lowest bit is the fold, by the words from two before to one after."""
-    words = np.concatenate([[_EDGE, _EDGE], mixed, [_EDGE, _EDGE]])
-    around = words[:-3]
-    for k in range(1, 4):
-        around = _mix(around + words[k : len(words) - 3 + k] * np.uint64(2 * k + 1))
-    context = _mix(words[1:-2]) >> np.uint64(64 - CLASS_BITS)
-    return (layout.words(words[2:-1]) << np.uint64(CLASS_BITS + 1)) | (context << np.uint64(1)) | (around & np.uint64(1))
+class WordHashes:
+    """Hashes of all words of many texts at once: of the bytes' random numbers times powers of an odd number, prefix sums
+    give every word's sum, and the power at its start is divided out."""
+
+    def __init__(self):
+        rng = np.random.default_rng(20)
+        self.number = rng.integers(0, 1 << 64, 256, np.uint64)
+        self.factor = int(rng.integers(0, 1 << 62)) * 4 + 3
+        self.blank = np.zeros(256, bool)
+        self.blank[np.frombuffer(_SPACE, np.uint8)] = True
+        self.powers = self.inverse = np.ones(1, np.uint64)
+        self.langs: dict[bytes, int] = {}
+
+    def _grow(self, n: int) -> None:
+        if len(self.powers) < n:
+            n = 1 << (n - 1).bit_length()
+            for name, base in (("powers", self.factor), ("inverse", pow(self.factor, -1, 1 << 64))):
+                out = np.full(n, base, np.uint64)
+                out[0] = 1
+                setattr(self, name, np.cumprod(out, dtype=np.uint64))
+
+    def words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the words between ``offsets``, and how many each text has. A long text is taken piece by piece."""
+        if len(offsets) == 2 and len(data) > 2 * PIECE_BYTES:
+            found, at = [], 0
+            while at < len(data):
+                end = min(at + PIECE_BYTES, len(data))
+                while end < len(data) and not (near := self.blank[data[end : end + PIECE_BYTES]]).any():
+                    end = min(end + PIECE_BYTES, len(data))
+                if end < len(data):
+                    end += int(near.argmax())
+                found.append(self._words(data[at:end], np.array([0, end - at]))[0])
+                at = end
+            hashes = np.concatenate(found)
+            return hashes, np.array([len(hashes)])
+        return self._words(data, offsets)
+
+    def _words(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        self._grow(len(data) + 1)
+        letter = np.append(~self.blank[data], False)
+        before = np.append(False, letter[:-1])
+        border = np.zeros(len(letter), bool)
+        border[offsets] = True
+        starts, ends = np.flatnonzero(letter & (~before | border)), np.flatnonzero(before & (~letter | border))
+        sums = np.zeros(len(letter), np.uint64)
+        np.cumsum(self.number[data] * self.powers[: len(data)], out=sums[1:])
+        hashes = (sums[ends] - sums[starts]) * self.inverse[starts]
+        return hashes, np.diff(np.searchsorted(starts, offsets))
+
+    def pairs(self, langs: Sequence[bytes], data: np.ndarray, offsets: np.ndarray, layout: Layout) -> tuple[np.ndarray, np.ndarray]:
+        """One hash for each word and end, with its context, text by text, and how many each text has. The lowest bit is the
+        fold, by the words from two before to one after."""
+        hashes, n = self.words(data, offsets)
+        for lang in set(langs).difference(self.langs):
+            own = np.frombuffer(lang, np.uint8)
+            self.langs[lang] = int(_mix(np.array([self._words(own, np.array([0, len(own)]))[0].sum() + np.uint64(len(own))]))[0])
+        place = np.arange(len(n))
+        lang = np.array([self.langs[x] for x in langs], np.uint64)
+        padded = np.full(len(hashes) + 4 * len(n), _EDGE, np.uint64)
+        padded[np.arange(len(hashes)) + np.repeat(4 * place + 2, n)] = _mix(hashes ^ np.repeat(lang, n))
+        around = padded[:-3]
+        for k in range(1, 4):
+            around = _mix(around + padded[k : len(padded) - 3 + k] * np.uint64(2 * k + 1))
+        at = np.arange(len(hashes) + len(n)) + np.repeat(3 * place + 2, n + 1)
+        context = _mix(padded[at - 1]) >> np.uint64(64 - CLASS_BITS)
+        return (layout.words(padded[at]) << np.uint64(CLASS_BITS + 1)) | (context << np.uint64(1)) | (around[at - 2] & np.uint64(1)), n + 1
 
 
 def _planes(values: np.ndarray, kind: type) -> bytes:
@@ -146,14 +205,23 @@ def _values(data: bytes, at: int, n: int, kind: type) -> tuple[np.ndarray, int]:
 
 
 def packed(keys: np.ndarray, *values: np.ndarray) -> bytes:
-    """Sorted hashes as differences, and 32-bit numbers beside them."""
+    """Sorted hashes as differences, and 32-bit numbers beside them; shorter than what Spark's own codec makes of it."""
     steps = np.diff(keys, prepend=np.uint64(0))
-    return len(keys).to_bytes(8, "little") + _planes(steps, np.uint64) + b"".join(_planes(v, np.uint32) for v in values)
+    return _short(_planes(steps, np.uint64) + b"".join(_planes(v, np.uint32) for v in values))
+
+
+def _short(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def _long(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
 
 
 def unpacked(data: bytes, columns: int) -> list[np.ndarray]:
-    n = int.from_bytes(data[:8], "little")
-    steps, at = _values(data, 8, n, np.uint64)
+    data = _long(data)
+    n = len(data) // (8 + 4 * columns)
+    steps, at = _values(data, 0, n, np.uint64)
     out = [np.cumsum(steps, dtype=np.uint64)]
     for _ in range(columns):
         values, at = _values(data, at, n, np.uint32)
@@ -192,6 +260,23 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(_language().cast("binary").alias("lang"), text, _handle().alias("doc")).where("text is not null and octet_length(text) > 0")
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]]:
+    """Languages, bytes of the texts, where each begins and ends, handles: about ``PIECE_BYTES`` or one text at a time."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        text = batch.column(1)
+        places = np.frombuffer(text.buffers()[1], np.int32, len(text) + 1, 4 * text.offset)
+        data = np.frombuffer(text.buffers()[2], np.uint8)
+        handles = batch.column(2).to_numpy()
+        at = 0
+        while at < len(text):
+            end = min(max(at + 1, int(np.searchsorted(places, int(places[at]) + PIECE_BYTES, "right")) - 1), at + BLOCK_DOCS)
+            yield (batch.column(0).slice(at, end - at).to_pylist(), data[places[at] : places[end]], places[at : end + 1].astype(np.int64) - places[at],
+                   handles[at:end])
+            at = end
+
+
 def layout_of(docs: DataFrame) -> Layout:
     """Shards by the size of the texts; frequent words from a sample whose size does not grow with them."""
     size = docs.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
@@ -200,16 +285,14 @@ def layout_of(docs: DataFrame) -> Layout:
         return layout
     sample = _texts(docs.sample(min(1.0, SAMPLE_BYTES / size), seed=7))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = _WordHashes()
-        for batch in batches:
-            found = [np.append(mixed_words(lang, text, hashes), _EDGE) for lang, text in zip(batch["lang"], batch["text"])]
-            if not found:
-                continue
-            word, n = np.unique(layout.words(np.concatenate(found)), return_counts=True)
-            yield pd.DataFrame({"word": word.view(np.int64), "n": n})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for langs, data, offsets, _ in _slices(batches):
+            keys, _ = hashes.pairs(langs, data, offsets, layout)
+            word, n = np.unique(keys >> np.uint64(CLASS_BITS + 1), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(n)], ["word", "n"])
 
-    counts = sample.mapInPandas(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = sample.mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
     total = F.sum("n").alias("total")
     often = counts.join(F.broadcast(counts.agg(total))).where(F.col("n") > FREQUENT * F.col("total"))  # one line; at most 1 / FREQUENT words
     return Layout(layout.shards, tuple(sorted(r["word"] for r in often.select("word").collect())))
@@ -217,56 +300,51 @@ def layout_of(docs: DataFrame) -> Layout:
 
 # --- counts ---
 
-#: What shards report: totals and pairs seen once, twice and more often by (fold, class); numbers of pairs, and of words by
-#: how many classes they follow, seen once to four times by fold; classes that a frequent word follows.
-_BY_CLASS, _PAIRS, _WORDS, _OFTEN = range(4)
-
-
 def _times(counts: np.ndarray) -> list[int]:
     """How many are 1, 2, 3, 4."""
     found = np.bincount(np.minimum(counts, 5).astype(np.int64), minlength=6)
     return [int(x) for x in found[1:5]]
 
 
-def _reports(pair: np.ndarray, counts: list[np.ndarray], layout: Layout) -> list[tuple[int, int, int, int, int, int, int]]:
-    """Lines ``(kind, fold, id, a, b, c, d)`` of one shard."""
+#: Numbers of a fold's summary: pairs seen once to four times; words that follow one to four classes; pairs, words and words
+#: that follow three classes or more. Frequent words are left out of all but the first.
+SUMMARY = 4 + 4 + 3
+
+
+def _reports(pair: np.ndarray, counts: list[np.ndarray], layout: Layout) -> tuple[np.ndarray, list[int], list[tuple[int, ...]]]:
+    """Of one shard: by fold and class the total and the pairs seen once, twice, more often; the folds' summaries; frequent
+    words with the classes that they follow in each fold."""
     word, context = pair >> np.uint64(CLASS_BITS), (pair & np.uint64(_CLASSES - 1)).astype(np.int64)
     starts = _runs(word)
     own = word[starts]
     often = layout.is_frequent(own)
-    out = []
+    by_class, summary, followers = np.zeros((_FOLDS, 4, _CLASSES), np.int64), [], []
     for fold, c in enumerate(counts):
-        total = np.bincount(context, c, _CLASSES)
-        kinds = [np.bincount(context[at], minlength=_CLASSES) for at in (c == 1, c == 2, c > 2)]
-        for i in np.flatnonzero(total):
-            out.append((_BY_CLASS, fold, int(i), int(total[i]), *[int(k[i]) for k in kinds]))
-        out.append((_PAIRS, fold, 0, *_times(c)))
-        follows = np.add.reduceat(c > 0, starts, dtype=np.int64) if len(starts) else np.zeros(0, np.int64)
+        by_class[fold] = [np.bincount(context, c, _CLASSES), *[np.bincount(context[at], minlength=_CLASSES) for at in (c == 1, c == 2, c > 2)]]
+        follows = np.add.reduceat(c > 0, starts, dtype=np.int64)
         known = follows[~often]
-        out.append((_WORDS, fold, 0, *_times(known)))
-        out.append((_WORDS, fold, 1, int(known.sum()), int((known > 0).sum()), int((known > 2).sum()), 0))
-        out += [(_OFTEN, fold, int(w.astype(np.int64)), int(n), 0, 0, 0) for w, n in zip(own[often], follows[often])]
-    return out
+        summary += [*_times(c), *_times(known), int(known.sum()), int((known > 0).sum()), int((known > 2).sum())]
+        followers.append(follows[often])
+    return by_class, summary, [(int(w), int(a), int(b)) for w, a, b in zip(own[often], *followers)]
 
 
 def counted(docs: DataFrame, layout: Layout) -> DataFrame:
-    """The model's shards: ``shard, model`` (pairs and their counts in both folds, sorted) and ``reports``, stored."""
+    """The model's shards, stored: ``shard, model`` (pairs and their counts in both folds, sorted), ``by_class, summary, often``."""
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, waiting, held = _WordHashes(), [], 0
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, waiting, held = WordHashes(), [], 0
 
-        def block() -> pd.DataFrame:
+        def block() -> pa.RecordBatch:
             keys, n = np.unique(np.concatenate(waiting), return_counts=True)
             order, parts = _by_shard(keys, layout)
-            return pd.DataFrame([(shard, packed(keys[order[p]], n[order[p]])) for shard, p in parts], columns=["shard", "data"])
-
-        for batch in batches:
-            for lang, text in zip(batch["lang"], batch["text"]):
-                waiting.append(pair_hashes(mixed_words(lang, text, hashes), layout))
-                held += len(waiting[-1])
-                if held >= BLOCK:
-                    yield block()
-                    waiting, held = [], 0
+            return pa.RecordBatch.from_pydict({"shard": pa.array([x for x, _ in parts], pa.int32()), "data": pa.array([packed(keys[order[p]], n[order[p]]) for _, p in parts])})
+
+        for langs, data, offsets, _ in _slices(batches):
+            waiting.append(hashes.pairs(langs, data, offsets, layout)[0])
+            held += len(waiting[-1])
+            if held >= BLOCK:
+                yield block()
+                waiting, held = [], 0
         if held:
             yield block()
 
@@ -280,12 +358,33 @@ def counted(docs: DataFrame, layout: Layout) -> DataFrame:
         fold = (keys & np.uint64(1)) == 1
         counts = [np.add.reduceat(np.where(fold == f, n, 0), starts) for f in (False, True)]
         pair = keys[starts] >> np.uint64(1)
-        lines = [dict(zip(("kind", "fold", "id", "a", "b", "c", "d"), line)) for line in _reports(pair, counts, layout)]
-        return pd.DataFrame({"shard": [own["shard"].iloc[0]], "model": [packed(pair, *counts)], "reports": [lines]})
+        by_class, summary, often = _reports(pair, counts, layout)
+        lines = [dict(zip(("word", "a", "b"), x)) for x in often]
+        return pd.DataFrame({"shard": [own["shard"].iloc[0]], "model": [packed(pair, *counts)], "by_class": [_short(_planes(by_class.ravel(), np.int64))],
+                             "summary": [summary], "often": [lines]})
+
+    dealt = _texts(docs).mapInArrow(blocks, "shard int, data binary")
+    schema = "shard int, model binary, by_class binary, summary array<bigint>, often array<struct<word:bigint,a:bigint,b:bigint>>"
+    return bucketed(dealt.groupBy("shard").applyInPandas(shard, schema), "model", "shard", min(layout.shards, MOST_BUCKETS), ARROW_ROWS)
+
 
-    dealt = _texts(docs).mapInPandas(blocks, "shard int, data binary")
-    line = "kind int, fold int, id bigint, a bigint, b bigint, c bigint, d bigint"
-    return stored(dealt.groupBy("shard").applyInPandas(shard, f"shard int, model binary, reports array<struct<{line.replace(' ', ':').replace(',:', ',')}>>"), "model")
+def _class_totals(shards: DataFrame) -> np.ndarray:
+    """The shards' vectors added up: by the tasks that read them, then in groups, then those."""
+
+    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = None
+        for batch in batches:
+            for data in batch["by_class"]:
+                own = _values(_long(data), 0, _FOLDS * 4 * _CLASSES, np.int64)[0]
+                total = own if total is None else total + own
+        if total is not None:
+            yield pd.DataFrame({"by_class": [_short(_planes(total, np.int64))]})
+
+    vectors = shards.select("by_class")
+    for tasks in (None, 64, 1):
+        vectors = (vectors if tasks is None else vectors.repartition(tasks)).mapInPandas(add, "by_class binary")
+    found = vectors.collect()  # one vector, of 2 * 4 numbers a class
+    return _values(_long(bytes(found[0]["by_class"])), 0, _FOLDS * 4 * _CLASSES, np.int64)[0].reshape(_FOLDS, 4, _CLASSES) if found else np.zeros((_FOLDS, 4, _CLASSES), np.int64)
 
 
 # --- probabilities ---
@@ -323,29 +422,23 @@ class Fold:
 
 
 def folds(shards: DataFrame) -> tuple[list[Fold], dict[int, tuple[int, int]]]:
-    """Both folds, and by frequent word how many classes it follows in each. The reports that reach the driver are bounded
-    by twice the number of classes and of frequent words."""
-    lines = shards.select(F.inline("reports")).groupBy("kind", "fold", "id").agg(*[F.sum(c).alias(c) for c in "abcd"]).toArrow().to_pydict()
-    kind, fold, number = (np.array(lines[c], np.int64) for c in ("kind", "fold", "id"))
-    values = np.array([lines[c] for c in "abcd"], np.int64).T.reshape(-1, 4)
-    out, often = [], {}
-    for f in range(_FOLDS):
-        def only(k: int, i: int | None = None, f: int = f) -> np.ndarray:
-            return (kind == k) & (fold == f) & (True if i is None else number == i)
-
-        frequent = values[only(_OFTEN)][:, 0]
-        for word, n in zip(number[only(_OFTEN)], frequent):
-            often[int(word)] = (*often.get(int(word), (0, 0))[:f], int(n), *often.get(int(word), (0, 0))[f + 1 :])
-        pair_cut = discounts(values[only(_PAIRS)].sum(0))
-        times = values[only(_WORDS, 0)].sum(0) + np.array(_times(frequent))
+    """Both folds, and by frequent word how many classes it follows in each. What reaches the driver is bounded by the number
+    of classes and of frequent words."""
+    totals = _class_totals(shards)
+    sums = shards.select(F.posexplode("summary")).groupBy("pos").agg(F.sum("col").alias("n")).collect()
+    summary = np.zeros(_FOLDS * SUMMARY, np.int64)
+    summary[[r["pos"] for r in sums]] = [r["n"] for r in sums]
+    lines = shards.select(F.inline("often")).groupBy("word").agg(F.sum("a").alias("a"), F.sum("b").alias("b")).collect()
+    often = {r["word"]: (r["a"], r["b"]) for r in lines}
+    out = []
+    for fold, own in enumerate(summary.reshape(_FOLDS, SUMMARY)):
+        frequent = np.array([n[fold] for n in often.values()], np.int64)
+        pair_cut, times = discounts(own[:4]), own[4:8] + np.array(_times(frequent))
         word_cut = discounts(times)
-        followed, known, many, _ = values[only(_WORDS, 1)].sum(0) + np.array([frequent.sum(), (frequent > 0).sum(), (frequent > 2).sum(), 0])
+        followed, known, many = own[8:] + np.array([frequent.sum(), (frequent > 0).sum(), (frequent > 2).sum()])
         left = word_cut[1] * times[0] + word_cut[2] * times[1] + word_cut[3] * many
-        at = only(_BY_CLASS)
-        totals, weights = np.zeros(_CLASSES), np.zeros(_CLASSES)
-        totals[number[at]] = values[at][:, 0]
-        weights[number[at]] = values[at][:, 1:] @ pair_cut[1:] / values[at][:, 0]
-        out.append(Fold(totals, weights, pair_cut, word_cut, int(followed), (left / followed if followed else 1.0) / (known + 1)))
+        weights = pair_cut[1:] @ totals[fold][1:] / np.maximum(totals[fold][0], 1)
+        out.append(Fold(totals[fold][0].astype(float), weights, pair_cut, word_cut, int(followed), float(left / followed if followed else 1.0) / (int(known) + 1)))
     return out, often
 
 
@@ -385,33 +478,34 @@ def word_logs(docs: DataFrame, layout: Layout, shards: DataFrame) -> DataFrame:
     found, often = folds(shards)
     shared = docs.sparkSession.sparkContext.broadcast(([vars(f) for f in found], often))  # plain values: no class to import
 
-    def blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        hashes, waiting, handles, held, number = _WordHashes(), [], [], 0, TaskContext.get().partitionId() << 32
+        hashes, waiting, lengths, handles, number = WordHashes(), [], [], [], TaskContext.get().partitionId() << 32
 
-        def block() -> pd.DataFrame:
-            keys = np.concatenate(waiting)
-            doc = np.repeat(np.arange(len(waiting), dtype=np.uint32), [len(w) for w in waiting])
+        def block() -> pa.RecordBatch:
+            keys, length = np.concatenate(waiting), np.concatenate(lengths)
+            doc = np.repeat(np.arange(len(length), dtype=np.uint32), length)
             order = np.argsort(keys, kind="stable")
             keys, doc = keys[order], doc[order]
             same = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])))
             n = np.diff(np.append(same, len(keys)))
             keys, doc = keys[same], doc[same]
             order, parts = _by_shard(keys, layout)
-            rows = [(shard, number, packed(keys[order[p]], doc[order[p]], n[order[p]])) for shard, p in parts]
+            rows = [(x, number, packed(keys[order[p]], doc[order[p]], n[order[p]])) for x, p in parts]
             # the texts' handles and lengths travel with one of the shards and pass it
-            ids = np.array(handles, np.int64).tobytes() + np.array([len(w) for w in waiting], np.int64).tobytes()
-            return pd.DataFrame([*rows, (parts[0][0], -1 - number, ids)], columns=["shard", "block", "data"])
-
-        for batch in batches:
-            for lang, text, doc in zip(batch["lang"], batch["text"], batch["doc"]):
-                waiting.append(pair_hashes(mixed_words(lang, text, hashes), layout))
-                handles.append(doc)
-                held += len(waiting[-1])
-                if held >= BLOCK or len(waiting) == BLOCK_DOCS:
-                    yield block()
-                    waiting, handles, held, number = [], [], 0, number + 1
+            rows.append((parts[0][0], -1 - number, np.concatenate(handles).astype(np.int64).tobytes() + length.astype(np.int64).tobytes()))
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))], ["shard", "block", "data"])
+
+        held = texts = 0
+        for langs, data, offsets, own in _slices(batches):
+            if texts + len(own) > BLOCK_DOCS or held >= BLOCK:
+                yield block()
+                waiting, lengths, handles, held, texts, number = [], [], [], 0, 0, number + 1
+            found, n = hashes.pairs(langs, data, offsets, layout)
+            for into, values in ((waiting, found), (lengths, n), (handles, own)):
+                into.append(values)
+            held, texts = held + len(found), texts + len(own)
         if held:
             yield block()
 
@@ -422,9 +516,9 @@ def word_logs(docs: DataFrame, layout: Layout, shards: DataFrame) -> DataFrame:
         for block, data in zip(entries["block"], entries["data"]):
             if block >= 0:
                 keys, doc, n = unpacked(data, 2)
-                sums = np.bincount(doc, n * own.logs(keys, both))
-                docs_ = np.flatnonzero(np.bincount(doc))
-                data = docs_.astype(np.uint16).tobytes() + sums[docs_].astype(np.float32).tobytes()
+                sums = -np.bincount(doc, n * own.logs(keys, both))
+                texts = np.flatnonzero(np.bincount(doc))
+                data = packed(texts.astype(np.uint64), np.rint(sums[texts] * QUANTA))
             out.append((block, data))
         return pd.DataFrame(out, columns=["block", "data"])
 
@@ -434,15 +528,15 @@ def word_logs(docs: DataFrame, layout: Layout, shards: DataFrame) -> DataFrame:
         sums = np.zeros(len(handles))
         for block, data in zip(parts["block"], parts["data"]):
             if block >= 0:
-                n = len(data) // 6
-                sums[np.frombuffer(data, np.uint16, n)] += np.frombuffer(data, np.float32, n, 2 * n)
-        return pd.DataFrame({"doc": handles, "logs": sums, "n": lengths})
+                texts, quanta = unpacked(data, 1)
+                sums[texts.astype(np.int64)] += quanta
+        return pd.DataFrame({"doc": handles, "logs": sums / QUANTA, "n": lengths})
 
-    dealt = _texts(docs).mapInPandas(blocks, "shard int, block long, data binary")
+    dealt = _texts(docs).mapInArrow(blocks, "shard int, block long, data binary")
     sums = dealt.groupBy("shard").cogroup(shards.select("shard", "model").groupBy("shard")).applyInPandas(scored, "block long, data binary")
     of_block = F.when(F.col("block") < 0, -1 - F.col("block")).otherwise(F.col("block"))
     sums = sums.withColumn("of", of_block).groupBy("of").applyInPandas(added, "doc long, logs double, n long")
-    return stored(sums.groupBy("doc").agg((-F.sum("logs") / F.sum("n")).alias("log_ppl")), "word_logs")
+    return stored(sums.groupBy("doc").agg((F.sum("logs") / F.sum("n")).alias("log_ppl")), "word_logs", ARROW_ROWS)
 
 
 # --- verdict ---
@@ -466,7 +560,7 @@ def assess(docs: DataFrame, width: float = WIDTH, carry: Sequence[str] | None =
     measured = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), _language().alias("lang"), _handle().alias("doc"),
                            measure(F.col("text").cast("binary")).alias("m"))
     failed = (F.col("m.n_words") < MIN_WORDS) | (100 * F.col("m.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("m.n_words"))
-    measured = stored(measured.withColumn("failed", failed), "measured").join(logs, "doc", "left")
+    measured = stored(measured.withColumn("failed", failed), "measured", ARROW_ROWS).join(logs, "doc", "left")
     step = F.round(F.col("log_ppl") / STEP).cast("int").alias("step")
     steps = measured.where("not failed and log_ppl is not null").groupBy("lang", step).agg(F.count(F.lit(1)).alias("n"))
     quarters = F.percentile("step", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q")
@@ -474,7 +568,7 @@ def assess(docs: DataFrame, width: float = WIDTH, carry: Sequence[str] | None =
         "lang",
         (F.col("q")[1] * STEP - F.greatest((F.col("q")[1] - F.col("q")[0]) * STEP * width, F.lit(STEP))).alias("low"),
         (F.col("q")[1] * STEP + F.greatest((F.col("q")[2] - F.col("q")[1]) * STEP * width, F.lit(STEP))).alias("high"))
-    judged = measured.join(bands, "lang", "left")
+    judged = measured.join(stored(bands, "bands"), "lang", "left")  # of known size: one line for each language
     inside = F.coalesce(F.col("log_ppl").between(F.col("low"), F.col("high")), F.lit(True))
     return judged.select("row.*", *[F.col(f"m.{n}").alias(n) for n in NAMES], F.col("failed").alias("base_failed"),
                          (~F.col("failed") & inside).alias("kept"), F.exp("log_ppl").alias("perplexity"),
