@@ -15,34 +15,60 @@ PERCENT = 80
 ORACLE_SQL = None
 
 
+def _apart(docs: DataFrame, *columns: str) -> DataFrame:
+    """What a stage works on beside the whole row, which travels in ``row``: no column of the caller can clash with the stage's own."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *columns)
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and their language's perplexity band."""
-    return quality.assess(docs).where("kept").select(*docs.columns)
+    """Documents that pass the base rules and their language's perplexity band.
+
+    NULL and empty texts and those under fifty words go; a NULL language is one of its own; repeated rows are judged alike;
+    long texts are read whole; an empty table stays empty.
+    """
+    return quality.assess(_apart(docs, "lang", "text"), carry=("row",)).where("kept").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, that with the smallest id; of its rows, one."""
-    found = minhash.near_duplicates(docs, PERCENT).where("kept").select("doc_id", "text_hash", "component")
+    """One document of each group of near copies, that with the smallest id; of its rows, one.
+
+    Texts without words are linked with nothing and stay, once for each id; missing and repeated ids are told apart by
+    their group; ties go to the smallest text hash; an empty table stays empty.
+    """
+    found = minhash.near_duplicates(docs.select("doc_id", "text"), PERCENT).where("kept").select("doc_id", "text_hash", "component")
     # ids may be missing or repeated: a group is its component; texts without a set speak for themselves
     alone = F.when(F.col("component").isNull(), F.col("text_hash")).alias("e")
     one = found.groupBy("component", alone, "doc_id").agg(F.min("text_hash").alias("text_hash")).select("doc_id", "text_hash")
-    rows = docs.withColumn("_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_hash"]).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & F.col("d._hash").eqNullSafe(F.col("o.text_hash"))
-    return rows.join(one.alias("o"), same, "left_semi").select(*docs.columns)
+    rows = _apart(docs, "doc_id", F.xxhash64("text").alias("hash")).dropDuplicates(["doc_id", "hash"]).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("o.doc_id")) & F.col("d.hash").eqNullSafe(F.col("o.text_hash"))
+    return rows.join(one.alias("o"), same, "left_semi").select("row.*")
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Numbers, dates, addresses and secrets replaced by pseudonyms of their format."""
-    return pseudonyms.pseudonymise(docs).select(*docs.columns)
+    """Numbers, dates, addresses and secrets replaced by pseudonyms of their format, under the key in the session's
+    ``spark.corpus.pseudonymKey``; without one the published demonstration key makes them reversible.
+
+    Every row and every other column stays; NULL and empty texts stay as they are; long texts are treated whole.
+    """
+    key = spark.conf.get("spark.corpus.pseudonymKey", pseudonyms.KEY)
+    new = pseudonyms.pseudonymise(_apart(docs, "text"), key)
+    return new.select(F.col("row").withField("text", F.col("text")).alias("row")).select("row.*")
 
 
 def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them, in training order."""
-    return curriculum.training_order(curriculum.mix(docs)).select(*docs.columns)
+    """Documents as often as the mix takes them, in training order.
+
+    Texts without words have size 0 and are never taken; NULL is a source, the last one; repeated rows are taken each for
+    itself; equal positions are ordered by id; an empty table stays empty.
+    """
+    return curriculum.training_order(curriculum.mix(_apart(docs, "doc_id", "source", "text"))).select("row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their place in sequences of 2048 tokens."""
+    """Token pieces with their place in sequences of 2048 tokens.
+
+    NULL and empty texts are an end token; repeated rows and ids are packed like others; other columns are left out.
+    """
     return packing.pack(docs, TOKENIZER)
 
 
