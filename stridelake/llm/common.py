@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stridelake.session import scratch
+from stridelake.session import remove, scratch
 
 #: Words are runs of other characters than these (ASCII white space).
 SPACE = " \t\n\x0b\f\r"
@@ -45,19 +45,57 @@ def stored(df: DataFrame, name: str, arrow_rows: int | None = None) -> DataFrame
     path = scratch(spark, name)
     with _settings(spark, arrow_rows):
         df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    rows = spark.read.schema(df.schema).parquet(path)
+    return _noted(rows, path)
+
+
+def _noted(rows: DataFrame, path: str) -> DataFrame:
+    rows._lies_in = path
+    if _under_way:
+        _under_way[-1].append(rows)
+    return rows
+
+
+def forget(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing will read any more."""
+    for table in tables:
+        remove(table.sparkSession, table._lies_in)
+
+
+#: Tables stored so far by the steps that are under way, innermost last.
+_under_way: list[list[DataFrame]] = []
+
+
+@contextmanager
+def steps() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """For an operator whose result is a stored table: what else it stores on the way is removed at its end, the tables
+    that it hands to the given function stay (for whoever has called it)."""
+    _under_way.append([])
+    kept: list[DataFrame] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table)
+        return table
+
+    try:
+        yield keep
+    finally:
+        own = _under_way.pop()
+        forget(*[t for t in own if all(t is not k for k in kept)])
+        if _under_way:
+            _under_way[-1].extend(kept)
 
 
 def bucketed(df: DataFrame, name: str, by: str, buckets: int, arrow_rows: int | None = None) -> DataFrame:
     """``stored`` in buckets of ``by``: a step that groups or joins by it reads the table where it lies, without a shuffle.
     The catalog entry that Spark's writer wants is given up at once; the rows stay."""
     spark = df.sparkSession
-    table = f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
+    path, table = scratch(spark, name), f"{name.replace('-', '_')}_{uuid.uuid4().hex}"
     with _settings(spark, arrow_rows):
-        df.write.bucketBy(buckets, by).option("path", scratch(spark, name)).saveAsTable(table)
+        df.write.bucketBy(buckets, by).option("path", path).saveAsTable(table)
     rows = spark.table(table)
     spark.sql(f"DROP TABLE {table}")
-    return rows
+    return _noted(rows, path)
 
 
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType
 
-from stridelake.llm.common import stored
+from stridelake.llm.common import steps, stored
 from stridelake.llm.graph import components
 
 #: Probability at most that a pair of just the least similarity lies above the signature distance.
@@ -328,22 +328,23 @@ def near_duplicates(docs: DataFrame, percent: int = 85, size: int = 5) -> DataFr
     Rows whose sets share at least ``percent`` of their union are linked; ``component_id`` is the smallest id reachable.
     Ids may be missing or repeated, so only ``component`` (NULL for an empty set) tells components apart.
     """
-    chosen = plan(percent)
-    sketch = stored(sketches(docs, size, chosen), "sketches")
-    # copies meet by digest: one representative for each set
-    reps = sketch.where("n_shingles > 0").groupBy("digest").agg(
-        F.min("doc_id").alias("least"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
-    reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
-    groups = candidate_groups(reps.select("rep", "signature"), chosen)
-    links = _confirmed(docs, reps.join(groups.withColumnRenamed("node", "rep"), "rep"), percent, size)
-    labels = components(links).withColumnRenamed("node", "rep")
-    named = reps.select("digest", "rep", "least").join(labels, "rep", "left")
-    named = named.withColumn("component", F.coalesce("component", "rep"))
-    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = named.join(smallest, "component").select("digest", "component", "component_id")
-    out = sketch.join(found, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
-    return out.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
-                      "text_hash", "component")
+    with steps() as keep:
+        chosen = plan(percent)
+        sketch = stored(sketches(docs, size, chosen), "sketches")
+        # copies meet by digest: one representative for each set
+        reps = sketch.where("n_shingles > 0").groupBy("digest").agg(
+            F.min("doc_id").alias("least"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n_shingles"))
+        reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
+        groups = candidate_groups(reps.select("rep", "signature"), chosen)
+        links = _confirmed(docs, reps.join(groups.withColumnRenamed("node", "rep"), "rep"), percent, size)
+        labels = components(links).withColumnRenamed("node", "rep")
+        named = reps.select("digest", "rep", "least").join(labels, "rep", "left")
+        named = named.withColumn("component", F.coalesce("component", "rep"))
+        smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+        found = named.join(smallest, "component").select("digest", "component", "component_id")
+        out = sketch.join(found, "digest", "left").withColumn("component_id", F.coalesce("component_id", "doc_id"))
+        kept = F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept")
+        return keep(stored(out.select("doc_id", "n_shingles", "component_id", kept, "text_hash", "component"), "near-duplicates"))
 
 
 def _confirmed(docs: DataFrame, grouped: DataFrame, percent: int, size: int) -> DataFrame:

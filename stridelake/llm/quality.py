@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import SPACE, bucketed, stored
+from stridelake.llm.common import SPACE, bucketed, steps, stored
 from stridelake.llm.minhash import _mix
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -550,7 +550,8 @@ def assess(docs: DataFrame, width: float = WIDTH, carry: Sequence[str] | None =
     results = [*NAMES, "perplexity", "lower", "upper", "base_failed", "kept"]
     columns = [c for c in (carry if carry is not None else docs.columns) if c not in results]
     layout = layout_of(docs)
-    logs = word_logs(docs, layout, counted(docs, layout))
+    with steps() as keep:  # the model goes when the texts are scored
+        logs = keep(word_logs(docs, layout, counted(docs, layout)))
 
     @F.pandas_udf("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long")
     def measure(text: pd.Series) -> pd.DataFrame:
@@ -562,9 +563,9 @@ def assess(docs: DataFrame, width: float = WIDTH, carry: Sequence[str] | None =
     failed = (F.col("m.n_words") < MIN_WORDS) | (100 * F.col("m.n_repeat_words") > MAX_REPEAT_PERCENT * F.col("m.n_words"))
     measured = stored(measured.withColumn("failed", failed), "measured", ARROW_ROWS).join(logs, "doc", "left")
     step = F.round(F.col("log_ppl") / STEP).cast("int").alias("step")
-    steps = measured.where("not failed and log_ppl is not null").groupBy("lang", step).agg(F.count(F.lit(1)).alias("n"))
+    histogram = measured.where("not failed and log_ppl is not null").groupBy("lang", step).agg(F.count(F.lit(1)).alias("n"))
     quarters = F.percentile("step", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n")).alias("q")
-    bands = steps.groupBy("lang").agg(quarters).select(
+    bands = histogram.groupBy("lang").agg(quarters).select(
         "lang",
         (F.col("q")[1] * STEP - F.greatest((F.col("q")[1] - F.col("q")[0]) * STEP * width, F.lit(STEP))).alias("low"),
         (F.col("q")[1] * STEP + F.greatest((F.col("q")[2] - F.col("q")[1]) * STEP * width, F.lit(STEP))).alias("high"))
