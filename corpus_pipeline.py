@@ -26,7 +26,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     NULL and empty texts and those under fifty words go; a NULL language is one of its own; repeated rows are judged alike;
     long texts are read whole; an empty table stays empty.
     """
-    return quality.assess(_apart(docs, "lang", "text"), carry=("row",)).where("kept").select("row.*")
+    handle = F.xxhash64("lang", "text").alias("handle")  # the verdict is one on language and text
+    kept = quality.assess(docs.select(handle, "lang", "text"), carry=("handle",)).where("kept").select("handle").distinct()
+    return _apart(docs, handle).join(kept, "handle", "left_semi").select("row.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +63,7 @@ def target_weights(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     Texts without words have size 0 and are never taken; NULL is a source, the last one; repeated rows are taken each for
     itself; equal positions are ordered by id; an empty table stays empty.
     """
-    return curriculum.training_order(curriculum.mix(_apart(docs, "doc_id", "source", "text"))).select("row.*")
+    return curriculum.training_order(curriculum.mix(_apart(docs, "doc_id", "source", "text"), keep_text=False)).select("row.*")
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
