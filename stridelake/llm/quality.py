@@ -47,7 +47,7 @@ WIDTH, STEP = 7.0, 0.001
 #: Bits of a context class, and of a predicted word's hash within its shard.
 CLASS_BITS, WORD_BITS = 16, 32
 #: Text of a shard, pairs of a block, documents of a block at most (their numbers take two bytes).
-SHARD_BYTES, BLOCK, BLOCK_DOCS = 16 << 20, 2_500_000, 1 << 16
+SHARD_BYTES, BLOCK, BLOCK_DOCS = 16 << 20, 1_500_000, 1 << 16
 #: Bytes of texts that are hashed together, and texts that a task holds at a time.
 PIECE_BYTES, ARROW_ROWS = 1 << 20, 1000
 #: Folders of the stored model at most; each holds whole shards.
