@@ -60,10 +60,22 @@ KNOWN = (
 )
 
 
+TITLE = r"\A[ \t\r\n]*+[^\n]{0,50}(?<=licen[cs]e|licen[cs]e \([a-z0-9 -]{1,20}\))[ \t]*+\r?\n(?=[ \t]*+\r?\n)"
+COPYRIGHT = (r"(?m)^[^\p{L}\p{N}\n]*+(?:copyright\b(?![ \t]+(?:notice|holder|owner|law|licen[cs]e|statement|and|or)s?\b)|\(c\)[ \t]*(?:copyright|\d{4})|©|"
+             r"all rights reserved\b)[^\n]*+$")
+MARKS = r"(?m)^[ \t]*+(?:[*•\-#/]++|\(?(?:\d{1,2}|[a-z])[.)])[ \t]++"
+
+
 def canonical(text: Column) -> Column:
-    """Lower-case words without punctuation, list marks and copyright lines, in one spelling."""
-    lines = F.regexp_replace(F.lower(text), r"(?m)^[^\p{L}\p{N}\n]*(?:copyright\s*(?:\(c\)|©|\d{4}|by\b)|\(c\)\s*(?:copyright|\d{4})|©|all rights reserved\b)[^\n]*$", "")
-    lines = F.regexp_replace(lines, r"(?m)^\s*(?:[*•\-#/]+|\(?(?:\d{1,2}|[a-z])[.)])\s+", "")
+    """Lower-case words without punctuation, list marks, copyright lines and a title line, in one spelling.
+
+    Lines that begin with the word copyright are copyright lines unless they go on as a licence's own sentences do; a
+    title is a first line of a few words that names a licence and is followed by an empty line. No expression looks
+    beyond a line end more than once, so the time is linear in the text.
+    """
+    lines = F.regexp_replace(F.lower(text), TITLE, "")
+    lines = F.regexp_replace(lines, COPYRIGHT, "")
+    lines = F.regexp_replace(lines, MARKS, "")
     words = F.regexp_replace(lines, r"[^\p{L}\p{N}]+", " ")
     spelt = {a: b for a, b in SPELLINGS}
     pattern = r"(?<![\p{L}\p{N}])(?:" + "|".join(sorted(spelt, key=len, reverse=True)) + r")(?![\p{L}\p{N}])"

@@ -67,12 +67,14 @@ def _rest(side: str) -> Column:
 
 def sampled_pairs(conversations: DataFrame) -> DataFrame:
     """Pairs from plain conversations: chosen is the conversation up to its last answer, rejected the same with the
-    next conversation's last answer, in the order of conversation ids. Conversations without an answer have no pair."""
+    next conversation's last answer, in the order of conversation ids, the last one's with the first one's. Turns after the
+    last answer are left out, and conversations without an answer have no pair."""
     plain = conversations.select("conv_id", "turn", "role", "text")
     last = plain.where(F.col("role") == SPEAKER).groupBy("conv_id").agg(F.max(F.struct("turn", "text")).alias("last"))
     last = last.select("conv_id", F.col("last.turn").alias("last_turn"), F.col("last.text").alias("answer"))
     numbered = running(laid_out(last, ["conv_id"], "answers"), None, "nth").drop("_part", "_row")
-    following = numbered.select((F.col("nth") - 1).alias("nth"), F.col("answer").alias("other"))
+    n = numbered.count()  # the last one takes the first one's answer
+    following = numbered.select(F.pmod(F.col("nth") + (n - 1), F.lit(max(n, 1))).alias("nth"), F.col("answer").alias("other"))
     swap = numbered.join(following, "nth").select("conv_id", "last_turn", "other")
     turns = plain.join(swap, "conv_id").where(F.col("turn") <= F.col("last_turn"))
     sides = F.explode(F.array(F.lit("chosen"), F.lit("rejected"))).alias("side")

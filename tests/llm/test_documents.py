@@ -410,6 +410,20 @@ def test_shards(spark):
     assert sharding.shard(docs.limit(0)).count() == 0
 
 
+def test_licence_files_with_title_holder_and_many_line_ends(spark):
+    import time
+
+    mit = dict(licences.KNOWN[:1])["MIT"]
+    titled = [f"{title}\n\nCopyright {holder}\n\n{mit}" for title in ("MIT License", "The MIT License (MIT)", "  MIT Licence ") for holder in ("Jane Doe", "(c) 2020 Jane Doe", "2019-2021 by J. D.")]
+    wrapped = mit.replace("copyright notice", "\ncopyright notice")
+    rows = [*enumerate([*titled, wrapped]), (50, "\n" * 1_000_000 + mit), (51, "\n * " * 300_000), (52, "a text about a licence and much more than that\n\n" + mit)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    start = time.perf_counter()
+    got = {r["doc_id"]: r["licence"] for r in licences.scan(docs, licences.known_digests(spark)).collect()}
+    assert time.perf_counter() - start < 15
+    assert {i for i, licence in got.items() if licence != "MIT"} == {51, 52}
+
+
 def test_licences(spark):
     mit = dict(licences.KNOWN[:1])["MIT"]
     changed = "Copyright (c) 2020 Somebody\n\n" + mit.replace("Software", "SOFTWARE").replace(",", " ,") + "\n"

@@ -126,6 +126,15 @@ def test_preferences(spark):
     assert preference.format_pairs(turns.limit(0)).count() == 0
 
 
+def test_every_conversation_with_an_answer_has_a_pair(spark):
+    turns = spark.read.parquet(f"{SF}/conversations.parquet")
+    want = {r[0] for r in turns.where("role = 'assistant'").select("conv_id").distinct().collect()}
+    pairs = preference.format_pairs(preference.sampled_pairs(turns)).collect()
+    assert {r["pair_id"] for r in pairs} == want and len(pairs) == len(want)
+    one = turns.where(turns["conv_id"] == min(want))
+    assert preference.format_pairs(preference.sampled_pairs(one)).count() == 1 and preference.sampled_pairs(turns.limit(0)).count() == 0
+
+
 def test_registered_once_each():
     numbers = [int(n[2:].split("_")[0]) for n in queries.QUERIES]
     assert numbers == list(range(1, 14)) and "pipeline" in entry_module.queries()
