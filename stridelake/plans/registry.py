@@ -613,12 +613,23 @@ def predictions_written(spark, sf_dir):
 # --- streams, run to the end of the data and read back ---
 
 
+def _files_of_a_batch(spark):
+    """Files that arrive together. A compressed file is read by one task, so there are as many as tasks run at a time."""
+    return max(2, spark.sparkContext.defaultParallelism)
+
+
+def _raw_stream(spark, sf_dir, root):
+    """Raw rows as JSON files, streamed in two batches whatever their number."""
+    files = _files_of_a_batch(spark)
+    raw = A.minute_raw(spark, sf_dir)
+    sinks.write_json_lines(raw.select(F.to_json(F.struct(*raw.columns)).alias("value")).repartition(2 * files), f"{root}/raw")
+    return sources.bronze_stream(spark, f"{root}/raw", f"{root}/schema", max_files=files)
+
+
 def _streamed(spark, sf_dir, then=None):
     """Folder with silver: raw rows as JSON files, streamed in several batches."""
     root = scratch(spark, "stream")
-    raw = A.minute_raw(spark, sf_dir)
-    sinks.write_json_lines(raw.select(F.to_json(F.struct(*raw.columns)).alias("value")).repartition(4), f"{root}/raw")
-    bronze = sources.bronze_stream(spark, f"{root}/raw", f"{root}/schema", max_files=2)
+    bronze = _raw_stream(spark, sf_dir, root)
     rows = stages.silver_stream(bronze, "batch").drop(CORRUPT, *PROVENANCE)
     each = tables.silver_sink(f"{root}/silver", "ingest_time", then and partial(then, root=root))
     tables.run(rows, f"{root}/checkpoint-silver", each).awaitTermination()
@@ -636,9 +647,7 @@ def stream_silver(spark, sf_dir):
 @query
 def stream_expectations(spark, sf_dir):
     root = scratch(spark, "stream")
-    raw = A.minute_raw(spark, sf_dir)
-    sinks.write_json_lines(raw.select(F.to_json(F.struct(*raw.columns)).alias("value")).repartition(4), f"{root}/raw")
-    bronze = sources.bronze_stream(spark, f"{root}/raw", f"{root}/schema", max_files=2)
+    bronze = _raw_stream(spark, sf_dir, root)
     rules = R.with_action(R.STREAM_RULES, "timestamp_not_null", "drop")
     each = tables.counted(f"{root}/counts", rules, tables.silver_sink(f"{root}/silver", "ingest_time"))
     tables.run(bronze.drop(CORRUPT, *PROVENANCE), f"{root}/checkpoint", each).awaitTermination()
@@ -658,8 +667,9 @@ def stream_gold(spark, sf_dir):
 @query
 def stream_rewards(spark, sf_dir):
     root = scratch(spark, "stream")
-    sinks.write_messages(A.messages(spark, sf_dir).repartition(4), f"{root}/queue")
-    found = sources.message_stream(spark, f"{root}/queue", max_files=2)
+    files = _files_of_a_batch(spark)
+    sinks.write_messages(A.messages(spark, sf_dir).repartition(2 * files), f"{root}/queue")
+    found = sources.message_stream(spark, f"{root}/queue", max_files=files)
     each = tables.reward_sink(f"{root}/state", f"{root}/log", buckets=8)
     tables.run(found, f"{root}/checkpoint", each).awaitTermination()
     return readers.read_state(spark, f"{root}/state").withColumn("badges", _text("badges"))

@@ -11,6 +11,7 @@ from stridelake.operators import rewards as W
 from stridelake.operators import rules as R
 from stridelake.operators import silver as S
 from stridelake.plans import adapters as A
+from stridelake.plans import registry
 from stridelake.schemas import CORRUPT
 from stridelake.sources import readers, sinks
 from stridelake.streaming import follow, sources, stages, tables
@@ -193,3 +194,16 @@ def test_counts_of_all_batches_are_kept(spark, tmp_path):
     got = {r.rule: (r.total_rows, r.failed_rows) for r in tables.expectation_totals(spark, f"{tmp_path}/counts").collect()}
     assert got["valid_steps_range"] == (12, 6) and got["user_id_not_null"] == (12, 6) and got["valid_intensity"] == (12, 0)
     assert readers.read_silver(spark, f"{tmp_path}/silver").count() == 6
+
+
+def test_raw_files_of_the_queries_keep_all_tasks_busy(spark, tmp_path):
+    cores = spark.sparkContext.defaultParallelism
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i, start + dt.timedelta(minutes=i), i % 7, "view", 5.0, json.dumps({"k": 50})) for i in range(40 * cores)]
+    schema = "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/events.parquet")
+    seen = []
+    root = registry._streamed(spark, str(tmp_path), lambda session, root: seen.append(root))
+    files = list((tmp_path.__class__(root.removeprefix("file:")) / "raw").glob("part-*"))
+    assert len(seen) == 2 and len(files) == 2 * cores
+    assert readers.read_silver(spark, f"{root}/silver").count() == len(rows)
