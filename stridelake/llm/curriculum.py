@@ -24,6 +24,8 @@ from stridelake.llm.common import laid_out, running, stored, word_count
 
 #: Weights by rank of the source, repeating; share of all words that the mix holds; most passes over a source.
 WEIGHTS, SHARE, PASSES = (5, 2, 1), 1.5, 2.0
+#: Where a row lies in the stored order of its source.
+HANDLE = ("_part", "_row")
 #: Schedule (time, relative weight) by rank of the source, repeating, linear in between.
 SCHEDULES = (
     ((0.0, 1.5), (0.7, 1.0), (1.0, 0.5)),
@@ -82,6 +84,11 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = SH
 
     Without ``keep_text`` only the slim columns are sorted and joined.
     """
+    return _drawn(docs, weights, schedules, share, passes, keep_text).drop(*HANDLE)
+
+
+def _drawn(docs: DataFrame, weights, schedules, share: float, passes: float, keep_text: bool) -> DataFrame:
+    """The mix with each row's handle, as it lies in the pseudo-random order of the sources."""
     added = ("size", "source_size", "source_rank", "weight", "target", "taken", "positions", "order_hash", "text_hash")
     rows = docs.drop(*added).withColumns({
         "size": word_count(F.col("text")), "order_hash": F.xxhash64("doc_id", F.lit("mix")), "text_hash": F.xxhash64("text")})
@@ -115,10 +122,25 @@ def mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = SH
         positions = F.when(rank == i, F.transform(shares, _time(knots))).otherwise(positions)
     taken = (F.col("copies") + F.col("closes").cast("int")) * F.col("size")
     drawn = drawn.select("_part", "_row", "source_size", "target", taken.cast("long").alias("taken"), positions.alias("positions"))
-    return placed.drop("order_hash", "text_hash").join(drawn, ["_part", "_row"]).drop("_part", "_row")
+    return placed.drop("order_hash", "text_hash").join(drawn, list(HANDLE))
 
 
 def training_order(mixed: DataFrame) -> DataFrame:
     """One row for each use of a document, range-sorted by its ``position``."""
     uses = mixed.select("*", F.explode("positions").alias("position")).drop("positions")
     return uses.repartitionByRange("position", "doc_id").sortWithinPartitions("position", "doc_id")
+
+
+def placed_mix(docs: DataFrame, weights=WEIGHTS, schedules=SCHEDULES, share: float = SHARE, passes: float = PASSES) -> DataFrame:
+    """``mix`` without texts, and ``places``: where the uses of the document stand in the training order, from 0.
+
+    The uses of all documents are range-sorted by ``position`` and numbered without gaps; equal positions are ordered by
+    ``doc_id``, then as the sources' pseudo-random orders have them. A document that is never taken has no places.
+    """
+    mixed = stored(_drawn(docs, weights, schedules, share, passes, keep_text=False), "mixed")
+    of = [f"_of{c}" for c in HANDLE]
+    uses = mixed.select(*[F.col(c).alias(o) for c, o in zip(HANDLE, of)], "doc_id", F.explode("positions").alias("position"))
+    ordered = running(laid_out(uses, ["position", "doc_id", *of], "uses"), None, "place")
+    places = ordered.groupBy(*of).agg(F.sort_array(F.collect_list("place")).alias("places"))
+    same = (F.col("_part") == F.col(of[0])) & (F.col("_row") == F.col(of[1]))
+    return mixed.drop("places").join(places, same, "left").withColumn("places", F.coalesce("places", F.array().cast("array<bigint>"))).drop(*HANDLE, *of)

@@ -29,8 +29,8 @@ def op2_preference_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    mixed = curriculum.mix(documents(spark, sf_dir, "doc_id", "source", "text"), keep_text=False)
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "positions")
+    mixed = curriculum.placed_mix(documents(spark, sf_dir, "doc_id", "source", "text"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "source", "positions", "places")
 
 
 def op4_feistel_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,7 @@ import zlib
 
 import pytest
 
-from stridelake.llm import curriculum, licences, minhash, packing, pseudonyms, quality, sharding
+from stridelake.llm import curriculum, licences, minhash, packing, pseudonyms, quality, queries, sharding
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, size long, kept boolean"
 WORDS = [f"w{i}" for i in range(400)]
@@ -244,6 +244,20 @@ def test_curriculum(spark):
     assert curriculum.mix(docs.limit(0)).count() == 0
 
 
+def test_curriculum_query_numbers_the_training_order(spark, tmp_path):
+    docs = awkward(spark)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = queries.op3_curriculum_mix(spark, str(tmp_path)).collect()
+    assert len(rows) == docs.count()
+    assert all(len(r["places"]) == len(r["positions"]) and r["taken"] == len(r["places"]) * r["size"] for r in rows)
+    uses = sorted((place, position, r["doc_id"]) for r in rows for place, position in zip(r["places"], sorted(r["positions"])))
+    assert uses and [u[0] for u in uses] == list(range(len(uses)))
+    in_order = [(position, doc_id is not None, doc_id or 0) for _, position, doc_id in uses]
+    assert in_order == sorted(in_order)
+    key = lambda r: (str(r["doc_id"]), r["size"], r["taken"], tuple(r["positions"]), tuple(r["places"]))
+    assert sorted(map(key, rows)) == sorted(map(key, queries.op3_curriculum_mix(spark, str(tmp_path)).collect()))
+
+
 def test_schedule_is_inverted(spark):
     for knots in curriculum.SCHEDULES:
         def area(t, knots=knots):
