@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -98,6 +100,14 @@ def bucketed(df: DataFrame, name: str, by: str, buckets: int, arrow_rows: int |
     return _noted(rows, path)
 
 
+def give_back() -> None:
+    """At the end of a task's large arrays: memory that is free again goes to the system. The Python worker stays for tasks of
+    other steps, and what it holds on to would be added to theirs."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):  # of glibc
+        trim(0)
+
+
 def documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     df = spark.read.parquet(f"{sf_dir}/documents.parquet")
     return df.select(*columns) if columns else df

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import stored
+from stridelake.llm.common import give_back, stored
 
 CAPACITY, END = 2048, 0
 #: Words whose ids a task remembers before it starts afresh.
@@ -145,6 +145,8 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
                         rows.append((doc_id, piece, at // 4, n, zlib.crc32(own), part, seen[n], *([np.frombuffer(own, "<u4").astype(np.int32)] if with_ids else [])))
                         seen[n] += 1
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+        del words
+        give_back()
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, _part int, _rank long" + ", ids array<int>" * with_ids
     names = [x.split()[0] for x in schema.split(", ")]

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stridelake.llm.common import SPACE, bucketed, steps, stored
+from stridelake.llm.common import SPACE, bucketed, give_back, steps, stored
 from stridelake.llm.minhash import _mix
 
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
@@ -49,7 +49,7 @@ CLASS_BITS, WORD_BITS = 16, 32
 #: Text of a shard, pairs of a block, documents of a block at most (their numbers take two bytes).
 SHARD_BYTES, BLOCK, BLOCK_DOCS = 16 << 20, 1_500_000, 1 << 16
 #: Bytes of texts that are hashed together, and texts that a task holds at a time.
-PIECE_BYTES, ARROW_ROWS = 1 << 20, 1000
+PIECE_BYTES, ARROW_ROWS = 1 << 18, 1000
 #: Folders of the stored model at most; each holds whole shards.
 MOST_BUCKETS = 10_000
 #: Parts of one in which a text's sum of logarithms comes back from a shard.
@@ -335,7 +335,13 @@ def counted(docs: DataFrame, layout: Layout) -> DataFrame:
         hashes, waiting, held = WordHashes(), [], 0
 
         def block() -> pa.RecordBatch:
-            keys, n = np.unique(np.concatenate(waiting), return_counts=True)
+            keys = np.concatenate(waiting)
+            waiting.clear()
+            keys.sort()
+            starts = _runs(keys)
+            n = np.diff(np.append(starts, len(keys))).astype(np.uint32)
+            keys = keys[starts]
+            del starts
             order, parts = _by_shard(keys, layout)
             return pa.RecordBatch.from_pydict({"shard": pa.array([x for x, _ in parts], pa.int32()), "data": pa.array([packed(keys[order[p]], n[order[p]]) for _, p in parts])})
 
@@ -344,22 +350,28 @@ def counted(docs: DataFrame, layout: Layout) -> DataFrame:
             held += len(waiting[-1])
             if held >= BLOCK:
                 yield block()
-                waiting, held = [], 0
+                held = 0
         if held:
             yield block()
+        give_back()
 
     def shard(own: pd.DataFrame) -> pd.DataFrame:
         parts = [unpacked(data, 1) for data in own["data"]]
         keys = np.concatenate([k for k, _ in parts])
-        n = np.concatenate([n for _, n in parts]).astype(np.int64)
+        n = np.concatenate([n for _, n in parts])
+        del parts
         order = np.argsort(keys, kind="stable")
-        keys, n = keys[order], n[order]
+        keys = keys[order]
+        n = n[order].astype(np.int64)
+        del order
         starts = _runs(keys >> np.uint64(1))
         fold = (keys & np.uint64(1)) == 1
         counts = [np.add.reduceat(np.where(fold == f, n, 0), starts) for f in (False, True)]
         pair = keys[starts] >> np.uint64(1)
         by_class, summary, often = _reports(pair, counts, layout)
         lines = [dict(zip(("word", "a", "b"), x)) for x in often]
+        del keys, n, starts, fold
+        give_back()
         return pd.DataFrame({"shard": [own["shard"].iloc[0]], "model": [packed(pair, *counts)], "by_class": [_short(_planes(by_class.ravel(), np.int64))],
                              "summary": [summary], "often": [lines]})
 
@@ -452,7 +464,7 @@ class Shard:
         self.pair, *self.counts = unpacked(model, _FOLDS)
         word = self.pair >> np.uint64(CLASS_BITS)
         starts = _runs(word)
-        self.nth = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(word))))
+        self.nth = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(word))))
         own = word[starts]
         frequent = layout.is_frequent(own)
         self.follows = []
@@ -485,12 +497,16 @@ def word_logs(docs: DataFrame, layout: Layout, shards: DataFrame) -> DataFrame:
 
         def block() -> pa.RecordBatch:
             keys, length = np.concatenate(waiting), np.concatenate(lengths)
+            waiting.clear()
             doc = np.repeat(np.arange(len(length), dtype=np.uint32), length)
             order = np.argsort(keys, kind="stable")
-            keys, doc = keys[order], doc[order]
+            keys = keys[order]
+            doc = doc[order]
+            del order
             same = np.flatnonzero(np.append(True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1])))
-            n = np.diff(np.append(same, len(keys)))
+            n = np.diff(np.append(same, len(keys))).astype(np.uint32)
             keys, doc = keys[same], doc[same]
+            del same
             order, parts = _by_shard(keys, layout)
             rows = [(x, number, packed(keys[order[p]], doc[order[p]], n[order[p]])) for x, p in parts]
             # the texts' handles and lengths travel with one of the shards and pass it
@@ -508,6 +524,7 @@ def word_logs(docs: DataFrame, layout: Layout, shards: DataFrame) -> DataFrame:
             held, texts = held + len(found), texts + len(own)
         if held:
             yield block()
+        give_back()
 
     def scored(entries: pd.DataFrame, model: pd.DataFrame) -> pd.DataFrame:
         known, often = shared.value
@@ -520,6 +537,8 @@ def word_logs(docs: DataFrame, layout: Layout, shards: DataFrame) -> DataFrame:
                 texts = np.flatnonzero(np.bincount(doc))
                 data = packed(texts.astype(np.uint64), np.rint(sums[texts] * QUANTA))
             out.append((block, data))
+        del own
+        give_back()
         return pd.DataFrame(out, columns=["block", "data"])
 
     def added(parts: pd.DataFrame) -> pd.DataFrame:

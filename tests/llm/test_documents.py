@@ -3,8 +3,10 @@
 import collections
 import math
 import random
+import tracemalloc
 import zlib
 
+import pyarrow as pa
 import pytest
 
 from stridelake.llm import curriculum, licences, minhash, packing, pseudonyms, quality, queries, sharding
@@ -213,6 +215,18 @@ def test_bands_reject_on_both_sides(spark, prose):
     assert not any(got[i]["kept"] for i, _, _ in dull + wild) and sum(got[i]["kept"] for i, _, _ in prose) >= 200
 
 
+def test_hashing_holds_little_at_a_time(prose):
+    texts = [" ".join(t for _, t, _ in prose[i : i + 12]).encode() for i in range(200)] * 6
+    batch = pa.RecordBatch.from_arrays([pa.array([b"en"] * len(texts)), pa.array(texts), pa.array(range(len(texts)))], ["lang", "text", "doc"])
+    hashes, layout = quality.WordHashes(), quality.Layout(1)
+    tracemalloc.start()
+    n = sum(int(hashes.pairs(langs, data, offsets, layout)[1].sum()) for langs, data, offsets, _ in quality._slices([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sum(map(len, texts)) > 4 << 20 and n == sum(len(t.split()) + 1 for t in texts)
+    assert peak < 32 << 20
+
+
 def test_curriculum(spark):
     docs = awkward(spark)
     rows = curriculum.mix(docs).collect()
