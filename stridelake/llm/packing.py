@@ -27,7 +27,7 @@ import zlib
 from array import array
 from bisect import bisect_right
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -39,12 +39,12 @@ from pyspark.sql import functions as F
 from stridelake.llm.common import give_back, stored
 
 CAPACITY, END = 2048, 0
-#: Words whose ids a task remembers before it starts afresh.
-CACHE_WORDS = 500_000
-#: Characters of texts whose new words are encoded together.
-CHUNK_CHARS = 1_000_000
-#: Rows of an Arrow batch that are taken apart at a time.
-SLICE_ROWS = 256
+#: Words that a task remembers before it starts afresh, and their ids.
+CACHE_WORDS, CACHE_IDS = 500_000, 10_000_000
+#: Bytes of texts whose words are looked up together; a longer text is taken in parts, cut at white space.
+WINDOW_BYTES = 1_000_000
+#: Bytes of ids whose pieces are handed on together.
+HELD_BYTES = 1_000_000
 #: The tokenizer's steps before its model; and what its pattern finds in plain words, lower-cased.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 NORMALIZER = {"type": "Sequence", "normalizers": [
@@ -57,66 +57,170 @@ _UNITS = re.compile(r"'(?:[stmd]|re|ve|ll)|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9
 #: and its small letter (but that of the dotted capital I) is one of them too.
 _PLAIN = re.compile(r"[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u017f]+")
 
+#: Kinds of UTF-8 bytes. A plain word is cut where the kind changes and around each digit; one with a ``WHOLE`` byte stays
+#: whole: the apostrophe (its endings depend on what is before it) and what no plain word has.
+BLANK, LETTER, SIGN, DIGIT, WHOLE = range(5)
+_BLANKS = b" \t\n\x0b\f\r"
+_KINDS = bytes(
+    BLANK if c in _BLANKS else DIGIT if 0x30 <= c <= 0x39 else LETTER if chr(c).isalpha() and c < 0x80 or 0x80 <= c < 0xC0 or 0xC3 <= c <= 0xC5
+    else SIGN if 0x21 <= c <= 0x7E and c != 0x27 else WHOLE for c in range(256))
+_WORDS_ONLY = bytes(BLANK if c in _BLANKS else WHOLE for c in range(256))
+_LOWER = bytes(range(256)).lower()
+#: The characters of the lead bytes C3 to C5: both bytes of the small letter, and which are in no plain word.
+_TWO = [chr(c) for c in range(0xC0, 0x180)]
+_SMALL = np.array([list((x.lower() if _PLAIN.match(x) else x).encode()) for x in _TWO], np.uint8)
+_ODD = np.array([not _PLAIN.match(x) for x in _TWO])
 
-# --- tokens ---
 
+# --- tokens ---
 
-class _UnitIds(dict):
-    """Ids of what the pattern finds, from the tokenizer's model alone. The model knows each UTF-8 byte as a character."""
 
-    def __init__(self, model):
-        from tokenizers.pre_tokenizers import ByteLevel
+def _ranges(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers ``first``, ``first + 1``, ... of each line, ``size`` of them."""
+    end = np.cumsum(size)
+    return np.repeat(first - end + size, size) + np.arange(end[-1] if len(end) else 0)
 
-        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.model = model
-        self.spelt = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x180)}
 
-    def __missing__(self, unit: str) -> bytes:
-        spelt = unit if unit.isascii() else unit.translate(self.spelt)
-        value = self[unit] = array("I", [t.id for t in self.model.tokenize(spelt)]).tobytes()
-        return value
+def _units(raw: bytes, ends: np.ndarray, kinds: bytes) -> tuple[pa.StringArray, np.ndarray, np.ndarray]:
+    """What the pattern finds in texts that lie one after the other, lower-cased; which of it are whole words; and how many
+    lie before each end. Words that are not plain, with an apostrophe or the start of an added token come whole, as they are.
+    """
+    data, kind = np.frombuffer(raw, np.uint8), np.frombuffer(raw.translate(kinds), np.uint8)
+    inner = ends[ends < len(raw)]
+    begins = np.ones(len(raw), bool)
+    np.not_equal(kind[1:], kind[:-1], out=begins[1:])
+    begins |= kind == DIGIT
+    begins[inner] = True
+    at = np.flatnonzero(begins)
+    filled = kind[at] != BLANK
+    first = np.ones(len(at), bool)  # of its word
+    np.logical_not(filled[:-1], out=first[1:])
+    first[np.searchsorted(at, inner)] = True
+    small = np.frombuffer(bytearray(raw.translate(_LOWER)), np.uint8)
+    lead = np.flatnonzero((data >= 0xC3) & (data <= 0xC5))
+    two = (data[lead] - 0xC3).astype(np.intp) * 64 + (data[lead + 1] - 0x80)
+    small[lead], small[lead + 1] = _SMALL[two].T
+    added = np.flatnonzero((data[:-1] == ord("<")) & (data[1:] == ord("|")))
+    inside = np.zeros(len(at), bool)
+    spots = np.concatenate([np.flatnonzero(kind == WHOLE), lead[_ODD[two]], added])
+    if len(spots):
+        word = np.cumsum(first & filled)
+        whole = np.zeros(len(at) + 1, bool)
+        whole[word[np.searchsorted(at, spots, "right") - 1]] = True
+        inside = whole[word] & filled
+        stay = first | ~inside
+        at, filled, inside = at[stay], filled[stay], inside[stay]
+        own = _ranges(at[inside], np.diff(at, append=len(raw))[inside])
+        small[own] = data[own]
+    offsets = np.zeros(np.count_nonzero(filled) + 1, np.int32)
+    np.cumsum(np.diff(at, append=len(raw))[filled], out=offsets[1:])
+    found = pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), pa.py_buffer(small[kind != BLANK]))
+    return found, inside[filled], np.searchsorted(at[filled], ends)
 
 
 class _WordIds(dict):
-    """Ids of a word as little-endian unsigned 32-bit numbers. The tokenizer splits at white space and drops it, so
-    a text's ids are its words' ids one after the other."""
+    """Numbers of the words, and of the parts that the pattern finds, whose ids stand one after the other in ``ids``. The
+    tokenizer splits at white space and drops it, so a text's ids are its words' ids one after the other."""
 
     def __init__(self, tokenizer):
-        self.tokenizer, self.units = tokenizer, _UnitIds(tokenizer.model)
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.tokenizer, self.model = tokenizer, tokenizer.model
+        as_bytes = ByteLevel(add_prefix_space=False, use_regex=False)
+        # the model knows each UTF-8 byte as a character
+        self.spelt = {c: as_bytes.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x180)}
         steps = [json.loads(x.__getstate__()) if x else None for x in (tokenizer.normalizer, tokenizer.pre_tokenizer)]
         self.known = steps == [NORMALIZER, PRE_TOKENIZER]
+        self.clear()
+
+    def clear(self) -> None:
+        super().clear()
+        self.ids, self.ends = array("I"), array("q")
+
+    def _learn(self, word: str, ids: list[int]) -> None:
+        self[word] = len(self)
+        self.ids.extend(ids)
+        self.ends.append(len(self.ids))
+
+    def _part(self, part: str) -> list[int]:
+        """Ids of what the pattern finds, from the tokenizer's model alone."""
+        return [t.id for t in self.model.tokenize(part if part.isascii() else part.translate(self.spelt))]
 
-    def learn(self, words: set[str]) -> None:
-        """Take in new words. Normalising leaves plain words as they are but for the case, so these, added tokens
-        apart, are cut here and go to the model; all others, and those of other tokenizers, go through the whole."""
-        if len(self) >= CACHE_WORDS or len(self.units) >= CACHE_WORDS:
-            self.units.clear()
+    def _learn_words(self, words: list[str]) -> None:
+        """Normalising leaves plain words as they are but for the case, so these, added tokens apart, are cut here and go
+        to the model; all others, and those of other tokenizers, go through the whole."""
         plain = [w for w in words if _PLAIN.fullmatch(w) and "<|" not in w] if self.known else []
         for word in plain:
-            self[word] = b"".join(map(self.units.__getitem__, _UNITS.findall(word.lower())))
-        other = list(words.difference(plain))
+            self._learn(word, list(chain.from_iterable(map(self._part, _UNITS.findall(word.lower())))))
+        other = [w for w in words if w not in self]
         for word, found in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            self[word] = array("I", found.ids).tobytes()
-
-    def whole(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def texts(self, texts: list[str | None]) -> Iterator[bytes]:
-        """Ids of each text. The words that are new among some texts are encoded together."""
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and (end == at or size < CHUNK_CHARS):
-                size += len(texts[end] or "")
-                end += 1
-            # str.split also splits at four control characters that the tokenizer does not take for white space
-            split = [None if t and any(c in t for c in "\x1c\x1d\x1e\x1f") else (t or "").split() for t in texts[at:end]]
-            if len(self) >= CACHE_WORDS:
-                self.clear()
-            self.learn(set(chain.from_iterable(words for words in split if words)).difference(self))
-            for text, words in zip(texts[at:end], split):
-                yield self.whole(text) if words is None else b"".join(map(self.__getitem__, words))
-            at = end
+            self._learn(word, found.ids)
+
+    def _numbers(self, words: list[str], whole: np.ndarray) -> np.ndarray:
+        """Numbers of different words; those that are new are encoded."""
+        if len(self) >= CACHE_WORDS or len(self.ids) >= CACHE_IDS:
+            self.clear()
+        numbers = np.fromiter(map(self.get, words, repeat(-1)), np.int64, len(words))
+        new = np.flatnonzero(numbers < 0)
+        parts, new = new[~whole[new]], new[whole[new]].tolist()
+        numbers[parts] = np.arange(len(self), len(self) + len(parts))
+        for at in parts.tolist():
+            self._learn(words[at], self._part(words[at]))
+        self._learn_words([words[at] for at in new])
+        numbers[new] = [self[words[at]] for at in new]
+        return numbers
+
+    def _ids(self, raw: bytes, ends: np.ndarray) -> tuple[bytes, list[int]]:
+        """Ids of texts that lie one after the other, and where each text's end among their bytes. Each different word is
+        looked up once."""
+        found, whole, before = _units(raw, ends, _KINDS if self.known else _WORDS_ONLY)
+        if not len(found):
+            return b"", [0] * len(ends)
+        coded = found.dictionary_encode()
+        code = coded.indices.to_numpy()
+        uncut = np.zeros(len(coded.dictionary), bool)
+        uncut[code] = whole
+        numbers = self._numbers(coded.dictionary.to_numpy(zero_copy_only=False).tolist(), uncut)
+        last = np.frombuffer(self.ends, np.int64)[numbers]
+        size = last - np.where(numbers > 0, np.frombuffer(self.ends, np.int64)[numbers - 1], 0)
+        each = size[code]
+        taken = np.frombuffer(self.ids, np.uint32)[_ranges((last - size)[code], each)].astype("<u4", copy=False)
+        return taken.tobytes(), (4 * np.concatenate([[0], np.cumsum(each)])[before]).tolist()
+
+    def texts(self, texts: pa.Array | list[str | None]) -> Iterator[bytes]:
+        """Ids of each text, a window of texts at a time."""
+        texts = (texts if isinstance(texts, pa.Array) else pa.array(texts, pa.string())).cast(pa.large_string()).fill_null("")
+        if not len(texts):
+            return
+        texts.validate(full=True)
+        _, offsets, data = texts.buffers()
+        ends = np.frombuffer(offsets, np.int64)[texts.offset : texts.offset + len(texts) + 1]
+        at, ends, row = int(ends[0]), ends[1:], 0
+        parts: list[bytes] = []  # of a text longer than a window
+        while row < len(texts):
+            upto = int(np.searchsorted(ends, at + WINDOW_BYTES, "right"))
+            if upto > row:
+                stop = int(ends[upto - 1])
+            else:
+                stop = _cut(data, at, int(ends[row]))
+                upto = row + (stop == ends[row])
+            ids, cuts = self._ids(bytes(data[at:stop]) if stop > at else b"", ends[row:upto] - at)
+            for first, last in zip([0, *cuts], cuts):
+                yield b"".join([*parts, ids[first:last]])
+                parts = []
+            if row == upto:
+                parts.append(ids)
+            at, row = stop, upto
+
+
+def _cut(data: pa.Buffer, at: int, end: int) -> int:
+    """Where to end the first window of a long text: after its last white space, or before the next one."""
+    window = bytes(data[at : at + WINDOW_BYTES])
+    last = max(window.rfind(c) for c in _BLANKS)
+    if last >= 0:
+        return at + last + 1
+    after = re.compile(rb"[ \t-\r]").search(memoryview(data), at + WINDOW_BYTES, end)
+    return after.start() if after else end
 
 
 def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids: bool = True) -> DataFrame:
@@ -126,6 +230,9 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
     that length it is.
     """
 
+    def lines(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
         from tokenizers import Tokenizer
@@ -134,17 +241,20 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, with_ids:
         end = np.array([END], "<u4").tobytes()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for first in range(0, batch.num_rows, SLICE_ROWS):  # few texts and ids are Python objects at a time
-                doc_ids, parts, texts = (batch[c].slice(first, SLICE_ROWS).to_pylist() for c in ("doc_id", "_part", "text"))
-                rows = []
-                for doc_id, part, ids in zip(doc_ids, parts, words.texts(texts)):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at : at + 4 * capacity]
-                        n = len(own) // 4
-                        rows.append((doc_id, piece, at // 4, n, zlib.crc32(own), part, seen[n], *([np.frombuffer(own, "<u4").astype(np.int32)] if with_ids else [])))
-                        seen[n] += 1
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], names)
+            rows, held = [], 0
+            for doc_id, part, ids in zip(batch["doc_id"].to_pylist(), batch["_part"].to_pylist(), words.texts(batch["text"])):
+                ids += end
+                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    own = ids[at : at + 4 * capacity]
+                    n = len(own) // 4
+                    rows.append((doc_id, piece, at // 4, n, zlib.crc32(own), part, seen[n], *([np.frombuffer(own, "<u4").astype(np.int32)] if with_ids else [])))
+                    seen[n] += 1
+                held += len(ids)
+                if held >= HELD_BYTES:  # few ids are Python objects at a time
+                    yield lines(rows)
+                    rows, held = [], 0
+            if rows:
+                yield lines(rows)
         del words
         give_back()
 

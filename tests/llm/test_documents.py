@@ -390,6 +390,48 @@ def test_word_ids_are_those_of_whole_texts():
         assert list(words.texts(some)) == want
 
 
+def test_word_ids_of_repeated_words_need_no_object_a_word():
+    import tracemalloc
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    words = packing._WordIds(t)
+    line = "The third, of thEse; Éa isn't 12 it "
+    list(words.texts([line]))
+    text, want = line * 400_000, t.encode(line, add_special_tokens=False).ids
+    tracemalloc.start()
+    (found,) = words.texts([text])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == packing.array("I", want * 400_000).tobytes()
+    assert peak < 8 * len(text)  # the ids twice and the numbers of a window; a list of the words took 33 times the text
+
+
+@pytest.mark.parametrize("window", [1, 2, 7, 60, 100_000])
+def test_word_ids_do_not_depend_on_the_window(window, monkeypatch):
+    import public_tokenizers
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    monkeypatch.setattr(packing, "WINDOW_BYTES", window)
+    rnd = random.Random(window)
+    some = ["".join(rnd.choices([*"abTsLE'''!<|>59é×÷ÀŸĿſŉİΣ中 \t\n\x0b\x1c\x85\xa0\u0301", "<|endoftext|>", "J\u030c", "'ll"], k=k)) for k in [0, 1, 9, 80] * 100]
+    some[::7] = [None] * len(some[::7])
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = [packing.array("I", t.encode(x or "", add_special_tokens=False).ids).tobytes() for x in some]
+    words = packing._WordIds(t)
+    assert words.known and list(words.texts(some)) == want
+    assert list(words.texts(pa.array(some, pa.large_string()).slice(13, 200))) == want[13:213]
+    assert list(words.texts([])) == [] and list(words.texts([None, "", " \n"])) == [b""] * 3
+    monkeypatch.setattr(packing, "CACHE_WORDS", 5)  # starts afresh all the time
+    assert list(words.texts(some)) == want
+    words.known = False
+    words.clear()
+    assert list(words.texts(some)) == want
+
+
 def test_packing(spark):
     import numpy as np
     import public_tokenizers
