@@ -4,9 +4,15 @@ For unit vectors a cosine of c is a distance of sqrt(2 - 2c), a metric. Equal ve
 first dealt to the nearest of a few pivots (fitted on a bounded sample) and, within a pivot, to blocks of a bounded
 number of values; a large pivot gives many blocks. Each block gets a cover tree: nested centres at halving radii, every
 row below the first centre that covers it. Block pairs are the upper level of the traversal: a pair whose centres are
-farther apart than both covering radii and the threshold is never formed. In the task of a block pair the traversal goes
+farther apart than both covering radii and the threshold is never formed. From a block pair the traversal goes
 down level by level on both sides with the same bound, from the covering radii as measured, and compares the rows that
-remain. No bound is estimated, so the pairs are exact.
+remain; levels that hardly merge anything are passed over. No bound is estimated, so the pairs are exact.
+
+Most pairs fall to a screen: the distance on the principal axes of the sample, which is never larger than the whole
+distance, in single precision with a margin for its rounding. What it leaves is compared on whole vectors in double precision.
+
+A stored block is one row. Neighbouring blocks are a strip, two strips are a task's cell, and cells are dealt out
+in rounds that copy a bounded volume, so the disk holds a few copies of the vectors however many cells there are.
 
 A task returns each vector's number of links and a spanning set of them, never all pairs.
 
@@ -22,53 +28,80 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stridelake.llm.common import stored
+from stridelake.llm.common import forget, give_back, stored
 from stridelake.llm.graph import components
 
 COSINE = 0.95
 #: Values in a block; pivots at most, and rows of the sample they are fitted on; radii of the levels.
 BLOCK_VALUES, PIVOTS, SAMPLE = 1 << 18, 64, 2048
 RADII = (1.0, 0.5, 0.25, 0.125)
+#: Rows in a block and blocks in a strip at most; strips that a smaller table is cut to; values that a round of cells copies,
+#: or twice the table.
+BLOCK_ROWS, STRIP_BLOCKS, STRIPS, ROUND_VALUES = 1 << 12, 16, 6, 1 << 26
+#: Axes of the screen: the fewest that leave this share of the sample's far pairs; rows of the sample that they
+#: are fitted on, and tried on.
+AXES, LEFT_OVER, PAIRED = (16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512), 1e-5, 512
+#: Margin of the screen for each of its terms, far above the rounding of their sum; rows and columns of one product; pairs handed on at a time.
+MARGIN, AT_ONCE, PAIRS = 4e-6, (256, 1024), 1 << 18
+
+
+def _matrix(vectors, dim: int) -> np.ndarray:
+    """Vectors as stored, in single or double precision."""
+    raw, n = b"".join(vectors), len(vectors)
+    return np.frombuffer(raw, np.float32 if len(raw) == 4 * n * dim else np.float64).reshape(n, dim)
 
 
-def _matrix(units, dim: int) -> np.ndarray:
-    return np.frombuffer(b"".join(units), np.float64).reshape(-1, dim)
+def _units(rows: np.ndarray) -> np.ndarray:
+    x = rows.astype(np.float64)
+    x /= np.abs(x).max(1, keepdims=True)
+    x /= np.sqrt((x * x).sum(1, keepdims=True))
+    return x + 0.0
 
 
 def _distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(2.0 - 2.0 * (x @ y.T), 0.0))
 
 
+def _limit(cosine: float) -> float:
+    return math.sqrt(2.0 - 2.0 * cosine) + 1e-7
+
+
 def unit_vectors(vectors: DataFrame) -> DataFrame:
-    """``vec_id, digest, dim, unit``: the vector at length 1 as doubles and the digest that equal ones share; NULL if invalid."""
+    """``vec_id, digest, dim, vector``: the vector's values in the table's precision and the digest that vectors of equal direction
+    share, made of the vector at length 1 as doubles; NULL if invalid."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for vec_id, v in zip(batch["vec_id"], batch["embedding"]):
-                row = (vec_id, None, 0, None)
-                if v is not None and len(v):
-                    x = np.array([np.nan if a is None else a for a in v], np.float64) + 0.0
-                    top = np.abs(x).max()
-                    if np.isfinite(x).all() and top > 0:
-                        x = x / top
-                        x = x / np.linalg.norm(x) + 0.0
-                        row = (vec_id, xxhash.xxh3_128_digest(x.tobytes()), len(x), x.tobytes())
-                rows.append(row)
-            yield pd.DataFrame(rows, columns=["vec_id", "digest", "dim", "unit"])
-
-    slim = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("embedding"))
-    return slim.mapInPandas(run, "vec_id long, digest binary, dim int, unit binary")
-
-
-def _pivots(reps: DataFrame, rows: int, block: int) -> np.ndarray:
-    """Farthest-first centres of a bounded sample (the smallest digests), one for each block of rows up to ``PIVOTS``."""
-    sample = reps.orderBy("digest").select("unit").limit(SAMPLE).collect()
-    x = np.array([np.frombuffer(r["unit"], np.float64) for r in sample])
+            lists = batch.column("embedding")
+            size = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            values, at = lists.flatten().to_numpy(zero_copy_only=False), np.cumsum(size) - size
+            digest, vector, dims = [None] * len(size), [None] * len(size), np.zeros(len(size), np.int32)
+            for dim in np.unique(size[size > 0]):
+                rows = np.flatnonzero(size == dim)
+                v = values[at[rows][:, None] + np.arange(dim)]
+                valid = np.isfinite(v).all(1) & v.any(1)
+                rows, v = rows[valid], v[valid]
+                dims[rows] = dim
+                for row, own, unit in zip(rows, v, _units(v)):
+                    digest[row], vector[row] = xxhash.xxh3_128_digest(unit.tobytes()), own.tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column("vec_id"), pa.array(digest, pa.binary()), pa.array(dims), pa.array(vector, pa.binary())],
+                                             ["vec_id", "digest", "dim", "vector"])
+
+    kind = vectors.schema["embedding"].dataType
+    single = isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.FloatType)
+    slim = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<float>" if single else "array<double>").alias("embedding"))
+    return slim.mapInArrow(run, "vec_id long, digest binary, dim int, vector binary")
+
+
+def _pivots(x: np.ndarray, rows: int, block: int) -> np.ndarray:
+    """Farthest-first centres of a sample, one for each block of rows up to ``PIVOTS``."""
     n = min(PIVOTS, len(x), max(1, math.ceil(rows / block)))
     chosen, far = [0], _distances(x, x[:1])[:, 0]
     while len(chosen) < n:
@@ -77,57 +110,133 @@ def _pivots(reps: DataFrame, rows: int, block: int) -> np.ndarray:
     return x[chosen]
 
 
+def _axes(x: np.ndarray, cosine: float) -> np.ndarray:
+    """Principal axes of a sample, as columns: orthonormal, so a distance on them is at most the whole one."""
+    fit, rest = x[: 2 * PAIRED : 2], x[1 : 2 * PAIRED : 2]
+    axes = np.linalg.svd(fit - fit.mean(0), full_matrices=False)[2].T
+    on, limit = rest @ axes, _limit(cosine)
+    far = _distances(rest, rest) > limit
+    for n in AXES:
+        if n >= axes.shape[1] or not len(rest):
+            break
+        own = on[:, :n]
+        half = (own * own).sum(1) / 2.0
+        if ((half[:, None] + half - own @ own.T <= limit * limit / 2.0) & far).mean() <= LEFT_OVER:
+            return axes[:, :n]
+    return axes
+
+
 def cover_tree(x: np.ndarray) -> np.ndarray:
     """For each row its centre (a row) at each level: nested, a centre covers rows within the level's radius."""
     n = len(x)
-    d = _distances(x, x)
+    single = x.astype(np.float32)
+    product = single @ single.copy().T  # of one array and itself numpy makes a triangle and copies it value by value
     path = np.empty((len(RADII), n), np.int32)
-    above = np.zeros(n, np.int32)
+    above, busy = np.zeros(n, np.int32), np.arange(n)
+    np.fill_diagonal(product, -1.0)
     for level, radius in enumerate(RADII):
-        path[level] = -1
-        for i in range(n):
-            if path[level, i] < 0:
-                own = (path[level] < 0) & (d[i] <= radius) & (above == above[i])
+        path[level] = np.arange(n)  # a row that is near no other one is its own centre
+        least = 1.0 - radius * radius / 2.0 + 1e-6  # never farther than the radius, for all the rounding
+        busy = busy[product[busy].max(1) >= least] if level else np.flatnonzero(product.max(1) >= least)
+        free = np.zeros(n, bool)
+        free[busy] = True
+        for i in busy:
+            if free[i]:
+                own = free & (product[i] >= least) & (above == above[i])
                 path[level, own] = i
-                path[level, i] = i
+                free[own] = free[i] = False
         above = path[level]
     return path
 
 
-def _levels(x: np.ndarray, path: np.ndarray):
-    """For each level: centres' rows, covering radii, parent's position in the level above; rows are the last level."""
-    out, parent_at = [], np.zeros(len(x), np.int64)
-    for centres in path:
-        rows, at = np.unique(centres, return_inverse=True)
-        reach = np.sqrt(np.maximum(2.0 - 2.0 * np.einsum("ij,ij->i", x, x[centres]), 0.0))
-        radius = np.zeros(len(rows))
-        np.maximum.at(radius, at, reach)
-        out.append((rows, radius, parent_at[rows]))
-        parent_at = at
-    out.append((np.arange(len(x)), np.zeros(len(x)), parent_at))
-    return out
+class _Tree:
+    """A block's rows with the levels of its cover tree; the rows are the last level. A level is made when it is asked for."""
+
+    def __init__(self, x: np.ndarray, path: np.ndarray, axes: np.ndarray, limit: float):
+        self.x, self.on, self.limit = x, x @ axes, limit
+        self.path = [*path, np.arange(len(x))]
+        self.sizes = [int((centres == self.path[-1]).sum()) for centres in self.path]
+        self.made: dict[int, tuple] = {}
+
+    def level(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The nodes' rows, each row's node, and the nodes as left and right side of the screen: their places on the axes and what
+        makes a product of both sides non-negative if two nodes are within the limit and both covering radii, half of
+        (limit + r + s) ** 2 less half of the squared distance."""
+        if k not in self.made:
+            nodes, at = np.unique(self.path[k], return_inverse=True) if self.sizes[k] < len(self.x) else (self.path[-1], self.path[-1])
+            radius = np.zeros(len(nodes))
+            if len(nodes) < len(self.x):
+                cosines = np.einsum("ij,ij->i", self.x, self.x[self.path[k]])
+                np.maximum.at(radius, at, np.sqrt(np.maximum(2.0 - 2.0 * cosines, 0.0)))
+            on, one = self.on[nodes], np.ones(len(nodes))
+            own = self.limit**2 / 4.0 + radius**2 / 2.0 + self.limit * radius - (on * on).sum(1) / 2.0 + MARGIN / 2.0 * (on.shape[1] + 3)
+            self.made[k] = nodes, at, *(np.column_stack([on, radius, *ends]).astype(np.float32) for ends in ((own, one), (one, own)))
+        return self.made[k]
+
+
+def _descents(x: _Tree, y: _Tree) -> list[int]:
+    """Levels worth a stop on the way to the rows: where the pairs of nodes are a quarter of the next stop's at most."""
+    stops = [len(x.sizes) - 1]
+    for level in reversed(range(stops[0])):
+        if 4 * x.sizes[level] * y.sizes[level] <= x.sizes[stops[0]] * y.sizes[stops[0]]:
+            stops.insert(0, level)
+    return stops
+
+
+def _traverse(x: _Tree, y: _Tree, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows of x, rows of y) with at least this cosine, some at a time."""
+    stops = _descents(x, y)
+    i, j, alive = np.arange(x.sizes[stops[0]]), np.arange(y.sizes[stops[0]]), None
+    space = np.empty(AT_ONCE, np.float32)
+    for stop, below in zip(stops, [*stops[1:], None]):
+        left, right = x.level(stop)[2][i], y.level(stop)[3][j]
+        keep = None if below is None else np.zeros((len(i), len(j)), bool)
+        found, n = [], 0
+        for r in range(0, len(i), AT_ONCE[0]):
+            for c in range(0, len(j), AT_ONCE[1]):
+                part = slice(r, r + AT_ONCE[0]), slice(c, c + AT_ONCE[1])
+                product = np.matmul(left[part[0]], right[part[1]].T, out=space if r + AT_ONCE[0] <= len(i) and c + AT_ONCE[1] <= len(j) else None)
+                if product.max() < 0.0:
+                    continue
+                hit = product >= 0.0
+                if alive is not None:
+                    hit &= alive[part]
+                if keep is not None:
+                    keep[part] = hit
+                    continue
+                at = np.flatnonzero(hit)
+                a, b = i[part[0]][at // hit.shape[1]], j[part[1]][at % hit.shape[1]]
+                if 16 * len(at) > hit.size:
+                    whole = x.x[i[part[0]]] @ y.x[j[part[1]]].T
+                    near = whole.ravel()[at] >= cosine
+                else:
+                    near = np.einsum("ij,ij->i", x.x[a], y.x[b]) >= cosine
+                found.append((a[near], b[near]))
+                n += len(found[-1][0])
+                if n >= PAIRS:
+                    yield tuple(map(np.concatenate, zip(*found)))
+                    found, n = [], 0
+        if below is None:
+            if n:
+                yield tuple(map(np.concatenate, zip(*found)))
+            return
+        up, down = [], []
+        for tree, at, some, own in ((x, i, keep.any(1), up), (y, j, keep.any(0), down)):
+            place = np.full(tree.sizes[stop], -1)
+            place[at[some]] = np.flatnonzero(some)
+            place = place[tree.level(stop)[1][tree.level(below)[0]]]  # of each lower node's ancestor
+            own += [np.flatnonzero(place >= 0), place[place >= 0]]
+        (i, above), (j, beside) = up, down
+        if not len(i):
+            return
+        alive = keep[above][:, beside]  # children of the node pairs that are left
 
 
 def dual_traversal(x: np.ndarray, px: np.ndarray, y: np.ndarray, py: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
     """All (row of x, row of y) with at least this cosine."""
-    limit = math.sqrt(2.0 - 2.0 * cosine) + 1e-7
-    alive = np.ones((1, 1), bool)
-    levels = list(zip(_levels(x, px), _levels(y, py)))
-    for depth, ((rx, cx, ux), (ry, cy, uy)) in enumerate(levels):
-        alive = alive[ux][:, uy]  # children of the node pairs that are left
-        i, j = np.flatnonzero(alive.any(1)), np.flatnonzero(alive.any(0))
-        if not len(i):
-            return np.empty(0, np.int64), np.empty(0, np.int64)
-        keep = np.zeros_like(alive)
-        for at in range(0, len(i), 1024):
-            rows = i[at : at + 1024]
-            product = x[rx[rows]] @ y[ry[j]].T
-            if depth == len(levels) - 1:
-                keep[np.ix_(rows, j)] = product >= cosine
-            else:
-                keep[np.ix_(rows, j)] = np.sqrt(np.maximum(2.0 - 2.0 * product, 0.0)) <= limit + cx[rows][:, None] + cy[j]
-        alive &= keep
-    return np.nonzero(alive)
+    axes, limit = _axes(x, cosine), _limit(cosine)
+    found = list(_traverse(_Tree(x, px, axes, limit), _Tree(y, py, axes, limit), cosine))
+    return tuple(map(np.concatenate, zip(*found))) if found else (np.empty(0, np.int64), np.empty(0, np.int64))
 
 
 def _connected(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -144,106 +253,181 @@ def _connected(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _nearest(dim: int, centres: np.ndarray):
-    def nearest(unit: pd.Series) -> pd.Series:
-        return pd.Series((_matrix(unit, dim) @ centres.T).argmax(1).astype(np.int32))
+def _dealt(dim: int, centres: np.ndarray, starts: np.ndarray | None = None):
+    """The pivot of a vector or, with each pivot's first block (and the end of the last one), its block."""
 
-    return F.pandas_udf(nearest, "int")
+    def deal(vector: pd.Series, number: pd.Series) -> pd.Series:
+        pivot = (_units(_matrix(vector, dim)) @ centres.T).argmax(1)
+        if starts is None:
+            return pd.Series(pivot.astype(np.int32))
+        return pd.Series((starts[pivot] + number.to_numpy() % (starts[pivot + 1] - starts[pivot])).astype(np.int32))
 
+    return F.pandas_udf(deal, "int")("vector", F.xxhash64("rep"))
 
-def _tree(frame: pd.DataFrame) -> pd.DataFrame:
-    frame = frame.sort_values("rep")
-    path = cover_tree(_matrix(frame["unit"], int(frame["dim"].iloc[0])))
-    return frame[["dim", "block", "rep", "n", "unit"]].assign(path=list(np.ascontiguousarray(path.T)))
 
+BLOCK = "dim int, strip int, block int, n_rows int, reps binary, counts binary, vectors binary, path binary, centre binary, radius double"
 
-def blocks(reps: DataFrame) -> DataFrame:
-    """``dim, block, rep, n, unit, path``: representatives dealt to blocks, each with a cover tree."""
-    sizes = {r["dim"]: r["rows"] for r in reps.groupBy("dim").agg(F.count(F.lit(1)).alias("rows")).collect()}
-    out = None
-    for dim, rows in sizes.items():
-        block = max(1, BLOCK_VALUES // dim)
-        own = reps.where(F.col("dim") == dim)
-        centres = _pivots(own, rows, block)
-        own = stored(own.withColumn("pivot", _nearest(dim, centres)("unit")), "pivots")
-        many = {r["pivot"]: max(1, math.ceil(r["n"] / block)) for r in own.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect()}
-        first, starts = 0, {}
-        for pivot in sorted(many):
-            starts[pivot] = (first, many[pivot])
-            first += many[pivot]
-        dealt = F
-        for pivot, (at, n) in starts.items():
-            dealt = dealt.when(F.col("pivot") == pivot, at + F.pmod(F.xxhash64("rep"), F.lit(n)))
-        own = own.withColumn("block", dealt.cast("int"))
-        part = own.groupBy("block").applyInPandas(_tree, "dim int, block int, rep long, n long, unit binary, path array<int>")
-        out = part if out is None else out.unionByName(part)
-    return out
 
+def _tree(table: pa.Table) -> pa.Table:
+    table = table.sort_by("rep")
+    dim, strip, block = (table.column(c)[0].as_py() for c in ("dim", "strip", "block"))
+    vectors = table.column("vector").to_pylist()
+    x = _units(_matrix(vectors, dim))
+    path = cover_tree(x)
+    middle = x.mean(0)
+    norm = np.linalg.norm(middle)
+    centre = middle / norm if norm > 0 else x[0]
+    radius = float(_distances(x, centre[None]).max())
+    numbers = [table.column(c).to_numpy().astype(np.int64).tobytes() for c in ("rep", "n")]
+    row = [dim, strip, block, len(x), *numbers, b"".join(vectors), path.astype(np.int16).tobytes(), centre.tobytes(), radius]
+    kinds = [pa.int32()] * 4 + [pa.binary()] * 5 + [pa.float64()]
+    return pa.table([pa.array([v], kind) for v, kind in zip(row, kinds)], names=[c.split()[0] for c in BLOCK.split(", ")])
 
-def _block_pairs(treed: DataFrame, cosine: float) -> DataFrame:
-    """``dim, block, i, j``: the cells a block takes part in. Pairs too far apart for their covering radii are left out."""
 
-    def summary(frame: pd.DataFrame) -> pd.DataFrame:
-        dim = int(frame["dim"].iloc[0])
-        x = _matrix(frame["unit"], dim)
-        middle = x.mean(0)
-        norm = np.linalg.norm(middle)
-        centre = middle / norm if norm > 0 else x[0]
-        return pd.DataFrame({"dim": [dim], "block": [int(frame["block"].iloc[0])], "centre": [centre.tobytes()],
-                             "radius": [float(_distances(x, centre[None]).max())]})
-
-    nodes = stored(treed.select("dim", "block", "unit").groupBy("dim", "block").applyInPandas(
-        summary, "dim int, block int, centre binary, radius double"), "nodes")
-    limit = math.sqrt(2.0 - 2.0 * cosine) + 1e-7
-
-    def near(ci: pd.Series, ri: pd.Series, cj: pd.Series, rj: pd.Series) -> pd.Series:
-        d = [np.linalg.norm(np.frombuffer(a) - np.frombuffer(b)) for a, b in zip(ci, cj)]
-        return pd.Series(np.array(d) <= limit + ri.to_numpy() + rj.to_numpy())
+def blocks(reps: DataFrame, cosine: float) -> tuple[DataFrame | None, dict[int, np.ndarray], int]:
+    """Representatives dealt to blocks, each a row with a cover tree; the axes of the screen for each length; the number of values."""
+    sizes = {r["dim"]: r["rows"] for r in reps.groupBy("dim").agg(F.count(F.lit(1)).alias("rows")).collect()}
+    out, axes, first_block, first_strip = None, {}, 0, 0
+    for dim, rows in sorted(sizes.items()):
+        size = min(BLOCK_ROWS, max(1, BLOCK_VALUES // dim))
+        own = reps.where(F.col("dim") == dim)
+        sample = _units(_matrix([r["vector"] for r in own.orderBy("digest").select("vector").limit(SAMPLE).collect()], dim))
+        centres, axes[dim] = _pivots(sample, rows, size), _axes(sample, cosine)
+        many = np.zeros(len(centres), np.int64)
+        for r in own.select(_dealt(dim, centres).alias("pivot")).groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect():
+            many[r["pivot"]] = r["n"]
+        starts = np.concatenate([[0], np.cumsum(np.maximum(1, -(-many // size)))]) + first_block
+        n = int(starts[-1]) - first_block
+        wide = min(STRIP_BLOCKS, -(-n // STRIPS))
+        strip = (first_strip + F.floor((F.col("block") - first_block) / wide)).cast("int").alias("strip")
+        own = own.withColumn("block", _dealt(dim, centres, starts)).select("dim", strip, "block", "rep", "n", "vector")
+        part = own.groupBy("block").applyInArrow(_tree, BLOCK)
+        out = part if out is None else out.unionByName(part)
+        first_block, first_strip = int(starts[-1]), first_strip + -(-n // wide)
+    return out, axes, sum(dim * rows for dim, rows in sizes.items())
+
+
+def _strip_pairs(treed: DataFrame, cosine: float) -> list[tuple[int, int, int, int]]:
+    """``(i, j, values of i, values of j)`` for the strips that can have links. Those too far apart for their covering radii are left out."""
+
+    def summary(table: pa.Table) -> pa.Table:
+        own = [table.column(c) for c in ("dim", "strip", "n_rows")]
+        centres = np.stack([np.frombuffer(c) for c in table.column("centre").to_pylist()])
+        centre = centres.mean(0)
+        radius = (np.linalg.norm(centres - centre, axis=1) + table.column("radius").to_numpy()).max()
+        dim = own[0][0].as_py()
+        return pa.table([pa.array([dim], pa.int32()), pa.array([own[1][0].as_py()], pa.int32()), pa.array([dim * pc.sum(own[2]).as_py()], pa.int64()),
+                         pa.array([centre.tobytes()], pa.binary()), pa.array([float(radius)], pa.float64())], names=["dim", "strip", "amount", "centre", "radius"])
+
+    nodes = treed.select("dim", "strip", "n_rows", "centre", "radius").groupBy("strip").applyInArrow(
+        summary, "dim int, strip int, amount long, centre binary, radius double").collect()
+    found = []
+    for dim in sorted({r["dim"] for r in nodes}):
+        own = sorted((r for r in nodes if r["dim"] == dim), key=lambda r: r["strip"])
+        centres, radii = np.stack([np.frombuffer(r["centre"]) for r in own]), np.array([r["radius"] for r in own])
+        for k, r in enumerate(own):
+            near = np.linalg.norm(centres[k:] - centres[k], axis=1) <= _limit(cosine) + radii[k:] + radii[k]
+            found += [(r["strip"], own[k + m]["strip"], r["amount"], own[k + m]["amount"]) for m in np.flatnonzero(near | (np.arange(len(near)) == 0))]
+    return found
+
+
+def _rounds(pairs: list[tuple[int, int, int, int]], most: int) -> Iterator[list[tuple[int, int]]]:
+    """Strip pairs, the largest first, in rounds that copy so many values at most."""
+    own, volume = [], 0
+    for i, j, a, b in sorted(pairs, key=lambda p: -p[2] * p[3]):
+        more = a if i == j else a + b
+        if own and volume + more > most:
+            yield own
+            own, volume = [], 0
+        own.append((i, j))
+        volume += more
+    if own:
+        yield own
+
+
+def _cell(rows: list[dict], axes: dict[int, np.ndarray], cosine: float) -> pa.RecordBatch:
+    """``rep, links, other`` of the blocks of two strips: those with links, their number and a spanning set of them."""
+    limit = _limit(cosine)
+    rows.sort(key=lambda r: r["block"])
+    reps, counts = (np.concatenate([np.frombuffer(r[c], np.int64) for r in rows]) for c in ("reps", "counts"))
+    first = np.cumsum([0] + [r["n_rows"] for r in rows])
+    trees = [_Tree(_units(_matrix([r["vectors"]], r["n_rows"] * r["dim"]).reshape(-1, r["dim"])),
+                   np.frombuffer(r["path"], np.int16).reshape(len(RADII), -1), axes[r["dim"]], limit) for r in rows]
+    centres, radii = np.stack([np.frombuffer(r["centre"]) for r in rows]), np.array([r["radius"] for r in rows])
+    strips = np.array([r["strip"] for r in rows])
+    lower, upper = np.flatnonzero(strips == strips.min()), np.flatnonzero(strips == strips.max())
+    links, label = np.zeros(len(reps), np.int64), np.arange(len(reps))
+    waiting, n = [], 0
+
+    def joined() -> np.ndarray:
+        a, b = (label[np.concatenate(side)] for side in zip(*waiting))
+        apart = a != b
+        return _connected(len(label), a[apart], b[apart])[label] if apart.any() else label
+
+    for p in lower:
+        near = np.linalg.norm(centres[upper] - centres[p], axis=1) <= limit + radii[upper] + radii[p]
+        for q in upper[(near & (upper >= p)) | (upper == p)]:
+            for a, b in _traverse(trees[p], trees[q], cosine):
+                a, b = a + first[p], b + first[q]
+                if p == q:
+                    a, b = a[a != b], b[a != b]
+                links += np.bincount(a, counts[b], len(links)).astype(np.int64)
+                if p != q:
+                    links += np.bincount(b, counts[a], len(links)).astype(np.int64)
+                waiting.append((a, b))
+                n += len(a)
+                if n >= PAIRS:
+                    label, waiting, n = joined(), [], 0
+    if n:
+        label = joined()
+    hit = np.flatnonzero(links > 0)
+    return pa.RecordBatch.from_arrays([pa.array(reps[hit]), pa.array(links[hit]), pa.array(reps[label[hit]])], ["rep", "links", "other"])
+
+
+def _links(treed: DataFrame, axes: dict[int, np.ndarray], values: int, cosine: float) -> DataFrame:
+    """``rep, links, other`` of every cell, round by round: a round's copies of the blocks are given up with it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells: dict[int, list[dict]] = {}
+        for batch in batches:
+            for row in batch.to_pylist():
+                cells.setdefault(row["cell"], []).append(row)
+        while cells:
+            yield _cell(cells.pop(next(iter(cells))), axes, cosine)
+        give_back()
 
-    left = nodes.select("dim", F.col("block").alias("i"), F.col("centre").alias("ci"), F.col("radius").alias("ri"))
-    right = nodes.select("dim", F.col("block").alias("j"), F.col("centre").alias("cj"), F.col("radius").alias("rj"))
-    pairs = left.join(right, "dim").where("i <= j").where(F.pandas_udf(near, "boolean")("ci", "ri", "cj", "rj"))
-    pairs = pairs.select("dim", "i", "j")
-    return pairs.select("dim", F.col("i").alias("block"), "i", "j").union(
-        pairs.where("i <> j").select("dim", F.col("j").alias("block"), "i", "j"))
+    out = None
+    for pairs in _rounds(_strip_pairs(treed, cosine), max(2 * values, ROUND_VALUES)):
+        sent = [(strip, cell) for cell, pair in enumerate(pairs) for strip in sorted(set(pair))]
+        copies = treed.join(treed.sparkSession.createDataFrame(sent, "strip int, cell int"), "strip").repartitionById(len(pairs), "cell")
+        found = stored(copies.mapInArrow(run, "rep long, links long, other long"), "links", arrow_rows=8)
+        out = found if out is None else out.unionByName(found)
+    return out
 
 
 def near_duplicates(vectors: DataFrame, cosine: float = COSINE) -> DataFrame:
     """One row per row of ``vectors``: ``vec_id, n_links, component_id, kept``."""
     units = stored(unit_vectors(vectors), "units")
-    valid = units.where("digest is not null")
-    reps = valid.groupBy("digest").agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("dim").alias("dim"),
-                                       F.first("unit").alias("unit"))
+    reps = units.where("digest is not null").groupBy("digest").agg(
+        F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("n"), F.first("dim").alias("dim"), F.first("vector").alias("vector"))
     reps = stored(reps.withColumn("rep", F.monotonically_increasing_id()), "reps")
-    grown = blocks(reps.select("digest", "rep", "n", "dim", "unit"))
+    slim = stored(units.select("vec_id", "digest"), "digests")  # vectors lie on disk for the next step only
+    forget(units)
+    grown, axes, values = blocks(reps.select("digest", "rep", "n", "dim", "vector"), cosine)
     if grown is None:
-        return units.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
+        return slim.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), F.lit(True).alias("kept"))
     treed = stored(grown, "trees")
-
-    def cell(frame: pd.DataFrame) -> pd.DataFrame:
-        dim, (i, j) = int(frame["dim"].iloc[0]), frame[["i", "j"]].iloc[0]
-        frame = frame.sort_values(["block", "rep"], ignore_index=True)
-        split = int((frame["block"] == i).sum())
-        x, rep, n = _matrix(frame["unit"], dim), frame["rep"].to_numpy(), frame["n"].to_numpy()
-        path = np.array(frame["path"].tolist(), np.int32).T
-        own, other = slice(0, split), slice(0 if i == j else split, len(frame))
-        a, b = dual_traversal(x[own], path[:, own], x[other], path[:, other], cosine)
-        b = b + other.start
-        a, b = a[a != b], b[a != b]
-        links = np.bincount(a, n[b], len(frame)) + (0 if i == j else np.bincount(b, n[a], len(frame)))
-        label = _connected(len(frame), a, b)
-        hit = np.flatnonzero(links > 0)
-        return pd.DataFrame({"rep": rep[hit], "links": links[hit].astype(np.int64), "other": rep[label[hit]]})
-
-    rows = treed.join(_block_pairs(treed, cosine), ["dim", "block"])
-    found = stored(rows.groupBy("dim", "i", "j").applyInPandas(cell, "rep long, links long, other long"), "links")
+    named = stored(reps.select("digest", "rep", "least", "n"), "names")
+    forget(reps)
+    found = _links(treed, axes, values, cosine)
+    forget(treed)
     labels = components(found.select(F.col("rep").alias("a"), F.col("other").alias("b"))).withColumnRenamed("node", "rep")
     degree = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    named = reps.select("digest", "rep", "least", "n").join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    named = named.join(labels, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
     named = named.join(smallest, "component").join(degree, "rep", "left").select(
         "digest", "component_id", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"))
-    out = units.select("vec_id", "digest").join(named, "digest", "left")
+    out = slim.join(named, "digest", "left")
     component = F.coalesce("component_id", "vec_id")
     return out.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
                       F.col("vec_id").eqNullSafe(component).alias("kept"))

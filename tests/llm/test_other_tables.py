@@ -5,6 +5,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 
 import numpy as np
 import pytest
@@ -74,6 +75,79 @@ def test_dual_traversal_over_several_levels():
         assert (np.linalg.norm(x - x[path[level]], axis=1) <= radius + 1e-9).all()
 
 
+def test_vectors_over_many_blocks_strips_and_rounds(spark, monkeypatch):
+    monkeypatch.setattr(covertree, "BLOCK_VALUES", 16 * 24)  # 16 rows of 24 values
+    monkeypatch.setattr(covertree, "STRIP_BLOCKS", 2)
+    monkeypatch.setattr(covertree, "ROUND_VALUES", 1)
+    rng = np.random.default_rng(21)
+    loose, tight, other = rng.normal(size=(260, 24)), rng.normal(size=24) + rng.normal(scale=0.12, size=(90, 24)), rng.normal(size=(70, 9))
+    loose[200:] = loose[:60] + rng.normal(scale=0.3, size=(60, 24))
+    other[40:] = other[:30] + rng.normal(scale=0.2, size=(30, 9))
+    rows = [v.astype(np.float32).tolist() for part in (loose, tight, other) for v in part]
+    rows += [rows[3], rows[270], [2 * v for v in rows[270]]]
+    edges, n = set(), len(rows)
+    unit = [np.array(v) / np.linalg.norm(v) for v in rows]
+    for i in range(n):
+        edges |= {(i, j) for j in range(n) if i != j and len(unit[i]) == len(unit[j]) and unit[i] @ unit[j] >= 0.95}
+    least = list(range(n))
+    for _ in range(n):
+        for i, j in edges:
+            least[i] = min(least[i], least[j])
+    want = {i: (sum(a == i for a, _ in edges), least[i], least[i] == i) for i in range(n)}
+    kept = []
+    monkeypatch.setattr(covertree, "stored", lambda df, name, *a, f=covertree.stored, **b: kept.append(name) or f(df, name, *a, **b))
+    for kind in ("float", "double"):
+        kept.clear()
+        found = covertree.near_duplicates(spark.createDataFrame(list(enumerate(rows)), f"vec_id long, embedding array<{kind}>")).collect()
+        assert {r["vec_id"]: (r["n_links"], r["component_id"], r["kept"]) for r in found} == want and len(found) == n
+        assert kept.count("links") > 3  # rounds
+
+
+def test_unclustered_vectors_cost_less_than_one_whole_product():
+    rng = np.random.default_rng(22)
+    x, y = (v / np.linalg.norm(v, axis=1)[:, None] for v in rng.normal(size=(2, 4096, 64)))
+    y[:5] = x[:5]
+    px, py = covertree.cover_tree(x), covertree.cover_tree(y)
+    took = {"traversal": [], "product": []}
+    for _ in range(5):
+        for name, run in (("traversal", lambda: covertree.dual_traversal(x, px, y, py, 0.95)), ("product", lambda: np.nonzero(x @ y.T >= 0.95))):
+            began = time.perf_counter()
+            found = run()
+            took[name].append(time.perf_counter() - began)
+            assert sorted(zip(*found)) == [(i, i) for i in range(5)]
+    assert min(took["traversal"]) < min(took["product"])
+
+
+def test_screen_loses_no_pair():
+    rng = np.random.default_rng(23)
+    near = rng.normal(size=(40, 400))[rng.integers(0, 40, 700)] + rng.normal(size=(700, 400)) * rng.choice([0.01, 0.1, 0.2, 0.25, 1.0], size=(700, 1))
+    for x in (near, near[:, :3], rng.normal(size=(3000, 2)), np.ones((1, 5)), np.eye(6), -np.eye(6)[[0, 0, 3]]):
+        x = x / np.linalg.norm(x, axis=1)[:, None]
+        for cosine in (0.95, 0.999, 0.3, -0.2):
+            a, b = covertree.dual_traversal(x, covertree.cover_tree(x), x[::2], covertree.cover_tree(x[::2]), cosine)
+            product = x @ x[::2].T
+            sure = product >= cosine + 1e-9
+            got = np.zeros(product.shape, int)
+            np.add.at(got, (a, b), 1)
+            assert (got[sure] == 1).all() and got[product < cosine - 1e-9].sum() == 0
+
+
+def test_blocks_of_short_vectors_are_bounded(spark):
+    rng = np.random.default_rng(24)
+    units = covertree.unit_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(9000, 2)))], "vec_id long, embedding array<double>"))
+    reps = units.selectExpr("digest", "vec_id as rep", "1L as n", "dim", "vector")
+    treed = covertree.blocks(reps, 0.95)[0].collect()
+    assert sum(r["n_rows"] for r in treed) == 9000 and max(r["n_rows"] for r in treed) < 1.2 * covertree.BLOCK_ROWS
+
+
+def test_rounds_copy_a_bounded_volume_and_every_pair_once():
+    amounts = [5, 9, 2, 7, 7, 1, 3]
+    pairs = [(i, j, amounts[i], amounts[j]) for i in range(7) for j in range(i, 7)]
+    rounds = list(covertree._rounds(pairs, 20))
+    assert sorted(p for r in rounds for p in r) == sorted((i, j) for i, j, *_ in pairs)
+    assert all(sum(amounts[k] for p in r for k in set(p)) <= 20 for r in rounds)
+
+
 def test_warc(spark, tmp_path):
     rows = [(3, "http://a/ü\r\nx", "<p>é</p>"), (1, None, "<p>é</p>"), (2, "u", None), (4, "u", ""), (5, "u", "WARC/1.1\r\n\r\nx"), (None, "u", "only"),
             (6, "u", "y" * 300_000), (7, "u", "z"), (7, "u", "z"), (8, "u", "z")]
