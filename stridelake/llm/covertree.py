@@ -1,15 +1,17 @@
 """Embedding near-duplicates: cover trees and a dual traversal that yields exactly the pairs above a cosine.
 
 For unit vectors a cosine of c is a distance of sqrt(2 - 2c), a metric. Equal vectors are one representative. The rows are
-first dealt to the nearest of a few pivots (fitted on a bounded sample) and, within a pivot, to blocks of a bounded
-number of values; a large pivot gives many blocks. Each block gets a cover tree: nested centres at halving radii, every
-row below the first centre that covers it. Block pairs are the upper level of the traversal: a pair whose centres are
+first dealt to the nearest of many pivots (a bounded sample, neighbours side by side); blocks of a bounded
+number of values hold some pivots' rows each, a large pivot gives many blocks. Each block gets a cover tree: nested centres at halving
+radii, every row below the first centre that covers it. Block pairs are the upper level of the traversal: a pair whose centres are
 farther apart than both covering radii and the threshold is never formed. From a block pair the traversal goes
 down level by level on both sides with the same bound, from the covering radii as measured, and compares the rows that
 remain; levels that hardly merge anything are passed over. No bound is estimated, so the pairs are exact.
 
-Most pairs fall to a screen: the distance on the principal axes of the sample, which is never larger than the whole
-distance, in single precision with a margin for its rounding. What it leaves is compared on whole vectors in double precision.
+Most pairs fall to two screens in single precision, with margins for its rounding. The rows of a pivot lie within an angle
+around their mean direction; a row farther from it than that angle and the threshold's is near none of them. What is left is
+compared on the principal axes of the sample, where a distance is never larger than the whole one, and then on whole vectors, in
+double precision wherever single precision does not settle it.
 
 A stored block is one row. Neighbouring blocks are a strip, two strips are a task's cell, and cells are dealt out
 in rounds that copy a bounded volume, so the disk holds a few copies of the vectors however many cells there are.
@@ -39,12 +41,15 @@ from stridelake.llm.common import forget, give_back, stored
 from stridelake.llm.graph import components
 
 COSINE = 0.95
-#: Values in a block; pivots at most, and rows of the sample they are fitted on; radii of the levels.
+#: Values in a block; pivots that the others are sorted by, and rows of the sample at least; radii of the levels.
 BLOCK_VALUES, PIVOTS, SAMPLE = 1 << 18, 64, 2048
 RADII = (1.0, 0.5, 0.25, 0.125)
 #: Rows in a block and blocks in a strip at most; strips that a smaller table is cut to; values that a round of cells copies,
 #: or twice the table.
-BLOCK_ROWS, STRIP_BLOCKS, STRIPS, ROUND_VALUES = 1 << 12, 16, 6, 1 << 26
+BLOCK_ROWS, STRIP_BLOCKS, STRIPS, ROUND_VALUES = 1 << 12, 32, 8, 1 << 26
+#: Rows for each pivot, values of all pivots at most; rows in a run, what is screened by one direction; steps to find it, and
+#: how fast far rows gain weight in them.
+PIVOT_ROWS, PIVOT_VALUES, RUN_ROWS, CAP_STEPS, CAP_GAIN = 128, 1 << 20, 192, 5, 10.0
 #: Axes of the screen: the fewest that leave this share of the sample's far pairs; rows of the sample that they
 #: are fitted on, and tried on.
 AXES, LEFT_OVER, PAIRED = (16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512), 1e-5, 512
@@ -100,14 +105,26 @@ def unit_vectors(vectors: DataFrame) -> DataFrame:
     return slim.mapInArrow(run, "vec_id long, digest binary, dim int, vector binary")
 
 
-def _pivots(x: np.ndarray, rows: int, block: int) -> np.ndarray:
-    """Farthest-first centres of a sample, one for each block of rows up to ``PIVOTS``."""
-    n = min(PIVOTS, len(x), max(1, math.ceil(rows / block)))
+def _pivots(x: np.ndarray, rows: int) -> np.ndarray:
+    """A pivot of the sample for each ``PIVOT_ROWS`` rows, sorted by the nearest of ``PIVOTS`` farthest-first ones."""
+    x = x[: min(-(-rows // PIVOT_ROWS), max(1, PIVOT_VALUES // x.shape[1]))]
     chosen, far = [0], _distances(x, x[:1])[:, 0]
-    while len(chosen) < n:
+    while len(chosen) < min(PIVOTS, len(x)):
         chosen.append(int(far.argmax()))
         far = np.minimum(far, _distances(x, x[chosen[-1:]])[:, 0])
-    return x[chosen]
+    return x[np.argsort((x @ x[chosen].T).argmax(1), kind="stable")]
+
+
+def _packed(many: np.ndarray, size: int, first: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """For each pivot its first block and the number of its blocks, of its rows; the end of the blocks."""
+    start, parts = np.zeros(len(many), np.int64), np.maximum(1, -(-many // size))
+    block, filled = first, 0
+    for k, rows in enumerate(many):
+        if filled and filled + rows > size:
+            block, filled = block + 1, 0
+        start[k] = block
+        block, filled = (block + parts[k], 0) if parts[k] > 1 else (block, filled + rows)
+    return start, parts, int(block) + 1
 
 
 def _axes(x: np.ndarray, cosine: float) -> np.ndarray:
@@ -149,26 +166,47 @@ def cover_tree(x: np.ndarray) -> np.ndarray:
     return path
 
 
+def _farthest(x: np.ndarray, runs: np.ndarray, directions: np.ndarray) -> np.ndarray:
+    """For each run the smallest cosine of a row to its direction."""
+    return np.minimum.reduceat(np.einsum("ij,ij->i", x, np.repeat(directions.astype(np.float64), np.diff([*runs, len(x)]), axis=0)), runs)
+
+
 class _Tree:
-    """A block's rows with the levels of its cover tree; the rows are the last level. A level is made when it is asked for."""
+    """A block's rows with the levels of its cover tree; the rows are the last level. A level is made when it is asked for.
 
-    def __init__(self, x: np.ndarray, path: np.ndarray, axes: np.ndarray, limit: float):
-        self.x, self.on, self.limit = x, x @ axes, limit
+    ``runs`` are the first rows of stretches of rows, with a direction each; ``least`` is the cosine to it that a row near one of
+    a run's rows has at least.
+    """
+
+    def __init__(self, rows: np.ndarray, path: np.ndarray, axes: np.ndarray, limit: float,
+                 runs: np.ndarray | None = None, directions: np.ndarray | None = None):
+        x = _units(rows)
+        self.rows, self.single, self.on, self.limit = rows, x.astype(np.float32), (x @ axes).astype(np.float32), limit
         self.path = [*path, np.arange(len(x))]
         self.sizes = [int((centres == self.path[-1]).sum()) for centres in self.path]
         self.made: dict[int, tuple] = {}
+        self.runs = None
+        if runs is not None:
+            sizes = np.diff([*runs, len(x)])
+            angle = np.arccos(np.clip(_farthest(x, runs, directions), -1.0, 1.0)) + 2.0 * math.asin(min(1.0, limit / 2.0))
+            self.runs, self.directions = list(zip(runs.tolist(), (runs + sizes).tolist())), directions
+            self.least = np.cos(np.minimum(angle, np.pi)) - MARGIN * (x.shape[1] + 3)
+
+    def exact(self, rows: np.ndarray) -> np.ndarray:
+        return _units(self.rows[rows])
 
     def level(self, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The nodes' rows, each row's node, and the nodes as left and right side of the screen: their places on the axes and what
         makes a product of both sides non-negative if two nodes are within the limit and both covering radii, half of
         (limit + r + s) ** 2 less half of the squared distance."""
         if k not in self.made:
-            nodes, at = np.unique(self.path[k], return_inverse=True) if self.sizes[k] < len(self.x) else (self.path[-1], self.path[-1])
+            nodes, at = np.unique(self.path[k], return_inverse=True) if self.sizes[k] < len(self.rows) else (self.path[-1], self.path[-1])
             radius = np.zeros(len(nodes))
-            if len(nodes) < len(self.x):
-                cosines = np.einsum("ij,ij->i", self.x, self.x[self.path[k]])
+            if len(nodes) < len(self.rows):
+                x = _units(self.rows)
+                cosines = np.einsum("ij,ij->i", x, x[self.path[k]])
                 np.maximum.at(radius, at, np.sqrt(np.maximum(2.0 - 2.0 * cosines, 0.0)))
-            on, one = self.on[nodes], np.ones(len(nodes))
+            on, one = self.on[nodes].astype(np.float64), np.ones(len(nodes))
             own = self.limit**2 / 4.0 + radius**2 / 2.0 + self.limit * radius - (on * on).sum(1) / 2.0 + MARGIN / 2.0 * (on.shape[1] + 3)
             self.made[k] = nodes, at, *(np.column_stack([on, radius, *ends]).astype(np.float32) for ends in ((own, one), (one, own)))
         return self.made[k]
@@ -183,39 +221,54 @@ def _descents(x: _Tree, y: _Tree) -> list[int]:
     return stops
 
 
+def _screened(x: _Tree, y: _Tree, left: int, right: int, by_run: bool) -> Iterator[tuple[slice, slice | np.ndarray]]:
+    """Stretches of the left and the right side to compare: everything, or what the directions of the left side's runs leave."""
+    if not by_run:
+        for r in range(0, left, AT_ONCE[0]):
+            for c in range(0, right, AT_ONCE[1]):
+                yield slice(r, min(left, r + AT_ONCE[0])), slice(c, min(right, c + AT_ONCE[1]))
+        return
+    for (r, end), near, least in zip(x.runs, x.directions @ y.single.T, x.least):
+        some = np.flatnonzero(near >= least)
+        for c in range(0, len(some), AT_ONCE[1]):
+            yield slice(r, end), some[c : c + AT_ONCE[1]]
+
+
 def _traverse(x: _Tree, y: _Tree, cosine: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(rows of x, rows of y) with at least this cosine, some at a time."""
     stops = _descents(x, y)
     i, j, alive = np.arange(x.sizes[stops[0]]), np.arange(y.sizes[stops[0]]), None
-    space = np.empty(AT_ONCE, np.float32)
+    space = np.empty(max(AT_ONCE[0], RUN_ROWS) * AT_ONCE[1], np.float32)
     for stop, below in zip(stops, [*stops[1:], None]):
-        left, right = x.level(stop)[2][i], y.level(stop)[3][j]
+        left, right = x.level(stop)[2].take(i, axis=0), y.level(stop)[3].take(j, axis=0)
         keep = None if below is None else np.zeros((len(i), len(j)), bool)
         found, n = [], 0
-        for r in range(0, len(i), AT_ONCE[0]):
-            for c in range(0, len(j), AT_ONCE[1]):
-                part = slice(r, r + AT_ONCE[0]), slice(c, c + AT_ONCE[1])
-                product = np.matmul(left[part[0]], right[part[1]].T, out=space if r + AT_ONCE[0] <= len(i) and c + AT_ONCE[1] <= len(j) else None)
-                if product.max() < 0.0:
-                    continue
-                hit = product >= 0.0
-                if alive is not None:
-                    hit &= alive[part]
-                if keep is not None:
-                    keep[part] = hit
-                    continue
-                at = np.flatnonzero(hit)
-                a, b = i[part[0]][at // hit.shape[1]], j[part[1]][at % hit.shape[1]]
-                if 16 * len(at) > hit.size:
-                    whole = x.x[i[part[0]]] @ y.x[j[part[1]]].T
-                    near = whole.ravel()[at] >= cosine
-                else:
-                    near = np.einsum("ij,ij->i", x.x[a], y.x[b]) >= cosine
-                found.append((a[near], b[near]))
-                n += len(found[-1][0])
-                if n >= PAIRS:
-                    yield tuple(map(np.concatenate, zip(*found)))
-                    found, n = [], 0
+        for part in _screened(x, y, len(i), len(j), x.runs is not None and alive is None and below is None):
+            some, others = left[part[0]], right[part[1]] if isinstance(part[1], slice) else right.take(part[1], axis=0)
+            product = np.matmul(some, others.T, out=space[: len(some) * len(others)].reshape(len(some), len(others)))
+            if product.max() < 0.0:
+                continue
+            hit = product >= 0.0
+            if alive is not None:
+                hit &= alive[part]
+            if keep is not None:
+                keep[part] = hit
+                continue
+            at = np.flatnonzero(hit)
+            own, other = i[part[0]], j[part[1]]
+            a, b = own[at // len(other)], other[at % len(other)]
+            if 16 * len(at) > hit.size:
+                value = (x.single[own] @ y.single[other].T).ravel()[at]
+            else:
+                value = np.einsum("ij,ij->i", x.single[a], y.single[b])
+            near = value >= cosine
+            unsure = np.flatnonzero(np.abs(value - cosine) <= MARGIN * (x.single.shape[1] + 3))
+            near[unsure] = np.einsum("ij,ij->i", x.exact(a[unsure]), y.exact(b[unsure])) >= cosine
+            found.append((a[near], b[near]))
+            n += len(found[-1][0])
+            if n >= PAIRS:
+                yield tuple(map(np.concatenate, zip(*found)))
+                found, n = [], 0
         if below is None:
             if n:
                 yield tuple(map(np.concatenate, zip(*found)))
@@ -253,34 +306,66 @@ def _connected(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         label = new
 
 
-def _dealt(dim: int, centres: np.ndarray, starts: np.ndarray | None = None):
-    """The pivot of a vector or, with each pivot's first block (and the end of the last one), its block."""
+def _dealt(dim: int, pivots: np.ndarray, start: np.ndarray | None = None, parts: np.ndarray | None = None):
+    """The pivot and, with each pivot's first block and number of blocks, the block of a vector."""
+    single = pivots.astype(np.float32)
+
+    def deal(vector: pd.Series, number: pd.Series) -> pd.DataFrame:
+        pivot = (_units(_matrix(vector, dim)).astype(np.float32) @ single.T).argmax(1)
+        block = pivot if start is None else start[pivot] + number.to_numpy() % parts[pivot]
+        return pd.DataFrame({"pivot": pivot.astype(np.int32), "block": block.astype(np.int32)})
+
+    return F.pandas_udf(deal, "pivot int, block int")("vector", F.xxhash64("rep"))
 
-    def deal(vector: pd.Series, number: pd.Series) -> pd.Series:
-        pivot = (_units(_matrix(vector, dim)) @ centres.T).argmax(1)
-        if starts is None:
-            return pd.Series(pivot.astype(np.int32))
-        return pd.Series((starts[pivot] + number.to_numpy() % (starts[pivot + 1] - starts[pivot])).astype(np.int32))
 
-    return F.pandas_udf(deal, "int")("vector", F.xxhash64("rep"))
+BLOCK = "dim int, strip int, block int, n_rows int, reps binary, counts binary, vectors binary, path binary, runs binary, centre binary, radius double, directions binary"
 
 
-BLOCK = "dim int, strip int, block int, n_rows int, reps binary, counts binary, vectors binary, path binary, centre binary, radius double"
+def _runs(x: np.ndarray, pivot: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the rows by pivot and angle to the pivot's mean direction, and the first rows of runs in it."""
+    _, at, sizes = np.unique(pivot, return_inverse=True, return_counts=True)
+    order = np.argsort(at, kind="stable")
+    first = np.cumsum(sizes) - sizes
+    middle = np.add.reduceat(x[order], first, axis=0)
+    order = np.lexsort((-np.einsum("ij,ij->i", x, middle[at]), at))
+    runs = -(-sizes // RUN_ROWS)
+    return order, np.concatenate([f + np.arange(n) * size // n for f, n, size in zip(first, runs, sizes)])
+
+
+def _directions(x: np.ndarray, runs: np.ndarray) -> np.ndarray:
+    """For each run a direction that its farthest row is near to: means in which the far rows gain weight, the best of a few."""
+    sizes = np.diff([*runs, len(x)])
+    weight, best, found = np.ones(len(x)), np.full(len(runs), -2.0), np.zeros((len(runs), x.shape[1]), np.float32)
+    for _ in range(CAP_STEPS + 1):
+        middle = np.add.reduceat(weight[:, None] * x, runs, axis=0)
+        middle /= np.maximum(np.linalg.norm(middle, axis=1), 1e-9)[:, None]
+        cosines = np.einsum("ij,ij->i", x, np.repeat(middle, sizes, axis=0))
+        least = np.minimum.reduceat(cosines, runs)
+        better = (least > best) & (np.abs(np.linalg.norm(middle, axis=1) - 1.0) < 1e-6)
+        best[better], found[better] = least[better], middle[better]
+        weight *= np.exp(-CAP_GAIN * (cosines - np.repeat(least, sizes)))
+        weight /= np.repeat(np.maximum.reduceat(weight, runs), sizes)
+    none = best < -1.5  # rows that cancel out
+    found[none] = x[runs[none]]
+    return found
 
 
 def _tree(table: pa.Table) -> pa.Table:
     table = table.sort_by("rep")
     dim, strip, block = (table.column(c)[0].as_py() for c in ("dim", "strip", "block"))
-    vectors = table.column("vector").to_pylist()
-    x = _units(_matrix(vectors, dim))
+    vectors = _matrix(table.column("vector").to_pylist(), dim)
+    order, runs = _runs(_units(vectors), table.column("pivot").to_numpy())
+    vectors = vectors[order]
+    x = _units(vectors)
     path = cover_tree(x)
     middle = x.mean(0)
     norm = np.linalg.norm(middle)
     centre = middle / norm if norm > 0 else x[0]
     radius = float(_distances(x, centre[None]).max())
-    numbers = [table.column(c).to_numpy().astype(np.int64).tobytes() for c in ("rep", "n")]
-    row = [dim, strip, block, len(x), *numbers, b"".join(vectors), path.astype(np.int16).tobytes(), centre.tobytes(), radius]
-    kinds = [pa.int32()] * 4 + [pa.binary()] * 5 + [pa.float64()]
+    numbers = [table.column(c).to_numpy().astype(np.int64)[order].tobytes() for c in ("rep", "n")]
+    row = [dim, strip, block, len(x), *numbers, vectors.tobytes(), path.astype(np.int16).tobytes(), runs.astype(np.int32).tobytes(), centre.tobytes(), radius,
+           _directions(x, runs).tobytes()]
+    kinds = [pa.int32()] * 4 + [pa.binary()] * 6 + [pa.float64(), pa.binary()]
     return pa.table([pa.array([v], kind) for v, kind in zip(row, kinds)], names=[c.split()[0] for c in BLOCK.split(", ")])
 
 
@@ -291,19 +376,22 @@ def blocks(reps: DataFrame, cosine: float) -> tuple[DataFrame | None, dict[int,
     for dim, rows in sorted(sizes.items()):
         size = min(BLOCK_ROWS, max(1, BLOCK_VALUES // dim))
         own = reps.where(F.col("dim") == dim)
-        sample = _units(_matrix([r["vector"] for r in own.orderBy("digest").select("vector").limit(SAMPLE).collect()], dim))
-        centres, axes[dim] = _pivots(sample, rows, size), _axes(sample, cosine)
-        many = np.zeros(len(centres), np.int64)
-        for r in own.select(_dealt(dim, centres).alias("pivot")).groupBy("pivot").agg(F.count(F.lit(1)).alias("n")).collect():
+        sampled = max(SAMPLE, min(-(-rows // PIVOT_ROWS), PIVOT_VALUES // dim))
+        # sorted are only about half as many rows again: every partition sends its smallest ones
+        few = F.pmod(F.xxhash64("digest"), F.lit(1 << 30)) < min(1 << 30, math.ceil(1.5 * sampled / rows * (1 << 30)))
+        sample = _units(_matrix([r["vector"] for r in own.where(few).orderBy("digest").select("vector").limit(sampled).collect()], dim))
+        pivots, axes[dim] = _pivots(sample, rows), _axes(sample, cosine)
+        many = np.zeros(len(pivots), np.int64)
+        for r in own.select(_dealt(dim, pivots).alias("to")).groupBy("to.pivot").agg(F.count(F.lit(1)).alias("n")).collect():
             many[r["pivot"]] = r["n"]
-        starts = np.concatenate([[0], np.cumsum(np.maximum(1, -(-many // size)))]) + first_block
-        n = int(starts[-1]) - first_block
-        wide = min(STRIP_BLOCKS, -(-n // STRIPS))
+        start, parts, end = _packed(many, size, first_block)
+        wide = min(STRIP_BLOCKS, -(-(end - first_block) // STRIPS))
         strip = (first_strip + F.floor((F.col("block") - first_block) / wide)).cast("int").alias("strip")
-        own = own.withColumn("block", _dealt(dim, centres, starts)).select("dim", strip, "block", "rep", "n", "vector")
+        own = own.withColumn("to", _dealt(dim, pivots, start, parts)).select("dim", "rep", "n", "vector", "to.pivot", "to.block")
+        own = own.select("*", strip)
         part = own.groupBy("block").applyInArrow(_tree, BLOCK)
         out = part if out is None else out.unionByName(part)
-        first_block, first_strip = int(starts[-1]), first_strip + -(-n // wide)
+        first_block, first_strip = end, first_strip + -(-(end - first_block) // wide)
     return out, axes, sum(dim * rows for dim, rows in sizes.items())
 
 
@@ -351,8 +439,8 @@ def _cell(rows: list[dict], axes: dict[int, np.ndarray], cosine: float) -> pa.Re
     rows.sort(key=lambda r: r["block"])
     reps, counts = (np.concatenate([np.frombuffer(r[c], np.int64) for r in rows]) for c in ("reps", "counts"))
     first = np.cumsum([0] + [r["n_rows"] for r in rows])
-    trees = [_Tree(_units(_matrix([r["vectors"]], r["n_rows"] * r["dim"]).reshape(-1, r["dim"])),
-                   np.frombuffer(r["path"], np.int16).reshape(len(RADII), -1), axes[r["dim"]], limit) for r in rows]
+    trees = [_Tree(_matrix([r["vectors"]], r["n_rows"] * r["dim"]).reshape(-1, r["dim"]), np.frombuffer(r["path"], np.int16).reshape(len(RADII), -1),
+                   axes[r["dim"]], limit, np.frombuffer(r["runs"], np.int32), np.frombuffer(r["directions"], np.float32).reshape(-1, r["dim"])) for r in rows]
     centres, radii = np.stack([np.frombuffer(r["centre"]) for r in rows]), np.array([r["radius"] for r in rows])
     strips = np.array([r["strip"] for r in rows])
     lower, upper = np.flatnonzero(strips == strips.min()), np.flatnonzero(strips == strips.max())
@@ -399,7 +487,9 @@ def _links(treed: DataFrame, axes: dict[int, np.ndarray], values: int, cosine: f
     out = None
     for pairs in _rounds(_strip_pairs(treed, cosine), max(2 * values, ROUND_VALUES)):
         sent = [(strip, cell) for cell, pair in enumerate(pairs) for strip in sorted(set(pair))]
-        copies = treed.join(treed.sparkSession.createDataFrame(sent, "strip int, cell int"), "strip").repartitionById(len(pairs), "cell")
+        # an Arrow table's size is known to the planner, so the blocks are not shuffled for the join as well
+        sent = pa.table([pa.array(column, pa.int32()) for column in zip(*sent)], names=["strip", "cell"])
+        copies = treed.join(treed.sparkSession.createDataFrame(sent), "strip").repartitionById(len(pairs), "cell")
         found = stored(copies.mapInArrow(run, "rep long, links long, other long"), "links", arrow_rows=8)
         out = found if out is None else out.unionByName(found)
     return out

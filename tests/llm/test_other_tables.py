@@ -78,6 +78,7 @@ def test_dual_traversal_over_several_levels():
 def test_vectors_over_many_blocks_strips_and_rounds(spark, monkeypatch):
     monkeypatch.setattr(covertree, "BLOCK_VALUES", 16 * 24)  # 16 rows of 24 values
     monkeypatch.setattr(covertree, "STRIP_BLOCKS", 2)
+    monkeypatch.setattr(covertree, "PIVOT_ROWS", 6)
     monkeypatch.setattr(covertree, "ROUND_VALUES", 1)
     rng = np.random.default_rng(21)
     loose, tight, other = rng.normal(size=(260, 24)), rng.normal(size=24) + rng.normal(scale=0.12, size=(90, 24)), rng.normal(size=(70, 9))
@@ -132,6 +133,37 @@ def test_screen_loses_no_pair():
             assert (got[sure] == 1).all() and got[product < cosine - 1e-9].sum() == 0
 
 
+def test_directions_of_runs_lose_no_pair():
+    rng = np.random.default_rng(25)
+    loose = rng.normal(size=(900, 32))
+    near = rng.normal(size=(30, 32))[rng.integers(0, 30, 900)] + rng.normal(size=(900, 32)) * rng.choice([0.05, 0.1, 0.15, 0.3], size=(900, 1))
+    opposite = np.repeat(np.eye(32)[:1], 900, axis=0) * rng.choice([-1.0, 1.0], size=(900, 1))
+    for x in (loose, near, opposite):
+        y = np.concatenate([x[::3], loose[:50], x[::7] + rng.normal(scale=0.04, size=(129, 32))])
+        order, runs = covertree._runs(covertree._units(x), rng.integers(0, 9, 900))
+        x = covertree._units(x)[order]
+        y = covertree._units(y)
+        assert sorted(order) == list(range(900)) and max(np.diff([*runs, 900])) <= covertree.RUN_ROWS
+        flat = np.tile(np.arange(900, dtype=np.int32), (len(covertree.RADII), 1))  # no level that merges: only directions and axes
+        for cosine in (0.95, 0.5, -0.5):
+            limit, axes = covertree._limit(cosine), covertree._axes(x, cosine)
+            tree = covertree._Tree(x, flat, axes, limit, runs, covertree._directions(x, runs))
+            found = list(covertree._traverse(tree, covertree._Tree(y, covertree.cover_tree(y), axes, limit), cosine))
+            a, b = map(np.concatenate, zip(*found))
+            product = x @ y.T
+            got = np.zeros(product.shape, int)
+            np.add.at(got, (a, b), 1)
+            assert (got[product >= cosine + 1e-9] == 1).all() and got[product < cosine - 1e-9].sum() == 0
+    two, first = np.eye(32)[:1] * [[1.0], [-1.0]], np.array([0])
+    tree = covertree._Tree(two, flat[:, :2], axes, covertree._limit(0.95), first, covertree._directions(two, first))
+    assert tree.least[0] <= -1.0  # opposite rows: nothing is screened
+
+
+def test_pivots_fill_blocks():
+    start, parts, end = covertree._packed(np.array([3, 4, 9, 0, 2, 25, 1]), 10, 5)
+    assert start.tolist() == [5, 5, 6, 6, 7, 8, 11] and parts.tolist() == [1, 1, 1, 1, 1, 3, 1] and end == 12
+
+
 def test_blocks_of_short_vectors_are_bounded(spark):
     rng = np.random.default_rng(24)
     units = covertree.unit_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(9000, 2)))], "vec_id long, embedding array<double>"))
