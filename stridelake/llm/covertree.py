@@ -48,8 +48,8 @@ RADII = (1.0, 0.5, 0.25, 0.125)
 #: or twice the table.
 BLOCK_ROWS, STRIP_BLOCKS, STRIPS, ROUND_VALUES = 1 << 12, 32, 8, 1 << 26
 #: Rows for each pivot, values of all pivots at most; rows in a run, what is screened by one direction; steps to find it, and
-#: how fast far rows gain weight in them.
-PIVOT_ROWS, PIVOT_VALUES, RUN_ROWS, CAP_STEPS, CAP_GAIN = 128, 1 << 20, 192, 5, 10.0
+#: how fast far rows gain weight in them; rows up to which all are counted before they are dealt.
+PIVOT_ROWS, PIVOT_VALUES, RUN_ROWS, CAP_STEPS, CAP_GAIN, COUNTED = 128, 1 << 20, 192, 5, 10.0, 1 << 18
 #: Axes of the screen: the fewest that leave this share of the sample's far pairs; rows of the sample that they
 #: are fitted on, and tried on.
 AXES, LEFT_OVER, PAIRED = (16, 24, 32, 48, 64, 96, 128, 192, 256, 384, 512), 1e-5, 512
@@ -381,9 +381,10 @@ def blocks(reps: DataFrame, cosine: float) -> tuple[DataFrame | None, dict[int,
         few = F.pmod(F.xxhash64("digest"), F.lit(1 << 30)) < min(1 << 30, math.ceil(1.5 * sampled / rows * (1 << 30)))
         sample = _units(_matrix([r["vector"] for r in own.where(few).orderBy("digest").select("vector").limit(sampled).collect()], dim))
         pivots, axes[dim] = _pivots(sample, rows), _axes(sample, cosine)
-        many = np.zeros(len(pivots), np.int64)
-        for r in own.select(_dealt(dim, pivots).alias("to")).groupBy("to.pivot").agg(F.count(F.lit(1)).alias("n")).collect():
-            many[r["pivot"]] = r["n"]
+        many, each = np.zeros(len(pivots), np.int64), 1 if rows <= COUNTED else 8  # to fill blocks, a part of the rows is enough
+        counted = own.where(F.pmod(F.xxhash64("digest"), F.lit(each)) == 0)
+        for r in counted.select(_dealt(dim, pivots).alias("to")).groupBy("to.pivot").agg(F.count(F.lit(1)).alias("n")).collect():
+            many[r["pivot"]] = r["n"] * each
         start, parts, end = _packed(many, size, first_block)
         wide = min(STRIP_BLOCKS, -(-(end - first_block) // STRIPS))
         strip = (first_strip + F.floor((F.col("block") - first_block) / wide)).cast("int").alias("strip")
